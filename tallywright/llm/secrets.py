@@ -85,7 +85,8 @@ def literals(regex: str) -> list[frozenset[str]]:
 def trigram_query(regex: str) -> list[frozenset[str]]:
     """An OR of ANDs of trigrams that every matching text satisfies; empty: no mandatory trigram, scan all texts."""
     clauses = {frozenset(s[i : i + 3] for s in ands for i in range(len(s) - 2)) for ands in literals(regex)}
-    return [] if frozenset() in clauses else sorted(clauses, key=sorted)
+    least = [c for c in clauses if not any(other < c for other in clauses)]
+    return [] if frozenset() in clauses else sorted(least, key=sorted)
 
 
 def build_index(docs: DataFrame, rules: tuple[Rule, ...], id_col: str = "doc_id", text_col: str = "text", segments: int = 256) -> DataFrame:
@@ -212,7 +213,7 @@ each as (
   select doc_id, ord, kind, least, m, j, p, unnest(range(1, len(m) + 1)) as i from found where len(m) > 0),
 spans as (
   select doc_id, ord, kind,
-         coalesce(list_sum(list_transform(p[1:i], x -> length(x))), 0) + coalesce(list_sum(list_transform(m[1:i-1], x -> length(x))), 0) as s,
+         coalesce(list_sum(list_transform(p[1:i], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(m[1:i-1], lambda x: length(x))), 0) as s,
          length(m[i]) as n
   from each where length(j[i]) >= least),
 text as (
