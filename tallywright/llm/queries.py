@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import mixing, secrets
+from . import mixing, secrets, simhash_dedup
 from .common import table
 
 
@@ -43,6 +44,12 @@ from c
 """
 
 
+def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_dedup.near_classes(table(spark, sf_dir, "documents"))
+    text = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return found.select(F.col("id").alias("doc_id"), text.alias("fingerprint"), "component_id")
+
+
 def op8_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(table(spark, sf_dir, "documents"))
 
@@ -50,6 +57,7 @@ def op8_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_mix_sources": op4_mix_sources,
+        "op5_simhash_dedup": op5_simhash_dedup,
         "op8_secret_spans": op8_secret_spans,
     }
 
