@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, secrets, simhash_dedup
+from . import fingerprints, mixing, secrets, simhash_dedup
 from .common import table
 
 
+def hex16(fp: str) -> Column:
+    return F.lower(F.lpad(F.hex(fp), 16, "0"))
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -46,8 +50,13 @@ from c
 
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dedup.near_classes(table(spark, sf_dir, "documents"))
-    text = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return found.select(F.col("id").alias("doc_id"), text.alias("fingerprint"), "component_id")
+    return found.select(F.col("id").alias("doc_id"), hex16("fp").alias("fingerprint"), "component_id")
+
+
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints.edited_prints(table(spark, sf_dir, "documents"))
+    prints = [hex16("fp").alias("fingerprint"), hex16("edited_fp").alias("edited_fingerprint")]
+    return found.select("doc_id", "n_chars", "edited_sha256", *prints, "near_edited", "near_next")
 
 
 def op8_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +67,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_mix_sources": op4_mix_sources,
         "op5_simhash_dedup": op5_simhash_dedup,
+        "op7_fingerprints": op7_fingerprints,
         "op8_secret_spans": op8_secret_spans,
     }
 
