@@ -34,6 +34,11 @@ def simhash(texts: DataFrame, keys: list[str], text_col: str = "text") -> DataFr
     so a very long text costs rows, not memory. Rows that repeat a key with the same text change nothing.
     """
     terms = texts.select(*keys, F.explode_outer(term_hashes(F.col(text_col))).alias("h"))
+    return votes_to_fp(terms, keys)
+
+
+def votes_to_fp(terms: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, h (one row a term, null: none) -> keys, fp."""
     votes = [F.sum(F.shiftrightunsigned("h", j).bitwiseAND(F.lit(PAIR))).alias(f"v{j}") for j in range(LANES)]
     counted = terms.groupBy(*keys).agg(F.count("h").alias("n"), *votes)
 

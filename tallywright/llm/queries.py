@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, mixing, secrets, simhash_dedup
+from . import decontaminate, fingerprints, mixing, secrets, simhash_dedup
 from .common import table
 
 
@@ -15,6 +15,38 @@ def hex16(fp: str) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "start", "n_words", F.round("similarity", 9).alias("similarity"))
+
+
+#: Every window that shares a shingle with an item on the same place, without fingerprints.
+OP3_SQL = """
+with dw as (
+  select doc_id, list_filter(regexp_split_to_array(lower(text), '[ \t-\r]+'), lambda x: x <> '') as w from documents where text is not null),
+ds as (
+  select doc_id, len(w) - 4 as total, unnest(range(1, len(w) - 3)) as pos, w from dw where len(w) >= 5),
+d as (select doc_id, total, pos - 1 as pos, array_to_string(w[pos:pos+4], ' ') as h from ds),
+iw as (
+  select item_id, list_filter(regexp_split_to_array(lower(text), '[ \t-\r]+'), lambda x: x <> '') as w from benchmark where text is not null),
+s as (select item_id, len(w) - 4 as n, unnest(range(1, len(w) - 3)) as pos, w from iw where len(w) >= 5),
+i as (select item_id, n, pos - 1 as place, array_to_string(w[pos:pos+4], ' ') as h from s),
+win as (
+  select distinct doc_id, item_id, n, greatest(0, least(pos - place, total - n)) as start, total from d join i using (h)),
+dc as (
+  select doc_id, item_id, n, start, h, count(*) as c
+  from win join d using (doc_id) where d.pos >= start and d.pos < start + n group by all),
+own as (select doc_id, item_id, n, start, sum(c) as own from dc group by all),
+ic as (select item_id, h, count(*) as ic from i group by all),
+sh as (select doc_id, item_id, n, start, sum(least(c, ic)) as both_ from dc join ic using (item_id, h) group by all),
+sim as (
+  select doc_id, item_id, n, start, both_::double / (own + n - both_)::double as similarity from sh join own using (doc_id, item_id, n, start))
+select doc_id, item_id, start::bigint as start, (n + 4)::bigint as n_words, round(similarity, 9) as similarity
+from sim where similarity >= 0.8
+qualify row_number() over (partition by doc_id, item_id order by similarity desc, start) = 1
+"""
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -65,6 +97,7 @@ def op8_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_decontaminate": op3_decontaminate,
         "op4_mix_sources": op4_mix_sources,
         "op5_simhash_dedup": op5_simhash_dedup,
         "op7_fingerprints": op7_fingerprints,
@@ -74,6 +107,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_decontaminate": OP3_SQL,
         "op4_mix_sources": OP4_SQL,
         "op8_secret_spans": secrets.digest_sql(),
     }
