@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprints, mixing, secrets, simhash_dedup
+from . import decontaminate, fingerprints, language, mixing, secrets, simhash_dedup
 from .common import table
 
 
@@ -85,6 +85,18 @@ def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), hex16("fp").alias("fingerprint"), "component_id")
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language.identify(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        (language.bucket(F.col("doc_id")) == 2).alias("held_out"),
+        F.col("_lang_pred").alias("lang_pred"),
+        F.col("_score").alias("score"),
+        F.col("_rejected").alias("rejected"),
+        F.col("_margin").alias("margin"),
+    )
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fingerprints.edited_prints(table(spark, sf_dir, "documents"))
     prints = [hex16("fp").alias("fingerprint"), hex16("edited_fp").alias("edited_fingerprint")]
@@ -100,6 +112,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_decontaminate": op3_decontaminate,
         "op4_mix_sources": op4_mix_sources,
         "op5_simhash_dedup": op5_simhash_dedup,
+        "op6_language": op6_language,
         "op7_fingerprints": op7_fingerprints,
         "op8_secret_spans": op8_secret_spans,
     }
