@@ -110,3 +110,8 @@ def predict(docs: DataFrame, content: dict[str, bytes], id_col: str = "doc_id",
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """predict() with dictionaries learned from the labelled rows whose crc32(id as text) mod 4 is not 2 (null id: as empty)."""
     return predict(docs, sample(docs, id_col, text_col, lang_col), id_col, text_col)
+
+
+def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of docs that are not rejected, columns unchanged."""
+    return identify(docs, id_col, text_col, lang_col).filter(~F.col("_rejected")).select(*docs.columns)

@@ -67,15 +67,45 @@ def mix(
     Null or empty texts have size 0 and take 0; a null source is a source of its own, last in order; a null id hashes
     like an empty one; rows that repeat an id share its hash and enter or leave together. An empty table gives none.
     """
-    slim = materialize(
-        docs.select(
-            F.col(id_col).alias("doc_id"),
-            F.col(source_col).alias("source"),
-            word_count(F.col(text_col)).alias("size"),
-            document_hash(F.col(id_col), salt).alias("hash"),
-        ),
-        "mix-docs",
+    slim = materialize(slim_rows(docs, id_col, text_col, source_col, salt), "mix-docs")
+    plan = mix_plan(slim, weights, share, max_epochs)
+    return slim.join(plan, F.col("source").eqNullSafe(F.col("plan_source"))).select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * copies(F.col("hash"))).alias("taken")
     )
+
+
+def mixed_rows(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    weights: tuple = (5, 2, 1),
+    share: float = 1.5,
+    max_epochs: int = 2,
+    salt: str = "mix",
+) -> DataFrame:
+    """The rows of docs that mix() takes, with a last column `copies`: how often each stands in the mix. Texts aren't shuffled."""
+    plan = mix_plan(materialize(slim_rows(docs, id_col, text_col, source_col, salt), "mix-docs"), weights, share, max_epochs)
+    rows = docs.join(plan, F.col(source_col).eqNullSafe(F.col("plan_source")))
+    return rows.select(*[docs[c] for c in docs.columns], copies(document_hash(docs[id_col], salt)).alias("copies")).filter("copies > 0")
+
+
+def slim_rows(docs: DataFrame, id_col: str, text_col: str, source_col: str, salt: str) -> DataFrame:
+    return docs.select(
+        F.col(id_col).alias("doc_id"),
+        F.col(source_col).alias("source"),
+        word_count(F.col(text_col)).alias("size"),
+        document_hash(F.col(id_col), salt).alias("hash"),
+    )
+
+
+def copies(hash_: Column) -> Column:
+    """Whole passes, and one more up to the threshold."""
+    return F.col("plan_passes") + (hash_ <= F.coalesce(F.col("plan_threshold"), F.lit(-1))).cast("long")
+
+
+def mix_plan(slim: DataFrame, weights: tuple, share: float, max_epochs: int) -> DataFrame:
+    """(plan_source, source_size, target, plan_passes, plan_threshold), one row a source."""
     sizes = slim.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes, weights, share, max_epochs)
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
@@ -83,14 +113,11 @@ def mix(
         targets.withColumn("passes", passes).withColumn("rest", F.col("target") - F.col("passes") * F.col("source_size")), "mix-targets"
     )
     limits = thresholds(slim, targets.select("source", "rest"))
-    plan = materialize(
-        targets.alias("t").join(limits.alias("l"), F.col("t.source").eqNullSafe(F.col("l.source")), "left").select("t.*", "l.threshold"), "mix-plan"
-    )
-    plan = broadcast_if(plan.withColumnRenamed("source", "plan_source"), MAX_BROADCAST_SOURCES)
-    extra = (F.col("hash") <= F.coalesce(F.col("threshold"), F.lit(-1))).cast("long")
-    return slim.join(plan, F.col("source").eqNullSafe(F.col("plan_source"))).select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * (F.col("passes") + extra)).alias("taken")
+    plan = targets.alias("t").join(limits.alias("l"), F.col("t.source").eqNullSafe(F.col("l.source")), "left")
+    plan = plan.select(
+        F.col("t.source").alias("plan_source"), "source_size", "target", F.col("passes").alias("plan_passes"), F.col("threshold").alias("plan_threshold")
     )
+    return broadcast_if(materialize(plan, "mix-plan"), MAX_BROADCAST_SOURCES)
 
 
 def thresholds(slim: DataFrame, budgets: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from . import decontaminate, fingerprints, language, mixing, secrets, simhash_dedup
 from .common import table
 
@@ -115,6 +117,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_language": op6_language,
         "op7_fingerprints": op7_fingerprints,
         "op8_secret_spans": op8_secret_spans,
+        "pipeline": corpus_pipeline.run,
     }
 
 

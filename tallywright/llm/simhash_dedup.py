@@ -42,16 +42,19 @@ def fingerprint(text: bytes | None, shingle: int = 4, seed: int = 42) -> int:
     return int(np.packbits(2 * votes > last, bitorder="little").view("<i8")[0])
 
 
-def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4) -> DataFrame:
-    """(id, fp), one row for each row of docs."""
+def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, more: list[str] | None = None) -> DataFrame:
+    """(id, fp, *more), one row for each row of docs."""
+    more = more or []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = [fingerprint(t.as_py(), shingle) for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64())], ["id", "fp"])
+            rest = [b.column(i + 2) for i in range(len(more))]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64()), *rest], ["id", "fp", *more])
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
-    return rows.mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, fp bigint")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"), *more)
+    rest = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in more)
+    return rows.mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, fp bigint{rest}")
 
 
 def ring(radius: int) -> list[tuple[int, int]]:
@@ -168,10 +171,34 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     class; a null id keeps its row, and a class of null ids only has a null component_id. Empty tables give none.
     """
     prints = materialize(with_fingerprints(docs, id_col, text_col, shingle), "simhash")
+    return prints.join(classes(prints, radius), "fp").select("id", "fp", "component_id")
+
+
+def classes(prints: DataFrame, radius: int) -> DataFrame:
+    """prints(id, fp) -> (fp, component_id), one row for each distinct fingerprint."""
     nodes = prints.groupBy("fp").agg(F.min("id").alias("least"))
     roots = components(links(nodes.select("fp"), radius))
     rooted = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     rooted = materialize(rooted, "simhash-roots")
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = materialize(rooted.join(least, "root").select("fp", "component_id"), "simhash-named")
-    return prints.join(named, "fp").select("id", "fp", "component_id")
+    return materialize(rooted.join(least, "root").select("fp", "component_id", "root"), "simhash-named")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4, shingle: int = 4) -> DataFrame:
+    """The rows of docs with one of each near-duplicate class left, columns unchanged: the one of the smallest id.
+
+    Null ids come last; rows of one id go by the text's hash; rows that repeat id and text are one row.
+    """
+    hashes = F.xxhash64(text_col)
+    prints = with_fingerprints(docs.withColumn("_th", hashes), id_col, text_col, shingle, ["_th"])
+    prints = materialize(prints, "simhash")
+    rows = prints.join(classes(prints, radius), "fp")
+    order = F.struct(F.col("id").isNull(), "id", "_th")
+    first = rows.groupBy("root").agg(F.min(order).alias("k")).select(F.col("k.id").alias("_id"), F.col("k._th").alias("_kept"))
+    first = materialize(first, "simhash-kept")
+    same = F.col("_kept") == hashes
+    kept = docs.join(first, F.col(id_col).eqNullSafe(F.col("_id")) & same, "left_semi")
+    repeated = prints.groupBy("id", "_th").count().filter("count > 1")
+    if repeated.isEmpty():
+        return kept
+    return kept.withColumn("_th", hashes).dropDuplicates([id_col, "_th"]).drop("_th")
