@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import decontaminate, fingerprints, language, mixing, secrets, simhash_dedup
+from . import decontaminate, fingerprints, language, mixing, phrase_dedup, secrets, simhash_dedup, suffix_dedup
 from .common import table
 
 
@@ -17,6 +17,11 @@ def hex16(fp: str) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
+def op2_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = phrase_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "start", "n_words", F.round("similarity", 9).alias("similarity"))
@@ -109,14 +114,21 @@ def op8_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_phrase_dedup": op2_phrase_dedup,
         "op3_decontaminate": op3_decontaminate,
         "op4_mix_sources": op4_mix_sources,
         "op5_simhash_dedup": op5_simhash_dedup,
         "op6_language": op6_language,
         "op7_fingerprints": op7_fingerprints,
         "op8_secret_spans": op8_secret_spans,
+        "op9_suffix_dedup": op9_suffix_dedup,
         "pipeline": corpus_pipeline.run,
     }
 
