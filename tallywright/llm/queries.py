@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import decontaminate, fingerprints, language, mixing, phrase_dedup, secrets, simhash_dedup, suffix_dedup
+from . import chat, decontaminate, fingerprints, language, mixing, phrase_dedup, secrets, simhash_dedup, suffix_dedup
 from .common import table
 
 
@@ -119,6 +119,13 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = r"\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], rows.schema)
+    return chat.digest(*chat.format_chats(rows.unionByName(extra)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_phrase_dedup": op2_phrase_dedup,
@@ -129,6 +136,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_fingerprints": op7_fingerprints,
         "op8_secret_spans": op8_secret_spans,
         "op9_suffix_dedup": op9_suffix_dedup,
+        "op10_chat_format": op10_chat_format,
         "pipeline": corpus_pipeline.run,
     }
 
