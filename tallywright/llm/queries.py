@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import chat, decontaminate, fingerprints, language, mixing, phrase_dedup, secrets, simhash_dedup, suffix_dedup
+from . import chat, decontaminate, fingerprints, html_text, language, mixing, phrase_dedup, secrets, simhash_dedup, suffix_dedup
 from .common import table
 
 
@@ -17,6 +17,10 @@ def hex16(fp: str) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op2_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = phrase_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -128,6 +132,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_main_text": op1_main_text,
         "op2_phrase_dedup": op2_phrase_dedup,
         "op3_decontaminate": op3_decontaminate,
         "op4_mix_sources": op4_mix_sources,
