@@ -115,15 +115,18 @@ def edited_prints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     n = F.length("text")
     kept = F.col("text").substr(F.lit(1), n - F.floor(n / 4).cast("int"))
     both = source.join(tails, F.col("id").eqNullSafe(F.col("oid")) & (F.col("th") == F.col("oth")))
-    both = both.select("id", "th", n.cast("long").alias("n_chars"), "text", F.concat(kept, F.col("tail")).alias("edited"))
-    rows = both.select("id", "th", "n_chars", F.sha2("edited", 256).alias("edited_sha256"))
-    versions = both.select("id", "th", F.posexplode(F.array("text", "edited")).alias("edit", "text"))
-    prints = simhash(versions, ["id", "th", "edit"])
+    edited = F.concat(kept, F.col("tail"))
+    versions = F.array(F.struct(F.col("text"), F.lit(None).cast("string").alias("sha")), F.struct(edited.alias("text"), F.sha2(edited, 256).alias("sha")))
+    both = both.select("id", "th", n.cast("long").alias("n_chars"), F.posexplode(versions).alias("edit", "v"))
+    # the digest goes along as a key, so the texts are dealt out once and not once more for it
+    prints = simhash(both.select("id", "th", "n_chars", "edit", "v.text", "v.sha"), ["id", "th", "n_chars", "edit", "sha"])
     pick = lambda k: F.max(F.when(F.col("edit") == k, F.col("fp")))
-    prints = materialize(prints.groupBy("id", "th").agg(pick(0).alias("fp"), pick(1).alias("edited_fp")), "prints")
+    prints = prints.groupBy("id", "th").agg(F.max("n_chars").alias("n_chars"), F.max("sha").alias("edited_sha256"), pick(0).alias("fp"), pick(1).alias("edited_fp"))
+    prints = materialize(prints, "prints")
+    rows = source.select("id", "th")
     same = lambda a, b: F.col(f"{a}.id").eqNullSafe(F.col(f"{b}.id")) & (F.col(f"{a}.th") == F.col(f"{b}.th"))
     follow = F.col("o.next.id").eqNullSafe(F.col("p.id")) & (F.col("o.next.th") == F.col("p.th"))
     upcoming = order.alias("o").join(prints.alias("p"), follow).select("o.id", "o.th", F.col("p.fp").alias("next_fp"))
     found = rows.alias("r").join(prints.alias("p"), same("r", "p")).join(upcoming.alias("u"), same("r", "u"))
     near = [likeness(F.col("p.fp"), F.col("p.edited_fp")).alias("near_edited"), likeness(F.col("p.fp"), F.col("u.next_fp")).alias("near_next")]
-    return found.select(F.col("r.id").alias("doc_id"), "n_chars", "edited_sha256", "p.fp", "p.edited_fp", *near)
+    return found.select(F.col("r.id").alias("doc_id"), "p.n_chars", "p.edited_sha256", "p.fp", "p.edited_fp", *near)
