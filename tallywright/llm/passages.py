@@ -157,8 +157,13 @@ def contexts(text: bytes, units: Units, bits: np.ndarray) -> Iterator[tuple[int,
             yield hv, o, u, n, text[x:y]
 
 
-def recurring_filter(source: DataFrame, units: Units, in_other_documents: bool) -> bytes:
-    """The bitmap of anchors that occur in two documents at least, or just twice."""
+#: Contexts of an anchor of more occurrences than this are not judged together but window by window, in Spark.
+HOT = 200_000
+
+
+def recurring_filter(source: DataFrame, units: Units, in_other_documents: bool, hot: int) -> tuple[bytes, frozenset[int]]:
+    """The bitmap of anchors that occur in two documents at least, or just twice; and the anchors of more than `hot`
+    occurrences, of which there are fewer than all occurrences over `hot`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -174,16 +179,19 @@ def recurring_filter(source: DataFrame, units: Units, in_other_documents: bool)
 
     seen = source.select("rank", "raw").mapInArrow(run, "h bigint, who bigint").groupBy("h")
     if in_other_documents:
-        again = seen.agg(F.min("who").alias("a"), F.max("who").alias("b")).filter("a < b")
+        again = seen.agg(F.min("who").alias("a"), F.max("who").alias("b"), F.count("*").alias("n")).filter("a < b")
     else:
         again = seen.agg(F.sum("who").alias("n")).filter("n > 1")
     bit = F.shiftrightunsigned("h", 64 - FILTER_BITS)
-    maps = again.groupBy(F.floor(bit / BUCKET).alias("bucket")).agg(F.bitmap_construct_agg((bit % BUCKET).cast("long")).alias("bits"))
-    whole = bytearray((1 << FILTER_BITS) // 8)
+    maps = again.groupBy(F.floor(bit / BUCKET).alias("bucket")).agg(
+        F.bitmap_construct_agg((bit % BUCKET).cast("long")).alias("bits"), F.collect_list(F.when(F.col("n") > hot, F.col("h"))).alias("hot")
+    )
+    whole, many = bytearray((1 << FILTER_BITS) // 8), []
     for row in maps.toLocalIterator():  # at most 4,096 rows of 4 KB
         at = row["bucket"] * BUCKET // 8
         whole[at : at + BUCKET // 8] = row["bits"]
-    return bytes(whole)
+        many += row["hot"]
+    return bytes(whole), frozenset(many)
 
 
 #: One context of a group: (place of the anchor, bytes, smallest rank that has it, occurrences).
@@ -192,13 +200,14 @@ Context = tuple[int, bytes, int, int]
 Judge = Callable[[list[list[Context]]], list[list[list[int] | None]]]
 
 
-def verdicts(source: DataFrame, units: Units, in_other_documents: bool, judge: Judge) -> DataFrame:
+def verdicts(source: DataFrame, units: Units, in_other_documents: bool, judge: Judge, hot: int = HOT) -> DataFrame:
     """(id, th, found): for each text with a repeated window, the list of (first unit, windows, verdict) of its contexts.
 
     source: id, th (hash of the text), rank (of the document in its order), raw (bytes).
     """
     spark = source.sparkSession
-    bits = spark.sparkContext.broadcast(recurring_filter(source, units, in_other_documents))
+    bitmap, many = recurring_filter(source, units, in_other_documents, hot)
+    bits = spark.sparkContext.broadcast(bitmap)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         have = np.frombuffer(bits.value, np.uint8)
@@ -206,6 +215,8 @@ def verdicts(source: DataFrame, units: Units, in_other_documents: bool, judge: J
             seen: dict[tuple[int, int, bytes], list[int]] = {}
             for rank, raw in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 for h, off, _, _, context in contexts(units.text(raw.as_py()), units, have):
+                    if h in many:
+                        continue
                     if (x := seen.get((h, off, context))) is None:
                         seen[h, off, context] = [rank, 1]
                     else:
@@ -229,14 +240,12 @@ def verdicts(source: DataFrame, units: Units, in_other_documents: bool, judge: J
         held = 0
 
         def close() -> Iterator[pa.RecordBatch]:
-            h, off, x, v = [], [], [], []
+            h, x, v = [], [], []
             for name, group, said in zip(names, groups, judge(groups), strict=True):
                 for (o, context, _, _), verdict in zip(group, said, strict=True):
                     if verdict is not None:
-                        h.append(name), off.append(o), x.append(signed(xxhash.xxh3_64_intdigest(context))), v.append(verdict)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h, pa.int64()), pa.array(off, pa.int32()), pa.array(x, pa.int64()), pa.array(v, pa.list_(pa.int64()))], ["h", "off", "x", "verdict"]
-            )
+                        h.append(name), x.append(signed(xxhash.xxh3_64_intdigest(context, o))), v.append(verdict)
+            yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(x, pa.int64()), pa.array(v, pa.list_(pa.int64()))], ["h", "x", "verdict"])
 
         for b in batches:
             for h, off, context, low, n in zip(*(c.to_pylist() for c in b.columns), strict=True):
@@ -259,30 +268,71 @@ def verdicts(source: DataFrame, units: Units, in_other_documents: bool, judge: J
         for b in batches:
             for rows in range(0, b.num_rows, 256):
                 part = b.slice(rows, 256)
-                row, h, off, x, unit, windows = [], [], [], [], [], []
+                row, h, x, unit, windows = [], [], [], [], []
                 for i, raw in enumerate(part.column(2)):
                     for hv, o, u, n, context in contexts(units.text(raw.as_py()), units, have):
-                        row.append(i), h.append(hv), off.append(o), x.append(signed(xxhash.xxh3_64_intdigest(context))), unit.append(u), windows.append(n)
+                        if hv not in many:
+                            row.append(i), h.append(hv), x.append(signed(xxhash.xxh3_64_intdigest(context, o))), unit.append(u), windows.append(n)
                 take = pa.array(row, pa.int64())
-                numbers = [pa.array(h, pa.int64()), pa.array(off, pa.int32()), pa.array(x, pa.int64()), pa.array(unit, pa.int64()), pa.array(windows, pa.int32())]
-                yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(1).take(take), *numbers], ["id", "th", "h", "off", "x", "unit", "windows"])
+                numbers = [pa.array(h, pa.int64()), pa.array(x, pa.int64()), pa.array(unit, pa.int64()), pa.array(windows, pa.int32())]
+                yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(1).take(take), *numbers], ["id", "th", "h", "x", "unit", "windows"])
+
+    def windows_of(raw: bytes | None, have: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """First unit and digest of each window of the hot anchors of a text."""
+        for h, _, u, n, context in contexts(units.text(raw), units, have):
+            if h in many:
+                for i, w in enumerate(split(context, n, units)):
+                    d = xxhash.xxh3_128_intdigest(w)
+                    yield u + i, signed(d >> 64), signed(d & ((1 << 64) - 1))
+
+    def hot_gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        have = np.frombuffer(bits.value, np.uint8)
+        for b in batches:
+            for rank, raw in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                found = [(x, y, rank) for _, x, y in windows_of(raw.as_py(), have)]
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["w1", "w2", "low"])
+
+    def hot_located(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        have = np.frombuffer(bits.value, np.uint8)
+        for b in batches:
+            for i, raw in enumerate(b.column(2)):
+                if found := list(windows_of(raw.as_py(), have)):
+                    take = pa.array([i] * len(found))
+                    numbers = [pa.array(c, pa.int64()) for c in zip(*found, strict=True)]
+                    yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), *numbers], ["id", "th", "unit", "w1", "w2"])
 
     id_type = source.schema["id"].dataType.simpleString()
     gathered = source.select("rank", "raw").mapInArrow(gather, "h bigint, off int, context binary, low bigint, n bigint")
-    said = gathered.repartition("h").sortWithinPartitions("h", "off", "context").mapInArrow(judged, "h bigint, off int, x bigint, verdict array<bigint>")
-    occurrences = source.select("id", "th", "raw").mapInArrow(located, f"id {id_type}, th bigint, h bigint, off int, x bigint, unit bigint, windows int")
-    met = occurrences.join(said, ["h", "off", "x"])
+    said = gathered.repartition("h").sortWithinPartitions("h", "off", "context").mapInArrow(judged, "h bigint, x bigint, verdict array<bigint>")
+    occurrences = source.select("id", "th", "raw").mapInArrow(located, f"id {id_type}, th bigint, h bigint, x bigint, unit bigint, windows int")
+    met = occurrences.join(said, ["h", "x"]).select("id", "th", "unit", "windows", "verdict")
+    if many:
+        counted = source.select("rank", "raw").mapInArrow(hot_gather, "w1 bigint, w2 bigint, low bigint").groupBy("w1", "w2").agg(F.min("low").alias("low"), F.count("*").alias("n"))
+        verdict = F.array("low") if in_other_documents else F.array(F.lit(0).cast("long"), F.lit(1).cast("long"))
+        counted = counted.filter("n > 1").select("w1", "w2", verdict.alias("verdict"))
+        each = source.select("id", "th", "raw").mapInArrow(hot_located, f"id {id_type}, th bigint, unit bigint, w1 bigint, w2 bigint")
+        met = met.unionByName(each.join(counted, ["w1", "w2"]).select("id", "th", "unit", F.lit(1).alias("windows"), "verdict"))
     return met.groupBy("id", "th").agg(F.collect_list(F.struct("unit", "windows", "verdict")).alias("found"))
 
 
+def split(context: bytes, windows: int, units: Units) -> list[bytes]:
+    """The windows of a context."""
+    if not units.words:
+        return [context[i : i + units.window] for i in range(windows)]
+    ends = np.append(np.flatnonzero(np.frombuffer(context, np.uint8) == 32), len(context)).tolist()
+    starts = [0, *(e + 1 for e in ends[:-1])]
+    return [context[starts[i] : ends[i + units.window - 1]] for i in range(windows)]
+
+
 def signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def judged_texts(docs: DataFrame, id_col: str, text_col: str, units: Units, in_other_documents: bool, judge: Judge) -> DataFrame:
+def judged_texts(docs: DataFrame, id_col: str, text_col: str, units: Units, in_other_documents: bool, judge: Judge, hot: int = HOT) -> DataFrame:
     """id, rank, raw, found for each row of docs; found is null where no window repeats."""
     rank = F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1))
     raw = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     source = docs.select(F.col(id_col).alias("id"), F.xxhash64(raw).alias("th"), rank.alias("rank"), raw.alias("raw"))
-    said = verdicts(source, units, in_other_documents, judge).select(F.col("id").alias("fid"), F.col("th").alias("fth"), "found")
+    said = verdicts(source, units, in_other_documents, judge, hot).select(F.col("id").alias("fid"), F.col("th").alias("fth"), "found")
     return source.join(said, F.col("id").eqNullSafe(F.col("fid")) & (F.col("th") == F.col("fth")), "left").select("id", "rank", "raw", "found")

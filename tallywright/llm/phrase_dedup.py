@@ -8,9 +8,10 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 
-from .passages import Context, Units, judged_texts
+from .passages import HOT, Context, Units, judged_texts
 
 
 def judge_phrases(groups: list[list[Context]]) -> list[list[list[int] | None]]:
@@ -63,7 +64,25 @@ def judge_phrases(groups: list[list[Context]]) -> list[list[list[int] | None]]:
 WORDS = Units(window=13, gram=5, words=True)
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def cover(found: pa.Array, base: np.ndarray, ranks: np.ndarray, size: int) -> np.ndarray:
+    """Which words of a batch (text i has those from base[i]) lie in a window whose smallest rank is below its text's."""
+    gone = np.zeros(base[-1] + 1, np.int64)
+    row = np.repeat(np.arange(len(found)), pa.compute.fill_null(pa.compute.list_value_length(found), 0).to_numpy(zero_copy_only=False))
+    flat = found.flatten()
+    if len(flat):
+        unit, windows, lists = (flat.field(k) for k in ("unit", "windows", "verdict"))
+        given = pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+        windows, lows = windows.to_numpy(zero_copy_only=False).astype(np.int64), lists.flatten().to_numpy(zero_copy_only=False)
+        lows = np.repeat(lows, np.repeat(np.where(given == 1, windows, 1), given))  # one verdict stands for all windows of its context
+        which = np.repeat(np.arange(len(flat)), windows)
+        at = unit.to_numpy(zero_copy_only=False)[which] + np.arange(len(which)) - (np.cumsum(windows) - windows)[which] + base[row[which]]
+        at = at[lows < ranks[row[which]]]
+        np.add.at(gone, at, 1)
+        np.add.at(gone, at + size, -1)
+    return np.cumsum(gone[:-1]) > 0
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
     """(id, n_words, n_removed, kept): each text without the words of windows of 13 words that also start in a document
     of a smaller id, its words joined by one space.
 
@@ -72,25 +91,20 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = WORDS.window
         for b in batches:
-            total, removed, kept = [], [], []
-            for rank, raw, found in zip(b.column(1).to_pylist(), b.column(2), b.column(3), strict=True):
-                words = raw.as_py().split()
-                gone = np.zeros(len(words) + 1, np.int64)
-                for x in found.as_py() or ():
-                    unit, lows = x["unit"], np.array(x["verdict"])
-                    if len(lows) == 1 and lows[0] < rank:
-                        lows = lows.repeat(x["windows"])
-                    at = unit + np.flatnonzero(lows < rank)
-                    np.add.at(gone, at, 1)
-                    np.add.at(gone, at + size, -1)
-                covered = np.cumsum(gone[:-1]) > 0
-                total.append(len(words))
-                removed.append(int(covered.sum()))
-                kept.append(b" ".join([w for w, c in zip(words, covered.tolist(), strict=True) if not c]) if removed[-1] else b" ".join(words))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary())], ["id", "n_words", "n_removed", "kept"])
-
-    judged = judged_texts(docs, id_col, text_col, WORDS, True, judge_phrases)
+            for rows in range(0, b.num_rows, 512):
+                part = b.slice(rows, 512)
+                texts = [raw.as_py().split() for raw in part.column(2)]
+                base = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+                covered = cover(part.column(3), base, part.column(1).to_numpy(zero_copy_only=False), WORDS.window)
+                removed, kept = [], []
+                for i, words in enumerate(texts):
+                    gone = covered[base[i] : base[i + 1]]
+                    removed.append(int(gone.sum()))
+                    kept.append(b" ".join(words if not removed[-1] else [words[k] for k in np.flatnonzero(~gone).tolist()]))
+                numbers = [pa.array(np.diff(base), pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary())]
+                yield pa.RecordBatch.from_arrays([part.column(0), *numbers], ["id", "n_words", "n_removed", "kept"])
+
+    judged = judged_texts(docs, id_col, text_col, WORDS, True, judge_phrases, hot)
     id_type = docs.schema[id_col].dataType.simpleString()
     return judged.mapInArrow(run, f"id {id_type}, n_words bigint, n_removed bigint, kept binary")

@@ -6,9 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 
-from .passages import Context, Units, judged_texts
+from .passages import HOT, Context, Units, judged_texts
 
 BYTES = Units(window=200, gram=64, words=False)
 
@@ -48,7 +49,7 @@ def judge_strings(groups: list[list[Context]]) -> list[list[list[int] | None]]:
     return said
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept): each text without the bytes of any 200-byte string that also starts
     somewhere else, in the same document too. n_spans: maximal removed runs.
 
@@ -62,9 +63,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             for raw, found in zip(b.column(2), b.column(3), strict=True):
                 raw = raw.as_py()
                 gone = np.zeros(len(raw) + 1, np.int64)
-                for x in found.as_py() or ():
-                    runs = np.array(x["verdict"]).reshape(-1, 2)
-                    at = x["unit"] + runs[:, 0]
+                if found.is_valid:
+                    items = found.values
+                    runs = items.field("verdict").flatten().to_numpy(zero_copy_only=False).reshape(-1, 2)
+                    each = pa.compute.list_value_length(items.field("verdict")).to_numpy(zero_copy_only=False) // 2
+                    at = np.repeat(items.field("unit").to_numpy(zero_copy_only=False), each) + runs[:, 0]
                     np.add.at(gone, at, 1)
                     np.add.at(gone, at + runs[:, 1] + BYTES.window - 1, -1)
                 covered = np.cumsum(gone[:-1]) > 0
@@ -75,6 +78,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             arrays = [b.column(0), *(pa.array(x, pa.int64()) for x in (total, removed, spans)), pa.array(kept, pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, ["id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    judged = judged_texts(docs, id_col, text_col, BYTES, False, judge_strings)
+    judged = judged_texts(docs, id_col, text_col, BYTES, False, judge_strings, hot)
     id_type = docs.schema[id_col].dataType.simpleString()
     return judged.mapInArrow(run, f"id {id_type}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
