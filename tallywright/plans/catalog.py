@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallywright.functions import sequences as s
 from tallywright.functions import statistics as st
-from tallywright.operators import identifiers, intervals, layouts, merging, quality, tagging
+from tallywright.operators import identifiers, intervals, layouts, merging, pairs, quality, report, tagging
 from tallywright.operators import molecules as mo
 
 from . import derived as d
@@ -556,3 +556,103 @@ def bayesian_correction(spark, sf_dir):
 
     m = mo.molecules(d.events(spark, sf_dir)).withColumn("quality", (F.pmod(F.xxhash64("umi", "cb"), F.lit(30)) + 10).cast("double"))
     return correction.corrected_counts(m, correction.train(m), 3)
+
+
+# pairs and report
+
+PAIRS_SQL = f"""{ADJACENT_SQL}, prs as (select cb, gene, umi as base, other as target, reads as min_rpu, other_reads as max_rpu, ((ascii(substr(umi, 1, 1)) + ascii(substr(umi, 3, 1)) + reads) % 7)::double as quality
+  from adj where reads < other_reads or (reads = other_reads and umi < other))"""
+
+
+def graded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    quality_ = (F.ascii(F.substring("umi", 1, 1)) + F.ascii(F.substring("umi", 3, 1)) + F.col("reads")) % 7
+    return event_mols(spark, sf_dir).withColumn("quality", quality_.cast("double"))
+
+
+@query(f"with {PAIRS_SQL} select * from prs")
+def classifier_pairs(spark, sf_dir):
+    return pairs.classifier_pairs(graded(spark, sf_dir))
+
+
+@query(f"""with {PAIRS_SQL} select *, row_number() over (partition by cb, gene, target order by min_rpu, quality, base)::int as place,
+  sum(min_rpu) over (partition by cb, gene, target order by min_rpu, quality, base rows between unbounded preceding and current row)::bigint as min_rpu_sum from prs""")
+def running_reads(spark, sf_dir):
+    return pairs.running_reads(classifier_pairs(spark, sf_dir), ["cb", "gene"])
+
+
+@query(f"with {PAIRS_SQL}, once as (select cb, gene, target as base from prs group by all having count(*) = 1) select prs.* from prs semi join once using (cb, gene, base)")
+def cross_merged_pairs(spark, sf_dir):
+    return pairs.cross_merged(classifier_pairs(spark, sf_dir), ["cb", "gene"])
+
+
+@query(f"with {PAIRS_SQL}, big as (select cb, gene, umi from emol where reads >= 2) select prs.* from prs semi join big b on prs.cb = b.cb and prs.gene = b.gene and prs.base = b.umi where exists (select 1 from big t where t.cb = prs.cb and t.gene = prs.gene and t.umi = prs.target)")
+def pairs_among_kept(spark, sf_dir):
+    return pairs.among(classifier_pairs(spark, sf_dir), event_mols(spark, sf_dir).filter("reads >= 2"))
+
+
+@query(f"""with {ADJACENT_SQL}, p as (select cb, gene, umi as base, other as target, (reads / 10.0)::double as prob from adj)
+select a.* from p a join p b on a.cb = b.cb and a.gene = b.gene and a.base = b.target and a.target = b.base where b.prob > a.prob + 1e-5 or (abs(b.prob - a.prob) <= 1e-5 and a.base < a.target)""")
+def mirrored_pairs(spark, sf_dir):
+    rows = identifiers.adjacent(event_mols(spark, sf_dir)).select("cb", "gene", F.col("umi").alias("base"), F.col("other").alias("target"), (F.col("reads") / 10.0).alias("prob"))
+    return pairs.mirrored(rows, ["cb", "gene"])
+
+
+@query(f"""with {PAIRS_SQL}, a as (select quality as value, count(*)::double / sum(count(*)) over ()::double as p from prs where min_rpu = 1 group by quality),
+b as (select quality as value, count(*)::double / sum(count(*)) over ()::double as p from prs where min_rpu > 1 group by quality)
+select coalesce(a.value, b.value) as value, round((coalesce(a.p, 0) + coalesce(b.p, 0)) / 2, 9) as p from a full join b on a.value = b.value""")
+def mixed_quality_distribution(spark, sf_dir):
+    rows = classifier_pairs(spark, sf_dir)
+    return pairs.mixed_distribution(rows.filter("min_rpu = 1"), rows.filter("min_rpu > 1"), "quality").withColumn("p", F.round("p", 9))
+
+
+@query(f"""with {PAIRS_SQL}, d as (select quality as value, count(*)::double / sum(count(*)) over ()::double as p from prs group by quality), r as (select value, sum(p) over (order by value) as upto from d)
+select distinct min(value) as border from r, range(1, 5) q(i) where upto >= i / 4.0::double - 1e-9 group by i""")
+def quality_borders(spark, sf_dir):
+    rows = classifier_pairs(spark, sf_dir)
+    return pairs.quantile_borders(pairs.mixed_distribution(rows, rows, "quality"), 4)
+
+
+@query(f"""with {d.EVENTS_SQL}, m as (select max(reads) as top from emol), c as (select i as value, (select count(*) from emol where reads = i) + 0.5::double as n from m, range(0, top + 1) t(i))
+select value::bigint as value, round(n / sum(n) over (), 9) as p from c""")
+def smoothed_reads(spark, sf_dir):
+    return pairs.smoothed(event_mols(spark, sf_dir), "reads", 0.5).withColumn("p", F.round("p", 9))
+
+
+@query(f"""{CLOSED_SQL}, tag as (select cb, count(*)::bigint as reads from ev group by cb), more as (select cb_to as cb, sum(reads) as extra from tag join root on cb = cb_from where cb_from <> cb_to group by cb_to)
+select cb, (reads + coalesce(extra, 0))::bigint as reads from tag left join more using (cb)""")
+def reads_added_back(spark, sf_dir):
+    return pairs.added_back(tagging.reads_per_barcode(d.events(spark, sf_dir)), merge_closure(spark, sf_dir))
+
+
+@query(f"""{CLOSED_SQL} select cb_to as cb, sum(n_umis)::bigint as n_umis, sum(n_reads)::bigint as n_reads from ecells join root on cb = cb_from group by cb_to""")
+def counters_after_merge(spark, sf_dir):
+    return merging.counters_after_merge(mo.cells(event_mols(spark, sf_dir)), merge_closure(spark, sf_dir))
+
+
+@query(f"""with {d.MOLECULES_SQL}, g as (select cb, log10(count(distinct gene)) as v from mol where {REQUESTED} group by cb), b as (select min(v) as lo, max(v) as hi from g)
+select least(floor((v - lo) / (case when hi > lo then (hi - lo) / 10 else 1.0::double end)), 9)::int as bin, count(*)::bigint as n from g, b group by 1""")
+def genes_per_cell(spark, sf_dir):
+    return report.genes_per_cell(mo.counts(mols(spark, sf_dir)), 10)
+
+
+@query(f"with {d.CELLS_SQL}, m as (select median(n_umis::double) as m from cells) select round(max(m) + 4 * 1.4826::double * median(abs(n_umis - m)), 6) as threshold from cells, m")
+def fraction_threshold(spark, sf_dir):
+    return report.fraction_threshold(mo.cells(mols(spark, sf_dir)), "n_umis").select(F.round("threshold", 6).alias("threshold"))
+
+
+@query(f"with {d.CELLS_SQL} select cb, round(log10(n_umis), 9) as log_umis, round(n_reads::double / n_umis, 9) as reads_per_umi from cells")
+def reads_per_umi_by_size(spark, sf_dir):
+    return report.reads_per_umi_by_size(mo.cells(mols(spark, sf_dir))).select("cb", F.round("log_umis", 9).alias("log_umis"), F.round("reads_per_umi", 9).alias("reads_per_umi"))
+
+
+@query(f"""with {d.CELLS_SQL}, b as (select min(log10(n_umis)) as lo, (max(log10(n_umis)) - min(log10(n_umis))) / 20 as w from cells)
+select least(floor((log10(n_umis) - lo) / w), 19)::int as bin, count(*)::bigint as cells from cells, b group by 1""")
+def size_histogram(spark, sf_dir):
+    return quality.size_histogram(mo.cells(mols(spark, sf_dir))).select("bin", "cells")
+
+
+@query(f"with {d.CELLS_SQL} select cb, gene, count(*)::bigint as n from mol where {REQUESTED} and cb in ({FINAL}) group by all")
+def estimate(spark, sf_dir):
+    from . import estimate as plan
+
+    return plan.estimate(d.reads(spark, sf_dir))["count_matrix"]
