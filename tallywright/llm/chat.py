@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import broadcast_if, materialize
 
 #: The template. A turn is HEAD role LINE text END; ESCAPED characters never stand bare in a role or text.
 HEAD, LINE, END = "### ", "\n", "</turn>\n"
@@ -40,7 +40,7 @@ def turns(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", ro
     grouped = rows.groupBy(F.col(conv_col).alias("conv_id")).agg(F.array_sort(F.collect_list(turn)).alias("turns"))
 
     def made(t: Column) -> Column:
-        head = F.concat(F.lit(HEAD), F.regexp_replace(escaped(t["role"]), "\n", "\\\\\\\\\n"), F.lit(LINE))
+        head = F.concat(F.lit(HEAD), F.regexp_replace(escaped(t["role"]), "\n", "\\\\\n"), F.lit(LINE))
         body = escaped(t["text"])
         learned = t["role"] == LEARNED
         return F.struct(
@@ -57,62 +57,106 @@ def turns(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", ro
     return shaped.select("conv_id", F.aggregate("turns", F.array().cast("array<string>"), extend).alias("path"), "turns")
 
 
+NODES = "part int, head boolean, tree string, node string, parent string, depth int, segment string, loss_from int, loss_to int, position long, size long, begin long"
+FIELDS = [f.split()[0] for f in NODES.split(", ")]
+
+
+def first_seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of sorted paths (part, path, turns), each node where it first comes, with the tokens of this part before it.
+
+    head marks nodes of a part's first path: those may have come in an earlier part.
+    """
+    last: list[str] = []
+    begin, first = 0, True
+    for b in batches:
+        out: list[tuple] = []
+        for part, path, turns_ in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            same = 0
+            while same < min(len(last), len(path)) and last[same] == path[same]:
+                same += 1
+            at = 0
+            for i, (node, t) in enumerate(zip(path, turns_, strict=True)):
+                size = len(t["segment"])
+                if i >= same:
+                    out.append((part, first, path[0], node, path[i - 1] if i else None, i, t["segment"], t["loss_from"], t["loss_to"], at, size, begin))
+                    begin += size
+                at += size
+            last, first = path, False
+        columns = list(zip(*out, strict=True)) if out else [[]] * len(FIELDS)
+        kinds = [pa.int32(), pa.bool_(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], FIELDS)
+
+
+def merged_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(leaf, parts of its path in order) -> each node of the path with the spans that it and its ancestors fill."""
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    for b in batches:
+        nodes, spans = [], []
+        for parts in b.column(1).to_pylist():
+            runs: list[dict] = []
+            for p in parts:
+                end = p["start"] + p["size"]
+                if runs and runs[-1]["end"] == p["start"]:
+                    runs[-1] = {"start": runs[-1]["start"], "end": end}
+                else:
+                    runs.append({"start": p["start"], "end": end})
+                nodes.append(p["node"])
+                spans.append(list(runs))
+        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.string()), pa.array(spans, kind)], ["node", "intervals"])
+
+
 def tree(conversations: DataFrame) -> DataFrame:
-    """conversations(path, turns) -> one row a node: node, parent, depth, segment and its loss range, and its place.
+    """conversations(path, turns) -> one row a node: tree, node, parent, depth, segment and its loss range, and its place.
 
     tree: the root's id. Tokens are code points. start: place of the first token in the tree's depth-first sequence;
     position: its position id, the tokens of the ancestors (which an own copy of the conversation would give it too);
-    intervals: (start, end) of the ancestors and the node itself, outermost first: what its tokens may attend to, the
-    last one causally. Nodes are sorted by path over ranges, so a tree of any size is laid out by many tasks.
+    intervals: (start, end) of what the node's tokens may attend to, the ancestors and the node itself, spans that meet
+    joined; causal within the node. Conversations are sorted by path over ranges: a node comes first in the first path
+    that has it, after all of its ancestors, so a tree of any size is laid out by many tasks, in one pass.
     """
-    each = conversations.select("path", F.posexplode("turns").alias("at", "t"), "turns")
-    before = F.aggregate(F.slice("turns", F.lit(1), F.col("at")), F.lit(0).cast("long"), lambda acc, t: acc + F.length(t["segment"]))
-    rows = each.select(F.slice("path", F.lit(1), F.col("at") + 1).alias("path"), before.alias("position"), "t.*")
-    keys = ["path", "position", "segment", "loss_from", "loss_to"]
-    nodes = rows.groupBy(*keys).agg(F.count("*").alias("conversations"))
-    size = F.length("segment").cast("long")
-    dealt = materialize(nodes.withColumn("size", size).repartitionByRange("path").withColumn("part", F.spark_partition_id()), "chat-nodes")
-    totals = dealt.groupBy("part").agg(F.sum("size").alias("total"))  # one row a range
-    upto = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
-    totals = totals.select("part", F.coalesce(F.sum("total").over(upto), F.lit(0)).alias("offset"))
-    inside = W.partitionBy("part").orderBy("path").rowsBetween(W.unboundedPreceding, -1)
-    placed = dealt.withColumn("begin", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(totals, "part")
-    placed = placed.select(
-        F.element_at("path", -1).alias("node"),
-        F.get("path", F.size("path") - 2).alias("parent"),
-        (F.size("path") - 1).alias("depth"),
-        F.element_at("path", 1).alias("tree"),
-        *keys,
-        "conversations",
-        "size",
-        (F.col("begin") + F.col("offset")).alias("begin"),
-    )
+    ordered = conversations.select("path", "turns").repartitionByRange("path").sortWithinPartitions("path").select(F.spark_partition_id().alias("part"), "path", "turns")
+    rows = materialize(ordered.mapInArrow(first_seen, NODES), "chat-nodes")
+    heads = rows.filter("head").select(F.col("part").alias("_part"), F.col("node").alias("_node"))  # a path a range
+    again = heads.join(rows.select("part", "node"), (F.col("_node") == F.col("node")) & (F.col("part") < F.col("_part"))).select("_part", "_node").distinct()
+    again = materialize(again, "chat-again")
+    rows = rows.join(broadcast_if(again, MAX_BROADCAST_ROWS), (F.col("part") == F.col("_part")) & (F.col("node") == F.col("_node")), "left")
+    fresh = F.when(F.col("_node").isNull(), F.col("size")).otherwise(0)
+    totals = rows.groupBy("part").agg(F.sum(fresh).alias("total"), F.sum(F.col("size") - fresh).alias("repeated"))  # one row a range
+    before = F.coalesce(F.sum("total").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    totals = totals.select("part", (before - F.col("repeated")).alias("offset"))
+    placed = rows.filter("_node is null").drop("_part", "_node", "head").join(totals, "part").withColumn("begin", F.col("begin") + F.col("offset")).drop("offset", "part")
     placed = materialize(placed, "chat-placed")
     roots = placed.filter("depth = 0").select("tree", F.col("begin").alias("root_begin"))
     placed = placed.join(roots, "tree").withColumn("start", F.col("begin") - F.col("root_begin")).drop("begin", "root_begin")
     placed = materialize(placed, "chat-trees")
-    spans = placed.select(F.col("node").alias("ancestor"), F.struct("start", (F.col("start") + F.col("size")).alias("end")).alias("span"))
-    climbed = placed.select("node", F.explode("path").alias("ancestor")).join(spans, "ancestor")
-    intervals = climbed.groupBy("node").agg(F.array_sort(F.collect_list("span")).alias("intervals"))
-    return placed.join(intervals, "node").drop("path")
+    leaves = conversations.select(F.element_at("path", -1).alias("leaf"), "path").dropDuplicates(["leaf"])
+    climbed = leaves.select("leaf", F.explode("path").alias("node")).join(placed.select("node", "start", "size"), "node")
+    paths = climbed.groupBy("leaf").agg(F.array_sort(F.collect_list(F.struct("start", "size", "node"))).alias("parts"))
+    spans = paths.mapInArrow(merged_spans, "node string, intervals array<struct<start: bigint, end: bigint>>").groupBy("node").agg(F.min("intervals").alias("intervals"))
+    return placed.join(spans, "node")
+
+
+#: Nodes that come again at the start of a range: the table is broadcast up to this number of rows.
+MAX_BROADCAST_ROWS = 200_000
 
 
 def format_chats(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(nodes, leaves): the tree() table, and (conv_id, tree, leaf), the node at which each conversation ends.
+    """(nodes, paths): the tree() table, and (conv_id, path), the nodes of each conversation.
 
     Conversations that are equal, or where one begins the other, end at nodes of one path. Empty tables give empty ones.
     """
     found = materialize(turns(rows, conv_col, turn_col, role_col, text_col), "chat-turns")
-    nodes = materialize(tree(found), "chat-tree")
-    return nodes, found.select("conv_id", F.element_at("path", 1).alias("tree"), F.element_at("path", -1).alias("leaf"))
+    return materialize(tree(found), "chat-tree"), found.select("conv_id", "path")
 
 
-def read_back(nodes: DataFrame, leaves: DataFrame) -> DataFrame:
+def read_back(nodes: DataFrame, paths: DataFrame) -> DataFrame:
     """(conv_id, formatted, learned): each conversation's text and its unescaped text under the loss mask, gathered from
-    the intervals that its last node attends to."""
-    ends = leaves.join(nodes.select(F.col("node").alias("leaf"), "intervals"), "leaf").select("conv_id", "tree", F.explode("intervals.start").alias("start"))
-    parts = ends.join(nodes.select("tree", "start", "segment", "loss_from", "loss_to"), ["tree", "start"])
-    gathered = parts.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("start", "segment", "loss_from", "loss_to"))).alias("parts"))
+    the segments that its last node's intervals cover, in the order of the sequence."""
+    leaf = nodes.select(F.col("node").alias("leaf"), "intervals")
+    each = paths.withColumn("leaf", F.element_at("path", -1)).join(leaf, "leaf").select("conv_id", "intervals", F.explode("path").alias("node"))
+    parts = each.join(nodes.select("node", "start", "size", "segment", "loss_from", "loss_to"), "node")
+    seen = F.exists("intervals", lambda s: (s["start"] <= F.col("start")) & (F.col("start") + F.col("size") <= s["end"]))
+    gathered = parts.filter(seen).groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("start", "segment", "loss_from", "loss_to"))).alias("parts"))
     masked = lambda p: unescaped(F.substring(p["segment"], p["loss_from"] + 1, p["loss_to"] - p["loss_from"]))
     return gathered.select("conv_id", F.array_join("parts.segment", "").alias("formatted"), F.array_join(F.transform("parts", masked), "").alias("learned"))
 
@@ -130,7 +174,7 @@ def parsed(formatted: str) -> list[tuple[str, str]]:
     return found
 
 
-def digest(nodes: DataFrame, leaves: DataFrame) -> DataFrame:
+def digest(nodes: DataFrame, paths: DataFrame) -> DataFrame:
     """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,8 +184,8 @@ def digest(nodes: DataFrame, leaves: DataFrame) -> DataFrame:
             arrays = [b.column(0), pa.array(map(len, found), pa.int64()), pa.array(digests, pa.string()), *(b.column(i) for i in (2, 3, 4))]
             yield pa.RecordBatch.from_arrays(arrays, ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
 
-    back = read_back(nodes, leaves)
+    back = read_back(nodes, paths)
     chars = lambda c: F.length(c).cast("long")
     rows = back.select("conv_id", "formatted", chars("learned").alias("lc"), F.sha2("learned", 256).alias("ls"), chars("formatted").alias("fc"))
-    kind = leaves.schema["conv_id"].dataType.simpleString()
+    kind = paths.schema["conv_id"].dataType.simpleString()
     return rows.mapInArrow(run, f"conv_id {kind}, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint")
