@@ -5,8 +5,9 @@ the smallest hash among its grams of `gram` units (its anchor), which depends on
 have equal anchors at the same place. So
 
 1. anchors are counted over the corpus, with partial sums; windows whose anchor does not recur cannot recur;
-2. each occurrence of a recurring anchor is cut out with the windows that it represents (its context, less than two windows
-   long); equal contexts are one row with a count, and the contexts of an anchor meet in one task and are judged there;
+2. each occurrence of a recurring anchor stands with the windows that it represents (its context, less than two windows
+   long); contexts are counted by their digests first: where an anchor has one context only, that count is the verdict.
+   The texts of the others are cut out, equal ones as one row with a count, meet in one task and are judged there;
 3. verdicts go back to the occurrences by an equi-join, and those of a document to its text.
 
 Which anchors recur is first asked of a bitmap of fixed size (a prefilter: it has no false negatives, and what passes it
@@ -21,9 +22,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialize
+
 #: Bits of the prefilter: 16 MB whatever the corpus; Spark's bitmaps hold BUCKET bits each.
 FILTER_BITS, BUCKET = 27, 32768
 #: Units hashed at once; a longer text is cut with an overlap of a window.
@@ -182,9 +185,14 @@ def recurring_filter(source: DataFrame, units: Units, in_other_documents: bool,
         again = seen.agg(F.min("who").alias("a"), F.max("who").alias("b"), F.count("*").alias("n")).filter("a < b")
     else:
         again = seen.agg(F.sum("who").alias("n")).filter("n > 1")
+    return bitmap(again, F.when(F.col("n") > hot, F.col("h")))
+
+
+def bitmap(anchors_: DataFrame, listed: Column) -> tuple[bytes, frozenset[int]]:
+    """The prefilter of a table of anchors (h), and the values that `listed` picks."""
     bit = F.shiftrightunsigned("h", 64 - FILTER_BITS)
-    maps = again.groupBy(F.floor(bit / BUCKET).alias("bucket")).agg(
-        F.bitmap_construct_agg((bit % BUCKET).cast("long")).alias("bits"), F.collect_list(F.when(F.col("n") > hot, F.col("h"))).alias("hot")
+    maps = anchors_.groupBy(F.floor(bit / BUCKET).alias("bucket")).agg(
+        F.bitmap_construct_agg((bit % BUCKET).cast("long")).alias("bits"), F.collect_list(listed).alias("hot")
     )
     whole, many = bytearray((1 << FILTER_BITS) // 8), []
     for row in maps.toLocalIterator():  # at most 4,096 rows of 4 KB
@@ -196,7 +204,8 @@ def recurring_filter(source: DataFrame, units: Units, in_other_documents: bool,
 
 #: One context of a group: (place of the anchor, bytes, smallest rank that has it, occurrences).
 Context = tuple[int, bytes, int, int]
-#: Verdicts of the contexts of several groups: an array of numbers each, or None where nothing is removed.
+#: Verdicts of the contexts of several groups: an array of numbers each, or None where nothing is removed. For words, the
+#: smallest rank of each window, or one number for all; for bytes, runs (first, length) of windows, (0, -1) for all.
 Judge = Callable[[list[list[Context]]], list[list[list[int] | None]]]
 
 
@@ -206,11 +215,35 @@ def verdicts(source: DataFrame, units: Units, in_other_documents: bool, judge: J
     source: id, th (hash of the text), rank (of the document in its order), raw (bytes).
     """
     spark = source.sparkSession
-    bitmap, many = recurring_filter(source, units, in_other_documents, hot)
-    bits = spark.sparkContext.broadcast(bitmap)
+    once_more, many = recurring_filter(source, units, in_other_documents, hot)
+    bits = spark.sparkContext.broadcast(once_more)
 
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         have = np.frombuffer(bits.value, np.uint8)
+        for b in batches:
+            seen: dict[tuple[int, int], list[int]] = {}
+            for rank, raw in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                for h, off, _, _, context in contexts(units.text(raw.as_py()), units, have):
+                    if h in many:
+                        continue
+                    key = h, signed(xxhash.xxh3_64_intdigest(context, off))
+                    if (x := seen.get(key)) is None:
+                        seen[key] = [rank, 1]
+                    else:
+                        x[0], x[1] = min(x[0], rank), x[1] + 1
+            columns = [*zip(*seen, strict=True), *zip(*seen.values(), strict=True)] if seen else [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["h", "x", "low", "n"])
+
+    counted = source.select("rank", "raw").mapInArrow(digests, "h bigint, x bigint, low bigint, n bigint").repartition("h")
+    each = counted.groupBy("h", "x").agg(F.min("low").alias("low"), F.sum("n").alias("n"))
+    each = each.groupBy("h").agg(F.count("*").alias("kinds"), F.max("x").alias("x"), F.min("low").alias("low"), F.sum("n").alias("n"))
+    each = materialize(each.filter("n > 1"), "anchor-contexts")
+    whole = F.array("low") if in_other_documents else F.array(F.lit(0).cast("long"), F.lit(-1).cast("long"))
+    alone = each.filter("kinds = 1").select("h", "x", whole.alias("verdict"))
+    several = spark.sparkContext.broadcast(bitmap(each.filter("kinds > 1"), F.lit(None).cast("long"))[0])
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        have = np.frombuffer(several.value, np.uint8)
         for b in batches:
             seen: dict[tuple[int, int, bytes], list[int]] = {}
             for rank, raw in zip(b.column(0).to_pylist(), b.column(1), strict=True):
@@ -306,7 +339,7 @@ def verdicts(source: DataFrame, units: Units, in_other_documents: bool, judge: J
     gathered = source.select("rank", "raw").mapInArrow(gather, "h bigint, off int, context binary, low bigint, n bigint")
     said = gathered.repartition("h").sortWithinPartitions("h", "off", "context").mapInArrow(judged, "h bigint, x bigint, verdict array<bigint>")
     occurrences = source.select("id", "th", "raw").mapInArrow(located, f"id {id_type}, th bigint, h bigint, x bigint, unit bigint, windows int")
-    met = occurrences.join(said, ["h", "x"]).select("id", "th", "unit", "windows", "verdict")
+    met = occurrences.join(said.unionByName(alone), ["h", "x"]).select("id", "th", "unit", "windows", "verdict")
     if many:
         counted = source.select("rank", "raw").mapInArrow(hot_gather, "w1 bigint, w2 bigint, low bigint").groupBy("w1", "w2").agg(F.min("low").alias("low"), F.count("*").alias("n"))
         verdict = F.array("low") if in_other_documents else F.array(F.lit(0).cast("long"), F.lit(1).cast("long"))

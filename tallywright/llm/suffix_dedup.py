@@ -68,8 +68,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     runs = items.field("verdict").flatten().to_numpy(zero_copy_only=False).reshape(-1, 2)
                     each = pa.compute.list_value_length(items.field("verdict")).to_numpy(zero_copy_only=False) // 2
                     at = np.repeat(items.field("unit").to_numpy(zero_copy_only=False), each) + runs[:, 0]
+                    length = np.where(runs[:, 1] < 0, np.repeat(items.field("windows").to_numpy(zero_copy_only=False), each), runs[:, 1])
                     np.add.at(gone, at, 1)
-                    np.add.at(gone, at + runs[:, 1] + BYTES.window - 1, -1)
+                    np.add.at(gone, at + length + BYTES.window - 1, -1)
                 covered = np.cumsum(gone[:-1]) > 0
                 total.append(len(raw))
                 removed.append(int(covered.sum()))
