@@ -54,32 +54,38 @@ def likeness(a: Column, b: Column) -> Column:
     return 1 - F.bit_count(a.bitwiseXOR(b)) / F.lit(float(BITS))
 
 
-def block_tables(fps: DataFrame, radius: int, kept: int) -> DataFrame:
-    """fps(fp) -> (tab, key, fp): one row for each choice of `kept` of radius + kept blocks, key holding their bits.
+def block_masks(radius: int, kept: int) -> list[int]:
+    """For each choice of `kept` of radius + kept blocks, the bits of those blocks, as a signed number."""
+    blocks = radius + kept
+    edges = [round(i * BITS / blocks) for i in range(blocks + 1)]
+    masks = [sum((1 << edges[b + 1]) - (1 << edges[b]) for b in choice) for choice in combinations(range(blocks), kept)]
+    return [m - (1 << BITS) if m >> (BITS - 1) else m for m in masks]
+
+
+def block_tables(fps: DataFrame, masks: list[int]) -> DataFrame:
+    """fps(fp, ...) with tab and key, one row for each mask, key holding its bits.
 
     Fingerprints that differ in at most `radius` bits differ in at most as many blocks, so some table has them under one key.
     """
-    blocks = radius + kept
-    edges = [round(i * BITS / blocks) for i in range(blocks + 1)]
-    rows = []
-    for tab, choice in enumerate(combinations(range(blocks), kept)):
-        mask = sum(((1 << edges[b + 1]) - 1) ^ ((1 << edges[b]) - 1) for b in choice)
-        mask -= (1 << BITS) if mask >> (BITS - 1) else 0
-        rows.append(F.struct(F.lit(tab).alias("tab"), F.col("fp").bitwiseAND(F.lit(mask)).alias("key")))
-    return fps.select("fp", F.explode(F.array(*rows)).alias("t")).select("t.tab", "t.key", "fp")
+    rows = F.array(*[F.struct(F.lit(t).alias("tab"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for t, m in enumerate(masks)])
+    return fps.select("*", F.explode(rows).alias("t")).select(*fps.columns, "t.tab", "t.key")
 
 
 def within(queries: DataFrame, fps: DataFrame, radius: int = 3, kept: int = 3) -> DataFrame:
-    """(query, fp, distance): all fingerprints of fps(fp) at most `radius` bits from each of queries(fp), itself included.
+    """(query, fp, distance, ...): all fingerprints of fps(fp, ...) at most `radius` bits from each of queries(fp), itself
+    included; both distinct, so that copies cost nothing.
 
-    Both sides are made distinct first, so copies cost nothing; each pair comes from the first table that has it. With
-    the defaults a key holds about half of the bits, so unrelated fingerprints seldom meet even among 10^10 of them.
+    A pair comes from the first table that has it under one key. With the defaults a key holds about half of the bits,
+    so unrelated fingerprints seldom meet even among 10^10 of them.
     """
-    left = block_tables(queries.select("fp").distinct(), radius, kept).withColumnRenamed("fp", "query")
-    right = block_tables(fps.select("fp").distinct(), radius, kept)
-    distance = F.bit_count(F.col("query").bitwiseXOR(F.col("fp")))
-    met = left.join(right, ["tab", "key"]).select("query", "fp", distance.alias("distance")).filter(F.col("distance") <= radius)
-    return met.distinct()
+    masks = block_masks(radius, kept)
+    left = block_tables(queries.select("fp"), masks).withColumnRenamed("fp", "query")
+    right = block_tables(fps, masks).withColumnsRenamed({"tab": "_tab", "key": "_key"})
+    apart = F.col("query").bitwiseXOR(F.col("fp"))
+    earlier = reduce(lambda a, b: a | b, [(F.col("tab") > t) & (apart.bitwiseAND(F.lit(m)) == 0) for t, m in enumerate(masks[:-1])])
+    same = (F.col("tab") == F.col("_tab")) & (F.col("key") == F.col("_key"))
+    met = left.join(right, same & (F.bit_count(apart) <= radius) & ~earlier)
+    return met.select("query", *fps.columns, F.bit_count(apart).alias("distance"))
 
 
 def next_rows(slim: DataFrame) -> DataFrame:
@@ -97,13 +103,14 @@ def next_rows(slim: DataFrame) -> DataFrame:
     return inside.join(after, "part").withColumn("next", F.coalesce("next", "after")).drop("part", "after")
 
 
-def edited_prints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fp, edited_fp, near_edited, near_next, one row for each row of docs.
+def edited_prints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 3, every: int = 50) -> DataFrame:
+    """doc_id, n_chars, edited_sha256, fp, edited_fp, near_edited, near_next, n_within, one row for each row of docs.
 
     The edited text has the last floor(n_chars / 4) code points replaced by the first as many (or all) of the next
     document's in ascending id (then text hash); after the last comes the first, and a lone document follows itself.
     Null texts count as empty (fingerprint 0). Null ids come first. Rows that repeat id and text are one document here
-    and all get its values. A pair of texts without terms has likeness 1. Empty tables give none.
+    and all get its values. n_within is set for ids divisible by `every`, the search's queries: how many documents, itself
+    included, have fingerprints within the radius, by block tables over all. A pair of texts without terms has likeness 1. Empty tables give none.
     """
     source = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
     slim = source.groupBy("id", "th").agg(F.max(F.length("text")).alias("n"))
@@ -127,6 +134,10 @@ def edited_prints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     same = lambda a, b: F.col(f"{a}.id").eqNullSafe(F.col(f"{b}.id")) & (F.col(f"{a}.th") == F.col(f"{b}.th"))
     follow = F.col("o.next.id").eqNullSafe(F.col("p.id")) & (F.col("o.next.th") == F.col("p.th"))
     upcoming = order.alias("o").join(prints.alias("p"), follow).select("o.id", "o.th", F.col("p.fp").alias("next_fp"))
-    found = rows.alias("r").join(prints.alias("p"), same("r", "p")).join(upcoming.alias("u"), same("r", "u"))
     near = [likeness(F.col("p.fp"), F.col("p.edited_fp")).alias("near_edited"), likeness(F.col("p.fp"), F.col("u.next_fp")).alias("near_next")]
-    return found.select(F.col("r.id").alias("doc_id"), "p.n_chars", "p.edited_sha256", "p.fp", "p.edited_fp", *near)
+    asks = F.col("id").cast("long") % every == 0
+    copies = prints.groupBy("fp").agg(F.count("*").alias("copies"), F.max(asks).alias("asked"))
+    hits = within(copies.filter("asked").select("fp"), copies.select("fp", "copies"), radius).groupBy("query").agg(F.sum("copies").alias("n_within"))
+    found = rows.alias("r").join(prints.alias("p"), same("r", "p")).join(upcoming.alias("u"), same("r", "u")).join(hits.alias("h"), F.col("p.fp") == F.col("h.query"), "left")
+    n_within = F.when(F.col("r.id").cast("long") % every == 0, F.col("h.n_within"))
+    return found.select(F.col("r.id").alias("doc_id"), "p.n_chars", "p.edited_sha256", "p.fp", "p.edited_fp", *near, n_within.alias("n_within"))

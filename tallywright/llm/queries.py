@@ -111,7 +111,7 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fingerprints.edited_prints(table(spark, sf_dir, "documents"))
     prints = [hex16("fp").alias("fingerprint"), hex16("edited_fp").alias("edited_fingerprint")]
-    return found.select("doc_id", "n_chars", "edited_sha256", *prints, "near_edited", "near_next")
+    return found.select("doc_id", "n_chars", "edited_sha256", *prints, "near_edited", "near_next", "n_within")
 
 
 def op8_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:

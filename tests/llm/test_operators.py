@@ -212,6 +212,11 @@ def test_fingerprints(docs, none):
         assert by_text.setdefault(text, r["fp"]) == r["fp"]
         assert 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
     assert by_text[""] == 0
+    docs_of = Counter({(r["doc_id"], by_text[next(x[1] or "" for x in rows if x[0] == r["doc_id"])]) for r in found})
+    for r in fingerprints.edited_prints(docs, every=6).collect():
+        asked = r["doc_id"] is not None and r["doc_id"] % 6 == 0
+        near = sum(((f ^ r["fp"]) & (2**64 - 1)).bit_count() <= 3 for _, f in docs_of)
+        assert r["n_within"] == (near if asked else None)
     assert fingerprints.edited_prints(none).count() == 0
 
 
