@@ -34,6 +34,29 @@ def blocks(fp: Column, radius: int) -> Column:
     )
 
 
+def promising(least: float) -> Column:
+    """(first, last) of each run of starts whose window of `len` of `all` shingles holds enough of the sorted places `at`."""
+    own = F.least("len", "all")
+    need = F.ceil(F.lit(least / (1 + least)) * (own + F.col("len")) - 1e-6).cast("int")
+
+    def run(i: Column) -> Column:
+        # places i to i + need - 1 are all in windows that start from `first` to `last`; starts that run i - 1 has are left out
+        low = F.get("at", i + need - 1) - F.col("len") + 1
+        first = F.greatest(F.lit(0), low, F.coalesce(F.get("at", i - 1) + 1, F.lit(0)))
+        return F.struct(first.alias("first"), F.least(F.get("at", i), F.col("all") - own).alias("last"))
+
+    runs = F.transform(F.sequence(F.lit(0), F.size("at") - need), run)
+    return F.when(F.size("at") >= need, F.filter(runs, lambda r: r["first"] <= r["last"]))
+
+
+def placed() -> Column:
+    """Whether a window puts some shingle on the same place as its item, or would if it were not moved inside the text."""
+    same = lambda x, i: F.array_contains(
+        F.transform("item_hs", lambda y, j: (x == y) & ((i == j) | (F.col("start") == 0) & (i < j) | (F.col("start") + F.col("own") == F.col("all")) & (i > j))), True
+    )
+    return F.array_contains(F.transform("own_hs", same), True).alias("placed")
+
+
 def leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -46,11 +69,13 @@ def leaks(
 ) -> DataFrame:
     """(doc_id, th, item_id, start, n_words, similarity): the best window of each document text and item it leaks.
 
-    Windows have an item's number of words. A window is looked at where it puts one of its five-word shingles on the
-    same place as in some item of that size: others share no shingle with an item there. Windows and items get SimHash
-    fingerprints; blocks of the fingerprint give all pairs of one size within `radius` bits; those are verified by the
-    weighted Jaccard similarity of their shingle multisets, which must reach `least`. At similarity 0.8 the mean
-    distance is 9.7 bits and 20 is 3.6 standard deviations above it. A tie goes to the earliest window.
+    Windows have an item's number of words. A window is looked at where enough of its five-word shingles are in items of
+    that size, wherever they stand, for the similarity to be reached: `both` shared of `own` and n shingles give
+    both / (own + n - both), so fewer than least * (own + n) / (1 + least) cannot. Those windows and the items get
+    SimHash fingerprints; blocks of the fingerprint give all pairs of one size within `radius` bits; those are verified by
+    the weighted Jaccard similarity of their shingle multisets, which must reach `least`. At similarity 0.8 the mean
+    distance is 9.7 bits and 20 is 3.6 standard deviations above it. A tie goes to windows that put some shingle on the
+    same place as the item, then to the earliest.
 
     th is the text's hash: rows that repeat an id with other texts are judged apart, equal rows give one result. Null
     and empty texts, and items of fewer than five words (or null), have no shingle and leak nothing. Windows at a
@@ -60,19 +85,19 @@ def leaks(
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(F.col("text").isNotNull())
     items = benchmark.select(F.col(item_col).alias("item_id"), shingle_hashes(F.col(item_text_col)).alias("hs")).filter(F.size("hs") > 0)
     items = materialize(items.groupBy("hs").agg(F.collect_set("item_id").alias("item_ids")).withColumn("item", F.xxhash64("hs")), "items")
-    places = items.select(F.size("hs").alias("len"), F.posexplode("hs").alias("at", "h")).distinct()
-    places = broadcast_if(materialize(places, "item-places"), MAX_BROADCAST_ROWS)
+    held = items.select(F.size("hs").alias("len"), F.explode("hs").alias("h")).distinct()
+    held = broadcast_if(materialize(held, "item-shingles"), MAX_BROADCAST_ROWS)
 
     hashed = source.select("id", F.xxhash64("text").alias("th"), shingle_hashes(F.col("text")).alias("hs"))
     seen = hashed.select("id", "th", F.size("hs").alias("all"), F.posexplode("hs").alias("pos", "h"))
-    start = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("at"), F.col("all") - F.col("len")))
-    met = seen.join(places, "h").select("id", "th", "len", start.alias("start")).distinct()
-    met = materialize(met, "windows").groupBy("id", "th").agg(F.collect_list(F.struct("start", "len")).alias("ws"))
-    met = met.select(F.col("id").alias("wid"), F.col("th").alias("wth"), "ws")
-    held = hashed.join(met, F.col("id").eqNullSafe(F.col("wid")) & (F.col("th") == F.col("wth")))
-    cut = lambda hs: F.transform("ws", lambda w: F.struct(w["start"].alias("start"), w["len"].alias("len"), F.slice(hs, w["start"] + 1, w["len"]).alias("hs")))
-    cuts = F.element_at(F.transform(F.array("hs"), cut), 1)
-    windows = held.dropDuplicates(["id", "th"]).select("id", "th", F.explode(cuts).alias("w")).select("id", "th", "w.start", "w.len", "w.hs")
+    met = seen.join(held, "h").groupBy("id", "th", "len", "all").agg(F.sort_array(F.collect_set("pos")).alias("at"))
+    met = met.select("id", "th", "len", F.explode(promising(least)).alias("run"))
+    met = materialize(met, "windows").groupBy("id", "th").agg(F.collect_list(F.struct("len", "run.first", "run.last")).alias("runs"))
+    met = met.select(F.col("id").alias("wid"), F.col("th").alias("wth"), "runs")
+    windows = hashed.join(met, F.col("id").eqNullSafe(F.col("wid")) & (F.col("th") == F.col("wth"))).dropDuplicates(["id", "th"])
+    windows = windows.select("id", "th", "hs", F.explode("runs").alias("run"))
+    windows = windows.select("id", "th", "hs", "run.len", F.explode(F.sequence("run.first", "run.last")).alias("start"))
+    windows = windows.select("id", "th", "start", "len", F.slice("hs", F.col("start") + 1, F.col("len")).alias("hs"), F.size("hs").alias("all"))
     windows = materialize(windows, "windows-hashed")
 
     keys = ["id", "th", "start", "len"]
@@ -91,16 +116,16 @@ def leaks(
     on = [F.col(k).eqNullSafe(F.col(f"n_{k}")) for k in keys]
     shared = counted.join(pair, on).join(broadcast_if(materialize(item_counted, "item-counts"), MAX_BROADCAST_ROWS), ["item", "h"])
     shared = shared.groupBy(*keys, "item").agg(F.sum(F.least("c", "ic")).alias("both"))
-    lengths = windows.select(*[F.col(k).alias(f"n_{k}") for k in keys], F.size("hs").alias("own"))
+    lengths = windows.select(*[F.col(k).alias(f"n_{k}") for k in keys], F.size("hs").alias("own"), "all", F.col("hs").alias("own_hs"))
     judged = shared.join(lengths, on).withColumn("similarity", F.col("both") / (F.col("own") + F.col("len") - F.col("both")))
-    judged = judged.filter(F.col("similarity") >= least)
-    best = judged.groupBy("id", "th", "item").agg(F.max(F.struct("similarity", -F.col("start"), "len")).alias("best"))
+    judged = judged.filter(F.col("similarity") >= least).join(items.select("item", F.col("hs").alias("item_hs")), "item")
+    best = judged.groupBy("id", "th", "item").agg(F.max(F.struct("similarity", placed(), -F.col("start"), "len")).alias("best"))
     named = best.join(items.select("item", F.explode("item_ids").alias("item_id")), "item")
     return named.select(
         F.col("id").alias("doc_id"),
         "th",
         "item_id",
-        (-F.col("best.col2")).cast("long").alias("start"),
+        (-F.col("best.col3")).cast("long").alias("start"),
         (F.col("best.len") + (SHINGLE - 1)).cast("long").alias("n_words"),
         F.col("best.similarity").alias("similarity"),
     )

@@ -255,6 +255,40 @@ def test_leaks(spark, docs, none):
     assert decontaminate.leaks(none, items).count() == 0 and decontaminate.leaks(docs, items.limit(0)).count() == 0
 
 
+def every_window(texts, items, least=0.8):
+    """(doc, item): the best similarity over all windows of an item's size, and the starts that reach it."""
+    shingles = lambda t: [" ".join(w[i : i + 5]) for w in [t.lower().split()] for i in range(len(w) - 4)]
+    found = {}
+    for d, text in texts.items():
+        for i, item in items.items():
+            own, want = shingles(text), shingles(item)
+            for start in range(max(0, len(own) - len(want)) + 1):
+                window = own[start : start + len(want)]
+                both = sum((Counter(window) & Counter(want)).values())
+                s = both / (len(window) + len(want) - both)
+                if s >= least:
+                    best = found.setdefault((d, i), (0.0, set()))
+                    found[d, i] = (s, {start}) if s > best[0] else (s, best[1] | {start}) if s == best[0] else best
+    return found
+
+
+def test_leaks_wherever_the_parts_of_an_item_stand(spark):
+    rnd = random.Random(21)
+    prose = lambda n: [rnd.choice(WORDS) + rnd.choice(WORDS) for _ in range(n)]
+    a, b, c, d = prose(60), prose(100), prose(60), prose(16)
+    same = ["of"] * 30
+    edit = [*a[:1], "new", *a[2:30], "two", "more", *a[30:58], "x", a[59]]
+    bodies = [a, a[30:] + a[:30], a[50:] + a[:50], b[85:] + b[:85], c[:20] + ["edited"] + c[21:], ["edited", *c[1:59], "edited"], edit, a[2:], d, same * 4, a[:50], b + b]
+    texts = {k: " ".join(x) for k, x in enumerate([prose(40) + x + prose(25) for x in bodies] + [a[30:] + a[:30], a[3:], b[:97], a[57:] + prose(5)])}
+    items = {k: " ".join(x) for k, x in enumerate([a, b, c, d, same])}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = decontaminate.leaks(docs, spark.createDataFrame(list(items.items()), "item_id long, text string")).collect()
+    want = every_window(texts, items)
+    assert {(1, 0), (2, 0), (3, 1), (12, 0)} <= set(want)  # moved parts
+    assert {(r["doc_id"], r["item_id"]): r["similarity"] for r in found} == {k: s for k, (s, _) in want.items()}
+    assert all(r["start"] in want[r["doc_id"], r["item_id"]][1] for r in found)
+
+
 def base_spans(text):
     found = []
     for k, (kind, pattern, group, least) in enumerate(
