@@ -25,6 +25,10 @@ ANYWHERE = frozenset(
     "footer gdpr login menu menubar modal nav navbar navigation newsletter notice overlay pager pagination popup promo promoted recommended related "
     "replies respond search share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar widget widgets complementary contentinfo dialog alert".split()
 )
+#: Elements that a head may hold; any other start tag ends it.
+HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
+#: What a page has once, or around its article: an unwanted element that holds one may be a wrapper of the page.
+MAIN = frozenset("h1 main article".split())
 OUTSIDE_ARTICLE = frozenset("header masthead topbar".split())
 #: Words that, at the start of a class, say what a page has rather than what an element is.
 QUALIFIERS = frozenset("has with without no is".split())
@@ -51,18 +55,22 @@ def attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(raw)}
 
 
-def unwanted(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
-    if tag in DROPPED or tag == "header" and not in_article:
-        return True
-    if not attrs or tag in ("html", "body", "main"):
-        return False
+#: How an element's text counts: kept, dropped unless the element turns out to wrap the page, dropped.
+KEPT, MARKED, GONE = range(3)
+
+
+def unwanted(tag: str, attrs: dict[str, str], in_article: bool) -> int:
+    if tag in DROPPED and tag != "form" or tag == "header" and not in_article:
+        return GONE
+    if tag in ("html", "body", "main"):
+        return KEPT
     if "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in attrs.get("style", "").replace(" ", "").lower():
-        return True
+        return GONE
     for name in f"{attrs.get('class', '')} {attrs.get('id', '')} {attrs.get('role', '')}".split():
         words = [w.lower() for w in WORD.findall(name)]
         if words and words[0] not in QUALIFIERS and (not ANYWHERE.isdisjoint(words) or not in_article and not OUTSIDE_ARTICLE.isdisjoint(words)):
-            return True
-    return False
+            return MARKED
+    return MARKED if tag == "form" else KEPT
 
 
 def generalised(tag: str, attrs: dict[str, str]) -> str:
@@ -71,10 +79,29 @@ def generalised(tag: str, attrs: dict[str, str]) -> str:
     return ".".join([tag, *classes])
 
 
+#: An element marked by its words wraps the page if it holds half of the page's text outside links and a main part or a
+#: form's fields, else with this share.
+WRAPS = 0.8
+
+
 def parse(source: str) -> Page:
+    """A form, or an element with an unwanted word in its class, that wraps the page is read as any other container."""
+    page, marked, plain = read(source, frozenset())
+    for parent, own, main in reversed(marked):
+        if parent >= 0:  # a parent comes before its children
+            marked[parent][1] += own
+            marked[parent][2] |= main
+    wrappers = frozenset(i for i, (_, own, main) in enumerate(marked) if own > plain * (0.5 if main else WRAPS))
+    return read(source, wrappers)[0] if wrappers else page
+
+
+def read(source: str, wrappers: frozenset[int]) -> tuple[Page, list[list], int]:
+    """The page with these marked elements kept; [marked parent, its characters outside links, main part in it] of each; all such characters."""
     page = Page()
-    open_: list[tuple[str, int, bool, bool]] = []  # tag, container, dropped, in an article
-    at, dropped, in_article, links = 0, False, False, 0
+    open_: list[tuple[str, int, int, bool, int]] = []  # tag, container, dropped, in an article, marked element
+    at, dropped, in_article, mark, links = 0, KEPT, False, -1, 0
+    marked: list[list] = []
+    plain = 0
     text: list[str] = []
     in_links = 0
 
@@ -88,14 +115,21 @@ def parse(source: str) -> Page:
         in_links = 0
 
     def pop_to(i: int) -> None:
-        nonlocal at, dropped, in_article, links
+        nonlocal at, dropped, in_article, mark, links
         while len(open_) > i:
             tag, *_ = open_.pop()
             links -= tag == "a" and links > 0
-        at, dropped, in_article = open_[-1][1:] if open_ else (0, False, False)
+        at, dropped, in_article, mark = open_[-1][1:] if open_ else (0, KEPT, False, -1)
 
     def add(raw: str) -> None:
-        nonlocal in_links
+        nonlocal in_links, plain
+        if open_ and open_[-1][0] == "head" and not raw.isspace() and raw:
+            pop_to(len(open_) - 1)
+        if raw and dropped != GONE and not links:
+            size = len("".join(raw.split()))
+            plain += size
+            if mark >= 0:
+                marked[mark][1] += size
         if raw and not dropped:
             decoded = html.unescape(raw) if "&" in raw else raw
             text.append(decoded)
@@ -109,6 +143,8 @@ def parse(source: str) -> Page:
         if not tag:
             continue
         tag = tag.lower()
+        if not m[2] and open_ and open_[-1][0] == "head" and tag not in HEAD:
+            pop_to(len(open_) - 1)
         if tag not in INLINE:
             close_block()
         if m[2]:
@@ -127,30 +163,38 @@ def parse(source: str) -> Page:
                 break
         if tag in VOID or m[4].endswith("/") and tag not in CONTAINERS:
             continue
-        attrs = attributes(m[4]) if m[4] and not dropped else {}
-        gone = dropped or unwanted(tag, attrs, in_article)
-        here = at
-        if tag in CONTAINERS and not gone:
+        attrs = attributes(m[4]) if m[4] and dropped != GONE else {}
+        gone = GONE if dropped == GONE else unwanted(tag, attrs, in_article)
+        here, inner = at, mark
+        if gone == MARKED:
+            inner = len(marked)
+            marked.append([mark, 0, tag == "form"])
+            gone = KEPT if inner in wrappers else MARKED
+        elif gone == KEPT and tag in MAIN and mark >= 0:
+            marked[mark][2] = True
+        gone = max(gone, dropped)
+        if (tag in CONTAINERS or tag == "form") and not gone:
             page.parents.append(at)
             page.paths.append(f"{page.paths[at]}>{generalised(tag, attrs)}")
             here = len(page.paths) - 1
         inside = in_article or tag in ("article", "main")
-        open_.append((tag, here, gone, inside))
+        open_.append((tag, here, gone, inside, inner))
         links += tag == "a"
-        at, dropped, in_article = here, gone, inside
+        at, dropped, in_article, mark = here, gone, inside, inner
     add(source[end:])
     close_block()
-    return page
+    return page, marked, plain
 
 
 #: A page votes with its best containers, by their share of the page's score; a vote moves up while the parent's text
-#: is at most LIFT times its own; blocks shorter than SHORT count a quarter.
-VOTES, LIFT, SHORT = 3, 1.3, 40
+#: is at most LIFT times its own, or PROSE of what the parent adds is text outside links; blocks shorter than SHORT count a
+#: quarter.
+VOTES, LIFT, SHORT, PROSE = 3, 1.3, 40, 0.8
 
 
 def votes(page: Page) -> list[tuple[str, float]]:
     """(path, share) of the best containers: text outside links, halved for a container's parent."""
-    score, mass = [0.0] * len(page.paths), [0] * len(page.paths)
+    score, mass, prose = [0.0] * len(page.paths), [0] * len(page.paths), [0] * len(page.paths)
     for at, words, linked in page.blocks:
         plain = max(0, len(words) - 2 * linked) * (1.0 if len(words) >= SHORT else 0.25)
         score[at] += plain
@@ -158,6 +202,7 @@ def votes(page: Page) -> list[tuple[str, float]]:
             score[page.parents[at]] += plain / 2
         while at >= 0:
             mass[at] += len(words)
+            prose[at] += len(words) - linked if len(words) >= SHORT else 0
             at = page.parents[at]
     total = sum(score)
     found: dict[str, float] = {}
@@ -165,7 +210,9 @@ def votes(page: Page) -> list[tuple[str, float]]:
         if score[at] <= 0:
             continue
         share, up = score[at] / total, page.parents[at]
-        while up >= 0 and not page.paths[up].endswith((">body", "html")) and "body" not in page.paths[up].rpartition(">")[2] and mass[up] <= LIFT * mass[at]:
+        while up >= 0 and not page.paths[up].endswith((">body", "html")) and "body" not in page.paths[up].rpartition(">")[2]:
+            if mass[up] > LIFT * mass[at] and prose[up] - prose[at] < PROSE * (mass[up] - mass[at]):
+                break
             at, up = up, page.parents[up]
         found[page.paths[at]] = found.get(page.paths[at], 0.0) + share
     return list(found.items())

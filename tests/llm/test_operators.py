@@ -395,3 +395,21 @@ def test_main_text(spark):
     assert texts[10] == "" and texts[11] == "" and texts[12] == "Only a paragraph, without any container at all" and texts[13] == "no markup" and texts[14] == "deep text"
     assert len(texts[15]) == 20000 * 26 - 1
     assert html_text.main_text(pages.limit(0)).count() == 0
+
+
+def test_main_text_of_wrapped_pages():
+    start = "The first part of the article has enough words to be read as prose, and some more of them."
+    rest = "The other part goes on with the story for a while, so that neither of the two is short."
+    body = f"<div class=entry><h1>Title of it</h1><p>{start}<p>{rest}</div>"
+    text = f"Title of it {start} {rest}"
+    side = "<div class=sidebar><p>Some words of a side bar that are not the article.</div>"
+    comments = f"<div class=comments><p>{start}</div>"
+    read = lambda page: html_text.extract(html_text.parse(page), None)
+    assert read(f"<!DOCTYPE html><title>t</title><head><meta charset=utf-8><title>t</title><style>p{{}}</style><body>{body}{side}") == text
+    assert read(f"<html><head><meta charset=utf-8><title>t</title><link rel=x>{body}") == text
+    assert read(f"<html><body><form id=aspnetForm action=x><input name=v>{body}{side}</form></body></html>") == text
+    for name in ("content-sidebar-wrap", "content-with-sidebar"):
+        assert read(f"<body><div class='{name}'>{body}{side}</div></body>") == text
+    assert read(f"<body><div class=sidebar-layout><p>{start}<p>{rest}</div></body>") == f"{start} {rest}"
+    assert read(f"<body>{body}{comments}{side}<form>search for words</form></body>") == text
+    assert read(f"<body><div class=post><div class=intro><p>{start} {start}</div><div class=more><p>{rest}</div></div></body>") == f"{start} {start} {rest}"
