@@ -35,22 +35,29 @@ def letters(text: Column) -> Column:
 def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> dict[str, bytes]:
     """Dictionary content of each label, from a bounded sample of the labelled rows that are not held out.
 
-    At most SAMPLE_DOCS rows a label reach the driver, cut to SAMPLE_BYTES; rows are ranked by a hash of the id, and
-    only ids are ranked. Labels are languages: few.
+    At most SAMPLE_DOCS rows a label reach the driver, cut to SAMPLE_BYTES; rows are ranked by a hash of the id, then
+    of the text, and only hashes are ranked. Rows that repeat id and text are one. Labels are languages: few.
     """
     text = F.col(text_col)
     usable = docs.filter(F.col(lang_col).isNotNull() & text.isNotNull() & (bucket(F.col(id_col)) != 2) & text.rlike(r"\p{L}"))
-    rows = usable.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.xxhash64(F.lit("sample"), F.col(id_col)).alias("h"))
+    keys = [F.col(lang_col).alias("lang"), F.xxhash64(F.lit("sample"), F.col(id_col)).alias("h"), F.xxhash64(text).alias("th")]
+    rows = usable.select(*keys).distinct()
     rows = rows.withColumn("salt", F.pmod("h", F.lit(SALTS)))
-    salted = rows.withColumn("r", F.row_number().over(W.partitionBy("lang", "salt").orderBy("h", "id"))).filter(F.col("r") <= SAMPLE_DOCS)
-    chosen = salted.withColumn("r", F.row_number().over(W.partitionBy("lang").orderBy("h", "id"))).filter(F.col("r") <= SAMPLE_DOCS)
-    picked = chosen.groupBy("lang").agg(F.max("h").alias("upto")).collect()
+    salted = rows.withColumn("r", F.row_number().over(W.partitionBy("lang", "salt").orderBy("h", "th"))).filter(F.col("r") <= SAMPLE_DOCS)
+    chosen = salted.withColumn("r", F.row_number().over(W.partitionBy("lang").orderBy("h", "th"))).filter(F.col("r") <= SAMPLE_DOCS)
+    picked = [tuple(r) for r in chosen.select("lang", "h", "th").collect()]
     content: dict[str, bytes] = {}
-    cut = usable.select(F.col(lang_col).alias("lang"), F.xxhash64(F.lit("sample"), F.col(id_col)).alias("h"), F.substring(letters(text), 1, SAMPLE_BYTES).alias("t"))
     if not picked:
         return content
-    limit = F.coalesce(*[F.when(F.col("lang") == r["lang"], F.lit(r["upto"])) for r in picked])
-    for r in sorted(cut.filter(F.col("h") <= limit).collect(), key=lambda r: (r["lang"], r["h"], bytes(r["t"]))):
+    upto: dict[str, int] = {}
+    for lang, h, _ in picked:
+        upto[lang] = max(upto.get(lang, h), h)
+    limit = F.coalesce(*[F.when(F.col("lang") == lang, F.lit(h)) for lang, h in upto.items()])
+    near = usable.select(*keys, text.alias("text")).filter(F.col("h") <= limit)
+    known = docs.sparkSession.createDataFrame(picked, "lang string, h long, th long")
+    cut = near.join(F.broadcast(known), ["lang", "h", "th"], "left_semi").withColumn("t", F.substring(letters(F.col("text")), 1, SAMPLE_BYTES))
+    # rows that repeat an id and a text are one, so no more rows than were chosen reach the driver
+    for r in sorted(cut.groupBy("lang", "h", "th").agg(F.min("t").alias("t")).collect(), key=lambda r: (r["lang"], r["h"], bytes(r["t"]))):
         # the end of a dictionary is reached by the shortest offsets; pieces are parted by a line end
         content[r["lang"]] = (content.get(r["lang"], b"") + b"\n" + bytes(r["t"]))[:DICT_BYTES]
     return content

@@ -344,6 +344,14 @@ def test_language(spark, none):
     assert {r["_lang_pred"] for r in language.identify(unlabelled).collect()} == {"und"}
 
 
+def test_language_sample_is_bounded_where_ids_repeat(spark, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE_DOCS", 4)
+    rows = [(None, f"{WORDS[i % 64]} {WORDS[i // 64]}", "en") for i in range(300)]
+    docs = spark.createDataFrame(rows + rows[:50] * 3 + [(1, "one text", "fr")] * 20, "doc_id long, text string, lang string")
+    content = language.sample(docs, "doc_id", "text", "lang")
+    assert {lang: data.count(b"\n") for lang, data in content.items()} == {"en": 4, "fr": 1}
+
+
 def test_chat_round_trip(spark):
     said = r"\### Assistant: </turn> ok"
     rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "a <b> \\ #"), (2, 0, "user", "hi"), (2, 1, "assistant", "other"), (2, 2, "user", None), (3, 0, "user", said), (3, 1, "assistant", said)]
