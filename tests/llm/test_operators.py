@@ -421,3 +421,44 @@ def test_main_text_of_wrapped_pages():
     assert read(f"<body><div class=sidebar-layout><p>{start}<p>{rest}</div></body>") == f"{start} {rest}"
     assert read(f"<body>{body}{comments}{side}<form>search for words</form></body>") == text
     assert read(f"<body><div class=post><div class=intro><p>{start} {start}</div><div class=more><p>{rest}</div></div></body>") == f"{start} {start} {rest}"
+
+
+def test_main_text_of_broken_markup():
+    start = "The first part of the article has enough words to be read as prose, and some more of them."
+    rest = "The other part goes on with the story for a while, so that neither of the two is short."
+    body, text = f"<h1>Title of it</h1><p>{start}<p>{rest}", f"Title of it {start} {rest}"
+    read = lambda page: html_text.extract(html_text.parse(page), None)
+    assert read(f"<body><title-bar>x</title-bar><article>{body}</article></body>").endswith(text)
+    assert read(f"<body><article><h1>Title of it</h1><template-card></template-card><p>{start}<p>{rest}</article>") == text
+    for name in ("market-share-report", "post tag-search", "category-social hentry"):
+        assert read(f"<body><article class='{name}'>{body}</article><div class=comments><p>{start} {rest} {start}</div></body>") == text
+    assert read(f"<body><div class=social-history>{body}</div><p>short</body>") == text
+    assert read(f"<body><article><h1>Title of it</h1><p title=\"it>{start}</p><p data-x=it's>{rest}</p></article><a href=\"x\">y</a>") == text
+    assert read(f"<body><article><h1 title='a > b'>Title of it</h1><p title=\"x='y'\">{start}<p class=a/>{rest}</article>") == text
+    assert read(f"<body><main><header><a href=x>Site</a> slogan of the site</header><article>{body}</article></main>") == text
+    assert read(f"<body><main><header><h1>Title of it</h1></header><p>{start}<p>{rest}</main>") == text
+    assert read(f"<body><div>{body}<section><h3>3 Comments</h3><div><p>{start}</div></section></div></body>") == text
+    assert read(f"<body><div><h1>Comments on a law</h1><p>{start}<p>{rest}</div></body>") == f"Comments on a law {start} {rest}"
+    assert read(f"<head><title>never closed<body><article>{body}</article>").endswith(text)
+    assert read(f"<article>{body}</article><script>var a = '") == text and read(f"<article>{body}</article><a href='x") == text
+    assert read(f"<article>{body}</article>1 < 2 <!-> </ > <?x?>").startswith(text)
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<b>", "<div>", "<div class=a>", "<p title=\"it>", "<li><ul>", "<header><main>", "<title>", "<td x='", "</b>", "<!--", "<form class=ad>"])
+def test_main_text_takes_time_in_proportion(piece):
+    import time
+
+    def seconds(n):
+        start = time.perf_counter()
+        page = html_text.parse("<article><p>some words</p>" + piece * n + "<p>more of them")
+        html_text.extract(page, None)
+        return time.perf_counter() - start, page
+
+    assert seconds(20000)[0] < 5
+
+
+def test_host_votes_do_not_depend_on_splits(spark):
+    rows = [(i, "http://a.example/", f"<div class={'xy'[i % 2]}><p>{'words of a page that are long enough ' * 3}</div>") for i in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = [sorted(map(tuple, html_text.main_text(pages.repartition(n)).collect())) for n in (1, 7)]
+    assert found[0] == found[1]
