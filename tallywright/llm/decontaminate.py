@@ -49,14 +49,6 @@ def promising(least: float) -> Column:
     return F.when(F.size("at") >= need, F.filter(runs, lambda r: r["first"] <= r["last"]))
 
 
-def placed() -> Column:
-    """Whether a window puts some shingle on the same place as its item, or would if it were not moved inside the text."""
-    same = lambda x, i: F.array_contains(
-        F.transform("item_hs", lambda y, j: (x == y) & ((i == j) | (F.col("start") == 0) & (i < j) | (F.col("start") + F.col("own") == F.col("all")) & (i > j))), True
-    )
-    return F.array_contains(F.transform("own_hs", same), True).alias("placed")
-
-
 def leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -74,8 +66,7 @@ def leaks(
     both / (own + n - both), so fewer than least * (own + n) / (1 + least) cannot. Those windows and the items get
     SimHash fingerprints; blocks of the fingerprint give all pairs of one size within `radius` bits; those are verified by
     the weighted Jaccard similarity of their shingle multisets, which must reach `least`. At similarity 0.8 the mean
-    distance is 9.7 bits and 20 is 3.6 standard deviations above it. A tie goes to windows that put some shingle on the
-    same place as the item, then to the earliest.
+    distance is 9.7 bits and 20 is 3.6 standard deviations above it. Of equal windows the earliest is taken.
 
     th is the text's hash: rows that repeat an id with other texts are judged apart, equal rows give one result. Null
     and empty texts, and items of fewer than five words (or null), have no shingle and leak nothing. Windows at a
@@ -97,7 +88,7 @@ def leaks(
     windows = hashed.join(met, F.col("id").eqNullSafe(F.col("wid")) & (F.col("th") == F.col("wth"))).dropDuplicates(["id", "th"])
     windows = windows.select("id", "th", "hs", F.explode("runs").alias("run"))
     windows = windows.select("id", "th", "hs", "run.len", F.explode(F.sequence("run.first", "run.last")).alias("start"))
-    windows = windows.select("id", "th", "start", "len", F.slice("hs", F.col("start") + 1, F.col("len")).alias("hs"), F.size("hs").alias("all"))
+    windows = windows.select("id", "th", "start", "len", F.slice("hs", F.col("start") + 1, F.col("len")).alias("hs"))
     windows = materialize(windows, "windows-hashed")
 
     keys = ["id", "th", "start", "len"]
@@ -116,16 +107,15 @@ def leaks(
     on = [F.col(k).eqNullSafe(F.col(f"n_{k}")) for k in keys]
     shared = counted.join(pair, on).join(broadcast_if(materialize(item_counted, "item-counts"), MAX_BROADCAST_ROWS), ["item", "h"])
     shared = shared.groupBy(*keys, "item").agg(F.sum(F.least("c", "ic")).alias("both"))
-    lengths = windows.select(*[F.col(k).alias(f"n_{k}") for k in keys], F.size("hs").alias("own"), "all", F.col("hs").alias("own_hs"))
+    lengths = windows.select(*[F.col(k).alias(f"n_{k}") for k in keys], F.size("hs").alias("own"))
     judged = shared.join(lengths, on).withColumn("similarity", F.col("both") / (F.col("own") + F.col("len") - F.col("both")))
-    judged = judged.filter(F.col("similarity") >= least).join(items.select("item", F.col("hs").alias("item_hs")), "item")
-    best = judged.groupBy("id", "th", "item").agg(F.max(F.struct("similarity", placed(), -F.col("start"), "len")).alias("best"))
+    best = judged.filter(F.col("similarity") >= least).groupBy("id", "th", "item").agg(F.max(F.struct("similarity", -F.col("start"), "len")).alias("best"))
     named = best.join(items.select("item", F.explode("item_ids").alias("item_id")), "item")
     return named.select(
         F.col("id").alias("doc_id"),
         "th",
         "item_id",
-        (-F.col("best.col3")).cast("long").alias("start"),
+        (-F.col("best.col2")).cast("long").alias("start"),
         (F.col("best.len") + (SHINGLE - 1)).cast("long").alias("n_words"),
         F.col("best.similarity").alias("similarity"),
     )

@@ -31,7 +31,7 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "start", "n_words", F.round("similarity", 9).alias("similarity"))
 
 
-#: Every window that shares a shingle with an item on the same place, without fingerprints.
+#: Every window that shares a shingle with an item of its size, wherever that stands, without fingerprints.
 OP3_SQL = """
 with dw as (
   select doc_id, list_filter(regexp_split_to_array(lower(text), '[ \t-\r]+'), lambda x: x <> '') as w from documents where text is not null),
@@ -41,17 +41,15 @@ d as (select doc_id, total, pos - 1 as pos, array_to_string(w[pos:pos+4], ' ') a
 iw as (
   select item_id, list_filter(regexp_split_to_array(lower(text), '[ \t-\r]+'), lambda x: x <> '') as w from benchmark where text is not null),
 s as (select item_id, len(w) - 4 as n, unnest(range(1, len(w) - 3)) as pos, w from iw where len(w) >= 5),
-i as (select item_id, n, pos - 1 as place, array_to_string(w[pos:pos+4], ' ') as h from s),
+i as (select item_id, n, array_to_string(w[pos:pos+4], ' ') as h, count(*) as times from s group by all),
+met as (select doc_id, total, pos, h, item_id, n, times from d join i using (h)),
 win as (
-  select distinct doc_id, item_id, n, greatest(0, least(pos - place, total - n)) as start, total from d join i using (h)),
-dc as (
-  select doc_id, item_id, n, start, h, count(*) as c
-  from win join d using (doc_id) where d.pos >= start and d.pos < start + n group by all),
-own as (select doc_id, item_id, n, start, sum(c) as own from dc group by all),
-ic as (select item_id, h, count(*) as ic from i group by all),
-sh as (select doc_id, item_id, n, start, sum(least(c, ic)) as both_ from dc join ic using (item_id, h) group by all),
+  select distinct doc_id, item_id, unnest(range(greatest(0, least(pos - n + 1, total - n)), greatest(0, least(pos, total - n)) + 1)) as start from met),
+held as (
+  select doc_id, item_id, start, h, any_value(n) as n, any_value(least(n, total)) as own, least(count(*), any_value(times)) as both_
+  from win join met using (doc_id, item_id) where pos >= start and pos < start + n group by doc_id, item_id, start, h),
 sim as (
-  select doc_id, item_id, n, start, both_::double / (own + n - both_)::double as similarity from sh join own using (doc_id, item_id, n, start))
+  select doc_id, item_id, start, n, sum(both_)::double / (own + n - sum(both_))::double as similarity from held group by doc_id, item_id, start, n, own)
 select doc_id, item_id, start::bigint as start, (n + 4)::bigint as n_words, round(similarity, 9) as similarity
 from sim where similarity >= 0.8
 qualify row_number() over (partition by doc_id, item_id order by similarity desc, start) = 1
