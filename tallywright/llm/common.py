@@ -30,6 +30,13 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def apart(docs: DataFrame, *names: str) -> tuple[DataFrame, list[str]]:
+    """docs with its columns named by their places, so that no helper column is named like one of them, and the new names
+    of these; toDF(*docs.columns) names them back."""
+    renamed = docs.toDF(*[f"column{i}_" for i in range(len(docs.columns))])
+    return renamed, [renamed.columns[docs.columns.index(n)] for n in names]
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write a table to the shared folder and read it back: cuts the lineage and survives lost executors."""
     spark = df.sparkSession

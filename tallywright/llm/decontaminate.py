@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if, materialize, words
+from .common import apart, broadcast_if, materialize, words
 from .fingerprints import BITS, votes_to_fp
 
 SHINGLE = 5
@@ -122,6 +122,7 @@ def leaks(
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **more) -> DataFrame:
-    """The rows of docs that leak no item, columns unchanged."""
-    bad = leaks(docs, benchmark, id_col, text_col, **more).select(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).distinct()
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_th")), "left_anti")
+    """The rows of docs that leak no item, columns unchanged, whatever their names."""
+    rows, (id_, text) = apart(docs, id_col, text_col)
+    bad = leaks(rows, benchmark, id_, text, **more).select(F.col("doc_id").alias("bad_id"), F.col("th").alias("bad_th")).distinct()
+    return rows.join(bad, F.col(id_).eqNullSafe(F.col("bad_id")) & (F.xxhash64(text) == F.col("bad_th")), "left_anti").toDF(*docs.columns)

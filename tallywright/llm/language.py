@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .common import apart
+
 UND = "und"
 #: The sample a dictionary is made of: this many labelled texts of a language, in hash order, up to so many bytes of each.
 SAMPLE_DOCS, SAMPLE_BYTES, DICT_BYTES = 256, 2048, 1 << 17
@@ -79,7 +81,7 @@ def sizes(text: bytes, made: list[tuple[str, zstandard.ZstdCompressor]]) -> np.n
 
 
 def predict(docs: DataFrame, content: dict[str, bytes], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Input columns + _lang_pred, _score, _margin, _rejected. Only the text is an input of the prediction.
+    """Input columns + _lang_pred, _score, _margin, _rejected (columns of these names are replaced). Only the text is an input of the prediction.
 
     The label with the smallest encoding wins, a tie goes to the first by name. score is
     1 / (1 + 2 ** -(bits won per hundred bytes)), from a half for a tie to 1; margin is (second - best) / second, 1 with a single label.
@@ -120,5 +122,6 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 
 def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of docs that are not rejected, columns unchanged."""
-    return identify(docs, id_col, text_col, lang_col).filter(~F.col("_rejected")).select(*docs.columns)
+    """The rows of docs that are not rejected, columns unchanged, whatever their names."""
+    rows, names = apart(docs, id_col, text_col, lang_col)
+    return identify(rows, *names).filter(~F.col("_rejected")).select(*rows.columns).toDF(*docs.columns)

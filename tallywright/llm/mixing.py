@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import broadcast_if, materialize, words
+from .common import apart, broadcast_if, materialize, words
 
 #: A document's hash has 60 bits; each histogram level looks at LEVEL_BITS more of them.
 HASH_BITS, LEVEL_BITS = 60, 10
@@ -84,10 +84,13 @@ def mixed_rows(
     max_epochs: int = 2,
     salt: str = "mix",
 ) -> DataFrame:
-    """The rows of docs that mix() takes, with a last column `copies`: how often each stands in the mix. Texts aren't shuffled."""
-    plan = mix_plan(materialize(slim_rows(docs, id_col, text_col, source_col, salt), "mix-docs"), weights, share, max_epochs)
-    rows = docs.join(plan, F.col(source_col).eqNullSafe(F.col("plan_source")))
-    return rows.select(*[docs[c] for c in docs.columns], copies(document_hash(docs[id_col], salt)).alias("copies")).filter("copies > 0")
+    """The rows of docs that mix() takes, with a last column `copies`: how often each stands in the mix; a column of that
+    name is replaced, others may have any name. Texts aren't shuffled."""
+    rows, (id_, text, source) = apart(docs, id_col, text_col, source_col)
+    plan = mix_plan(materialize(slim_rows(rows, id_, text, source, salt), "mix-docs"), weights, share, max_epochs)
+    taken = rows.join(plan, F.col(source).eqNullSafe(F.col("plan_source"))).withColumn("copies", copies(document_hash(F.col(id_), salt))).filter("copies > 0")
+    named = [F.col(new).alias(old) for new, old in zip(rows.columns, docs.columns, strict=True) if old.lower() != "copies"]
+    return taken.select(*named, "copies")
 
 
 def slim_rows(docs: DataFrame, id_col: str, text_col: str, source_col: str, salt: str) -> DataFrame:

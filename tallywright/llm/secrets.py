@@ -10,6 +10,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import apart
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -151,7 +153,8 @@ def joined(spans: Column) -> Column:
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", added: tuple[Rule, ...] = ADDED_RULES, segment_docs: int = 2000) -> DataFrame:
-    """Input columns + _spans_<kind> arrays of (start, ord, end, kind) for each rule, over whole texts (null: empty).
+    """Input columns + _spans_<kind> arrays of (start, ord, end, kind) for each rule, over whole texts (null: empty); columns
+    of these names, or named _asked, are replaced.
 
     Rules with mandatory trigrams are verified on the documents that their Boolean trigram query finds in the inverted
     index; rules without (hex runs) scan all. An index hit is on the id: rows that repeat an id are all verified, so
@@ -160,6 +163,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", added:
     rules = (*BASE_RULES, *added)
     segments = max(16, docs.count() // segment_docs)
     index = build_index(docs, rules, id_col, text_col, segments)
+    docs = docs.drop("_asked_id", "_asked")
     asked = candidates(index, rules).select(F.col("id").alias("_asked_id"), F.col("asked").alias("_asked"))
     rows = docs.join(asked, F.col(id_col).eqNullSafe(F.col("_asked_id")), "left").drop("_asked_id")
     text, mask = F.coalesce(F.col(text_col), F.lit("")), F.coalesce(F.col("_asked"), F.lit(0))
@@ -172,8 +176,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", added:
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
-    """The same rows and columns with every span of any rule replaced by one mark; overlapping spans merge."""
+    """The same rows and columns, whatever their names, with every span of any rule replaced by one mark; overlapping spans merge."""
     rules = (*BASE_RULES, *ADDED_RULES)
+    names, (docs, (id_col, text_col)) = docs.columns, apart(docs, id_col, text_col)
     found = scan(docs, id_col, text_col)
     every = F.array_sort(F.flatten(F.array(*[F.col(f"_spans_{r.kind}") for r in rules])))
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
@@ -185,7 +190,7 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark
 
     done = F.aggregate(every, zero, step, lambda acc: F.concat(acc["out"], F.substring(F.col(text_col), acc["at"] + 1, F.length(text_col))))
     clean = F.when(F.size(every) > 0, done).otherwise(F.col(text_col))
-    return found.withColumn("_clean", clean).select(*[F.col("_clean").alias(c) if c == text_col else F.col(c) for c in docs.columns])
+    return found.withColumn("_clean", clean).select(*[F.col("_clean").alias(c) if c == text_col else F.col(c) for c in docs.columns]).toDF(*names)
 
 
 def digest(docs: DataFrame) -> DataFrame:

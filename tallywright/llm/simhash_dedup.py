@@ -8,9 +8,10 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import apart, materialize
 from .graph import components
 
 BITS = 64
@@ -185,20 +186,23 @@ def classes(prints: DataFrame, radius: int) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4, shingle: int = 4) -> DataFrame:
-    """The rows of docs with one of each near-duplicate class left, columns unchanged: the one of the smallest id.
+    """The rows of docs with one of each near-duplicate class left, columns unchanged, whatever their names: the row of
+    the smallest id.
 
-    Null ids come last; rows of one id go by the text's hash; rows that repeat id and text are one row.
+    Null ids come last; rows of one id go by the text's hash; of rows that repeat id and text the one whose columns
+    come first as JSON stays.
     """
-    hashes = F.xxhash64(text_col)
-    prints = with_fingerprints(docs.withColumn("_th", hashes), id_col, text_col, shingle, ["_th"])
-    prints = materialize(prints, "simhash")
-    rows = prints.join(classes(prints, radius), "fp")
-    order = F.struct(F.col("id").isNull(), "id", "_th")
-    first = rows.groupBy("root").agg(F.min(order).alias("k")).select(F.col("k.id").alias("_id"), F.col("k._th").alias("_kept"))
-    first = materialize(first, "simhash-kept")
-    same = F.col("_kept") == hashes
-    kept = docs.join(first, F.col(id_col).eqNullSafe(F.col("_id")) & same, "left_semi")
-    repeated = prints.groupBy("id", "_th").count().filter("count > 1")
-    if repeated.isEmpty():
-        return kept
-    return kept.withColumn("_th", hashes).dropDuplicates([id_col, "_th"]).drop("_th")
+    rows, (id_, text) = apart(docs, id_col, text_col)
+    hashes = F.xxhash64(text)
+    prints = materialize(with_fingerprints(rows.withColumn("th", hashes), id_, text, shingle, ["th"]), "simhash")
+    order = F.struct(F.col("id").isNull(), "id", "th")
+    first = prints.join(classes(prints, radius), "fp").groupBy("root").agg(F.min(order).alias("k"))
+    first = materialize(first.select(F.col("k.id").alias("kept_id"), F.col("k.th").alias("kept_th")), "simhash-kept")
+    kept = rows.join(first, F.col(id_).eqNullSafe(F.col("kept_id")) & (hashes == F.col("kept_th")), "left_semi")
+    repeated = prints.groupBy("id", "th").count().filter("count > 1").select(F.col("id").alias("again_id"), F.col("th").alias("again_th"))
+    if not repeated.isEmpty():
+        again = F.col(id_).eqNullSafe(F.col("again_id")) & (hashes == F.col("again_th"))
+        place = F.row_number().over(W.partitionBy(id_, hashes).orderBy(F.to_json(F.struct(*rows.columns))))
+        one = kept.join(repeated, again, "left_semi").withColumn("place", place).filter("place = 1").drop("place")
+        kept = kept.join(repeated, again, "left_anti").unionByName(one)
+    return kept.toDF(*docs.columns)

@@ -4,9 +4,10 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallywright.llm import queries
+from tallywright.llm import queries, simhash_dedup
 
 from .test_operators import base_spans, expected_fingerprint, split
 
@@ -87,3 +88,23 @@ def test_every_numbered_query_is_registered():
     names = list(queries.queries())
     assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)] + ["pipeline"]
     assert set(queries.oracle_sql()) <= set(names)
+
+
+HELPERS = "_id _th _kept _judged _asked _asked_id _spans_hex _clean _lang_pred _score _margin _rejected plan_source plan_passes plan_threshold source_size target id th fp root k hs h hash size place column0_ bad_id bad_th kept_id kept_th".split()
+
+
+@pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
+def test_stages_with_clashing_columns(spark, sf_dir, name, stage):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    more = docs.withColumns({h: F.col("n_chars") for h in HELPERS}).withColumn("copies", F.lit(7))
+    want, got = stage(spark, docs, sf_dir), stage(spark, more, sf_dir)
+    assert set(got.columns) == {*more.columns}
+    assert all(r[h] == (r["n_chars"] if name != "secrets" else r[h]) for r in got.collect() for h in HELPERS)
+    assert Counter(map(tuple, got.select(*want.columns).collect())) == Counter(map(tuple, want.collect()))
+
+
+def test_one_row_of_those_that_repeat_id_and_text(spark):
+    rows = [(1, "one text of some words", "en", s, 22) for s in ("b", "a", None, "c")] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = [[tuple(r) for r in simhash_dedup.keep_one(docs.repartition(n)).collect()] for n in (1, 5)]
+    assert kept[0] == kept[1] and len(kept[0]) == 1
