@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,47 +16,63 @@ from .common import apart, materialize
 from .graph import components
 
 BITS = 64
+#: What is added to a hash before it is scrambled for the next fingerprint.
+STEP = 0x9E3779B97F4A7C15
+#: Pairs of a group that are compared at once.
+CELLS = 1 << 19
 #: Shingles hashed at once, so that memory does not follow the length of a text.
 PIECE = 1 << 16
-#: Groups beyond this size are searched by their second segment, not by comparing with the whole group.
-LARGE_GROUP = 1 << 14
+#: Groups beyond this size are compared by their second segment, not each with all.
+LARGE_GROUP = 1 << 12
+#: A fingerprint of more links than this in a group is of a dense class; so many places are looked at to find one.
+DENSE, SAMPLED = 256, 64
 
 
-def fingerprint(text: bytes | None, shingle: int = 4, seed: int = 42) -> int:
-    """SimHash of a whole text, as a signed 64-bit integer: bit i is set where over half the shingle hashes set it.
+def fingerprints(text: bytes | None, shingle: int = 4, seed: int = 42, count: int = 1) -> np.ndarray:
+    """SimHashes of a whole text, as signed 64-bit integers: bit i is set where over half the shingle hashes set it.
 
     Words are runs of anything but ASCII white space, A-Z lower-cased; repeats count. Fewer words than a shingle: the
-    whole sequence is one; no word: 0.
+    whole sequence is one; no word: 0. Fingerprints after the first are of scrambled hashes.
     """
     found = (text or b"").lower().split()
     if not found:
-        return 0
+        return np.zeros(count, np.int64)
     line = b" ".join(found)
     sizes = np.fromiter(map(len, found), np.int64, len(found))
     starts = np.cumsum(sizes + 1) - sizes - 1
     last = max(1, len(found) - shingle + 1)
     starts, ends = starts[:last], (starts + sizes)[min(shingle, len(found)) - 1 :]
-    votes, digest = np.zeros(BITS, np.int64), xxhash.xxh64_intdigest
+    votes, digest = np.zeros((count, BITS), np.int64), xxhash.xxh64_intdigest
     for at in range(0, last, PIECE):
         span = zip(starts[at : at + PIECE].tolist(), ends[at : at + PIECE].tolist(), strict=True)
         hashes = np.array([digest(line[s:e], seed) for s, e in span], "<u8")
-        votes += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * votes > last, bitorder="little").view("<i8")[0])
+        for k in range(count):
+            mixed = scrambled(hashes + np.uint64(k * STEP % (1 << BITS))) if k else hashes
+            votes[k] += np.unpackbits(mixed.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * votes > last, axis=1, bitorder="little").view("<i8")[:, 0]
 
 
-def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, more: list[str] | None = None) -> DataFrame:
-    """(id, fp, *more), one row for each row of docs."""
+def scrambled(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return x ^ (x >> np.uint64(33))
+
+
+def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, more: list[str] | None = None, count: int = 1) -> DataFrame:
+    """(id, fp, fps, *more), one row for each row of docs; fps: `count` fingerprints, fp: the only one, or their hash."""
     more = more or []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = [fingerprint(t.as_py(), shingle) for t in b.column(1)]
+            each = np.array([fingerprints(t.as_py(), shingle, count=count) for t in b.column(1)], np.int64).reshape(-1, count)
+            fps = pa.ListArray.from_arrays(pa.array(np.arange(len(each) + 1) * count, pa.int32()), pa.array(each.ravel()))
+            names = each[:, 0] if count == 1 else np.array([xxhash.xxh3_64_intdigest(x.tobytes()) for x in each], np.uint64).view(np.int64)
             rest = [b.column(i + 2) for i in range(len(more))]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64()), *rest], ["id", "fp", *more])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(names, pa.int64()), fps, *rest], ["id", "fp", "fps", *more])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"), *more)
     rest = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in more)
-    return rows.mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, fp bigint{rest}")
+    return rows.mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, fp bigint, fps array<bigint>{rest}")
 
 
 def ring(radius: int) -> list[tuple[int, int]]:
@@ -64,12 +81,18 @@ def ring(radius: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
 
 
-def stars(fps: np.ndarray, start: int, segments: list[tuple[int, int]]) -> list[tuple[int, np.ndarray]]:
-    """Links among fingerprints that agree in segment `start`: (first of a class, the others of it).
+def most_bits(least: float, count: int) -> int:
+    """How many of the bits of `count` fingerprints two texts of Jaccard similarity `least` differ in on average."""
+    return int(BITS * count * math.acos(2 * least / (1 + least)) / math.pi)
+
+
+def pairs(fps: np.ndarray, start: int, segments: list[tuple[int, int]], every: np.ndarray | None = None, most: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Links among fingerprints that agree in segment `start`, as places (a, b): all of them, but a spanning star in place
+    of a class found to be dense, whose pairs would be too many.
 
     A pair is compared in full only if the chain of segments that starts there stays within its proportional budget at
-    each length: l segments may differ in at most floor(l * radius / (radius + 1)) = l - 1 bits. Of each class that the
-    links form in the group a spanning star is returned, not all pairs.
+    each length: l segments may differ in at most floor(l * radius / (radius + 1)) = l - 1 bits. With `most`, the rows of
+    `every` (all fingerprints of each) must differ in at most so many bits too.
     """
     count = len(segments)
     masks, upto = [], 0
@@ -77,90 +100,119 @@ def stars(fps: np.ndarray, start: int, segments: list[tuple[int, int]]) -> list[
         first, width = segments[(start + l) % count]
         upto |= ((1 << width) - 1) << first
         masks.append(np.uint64(upto))
-    second = segments[(start + 1) % count]
-    found = []
+    at, width = segments[(start + 1) % count]
+    key = (fps >> np.uint64(at)) & np.uint64((1 << width) - 1)
+    order = np.argsort(key, kind="stable")
+    fps, key = fps[order], key[order]
+    every = every[order] if every is not None else None
 
-    def within(left: np.ndarray, x: np.uint64) -> np.ndarray:
-        diff = left ^ x
-        at = np.flatnonzero(np.bitwise_count(diff & masks[1]) <= 1)
+    def linked(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Which of the pairs (a, b) link; a may be one place."""
+        diff = fps[a] ^ fps[b]
+        ok = np.flatnonzero(np.bitwise_count(diff & masks[1]) <= 1)
         for l in range(2, count):
-            if not at.size:
+            if not ok.size:
                 break
-            at = at[np.bitwise_count(diff[at] & masks[l]) <= l]
-        return at
-
-    if len(fps) <= LARGE_GROUP:
-        left = fps
-        while left.size > 1:
-            root, left = left[0], left[1:]
-            todo = [root]
-            while todo and left.size:
-                at = within(left, todo.pop())
-                if at.size:
-                    todo.extend(left[at])
-                    found.append((root, left[at]))
-                    left = np.delete(left, at)
-        return found
-    key = (fps >> np.uint64(second[0])) & np.uint64((1 << second[1]) - 1)
-    order = np.argsort(key, kind="stable")
-    fps, key, alive = fps[order], key[order], np.ones(len(fps), bool)
-    steps = [np.uint64(0), *(np.uint64(1 << k) for k in range(second[1]))]
-    for i in range(len(fps)):
-        if not alive[i]:
-            continue
-        alive[i] = False
-        todo = [i]
-        while todo:
-            j = todo.pop()
-            for step in steps:  # the second segment differs in at most one bit
-                lo, hi = np.searchsorted(key, key[j] ^ step, "left"), np.searchsorted(key, key[j] ^ step, "right")
-                near = lo + np.flatnonzero(alive[lo:hi])
-                near = near[within(fps[near], fps[j])] if near.size else near
+            ok = ok[np.bitwise_count(diff[ok] & masks[l]) <= l]
+        if most is not None and ok.size:
+            ok = ok[np.bitwise_count(every[a if a.size == 1 else a[ok]] ^ every[b[ok]]).sum(axis=1) <= most]
+        return ok
+
+    def reach(i: int) -> np.ndarray:
+        """Places that have the second segment of place i, or one bit of it changed."""
+        values = key[i] ^ np.array([0, *(1 << k for k in range(width))], np.uint64)
+        spans = zip(np.searchsorted(key, values, "left").tolist(), np.searchsorted(key, values, "right").tolist(), strict=True)
+        return np.concatenate([np.arange(lo, hi) for lo, hi in spans])
+
+    alive = np.ones(len(fps), bool)
+    dense = len(fps) > DENSE
+    while dense:  # stars of classes that many places belong to, until a sample meets none
+        left = np.flatnonzero(alive)
+        dense = False
+        for i in left[:: max(1, len(left) // SAMPLED)].tolist():
+            if not alive[i]:
+                continue
+            near = reach(i)
+            if len(linked(np.array([i]), near[alive[near]])) <= DENSE:
+                continue
+            dense, alive[i], todo = True, False, [i]
+            while todo:
+                j = todo.pop()
+                near = reach(j)
+                near = near[alive[near]]
+                near = near[linked(np.array([j]), near)]
                 if near.size:
                     alive[near] = False
                     todo.extend(near.tolist())
-                    found.append((fps[i], fps[near]))
-    return found
-
-
-def links(fps: DataFrame, radius: int = 4) -> DataFrame:
-    """fps(fp), distinct -> links(a, b) whose classes are those of all pairs at most `radius` bits apart.
+                    yield np.full(len(near), order[i]), order[near]
+    left = np.flatnonzero(alive)
+    fps, key, order, every = fps[left], key[left], order[left], every[left] if every is not None else None
+
+    def spans() -> Iterator[tuple[int, int, int, int]]:
+        """Ranges of places that may link."""
+        if len(fps) <= LARGE_GROUP:
+            yield 0, len(fps), 0, len(fps)
+            return
+        values, lo = np.unique(key, return_index=True)
+        known = dict(zip(values.tolist(), zip(lo.tolist(), [*lo[1:].tolist(), len(key)], strict=True), strict=True))
+        for v, (a, b) in known.items():
+            yield a, b, a, b
+            for k in range(width):
+                if v ^ 1 << k > v and v ^ 1 << k in known:
+                    yield a, b, *known[v ^ 1 << k]
+
+    for lo, hi, c, d in spans():
+        step = max(1, CELLS // (d - c)) if d > c else 1
+        for a in range(lo, hi, step):
+            x, y = np.nonzero(np.bitwise_count((fps[a : min(a + step, hi), None] ^ fps[None, c:d]) & masks[1]) <= 1)
+            x, y = x + a, y + c
+            x, y = x[x < y], y[x < y]
+            if x.size:
+                ok = linked(x, y)
+                if ok.size:
+                    yield order[x[ok]], order[y[ok]]
+
+
+def links(nodes: DataFrame, radius: int = 4, count: int = 1, most: int | None = None) -> DataFrame:
+    """nodes(fp, fps), distinct -> links(a, b) of fp whose classes are those of all pairs that have one of their `count`
+    fingerprints at most `radius` bits apart, and with `most` all of them together at most so many.
 
     A pair within the radius agrees in some segment from which its chain keeps the budgets, so the group of that
-    segment's value holds it. A group is a sorted run of 8-byte numbers in one partition.
+    segment's value holds it. A group is a sorted run of numbers in one partition.
     """
     segments = ring(radius)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         at: tuple[int, int] | None = None
 
         def close() -> Iterator[pa.RecordBatch]:
-            group = np.concatenate(held) if held else np.empty(0, np.uint64)
-            if len(group) > 1:
-                for root, others in stars(group, at[0], segments):
-                    a = np.full(len(others), root, np.uint64).view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(others.view(np.int64))], ["a", "b"])
+            names, every = (np.concatenate([h[k] for h in held]) if held else np.empty((0, count), np.int64) for k in range(2))
+            if len(names) > 1:
+                own = every[:, at[0] // len(segments)].view(np.uint64)
+                for a, b in pairs(np.ascontiguousarray(own), at[0] % len(segments), segments, every.view(np.uint64), most):
+                    yield pa.RecordBatch.from_arrays([pa.array(names[a]), pa.array(names[b])], ["a", "b"])
 
         for b in batches:
-            seg, val, fp = (b.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-            fp = fp.view(np.uint64)
+            seg, val, names = (b.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            every = b.column(3).flatten().to_numpy(zero_copy_only=False).reshape(-1, count)
             cuts = np.flatnonzero((np.diff(seg) != 0) | (np.diff(val) != 0)) + 1
-            for lo, hi in zip([0, *cuts], [*cuts, len(fp)], strict=True):
+            for lo, hi in zip([0, *cuts], [*cuts, len(names)], strict=True):
                 if lo == hi:
                     continue
                 if at != (seg[lo], val[lo]):
                     yield from merged(close())
                     held, at = [], (int(seg[lo]), int(val[lo]))
-                held.append(fp[lo:hi])
+                held.append((names[lo:hi], every[lo:hi]))
         yield from merged(close())
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if found := list(batches):
             yield from pa.Table.from_batches(found).combine_chunks().to_batches()
 
-    value = F.element_at(F.array(*[F.shiftrightunsigned("fp", s).bitwiseAND(F.lit((1 << w) - 1)) for s, w in segments]), F.col("seg") + 1)
-    keyed = fps.select("fp", F.explode(F.array(*[F.lit(i) for i in range(len(segments))])).alias("seg")).select("seg", value.alias("val"), "fp")
+    value = lambda k, s, w: F.shiftrightunsigned(F.get("fps", F.lit(k)), s).bitwiseAND(F.lit((1 << w) - 1))
+    each = [F.struct(F.lit(k * len(segments) + i).alias("seg"), value(k, s, w).alias("val")) for k in range(count) for i, (s, w) in enumerate(segments)]
+    keyed = nodes.select("fp", "fps", F.explode(F.array(*each)).alias("e")).select("e.seg", "e.val", "fp", "fps")
     return keyed.repartition("seg", "val").sortWithinPartitions("seg", "val", "fp").mapInArrow(run, "a bigint, b bigint")
 
 
@@ -175,28 +227,32 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return prints.join(classes(prints, radius), "fp").select("id", "fp", "component_id")
 
 
-def classes(prints: DataFrame, radius: int) -> DataFrame:
-    """prints(id, fp) -> (fp, component_id), one row for each distinct fingerprint."""
-    nodes = prints.groupBy("fp").agg(F.min("id").alias("least"))
-    roots = components(links(nodes.select("fp"), radius))
+def classes(prints: DataFrame, radius: int, count: int = 1, most: int | None = None) -> DataFrame:
+    """prints(id, fp, fps) -> (fp, component_id, root), one row for each distinct fingerprint."""
+    nodes = prints.groupBy("fp").agg(F.min("id").alias("least"), F.first("fps").alias("fps"))
+    roots = components(links(nodes.select("fp", "fps"), radius, count, most))
     rooted = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     rooted = materialize(rooted, "simhash-roots")
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     return materialize(rooted.join(least, "root").select("fp", "component_id", "root"), "simhash-named")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4, shingle: int = 4) -> DataFrame:
+def keep_one(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 7, shingle: int = 5, count: int = 4, least: float | None = 0.8
+) -> DataFrame:
     """The rows of docs with one of each near-duplicate class left, columns unchanged, whatever their names: the row of
     the smallest id.
 
-    Null ids come last; rows of one id go by the text's hash; of rows that repeat id and text the one whose columns
+    Texts have `count` fingerprints of their shingles. Two link if some fingerprint is at most `radius` bits apart and all
+    together differ in at most as many bits as texts of similarity `least` do on average (None: in any number). Null ids come last; rows of one id go by the text's hash; of rows that repeat id and text the one whose columns
     come first as JSON stays.
     """
     rows, (id_, text) = apart(docs, id_col, text_col)
     hashes = F.xxhash64(text)
-    prints = materialize(with_fingerprints(rows.withColumn("th", hashes), id_, text, shingle, ["th"]), "simhash")
+    prints = materialize(with_fingerprints(rows.withColumn("th", hashes), id_, text, shingle, ["th"], count), "simhash")
     order = F.struct(F.col("id").isNull(), "id", "th")
-    first = prints.join(classes(prints, radius), "fp").groupBy("root").agg(F.min(order).alias("k"))
+    most = None if least is None else most_bits(least, count)
+    first = prints.join(classes(prints, radius, count, most), "fp").groupBy("root").agg(F.min(order).alias("k"))
     first = materialize(first.select(F.col("k.id").alias("kept_id"), F.col("k.th").alias("kept_th")), "simhash-kept")
     kept = rows.join(first, F.col(id_).eqNullSafe(F.col("kept_id")) & (hashes == F.col("kept_th")), "left_semi")
     repeated = prints.groupBy("id", "th").count().filter("count > 1").select(F.col("id").alias("again_id"), F.col("th").alias("again_th"))

@@ -115,17 +115,65 @@ def test_near_classes(docs, none):
     got = Counter((r["id"], r["fp"] & (2**64 - 1), r["component_id"]) for r in simhash_dedup.near_classes(docs).collect())
     assert got == want
     assert simhash_dedup.near_classes(none).count() == 0
-    kept = simhash_dedup.keep_one(docs)
+    kept = simhash_dedup.keep_one(docs, radius=4, shingle=4, count=1, least=None)
     assert kept.columns == docs.columns
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(least.values()))
     assert simhash_dedup.keep_one(none).count() == 0
 
 
-@pytest.mark.parametrize("large", [1 << 14, 1])
-def test_stars_keep_the_classes_of_all_pairs(large, monkeypatch):
+def expected_fingerprints(text, shingle=5, count=4):
+    """As the first one, but of hashes that are scrambled after a step for each."""
+    mask = (1 << 64) - 1
+
+    def scrambled(x):
+        for m in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+            x = (x ^ (x >> 33)) * m & mask
+        return x ^ (x >> 33)
+
+    w = split("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    shingles = [" ".join(w[i : i + shingle]) for i in range(len(w) - shingle + 1)] or ([" ".join(w)] if w else [])
+    hashes = [xxhash.xxh64_intdigest(x.encode(), 42) for x in shingles]
+    found = []
+    for k in range(count):
+        mixed = [scrambled((h + k * 0x9E3779B97F4A7C15) & mask) for h in hashes] if k else hashes
+        found.append(sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in mixed) > len(shingles)))
+    return found
+
+
+def near_texts(texts):
+    """Class of each text by brute force: a fingerprint of both within 7 bits, all four within 38."""
+    fps = [expected_fingerprints(t) for t in texts]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            apart = [(a ^ b).bit_count() for a, b in zip(fps[i], fps[j])]
+            if min(apart) <= 7 and sum(apart) <= 38:
+                old, new = root[i], root[j]
+                root = [new if x == old else x for x in root]
+    return root
+
+
+def test_keep_one_of_near_texts(spark):
+    rnd = random.Random(8)
+    texts = [None, "", "one", "one", "two words"]
+    for n in (30, 120, 400):
+        for share in (0.0, 0.01, 0.02, 0.05):
+            base = [rnd.choice(WORDS) + rnd.choice(WORDS) for _ in range(n)]
+            for _ in range(4):
+                texts.append(" ".join("edited" + str(rnd.random()) if rnd.random() < share else x for x in base))
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    root = near_texts(texts)
+    first = {r: min(i for i, x in enumerate(root) if x == r) for r in root}
+    assert sorted(r["doc_id"] for r in simhash_dedup.keep_one(docs).collect()) == sorted(first.values())
+    assert len(first) <= len(texts) - 1 - 3 * 3  # the unedited copies at least
+
+
+@pytest.mark.parametrize("large,dense", [(1 << 14, 256), (1, 256), (1 << 14, 3), (1, 1)])
+def test_pairs_keep_the_classes_of_all_pairs(large, dense, monkeypatch):
     import numpy as np
 
     monkeypatch.setattr(simhash_dedup, "LARGE_GROUP", large)
+    monkeypatch.setattr(simhash_dedup, "DENSE", dense)
     rnd = random.Random(1)
     fps = set()
     for _ in range(40):
@@ -134,14 +182,16 @@ def test_stars_keep_the_classes_of_all_pairs(large, monkeypatch):
             fps.add(x)
             for _ in range(rnd.randint(0, 4)):
                 x ^= 1 << rnd.randrange(64)
+    fps |= {0xABCDEF ^ 1 << a ^ 1 << b for a in range(24) for b in range(a)}
     fps = np.array(sorted(fps), np.uint64)
     segments = simhash_dedup.ring(4)
     pairs = set()
     for s, (at, width) in enumerate(segments):
         keys = (fps >> np.uint64(at)) & np.uint64((1 << width) - 1)
         for k in np.unique(keys):
-            for a, others in simhash_dedup.stars(fps[keys == k], s, segments):
-                pairs |= {(int(a), int(b)) for b in others}
+            group = fps[keys == k]
+            for a, b in simhash_dedup.pairs(group, s, segments):
+                pairs |= set(zip(group[a].tolist(), group[b].tolist()))
 
     def classes(links):
         root = {int(x): int(x) for x in fps}

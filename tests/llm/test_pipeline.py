@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tallywright.llm import queries, simhash_dedup
 
-from .test_operators import base_spans, expected_fingerprint, split
+from .test_operators import base_spans, near_texts, split
 
 
 @pytest.fixture(scope="module")
@@ -45,15 +45,8 @@ def test_stages(spark, sf_dir):
         if name == "language":
             assert {r["doc_id"] for r in before} - {r["doc_id"] for r in after} == {102, 103, 104}
         elif name == "near_dedup":
-            fps = [expected_fingerprint(r["text"]) for r in before]
-            root = list(range(len(before)))
-            for a in range(len(before)):
-                for b in range(a):
-                    if (fps[a] ^ fps[b]).bit_count() <= 4:
-                        old, new = root[a], root[b]
-                        root = [new if x == old else x for x in root]
             first = {}
-            for r, k in zip(before, root):
+            for r, k in zip(before, near_texts([r["text"] for r in before])):
                 key = (r["doc_id"] is None, r["doc_id"] or 0)
                 first[k] = min(first.get(k, key), key)
             assert Counter((r["doc_id"] is None, r["doc_id"] or 0) for r in after) == Counter(first.values())
