@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UNMAPPED, SECONDARY = 0x4, 0x100
 BASES = "=ACMGRSVTWYHKDBN"
+#: Two bases a byte, and quality codes as characters.
+PAIRS = [a + b for a in BASES for b in BASES]
+SHIFTED = bytes(min(q + 33, 126) for q in range(256))
+#: What a block of a blocked gzip file starts with.
+MAGIC = b"\x1f\x8b\x08\x04"
 SCHEMA = "file string, ord bigint, name string, chrom string, pos bigint, end_pos bigint, flag int, seq string, qual string, tags map<string,string>"
 ARROW = pa.schema(
     [("file", pa.string()), ("ord", pa.int64()), ("name", pa.string()), ("chrom", pa.string()), ("pos", pa.int64()), ("end_pos", pa.int64()), ("flag", pa.int32())]
@@ -20,28 +27,99 @@ ARROW = pa.schema(
 _SIZES = {"c": "b", "C": "B", "s": "h", "S": "H", "i": "i", "I": "I", "f": "f"}
 
 
-def inflated(data: bytes) -> Iterator[bytes]:
-    """The blocks of a blocked gzip file."""
-    while data:
-        d = zlib.decompressobj(31)
-        yield d.decompress(data) + d.flush()
-        data = d.unused_data
+def opened(uri: str) -> pa.NativeFile:
+    """A file by the path that Spark lists it under, for reading at any place."""
+    uri = re.sub(r"^file:/(?!/)", "file:///", uri)
+    system, path = pa.fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", uri))
+    return system.open_input_file(path)
+
+
+def block_size(head: bytes) -> int | None:
+    """Size of the block that starts with these bytes, from its extra field; None where no block of a known size starts."""
+    if len(head) < 18 or not head.startswith(MAGIC):
+        return None
+    at, end = 12, 12 + struct.unpack_from("<H", head, 10)[0]
+    while at + 4 <= min(end, len(head)):
+        kind, size = head[at : at + 2], struct.unpack_from("<H", head, at + 2)[0]
+        if kind == b"BC" and size == 2 and at + 6 <= len(head):
+            return struct.unpack_from("<H", head, at + 4)[0] + 1
+        at += 4 + size
+    return None
+
+
+def first_block(f: pa.NativeFile, at: int, size: int) -> int:
+    """Place of the first block that starts at `at` or after it; the file's size where none does."""
+    if at == 0:
+        return 0
+    window = f.read_at(min(size - at, 3 << 16), at)
+    i = window.find(MAGIC)
+    while i >= 0:
+        own = block_size(window[i : i + 512])
+        if own and (at + i + own == size or block_size(f.read_at(512, at + i + own))):
+            return at + i
+        i = window.find(MAGIC, i + 1)
+    return size
+
+
+def blocks(f: pa.NativeFile, at: int, size: int) -> Iterator[tuple[int, bytes]]:
+    """(place, inflated bytes) of the blocks from `at` on, read a few megabytes at a time."""
+    held, start = b"", at
+    while at < size:
+        if at - start + (1 << 16) > len(held):
+            start, held = at, f.read_at(min(size - at, 1 << 22), at)
+        own = block_size(held[at - start : at - start + 512])
+        if own is None:
+            raise ValueError(f"no block at {at}")
+        extra = struct.unpack_from("<H", held, at - start + 10)[0]
+        yield at, zlib.decompress(memoryview(held)[at - start + 12 + extra : at - start + own - 8], -15)
+        at += own
+
+
+def members(f: pa.NativeFile) -> Iterator[tuple[int, bytes]]:
+    """The same of a file of gzip members without their sizes, which can only be read from its start."""
+    size, at, rest, number = f.size(), 0, b"", 0
+
+    def more() -> bytes:
+        nonlocal at
+        out = f.read_at(min(size - at, 1 << 20), at) if at < size else b""
+        at += len(out)
+        return out
+
+    while rest := rest or more():
+        d, out = zlib.decompressobj(31), []
+        while rest and not d.eof:
+            out.append(d.decompress(rest))
+            rest = d.unused_data if d.eof else more()
+        yield number, b"".join(out)
+        number += 1
 
 
 class Stream:
     """Bytes on demand from blocks, so that a file is never inflated whole."""
 
-    def __init__(self, data: bytes) -> None:
-        self.blocks, self.rest = inflated(data), b""
+    def __init__(self, source: Iterator[tuple[int, bytes]]) -> None:
+        self.source, self.block, self.data, self.at, self.ended = source, 0, b"", 0, False
+
+    def place(self) -> tuple[int, int] | None:
+        """Block and place in it of the next byte, None at the end."""
+        while self.at >= len(self.data):
+            found = next(self.source, None)
+            if found is None:
+                return None
+            self.block, self.data, self.at = *found, 0
+        return self.block, self.at
 
     def take(self, n: int) -> bytes:
-        while len(self.rest) < n:
-            block = next(self.blocks, None)
-            if block is None:
-                return b""
-            self.rest += block
-        out, self.rest = self.rest[:n], self.rest[n:]
-        return out
+        out = self.data[self.at : self.at + n]
+        self.at += len(out)
+        if len(out) == n:
+            return out
+        parts, n = [out], n - len(out)
+        while n and self.place():
+            parts.append(self.data[self.at : self.at + n])
+            self.at += len(parts[-1])
+            n -= len(parts[-1])
+        return b"".join(parts)
 
 
 def tags_of(raw: bytes) -> list[tuple[str, str]]:
@@ -65,8 +143,8 @@ def tags_of(raw: bytes) -> list[tuple[str, str]]:
     return found
 
 
-def records(data: bytes, file: str) -> Iterator[dict]:
-    stream = Stream(data)
+def header(stream: Stream, file: str) -> list[str]:
+    """Names of the references; the stream stands at the first record after it."""
     if stream.take(4) != b"BAM\1":
         raise ValueError(f"not a BAM file: {file}")
     stream.take(struct.unpack("<i", stream.take(4))[0])
@@ -74,23 +152,93 @@ def records(data: bytes, file: str) -> Iterator[dict]:
     for _ in range(struct.unpack("<i", stream.take(4))[0]):
         chroms.append(stream.take(struct.unpack("<i", stream.take(4))[0])[:-1].decode())
         stream.take(4)
-    ord_ = 0
-    while head := stream.take(4):
-        raw = stream.take(struct.unpack("<i", head)[0])
+    return chroms
+
+
+def starts_record(data: bytes, at: int, chroms: int) -> int | None:
+    """Size of what looks like a whole record at this place, with its size field; None where none can start."""
+    if len(data) < at + 36:
+        return None
+    size, ref, pos, n_name, _, _, n_cigar, _, n_seq, next_ref, next_pos = struct.unpack_from("<iiiBBHHHiii", data, at)
+    if not (-1 <= ref < chroms and -1 <= next_ref < chroms and pos >= -1 and next_pos >= -1 and n_name > 0 and n_seq >= 0):
+        return None
+    if size < 32 + n_name + 4 * n_cigar + (n_seq + 1) // 2 + n_seq:
+        return None
+    name = data[at + 36 : at + 36 + n_name]
+    if len(name) < n_name or name[-1] or any(not 33 <= c <= 126 for c in name[:-1]):
+        return None
+    return None if any(c & 15 > 8 for c in data[at + 36 + n_name : at + 36 + n_name + 4 * n_cigar : 4]) else size + 4
+
+
+#: Records in a row that must look right where reading starts inside a file.
+IN_A_ROW = 8
+
+
+def first_record(f: pa.NativeFile, at: int, size: int, chroms: int) -> tuple[int, int] | None:
+    """Block and place in it of the first record that starts in a block at `at` or after it.
+
+    A place is taken if records that look right follow each other from it on, so many or up to the file's end.
+    """
+    data, places, upto = bytearray(), [], 0
+    source = blocks(f, first_block(f, at, size), size)
+
+    def holds(n: int) -> bool:
+        while len(data) < n:
+            found = next(source, None)
+            if found is None:
+                return False
+            places.append((len(data), found[0]))
+            data.extend(found[1])
+        return True
+
+    while holds(upto + 1):
+        here, seen = upto, 0
+        while seen < IN_A_ROW and (holds(here + 512) or here < len(data)):
+            step = starts_record(data, here, chroms)
+            if step is None or not holds(here + step):
+                break
+            here, seen = here + step, seen + 1
+        if seen >= IN_A_ROW or seen and here == len(data):
+            start, block = max(p for p in places if p[0] <= upto)
+            return block, upto - start
+        upto += 1
+    return None
+
+
+def records(file: str, at: int, upto: int) -> Iterator[dict]:
+    """The records that start in the blocks from `at` up to before `upto`."""
+    f = opened(file)
+    size = f.size()
+    blocked = block_size(f.read_at(min(size, 512), 0)) is not None
+    if not blocked and at > 0:
+        return
+    stream = Stream(blocks(f, 0, size) if blocked else members(f))
+    chroms = header(stream, file)
+    place = stream.place()
+    if blocked and place is not None and at > place[0]:
+        place = first_record(f, at, size, len(chroms))
+        if place is not None:
+            stream = Stream(blocks(f, place[0], size))
+            stream.place()
+            stream.at = place[1]
+    began = place is not None and place[0] < upto
+    while place is not None and (not blocked or place[0] < upto):
+        raw = stream.take(struct.unpack("<i", stream.take(4))[0])
         ref, pos, n_name, _, _, n_cigar, flag, n_seq = struct.unpack_from("<iiBBHHHi", raw)
-        at = 32 + n_name
-        cigar = struct.unpack_from(f"<{n_cigar}I", raw, at)
+        after = 32 + n_name
+        cigar = struct.unpack_from(f"<{n_cigar}I", raw, after)
         span = sum(c >> 4 for c in cigar if c & 15 in (0, 2, 3, 7, 8))
-        at += 4 * n_cigar
-        packed = raw[at : at + (n_seq + 1) // 2]
-        seq = "".join(BASES[b >> 4] + BASES[b & 15] for b in packed)[:n_seq]
-        at += len(packed)
-        qual = "".join(chr(q + 33) for q in raw[at : at + n_seq]) if raw[at : at + 1] != b"\xff" else ""
+        after += 4 * n_cigar
+        packed = raw[after : after + (n_seq + 1) // 2]
+        after += len(packed)
+        qual = raw[after : after + n_seq].translate(SHIFTED).decode() if raw[after : after + 1] != b"\xff" else ""
         yield {
-            "file": file, "ord": ord_, "name": raw[32 : 31 + n_name].decode(), "chrom": chroms[ref] if 0 <= ref < len(chroms) else None, "pos": pos,
-            "end_pos": pos + (span or 1), "flag": flag, "seq": seq, "qual": qual, "tags": tags_of(raw[at + n_seq :]),
+            "file": file, "ord": place[0] << (16 if blocked else 40) | place[1], "name": raw[32 : 31 + n_name].decode(), "chrom": chroms[ref] if 0 <= ref < len(chroms) else None, "pos": pos,
+            "end_pos": pos + (span or 1), "flag": flag, "seq": "".join(map(PAIRS.__getitem__, packed))[:n_seq], "qual": qual, "tags": tags_of(raw[after + n_seq :]),
         }
-        ord_ += 1
+        place = stream.place()
+    if blocked and began and place is not None and first_record(f, upto, size, len(chroms)) != place:
+        raise ValueError(f"records of {file} cannot be told apart at {upto}: read it with another split size")
 
 
 def primary(flag: Column) -> Column:
@@ -98,24 +246,29 @@ def primary(flag: Column) -> Column:
     return flag.bitwiseAND(F.lit(UNMAPPED | SECONDARY)) == 0
 
 
-def read_bam(spark: SparkSession, path: str | list[str], all_records: bool = False) -> DataFrame:
+def read_bam(spark: SparkSession, path: str | list[str], all_records: bool = False, split: int = 1 << 24) -> DataFrame:
     """Alignments (0-based pos, exclusive end_pos), by default those that are mapped and primary; a reference that the
-    header lacks gives a null chrom. Files are read by one task each and must be below 2 GB, Spark's limit for a value.
+    header lacks gives a null chrom. `ord` grows along a file.
+
+    A task reads `split` bytes of a file: it looks for the first block and the first record there and reads on to the
+    first record of the next range, which must be where that range's task starts; files may have any size. Files whose
+    blocks lack their sizes are read by one task each. Paths are opened by Arrow's file systems.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for file, data in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            for file, at in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 rows = []
-                for r in records(data.as_py(), file):
+                for r in records(file, at, at + split):
                     rows.append(r)
                     if len(rows) == 5000:
                         yield pa.RecordBatch.from_pylist(rows, ARROW)
                         rows = []
                 yield pa.RecordBatch.from_pylist(rows, ARROW)
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    rows = files.repartition(max(1, files.count())).mapInArrow(run, SCHEMA)
+    files = spark.read.format("binaryFile").load(path).select("path", "length")
+    ranges = files.select("path", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(split).cast("long"))).alias("at"))
+    rows = ranges.repartitionByRange(max(1, ranges.count()), "path", "at").mapInArrow(run, SCHEMA)
     return rows if all_records else rows.filter(primary(F.col("flag")))
 
 

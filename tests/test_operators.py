@@ -188,6 +188,34 @@ def test_bam(spark, tmp_path):
     assert bam.read_bam(spark, str(tmp_path / "x.bam"), all_records=True).count() == 3
 
 
+def encode_blocked(body, size):
+    out = b""
+    for part in [body[i : i + size] for i in range(0, len(body), size)] + [b""]:
+        z = zlib.compressobj(6, zlib.DEFLATED, -15)
+        packed = z.compress(part) + z.flush()
+        head = b"\x1f\x8b\x08\x04" + bytes(6) + struct.pack("<H", 6) + b"BC" + struct.pack("<HH", 2, len(packed) + 25)
+        out += head + packed + struct.pack("<II", zlib.crc32(part), len(part))
+    return out
+
+
+@pytest.mark.parametrize("size", [97, 400, 5000])
+def test_bam_in_ranges(spark, tmp_path, size):
+    rnd = random.Random(size)
+    letters = lambda n: "".join(rnd.choice("ACGTN") for _ in range(n))
+    rows = [(f"r{i}:{letters(4)}", rnd.randint(-1, 0), rnd.randint(0, 900), rnd.choice((0, 4, 16, 256)), letters(rnd.randint(1, 150)), {"CB": letters(16), "UB": letters(10)}) for i in range(1500)]
+    body = zlib.decompressobj(31)
+    plain, rest = b"", encode_bam(rows)
+    while rest:
+        body = zlib.decompressobj(31)
+        plain, rest = plain + body.decompress(rest), body.unused_data
+    (tmp_path / "x.bam").write_bytes(encode_blocked(plain, size))
+    whole = [r for r in bam.read_bam(spark, str(tmp_path), all_records=True, split=1 << 30).orderBy("ord").collect()]
+    assert [(r["name"], r["seq"], r["flag"], r["tags"]["CB"]) for r in whole] == [(n, q, f, t["CB"]) for n, _, _, f, q, t in rows]
+    split = bam.read_bam(spark, str(tmp_path), all_records=True, split=4000)
+    assert split.rdd.getNumPartitions() > 10
+    assert split.orderBy("ord").collect() == whole
+
+
 def test_annotation_params_whitelist(spark, tmp_path):
     gtf = tmp_path / "a.gtf"
     gtf.write_text('#x\nchr1\tunknown\texon\t878633\t878757\t.\t+\t2\tgene_id "SAMD11"; gene_name "SAMD11"; transcript_id "NM_152486";\nchr1\tu\tCDS\t1\t2\t.\t+\t.\tgene_id "x";\n')
