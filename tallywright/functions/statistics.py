@@ -7,6 +7,7 @@ probabilities is small whatever the number of reads.
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import Column
@@ -104,6 +105,63 @@ def error_number_probability(errors: int, reads: int, error: float, collisions:
     return sum(binomial_pmf(i, reads, error) * collisions[errors, i] for i in range(errors, reads + 1)) if errors <= reads else 0.0
 
 
+def error_numbers(neighbours: int, reads: int, error: float) -> np.ndarray:
+    """m[e, r]: probability that r reads of one molecule give e distinct erroneous identifiers, e up to `neighbours`."""
+    hit = neighbour_matrix(1.0, neighbours + 1, reads)[: neighbours + 1]
+    m = np.zeros((neighbours + 1, reads + 1))
+    m[0, 0] = 1.0
+    steps = np.arange(reads + 1)
+    log_factorial = np.concatenate(([0.0], np.cumsum(np.log(np.arange(1, reads + 1)))))
+    p = min(max(error, 1e-300), 1 - 1e-16)
+    for r in range(1, reads + 1):
+        i = steps[: r + 1]
+        wrong = np.exp(log_factorial[r] - log_factorial[i] - log_factorial[r - i] + i * math.log(p) + (r - i) * math.log1p(-p))
+        m[:, r] = hit[:, : r + 1] @ wrong
+    return m
+
+
+def adjusted_error_prior(prior: np.ndarray, larger: int, most: int) -> np.ndarray:
+    """Probability of seeing 0, 1, ... erroneous identifiers where some fall on identifiers that are there already.
+
+    prior: probability of so many errors; of e errors each meets one of the present neighbours (smaller and larger ones)
+    with their share of the `most` neighbours."""
+    m = len(prior) - 1
+    present = min(1.0, (m + larger) / most)
+    return np.array([sum(prior[e] * binomial_pmf(e - seen, e, present) for e in range(seen, m + 1)) for seen in range(m + 1)])
+
+
+@lru_cache(maxsize=1 << 16)
+def neighbours_hit(probability: float, neighbours: int, draws: int) -> tuple[float, ...]:
+    """The last column of neighbour_matrix(), by powers of one draw's transition."""
+    i = np.arange(neighbours + 1)
+    come = probability * (1 - i / neighbours)
+    return tuple(np.linalg.matrix_power(np.diag(1 - come) + np.diag(come[:-1], -1), draws)[:, 0])
+
+
+def neighbours_beyond(probability: float, neighbours: int, draws: int, larger: int, smaller: int | None = None, kind: str = "raw") -> np.ndarray:
+    """Distribution of how many more neighbours than the `larger` known ones are hit by so many draws.
+
+    kind: `raw` the probabilities of 0, 1, ...; `tail` of at least so many; `ratio` with `smaller`, the tail up to
+    that number over the head before it.
+    """
+    beyond = np.array(neighbours_hit(probability, neighbours, draws))[larger:]
+    total = beyond.sum()
+    if kind == "raw" and total < 1e-10:
+        return np.concatenate(([1.0], beyond[1:]))
+    beyond = beyond / (total if total >= 1e-10 else 1.0)
+    if kind == "raw":
+        return beyond
+    if kind == "tail":
+        return np.cumsum(beyond[::-1])[::-1]
+    if smaller is None or larger + smaller > neighbours:
+        raise ValueError("the number of smaller neighbours does not fit")
+    head = np.cumsum(beyond[: smaller + 1])
+    if head[-1] < 1e-20:
+        head = np.full(smaller + 1, 1e10)
+    tail = np.cumsum(beyond[smaller:0:-1])[::-1]
+    return np.concatenate(([0.0], tail / head[:smaller]))
+
+
 def normal_bandwidth(data: np.ndarray) -> np.ndarray:
     """Bandwidth matrix of the normal-scale rule."""
     n, d = data.shape

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -16,8 +19,8 @@ GROUP = ["cb", "gene"]
 
 def apply_targets(molecules: DataFrame, targets: DataFrame) -> DataFrame:
     """molecules with identifiers replaced by targets(cb, gene, umi, target), joined again."""
-    rows = molecules.join(targets, KEY, "left").withColumn("umi", F.coalesce("target", "umi")).drop("target")
-    return merged_molecules(rows)
+    rows = molecules.join(targets, KEY, "left").withColumn("_source", F.struct(F.coalesce(F.col("target") != F.col("umi"), F.lit(False)), "umi"))
+    return merged_molecules(rows.withColumn("umi", F.coalesce("target", "umi")).drop("target"))
 
 
 def unknown_base_targets(molecules: DataFrame, max_distance: int = 1) -> DataFrame:
@@ -48,14 +51,47 @@ def directional_pairs(molecules: DataFrame, multiplier: float = 2.0) -> DataFram
     return best.select(*KEY, F.col("other").alias("target"))
 
 
+def followed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted (cb, gene, umi, target): the targets at the ends of their chains."""
+    at, chain = None, {}
+
+    def close() -> pa.RecordBatch:
+        ends = {}
+        for src in chain:
+            path = [src]
+            while path[-1] in chain and path[-1] not in ends:
+                path.append(chain[path[-1]])
+            for x in path[:-1]:
+                ends[x] = ends.get(path[-1], path[-1])
+        columns = [[at[0]] * len(ends), [at[1]] * len(ends), list(ends), list(ends.values())]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], [*KEY, "target"])
+
+    for b in batches:
+        for cb, gene, umi, target in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if (cb, gene) != at:
+                if chain:
+                    yield close()
+                at, chain = (cb, gene), {}
+            chain[umi] = target
+    if chain:
+        yield close()
+
+
 def directional_targets(molecules: DataFrame, multiplier: float = 2.0, max_distance: int = 1) -> DataFrame:
     """(cb, gene, umi, target) of the directional rule for any distance and with N, chains followed from the top.
 
-    Groups are the identifiers of one gene in one cell; those of one identifier without N stay out of Python.
+    At distance 1 (and a multiplier above 1), genes whose identifiers have no N and one length go by an equi-join on
+    spelled-out neighbours; others are compared within their group, the identifiers of one gene in one cell.
     """
-    wild = F.contains("umi", F.lit("N"))
-    sizes = molecules.groupBy(*GROUP).agg(F.count("*").alias("_n"), F.max(wild).alias("_wild")).filter("_n > 1 or _wild").select(*GROUP)
-    rows = molecules.join(sizes, GROUP, "left_semi").select(*KEY, "reads", filled(F.col("umi"), F.col("cb"), F.col("gene")).alias("fill"))
+    wild, group_ = F.contains("umi", F.lit("N")), W.partitionBy(*GROUP)
+    size = F.length("umi")
+    flagged = molecules.select(*KEY, "reads").withColumns(
+        {"_several": F.count("*").over(group_) > 1, "_plain": ~F.max(wild).over(group_) & (F.min(size).over(group_) == F.max(size).over(group_))}
+    )
+    plain = F.col("_plain") if max_distance == 1 and multiplier > 1 else F.lit(False)
+    pairs = directional_pairs(flagged.filter(plain & F.col("_several")).select(*KEY, "reads"), multiplier)
+    found = pairs.repartition(*GROUP).sortWithinPartitions(*GROUP).mapInArrow(followed, "cb string, gene string, umi string, target string")
+    rows = flagged.filter(~plain & (F.col("_several") | wild)).select(*KEY, "reads", filled(F.col("umi"), F.col("cb"), F.col("gene")).alias("fill"))
 
     def group(df: pd.DataFrame) -> pd.DataFrame:
         df = df.sort_values(["reads", "umi"], ascending=[True, False])  # of equal reads the smaller identifier comes first from the top
@@ -81,7 +117,7 @@ def directional_targets(molecules: DataFrame, multiplier: float = 2.0, max_dista
         rows = [(df["cb"].iloc[0], df["gene"].iloc[0], src, dst) for src, dst in targets.items()]
         return pd.DataFrame(rows, columns=[*KEY, "target"], dtype=object)
 
-    return rows.groupBy(*GROUP).applyInPandas(group, "cb string, gene string, umi string, target string")
+    return found.unionByName(rows.groupBy(*GROUP).applyInPandas(group, "cb string, gene string, umi string, target string"))
 
 
 def neighbour_counts(molecules: DataFrame) -> DataFrame:

@@ -36,19 +36,27 @@ def binned(intervals: DataFrame, start: str, end: str, width: int = BIN) -> Data
     return intervals.filter(F.col(end) > F.col(start)).withColumn("_bin", F.explode(F.sequence(first, last)))
 
 
-def lookup(points: DataFrame, intervals: DataFrame, at: str, start: str, end: str, group: str = "chrom", width: int = BIN, how: str = "inner") -> DataFrame:
-    """Each point with the intervals of its group that hold it: an equi-join on group and bin, then the bounds."""
+def lookup(points: DataFrame, intervals: DataFrame, at: str, start: str, end: str, group: str = "chrom", width: int = BIN, how: str = "inner", also: Column | None = None) -> DataFrame:
+    """Each point with the intervals of its group that hold it: an equi-join on group and bin (and what `also` equates),
+    then the bounds."""
     inside = (F.col(at) >= F.col(start)) & (F.col(at) < F.col(end))
     left = points.withColumn("_point_bin", F.floor(F.col(at) / width))
     right = binned(intervals, start, end, width).withColumnRenamed(group, "_group")
     on = (F.col(group) == F.col("_group")) & (F.col("_point_bin") == F.col("_bin")) & inside
+    on = on if also is None else on & also
     return left.join(right, on, how).drop("_group", "_bin", "_point_bin")
 
 
 def transcript_extents(annotation: DataFrame) -> DataFrame:
     """chrom, transcript_id, gene_name, start_pos, end_pos; a transcript of two genes raises."""
+    return extents_with_introns(annotation).drop("introns")
+
+
+def extents_with_introns(annotation: DataFrame) -> DataFrame:
+    """transcript_extents() with `introns`: whether any are listed for the transcript."""
     extents = annotation.groupBy("chrom", "transcript_id").agg(
-        F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos"), F.count_distinct("gene_name").alias("_n"), F.min("gene_name").alias("gene_name")
+        F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos"), F.count_distinct("gene_name").alias("_n"), F.min("gene_name").alias("gene_name"),
+        F.max(F.col("kind") == "intron").alias("introns") if "kind" in annotation.columns else F.lit(False).alias("introns"),
     )
     wrong = F.raise_error(F.concat(F.lit("transcript of two genes: "), F.col("transcript_id"))).cast("string")
     return extents.withColumn("gene_name", F.when(F.col("_n") > 1, wrong).otherwise(F.col("gene_name"))).drop("_n")
@@ -60,15 +68,12 @@ def genes_at(points: DataFrame, annotation: DataFrame, at: str = "at") -> DataFr
     A transcript that holds a point with neither an exon nor a listed intron there counts as INTRON where no introns are
     listed for it.
     """
-    extents = transcript_extents(annotation).select("chrom", "transcript_id", "gene_name", F.col("start_pos").alias("ta"), F.col("end_pos").alias("tb"))
-    held = lookup(points.select("id", "chrom", F.col(at).alias("at")), extents, "at", "ta", "tb").select("id", "chrom", "at", "transcript_id", "gene_name")
+    extents = extents_with_introns(annotation).select("chrom", "transcript_id", "gene_name", "introns", F.col("start_pos").alias("ta"), F.col("end_pos").alias("tb"))
+    held = lookup(points.select("id", "chrom", F.col(at).alias("at")), extents, "at", "ta", "tb").select("id", "chrom", "at", "transcript_id", "gene_name", "introns")
     parts = annotation.select("chrom", F.col("transcript_id").alias("_t"), F.col("start_pos").alias("a"), F.col("end_pos").alias("b"), "kind")
-    code = F.when(F.col("kind") == "intron", INTRON).otherwise(EXON)
-    hits = lookup(held, parts, "at", "a", "b").filter("transcript_id = _t").select("id", "transcript_id", "gene_name", code.alias("kind"))
-    listed = annotation.filter("kind = 'intron'").select("transcript_id").distinct()
-    bare = held.select("id", "transcript_id", "gene_name").join(hits.select("id", "transcript_id").distinct(), ["id", "transcript_id"], "left_anti")
-    bare = bare.join(listed, "transcript_id", "left_anti").select("id", "gene_name", F.lit(INTRON).alias("kind"))
-    return hits.select("id", "gene_name", "kind").unionByName(bare).distinct().withColumnRenamed("gene_name", "gene")
+    met = lookup(held, parts, "at", "a", "b", how="left", also=F.col("transcript_id") == F.col("_t"))
+    code = F.when(F.col("kind") == "intron", INTRON).when(F.col("kind").isNotNull(), EXON).when(~F.col("introns"), INTRON)
+    return met.select("id", F.col("gene_name").alias("gene"), code.alias("kind")).filter("kind is not null").distinct()
 
 
 def resolve(first: Column, last: Column) -> Column:

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from tallywright.functions.sequences import edit_distance, find_spacer
 
+from .tables import with_once
+
 OK, SHORT = "ok", "short"
 
 
@@ -54,7 +56,7 @@ def parsed(reads: DataFrame, outcome: Column, gene: int, **parts: Column) -> Dat
     kept = {name: F.when(fine, value) for name, value in parts.items()}
     kept.setdefault("tail", F.lit(""))
     gene_parts = {} if "seq" in kept else {"seq": F.col(f"seq{gene}"), "qual": F.col(f"qual{gene}")}
-    return reads.withColumn("outcome", outcome).withColumns(kept | gene_parts)
+    return with_once(with_once(reads, {"outcome": outcome}), kept | gene_parts)
 
 
 def two_barcode_reads(reads: DataFrame, c: Layout) -> DataFrame:
@@ -73,7 +75,9 @@ def two_barcode_reads_with_tag(reads: DataFrame, c: Layout) -> DataFrame:
     near = edit_distance(F.col("seq4"), F.lit(c.library_tag), wildcard=False) <= c.max_tag_edits
     found = two_barcode_reads(reads, c)
     names = ["cb", "cb_qual", "umi", "umi_qual", "tail"]
-    return found.withColumns({n: F.when(near, F.col(n)) for n in names} | {"outcome": F.when(near, F.col("outcome")).otherwise("other_library")})
+    found = with_once(found, {"_near": near})
+    near = F.col("_near")
+    return found.withColumns({n: F.when(near, F.col(n)) for n in names} | {"outcome": F.when(near, F.col("outcome")).otherwise("other_library")}).drop("_near")
 
 
 def spacer_reads(reads: DataFrame, c: Layout) -> DataFrame:

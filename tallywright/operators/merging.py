@@ -6,34 +6,88 @@ target excludes the cell. Ties go by total orders, so results do not depend on p
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallywright.functions import statistics as st
-from tallywright.functions.sequences import edit_distance
+from tallywright.functions.sequences import BASES, edit_distance
 
 from .molecules import merged_molecules
+from .tables import numbered, stored, with_once
 
 #: Whitelist candidates further than this are not looked at.
 MAX_WHITELIST_DISTANCE = 5
 
 
-def shared_molecules(molecules: DataFrame, size: str = "n_genes", cells: DataFrame | None = None) -> DataFrame:
-    """cb_a, cb_b, shared: (gene, umi) pairs two different cells have in common.
+def shared_molecules(molecules: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+    """cb_a, cb_b, shared: (gene, umi) pairs two different cells have in common, where there are any.
 
-    A (gene, umi) of m cells gives m * (m - 1) pairs; with cells, only pairs in which b is not the smaller one.
+    With pairs(cb_a, cb_b), only of those: each cell's molecules are looked up in its partners. Without, all pairs of
+    cells are asked for, and a (gene, umi) of m cells gives m * (m - 1) of them.
     """
     keys = ["gene", "umi"]
     rows = molecules.select(*keys, "cb").distinct()
-    if cells is not None:
-        rows = rows.join(cells.select("cb", F.col(size).alias("_size")), "cb")
+    a, b = rows.withColumnRenamed("cb", "cb_a"), rows.withColumnRenamed("cb", "cb_b")
+    if pairs is None:
+        met = a.join(b, keys).filter("cb_a != cb_b")
     else:
-        rows = rows.withColumn("_size", F.lit(0))
-    a, b = rows.select(*keys, F.col("cb").alias("cb_a"), F.col("_size").alias("_a")), rows.select(*keys, F.col("cb").alias("cb_b"), F.col("_size").alias("_b"))
-    pairs = a.join(b, keys).filter((F.col("cb_a") != F.col("cb_b")) & (F.col("_b") >= F.col("_a")))
-    return pairs.groupBy("cb_a", "cb_b").agg(F.count("*").alias("shared"))
+        met = pairs.select("cb_a", "cb_b").filter("cb_a != cb_b").distinct().join(a, "cb_a").join(b, ["cb_b", *keys])
+    return met.groupBy("cb_a", "cb_b").agg(F.count("*").alias("shared"))
+
+
+def spelled_out(piece: Column) -> Column:
+    """The pieces without N that a piece may stand for."""
+    bases = F.array(*[F.lit(b) for b in BASES])
+    rest = lambda p: F.substring(p, F.instr(p, "N") + 1, F.length(p))
+    fill = lambda p: F.when(F.contains(p, F.lit("N")), F.transform(bases, lambda b: F.concat(F.substring_index(p, "N", 1), b, rest(p)))).otherwise(F.array(p))
+    filled = F.aggregate(F.sequence(F.lit(1), F.length(piece)), F.array(piece), lambda acc, _: F.flatten(F.transform(acc, fill)))
+    return F.when(F.contains(piece, F.lit("N")), filled).otherwise(F.array(piece))
+
+
+def near_strings(left: DataFrame, a: str, right: DataFrame, b: str, k: int) -> DataFrame:
+    """(a, b, distance) for the strings of two tables that are at most k edits apart; N equals anything.
+
+    Of the k + 1 pieces of a string one stands unchanged in a string within k edits, shifted by at most k places: pieces
+    are the join keys. Strings of at most k bases have no such pieces; there are at most 5 ** k of them.
+    """
+    part = lambda s, at, size: F.substring(s, at + 1, size)
+    ones, others = left.select(F.col(a).alias("_a")).distinct(), right.select(F.col(b).alias("_b")).distinct()
+    edge = lambda i: F.floor(i * F.length("_a") / (k + 1)).cast("int")
+    pieces = F.transform(F.sequence(F.lit(0), F.lit(k)), lambda i: F.struct(edge(i).alias("at"), part(F.col("_a"), edge(i), edge(i + 1) - edge(i)).alias("piece")))
+    cut = ones.filter(F.length("_a") > k).select("_a", F.inline(pieces)).select("_a", F.col("at").alias("_at"), F.explode(spelled_out(F.col("piece"))).alias("_piece"))
+    n = F.length("_b")
+    sizes = F.sequence(F.greatest(F.lit(1), F.floor((n - k) / (k + 1)).cast("int")), (F.floor((n + k) / (k + 1)) + 1).cast("int"))
+    starts = others.select("_b", F.explode(sizes).alias("_size")).filter(n >= F.col("_size")).select("_b", "_size", F.explode(F.sequence(F.lit(0), n - F.col("_size"))).alias("_bat"))
+    windows = starts.select("_b", "_bat", F.explode(spelled_out(part(F.col("_b"), F.col("_bat"), F.col("_size")))).alias("_piece"))
+    met = cut.join(windows, "_piece").filter(F.abs(F.col("_at") - F.col("_bat")) <= k).select("_a", "_b").distinct()
+    short = ones.filter(F.length("_a") <= k)
+    met = met.unionByName(others.crossJoin(F.broadcast(short)).select("_a", "_b"))
+    near = with_once(met, {"distance": edit_distance(F.col("_a"), F.col("_b"))}).filter(F.col("distance") <= k)
+    return near.select(F.col("_a").alias(a), F.col("_b").alias(b), "distance")
+
+
+#: Up to this distance barcodes are paired by their pieces; beyond it pieces are too short to tell barcodes apart.
+PIECED = 3
+
+
+def neighbouring(molecules: DataFrame, cells: DataFrame, k: int) -> DataFrame:
+    """cb_a, cb_b, shared: cells with molecules in common, b of no fewer genes, barcodes at most k edits apart.
+
+    Barcodes are compared before molecules are, so a molecule that very many cells have costs no pairs of cells.
+    """
+    sizes = cells.select("cb", "n_genes")
+    side = lambda x: sizes.select(F.col("cb").alias(f"cb_{x}"), F.col("n_genes").alias(f"_{x}"))
+    if k <= PIECED:
+        near = near_strings(sizes.withColumnRenamed("cb", "cb_a"), "cb_a", sizes.withColumnRenamed("cb", "cb_b"), "cb_b", k)
+        near = near.join(side("a"), "cb_a").join(side("b"), "cb_b").filter("_b >= _a")
+        return shared_molecules(molecules.join(sizes, "cb", "left_semi"), near)
+    shared = shared_molecules(molecules.join(sizes, "cb", "left_semi")).join(side("a"), "cb_a").join(side("b"), "cb_b").filter("_b >= _a")
+    return shared.filter(edit_distance(F.col("cb_a"), F.col("cb_b")) <= k).select("cb_a", "cb_b", "shared")
 
 
 def with_sizes(pairs: DataFrame, cells: DataFrame) -> DataFrame:
@@ -56,9 +110,8 @@ def simple_targets(molecules: DataFrame, cells: DataFrame, max_distance: int, mi
 
     Ties go to more genes, then to the smaller barcode.
     """
-    pairs = with_sizes(shared_molecules(molecules, cells=cells), cells).withColumn("fraction", overlap())
-    near = pairs.filter(edit_distance(F.col("cb_a"), F.col("cb_b")) < max_distance)
-    best = best_of(near, F.desc(F.round("fraction", 5)), F.desc("genes_b"), F.asc("cb_b")).filter(F.col("fraction") >= min_fraction)
+    pairs = with_sizes(neighbouring(molecules, cells, max_distance - 1), cells).withColumn("fraction", overlap())
+    best = best_of(pairs, F.desc(F.round("fraction", 5)), F.desc("genes_b"), F.asc("cb_b")).filter(F.col("fraction") >= min_fraction)
     return cells.select("cb").join(best.select(F.col("cb_a").alias("cb"), "cb_b"), "cb", "left").select(F.col("cb").alias("cb_from"), F.coalesce("cb_b", "cb").alias("cb_to"))
 
 
@@ -76,7 +129,7 @@ def whitelist_candidates(cells: DataFrame, whitelist: DataFrame, lengths: list[i
     for k in range(len(parts)):
         mine = whitelist.filter(F.col("part") == k).select(F.col("barcode").alias("_b"))
         seen = rows.select(F.col(f"p{k}").alias("_p")).distinct()
-        near = seen.join(F.broadcast(mine)).withColumn("_d", edit_distance(F.col("_p"), F.col("_b"))).filter(F.col("_d") <= MAX_WHITELIST_DISTANCE)
+        near = near_strings(seen, "_p", mine, "_b", MAX_WHITELIST_DISTANCE).withColumnRenamed("distance", "_d")
         rows = rows.join(near, F.col(f"p{k}") == F.col("_p")).filter(F.col("distance") + F.col("_d") <= MAX_WHITELIST_DISTANCE)
         rows = rows.withColumns({"barcode": F.concat("barcode", "_b"), "distance": F.col("distance") + F.col("_d")}).drop("_p", "_b", "_d")
     return rows.select("cb", "barcode", "distance")
@@ -99,7 +152,7 @@ def whitelist_targets(molecules: DataFrame, cells: DataFrame, candidates: DataFr
     """With a whitelist: a cell that is on it stays; else the neighbour of the largest overlap, if that reaches
     min_fraction; else the cell is excluded (null)."""
     near = whitelist_neighbours(cells, candidates)
-    shared = shared_molecules(molecules)
+    shared = shared_molecules(molecules, near)
     pairs = with_sizes(near.join(shared, ["cb_a", "cb_b"], "left").fillna(0, ["shared"]), cells).withColumn("fraction", overlap())
     itself = F.col("cb_a") == F.col("cb_b")
     best = best_of(pairs, F.desc(itself), F.desc("fraction"), F.asc("cb_b")).filter(itself | (F.col("fraction") >= min_fraction))
@@ -107,18 +160,10 @@ def whitelist_targets(molecules: DataFrame, cells: DataFrame, candidates: DataFr
 
 
 def all_targets(cells: DataFrame, max_distance: int) -> DataFrame:
-    """Every larger cell near enough is a candidate: the nearest, then the largest, then the smaller barcode.
-
-    Barcodes within k edits share one of k + 1 pieces, shifted by at most k places: pieces are the join keys.
-    """
-    k = max_distance
-    size = F.ceil(F.length("cb") / (k + 1)).cast("int")
-    pieces = F.transform(F.sequence(F.lit(0), F.lit(k)), lambda i: F.struct((i * size).alias("at"), F.substring(F.col("cb"), i * size + 1, size).alias("piece")))
-    windows = F.transform(F.sequence(F.lit(0), F.length("cb") - 1), lambda i: F.struct(i.alias("at"), F.substring(F.col("cb"), i + 1, size).alias("piece")))
-    a = cells.select(F.col("cb").alias("cb_a"), F.col("n_umis").alias("_a"), F.explode(pieces).alias("p")).select("cb_a", "_a", F.col("p.at").alias("at_a"), "p.piece")
-    b = cells.select(F.col("cb").alias("cb_b"), F.col("n_umis").alias("_b"), F.explode(windows).alias("p")).select("cb_b", "_b", F.col("p.at").alias("at_b"), "p.piece")
-    met = a.join(b, "piece").filter((F.abs(F.col("at_a") - F.col("at_b")) <= k) & (F.col("_b") > F.col("_a"))).select("cb_a", "cb_b", "_b").distinct()
-    near = met.withColumn("distance", edit_distance(F.col("cb_a"), F.col("cb_b"))).filter(F.col("distance") <= k)
+    """Every larger cell near enough is a candidate: the nearest, then the largest, then the smaller barcode."""
+    sizes = cells.select("cb", "n_umis")
+    side = lambda x: sizes.select(F.col("cb").alias(f"cb_{x}"), F.col("n_umis").alias(f"_{x}"))
+    near = near_strings(side("a"), "cb_a", side("b"), "cb_b", max_distance).join(side("a"), "cb_a").join(side("b"), "cb_b").filter("_b > _a")
     best = best_of(near, F.asc("distance"), F.desc("_b"), F.asc("cb_b"))
     return cells.select(F.col("cb").alias("cb_from")).join(best.select(F.col("cb_a").alias("cb_from"), "cb_b"), "cb_from", "left").select("cb_from", F.coalesce("cb_b", "cb_from").alias("cb_to"))
 
@@ -127,21 +172,25 @@ def chance_overlap(molecules: DataFrame, pairs: DataFrame) -> DataFrame:
     """pairs(cb_a, cb_b, shared) with expected and p_value: how likely two cells share so many molecules by chance.
 
     Identifiers are drawn by their frequency; the number of molecules behind the distinct identifiers of a gene comes
-    from the collision table; expectations are looked up by pairs of gene sizes, which are few.
+    from the collision table; expectations are worked out once for each pair of gene sizes, of which there are few. Only
+    the histogram of frequencies (distinct counts) and the largest gene's size reach the driver.
     """
-    spark = molecules.sparkSession
     histogram = molecules.groupBy("umi").agg(F.count("*").alias("n")).groupBy("n").agg(F.count("*").alias("w")).orderBy("n").collect()
     total = sum(r["n"] * r["w"] for r in histogram)
     p, w = np.array([r["n"] / total for r in histogram]), np.array([r["w"] for r in histogram])
     genes = molecules.groupBy("cb", "gene").agg(F.count("*").alias("n"))
+    largest = genes.agg(F.max("n")).first()[0] or 1
+    table = st.collision_table(p, w, largest) if total else [1]
     a, b = genes.select(F.col("cb").alias("cb_a"), "gene", F.col("n").alias("na")), genes.select(F.col("cb").alias("cb_b"), "gene", F.col("n").alias("nb"))
     both = pairs.filter("shared > 0").select("cb_a", "cb_b").join(a, "cb_a").join(b, ["cb_b", "gene"])
     sized = both.groupBy("cb_a", "cb_b", F.least("na", "nb").alias("x"), F.greatest("na", "nb").alias("y")).agg(F.count("*").alias("c"))
-    sizes = sized.select("x", "y").distinct().collect()  # pairs of molecules per gene and cell
-    table = st.collision_table(p, w, max((r["y"] for r in sizes), default=1))
-    rows = [(r["x"], r["y"], st.expected_intersection(p, w, table[r["x"] - 1], table[r["y"] - 1])) for r in sizes]
-    expected = spark.createDataFrame(rows, "x long, y long, e double")
-    sums = sized.join(F.broadcast(expected), ["x", "y"]).groupBy("cb_a", "cb_b").agg(F.sum(F.col("c") * F.col("e")).alias("expected"))
+
+    def expect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for df in batches:
+            yield df.assign(e=[st.expected_intersection(p, w, table[x - 1], table[y - 1]) for x, y in zip(df["x"], df["y"], strict=True)])
+
+    expected = sized.select("x", "y").distinct().mapInPandas(expect, "x long, y long, e double")
+    sums = sized.join(expected, ["x", "y"]).groupBy("cb_a", "cb_b").agg(F.sum(F.col("c") * F.col("e")).alias("expected"))
     found = pairs.join(sums, ["cb_a", "cb_b"], "left").fillna(0.0, ["expected"])
     return found.withColumn("p_value", F.when(F.col("shared") == 0, 1.0).otherwise(st.poisson_upper(F.col("shared"), F.col("expected"))))
 
@@ -149,7 +198,7 @@ def chance_overlap(molecules: DataFrame, pairs: DataFrame) -> DataFrame:
 def poisson_simple_targets(molecules: DataFrame, cells: DataFrame, max_distance: int, threshold: float = 1e-7) -> DataFrame:
     """Without a whitelist: the candidate whose overlap is least likely by chance, if that is at most the threshold over
     the number of candidates; else the cell itself."""
-    pairs = shared_molecules(molecules, cells=cells).filter(edit_distance(F.col("cb_a"), F.col("cb_b")) <= max_distance)
+    pairs = neighbouring(molecules, cells, max_distance)
     judged = chance_overlap(molecules, pairs).withColumn("_n", F.count("*").over(W.partitionBy("cb_a")))
     best = best_of(judged, F.asc("p_value"), F.desc("shared"), F.asc("cb_b")).filter(F.col("p_value") <= threshold / F.col("_n"))
     return cells.select(F.col("cb").alias("cb_from")).join(best.select(F.col("cb_a").alias("cb_from"), "cb_b"), "cb_from", "left").select("cb_from", F.coalesce("cb_b", "cb_from").alias("cb_to"))
@@ -161,7 +210,7 @@ def poisson_whitelist_targets(molecules: DataFrame, cells: DataFrame, candidates
     near = whitelist_neighbours(cells, candidates, slack=True)
     listed = near.filter("cb_a = cb_b").select("cb_a", F.lit(True).alias("_listed")).distinct()
     others = near.filter("cb_a != cb_b")
-    pairs = others.join(shared_molecules(molecules), ["cb_a", "cb_b"], "left").fillna(0, ["shared"]).select("cb_a", "cb_b", "shared")
+    pairs = others.join(shared_molecules(molecules, others), ["cb_a", "cb_b"], "left").fillna(0, ["shared"]).select("cb_a", "cb_b", "shared")
     judged = chance_overlap(molecules, pairs).join(listed, "cb_a", "left").withColumn("_n", F.count("*").over(W.partitionBy("cb_a")) + F.coalesce(F.col("_listed").cast("int"), F.lit(0)))
     limit = F.when(F.col("_listed"), own).otherwise(other) / F.col("_n")
     best = best_of(judged, F.asc("p_value"), F.desc("shared"), F.asc("cb_b")).filter(F.col("p_value") <= limit).select(F.col("cb_a").alias("cb"), "cb_b")
@@ -178,7 +227,7 @@ def closure(targets: DataFrame, ranks: DataFrame, max_rounds: int = 40) -> DataF
     t = targets.join(ranks.select(F.col("cb").alias("cb_from"), "rank"), "cb_from")
     moves = t.filter("cb_to is not null and cb_to != cb_from").select("cb_from", "cb_to", "rank")
     ends = t.filter("cb_to is null or cb_to = cb_from").select(F.col("cb_from").alias("cb_from"), F.col("cb_to"))
-    spark = targets.sparkSession
+    moves, ends = stored(moves), stored(ends)
     walk = moves.select("cb_from", "cb_to", F.struct("rank", F.col("cb_from").alias("cb")).alias("top"))
     rounds = max(1, int(np.ceil(np.log2(max(2, moves.count())))) + 1)
     if rounds > max_rounds:
@@ -186,9 +235,10 @@ def closure(targets: DataFrame, ranks: DataFrame, max_rounds: int = 40) -> DataF
     for _ in range(rounds):
         step = walk.select(F.col("cb_from").alias("_mid"), F.col("cb_to").alias("_to"), F.col("top").alias("_top"))
         joined = walk.join(step, walk["cb_to"] == step["_mid"], "left")
-        walk = joined.select("cb_from", F.coalesce("_to", "cb_to").alias("cb_to"), F.greatest("top", "_top").alias("top"))
-        if spark.conf.get("spark.checkpoint.dir", None):
-            walk = walk.checkpoint()
+        moved = F.coalesce(F.col("_to") != F.col("cb_to"), F.lit(False))
+        walk = stored(joined.select("cb_from", F.coalesce("_to", "cb_to").alias("cb_to"), F.greatest("top", "_top").alias("top"), moved.alias("_moved")))
+        if not walk.filter("_moved").head(1):
+            break
     # what still moves after so many steps is on a cycle or leads to one; a cycle's own members know its highest rank
     stuck = walk.join(moves.select(F.col("cb_from").alias("_m")), walk["cb_to"] == F.col("_m"), "left_semi")
     cycle = stuck.select(F.col("cb_to").alias("_c")).distinct().join(walk.select(F.col("cb_from").alias("_c"), F.col("top.cb").alias("_root")), "_c")
@@ -201,8 +251,8 @@ def closure(targets: DataFrame, ranks: DataFrame, max_rounds: int = 40) -> DataF
 def merge_cells(molecules: DataFrame, cell_map: DataFrame) -> DataFrame:
     """Molecules under the barcodes of their targets, joined again; those of excluded cells go."""
     known = molecules.join(cell_map, molecules["cb"] == cell_map["cb_from"], "left")
-    rows = known.filter("cb_from is null or cb_to is not null").withColumn("cb", F.coalesce("cb_to", "cb")).drop("cb_from", "cb_to")
-    return merged_molecules(rows)
+    rows = known.filter("cb_from is null or cb_to is not null").withColumn("_source", F.struct(F.coalesce(F.col("cb_to") != F.col("cb"), F.lit(False)), "cb"))
+    return merged_molecules(rows.withColumn("cb", F.coalesce("cb_to", "cb")).drop("cb_from", "cb_to"))
 
 
 def counters_after_merge(cells: DataFrame, cell_map: DataFrame) -> DataFrame:
@@ -212,14 +262,17 @@ def counters_after_merge(cells: DataFrame, cell_map: DataFrame) -> DataFrame:
 
 
 def merge_validation(molecules: DataFrame, cells: DataFrame, pairs: int, least: int, most: int, seed: int = 48) -> DataFrame:
-    """Chance overlap of randomly paired cells whose barcodes are between `least` and `most` edits apart."""
-    rows = cells.select("cb")
-    spark = rows.sparkSession
-    n = rows.count()
-    numbered = rows.withColumn("i", F.row_number().over(W.orderBy(F.xxhash64("cb", F.lit(seed)))) - 1)
+    """Chance overlap of randomly paired cells whose barcodes are between `least` and `most` edits apart.
+
+    Cells are drawn by hashes of their numbers, so reruns draw the same pairs; of more pairs than asked for, those of the
+    smallest hashes are taken.
+    """
+    cells = numbered(cells.select("cb"), [F.xxhash64("cb", F.lit(seed)), F.col("cb")], "i")
+    n = cells.count()
     draw = lambda salt: F.pmod(F.xxhash64("id", F.lit(seed), F.lit(salt)), F.lit(max(n, 1)))
-    drawn = spark.range(2 * pairs).select(draw("a").alias("ia"), draw("b").alias("ib")).filter("ia != ib").distinct()
-    named = drawn.join(numbered.select(F.col("i").alias("ia"), F.col("cb").alias("cb_a")), "ia").join(numbered.select(F.col("i").alias("ib"), F.col("cb").alias("cb_b")), "ib")
-    near = named.withColumn("distance", edit_distance(F.col("cb_a"), F.col("cb_b"))).filter(F.col("distance").between(least, most)).limit(pairs)
-    found = near.join(shared_molecules(molecules), ["cb_a", "cb_b"], "left").fillna(0, ["shared"]).select("cb_a", "cb_b", "distance", "shared")
+    drawn = cells.sparkSession.range(2 * pairs).select(draw("a").alias("ia"), draw("b").alias("ib")).filter("ia != ib").distinct()
+    named = drawn.join(cells.select(F.col("i").alias("ia"), F.col("cb").alias("cb_a")), "ia").join(cells.select(F.col("i").alias("ib"), F.col("cb").alias("cb_b")), "ib")
+    near = with_once(named.select("cb_a", "cb_b"), {"distance": edit_distance(F.col("cb_a"), F.col("cb_b"))}).filter(F.col("distance").between(least, most))
+    near = stored(near.orderBy(F.xxhash64("cb_a", "cb_b", F.lit(seed)), "cb_a", "cb_b").limit(pairs))
+    found = near.join(shared_molecules(molecules, near), ["cb_a", "cb_b"], "left").fillna(0, ["shared"]).select("cb_a", "cb_b", "distance", "shared")
     return chance_overlap(molecules, found)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywright.functions.sequences import characters, mean_quality
+from tallywright.functions.sequences import mean_quality
 
 #: The codes of a gene match level and the marks each stands for.
 LEVELS = {"e": 2, "i": 4, "E": 3, "I": 5, "B": 6, "A": 7}
@@ -27,24 +27,41 @@ def molecules(reads: DataFrame) -> DataFrame:
     return reads.filter(F.col("gene").isNotNull()).groupBy(*KEY).agg(F.count("*").alias("reads"), F.expr("bit_or(mark)").alias("mark"))
 
 
-def molecules_with_quality(reads: DataFrame) -> DataFrame:
-    """molecules() with qual_sum, the sum of the ASCII codes at each place, and qual, their mean; lengths must agree.
+#: Identifiers have at most so many bases.
+LONGEST = 32
 
-    The places are summed as rows with partial sums, so a molecule of very many reads is not gathered.
-    """
+
+def places(value, longest: int = LONGEST) -> list[Column]:
+    """A sum for each place of an identifier; value: place from 1 -> column."""
+    return [F.sum(value(i)).alias(f"_{i}") for i in range(1, longest + 1)]
+
+
+def molecules_with_quality(reads: DataFrame, longest: int = LONGEST) -> DataFrame:
+    """molecules() with qual_sum, the sum of the ASCII codes at each place, and qual, their mean; lengths must agree and
+    not exceed `longest`. One aggregation: each place is a sum of its own."""
     kept = reads.filter(F.col("gene").isNotNull())
-    base = molecules(reads)
-    each = kept.select(*KEY, F.posexplode(F.transform(characters(F.col("umi_qual")), lambda c: F.ascii(c).cast("long"))).alias("at", "code"))
-    sums = each.groupBy(*KEY, "at").agg(F.sum("code").alias("code"), F.count("*").alias("n"))
-    lists = sums.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("at", "code"))).alias("_q"), F.min("n").alias("_a"), F.max("n").alias("_b"))
-    joined = base.join(lists, KEY, "left")
-    sums = F.when(F.col("_a") == F.col("_b"), F.col("_q.code")).otherwise(F.when(F.col("_a").isNotNull(), F.raise_error(F.lit("qualities of unequal length")).cast("array<bigint>")))
-    return joined.withColumn("qual_sum", sums).withColumn("qual", mean_quality(F.col("qual_sum"), F.col("reads"))).drop("_q", "_a", "_b")
+    sums = places(lambda i: F.ascii(F.substring("umi_qual", i, 1)).cast("long"), longest)
+    size = F.length("umi_qual")
+    found = kept.groupBy(*KEY).agg(F.count("*").alias("reads"), F.expr("bit_or(mark)").alias("mark"), F.min(size).alias("_a"), F.max(size).alias("_b"), *sums)
+    wrong = F.raise_error(F.lit("qualities of unequal length, or too long")).cast("array<bigint>")
+    listed = F.slice(F.array(*[F.col(f"_{i}") for i in range(1, longest + 1)]), F.lit(1), F.coalesce("_a", F.lit(0)))
+    known = F.when((F.col("_a") == F.col("_b")) & (F.col("_b") <= longest), listed).when(F.col("_b").isNotNull(), wrong)
+    return found.select(*KEY, "reads", "mark", known.alias("qual_sum")).withColumn("qual", mean_quality(F.col("qual_sum"), F.col("reads")))
 
 
 def merged_molecules(rows: DataFrame) -> DataFrame:
-    """Molecules re-keyed by a merge, joined again: reads add up, marks join."""
-    return rows.groupBy(*KEY).agg(F.sum("reads").alias("reads"), F.expr("bit_or(mark)").alias("mark"))
+    """Molecules re-keyed by a merge, joined again: reads add up, marks join.
+
+    Quality sums (qual_sum) don't add up: a molecule keeps its own, one that is new under its key takes that of its first
+    source. `_source` orders them: own ones first, then by what they were called. qual is their mean by all reads, as it
+    is known.
+    """
+    sums = [F.sum("reads").alias("reads"), F.expr("bit_or(mark)").alias("mark")]
+    if "qual_sum" not in rows.columns:
+        return rows.groupBy(*KEY).agg(*sums)
+    order = F.col("_source") if "_source" in rows.columns else F.lit(0)
+    merged = rows.groupBy(*KEY).agg(*sums, F.min_by("qual_sum", order).alias("qual_sum"))
+    return merged.withColumn("qual", mean_quality(F.col("qual_sum"), F.col("reads")))
 
 
 def cells(molecules_: DataFrame, level: str = DEFAULT_LEVEL) -> DataFrame:
@@ -120,9 +137,24 @@ def reads_per_umi_per_cell(molecules_: DataFrame, chosen: DataFrame, level: str
 
 
 def read_counters(reads: DataFrame) -> DataFrame:
-    """One row: total, low_quality, intergenic, exon, intron, not_annotated reads."""
-    bit = lambda b: F.count_if(F.col("gene").isNotNull() & (F.col("mark").bitwiseAND(F.lit(b)) != 0))
-    return reads.agg(F.count("*").alias("total"), F.count_if(F.col("gene").isNull()).alias("intergenic"), bit(2).alias("exon"), bit(4).alias("intron"), bit(1).alias("not_annotated"))
+    """One row: total, cant_parse, low_quality, intergenic, exon, intron, not_annotated reads.
+
+    Reads without barcode or identifier can't be parsed; those whose pass_quality (where there is such a column) is false
+    are of low quality; the others are counted by gene and mark.
+    """
+    broken = F.col("cb").isNull() | F.col("umi").isNull()
+    low = ~broken & ~F.coalesce(F.col("pass_quality"), F.lit(True)) if "pass_quality" in reads.columns else F.lit(False)
+    good = ~broken & ~low
+    bit = lambda b: F.count_if(good & F.col("gene").isNotNull() & (F.col("mark").bitwiseAND(F.lit(b)) != 0))
+    return reads.agg(
+        F.count("*").alias("total"),
+        F.count_if(broken).alias("cant_parse"),
+        F.count_if(low).alias("low_quality"),
+        F.count_if(good & F.col("gene").isNull()).alias("intergenic"),
+        bit(2).alias("exon"),
+        bit(4).alias("intron"),
+        bit(1).alias("not_annotated"),
+    )
 
 
 def umi_distribution(molecules_: DataFrame, chosen: DataFrame | None = None) -> DataFrame:
@@ -146,9 +178,17 @@ def gene_totals(counts_: DataFrame) -> DataFrame:
 
 
 def trimmed_umis(molecules_: DataFrame, length: int, from_start: bool = True) -> DataFrame:
-    """Identifiers cut to a prefix or suffix, molecules joined again."""
+    """Identifiers cut to a prefix or suffix, molecules joined again; qual, where there is one (an array of numbers), is
+    cut alike and becomes the mean by reads."""
     umi = F.substring("umi", 1, length) if from_start else F.right("umi", F.lit(length))
-    return merged_molecules(molecules_.withColumn("umi", umi))
+    rows = molecules_.withColumn("umi", umi)
+    if "qual" not in rows.columns:
+        return merged_molecules(rows.drop("qual_sum"))
+    cut = F.slice("qual", F.lit(1) if from_start else F.greatest(F.size("qual") - (length - 1), F.lit(1)), F.lit(length))
+    sums = places(lambda i: F.get("qual", F.lit(i - 1)) * F.col("reads"), length)
+    merged = rows.withColumn("qual", cut).groupBy(*KEY).agg(F.sum("reads").alias("reads"), F.expr("bit_or(mark)").alias("mark"), *sums)
+    means = F.filter(F.array(*[F.col(f"_{i}") / F.col("reads") for i in range(1, length + 1)]), lambda q: q.isNotNull())
+    return merged.select(*KEY, "reads", "mark", means.alias("qual"))
 
 
 def without_ambiguous_genes(counts_: DataFrame) -> DataFrame:

@@ -2,56 +2,84 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallywright.functions import statistics as st
 
+from .tables import numbered, stored
 
-def ranked(sizes: DataFrame, size: str = "n_umis") -> DataFrame:
-    """sizes with rank, 1 for the largest; ties by barcode.
 
-    Counts of cells of each size are ranked first, so no window holds all cells: a cell's rank is the number of larger
-    cells plus its place among its equals.
-    """
-    steps = sizes.groupBy(size).agg(F.count("*").alias("_n"))
-    larger = F.sum("_n").over(W.orderBy(F.desc(size)).rowsBetween(W.unboundedPreceding, -1))
-    steps = steps.withColumn("_larger", F.coalesce(larger, F.lit(0)))
-    place = F.row_number().over(W.partitionBy(size).orderBy("cb"))
-    return sizes.join(steps, size).withColumn("rank", F.col("_larger") + place).drop("_n", "_larger")
+def ranked(sizes: DataFrame, size: str = "n_umis") -> DataFrame:
+    """sizes with rank, 1 for the largest; ties by barcode."""
+    found = numbered(sizes, [F.desc(size), F.asc("cb")], "rank")
+    return found.withColumn("rank", F.col("rank") + 1)
 
 
 def cell_number(sizes: DataFrame, size: str = "n_umis", lag: float = 0.05) -> dict[str, int]:
     """min, expected and max number of real cells, from the knee of log size over log rank.
 
-    The slope over a lag is least at the expected number; the longest stretch of positive curvature starts at the
-    maximum. The curve is a function of the counts of cells of each size, so only those are collected.
+    Only the counts of cells of each size are collected; see knee().
     """
     steps = sizes.groupBy(size).agg(F.count("*").alias("n")).orderBy(F.desc(size)).collect()
-    log_size = np.log(np.repeat([float(r[size]) for r in steps], [r["n"] for r in steps]))
-    log_rank = np.log(np.arange(1, len(log_size) + 1))
-    k = max(1, int(np.round(len(log_size) * lag)))
-    slope = lambda x, y: (y[k:] - y[:-k]) / (x[k:] - x[:-k])
-    x, y = log_rank[k:], slope(log_rank, log_size)
-    x2, y2 = x[k:], slope(x, y)
-    up = np.concatenate(([0], (y2 > 0).astype(int), [0]))
-    starts, ends = np.flatnonzero(np.diff(up) == 1), np.flatnonzero(np.diff(up) == -1)
-    at = starts[np.argmax(ends - starts)] if len(starts) else len(x2) - 1
-    most = int(np.round(np.exp(x2[at])))
-    expected = int(np.round(np.exp(x[np.argmin(y[: max(1, most - k)])]) - k / 2))
+    expected, most = knee([float(r[size]) for r in steps], [r["n"] for r in steps], lag)
     return {"min": int(np.round(expected * 0.75)), "expected": expected, "max": most}
 
 
+def knee(values: list[float], counts: list[int], lag: float = 0.05) -> tuple[int, int]:
+    """(expected, most) of a falling curve that has each value `counts` times.
+
+    The slope over a lag is least at the expected rank; the longest stretch of growing slope starts at the largest one.
+    Between the ranks where a value changes within the lag, the slope over it only falls and its change turns from
+    falling to growing at most once, so each such piece is judged by its ends: time follows the distinct values.
+    """
+    upto, logs = np.cumsum(counts), np.log(values)
+    n = int(upto[-1])
+    k = max(1, int(np.round(n * lag)))
+    level = lambda i: logs[np.searchsorted(upto, i, side="right")]
+    width = lambda i: math.log((i + k + 1) / (i + 1))
+    slopes, changes = n - k, n - 2 * k
+    if changes <= 0:
+        return n, n
+    edges = lambda shifts, end: np.unique(np.clip(np.concatenate([[0, end], *[upto - x for x in shifts]]), 0, end)).tolist()
+    best, run, at = (0, -1), None, changes - 1  # (length, start) of the longest stretch, start of the present one
+    pieces = edges((0, k, 2 * k), changes)
+    for a, b in zip(pieces, pieces[1:], strict=False):
+        first, second = level(a + k) - level(a), level(a + 2 * k) - level(a + k)
+        grows = lambda m: second * width(m) > first * width(m + k)  # noqa: E731, B023
+        lo, hi = a, b  # the first place that grows
+        while lo < hi:
+            mid = (lo + hi) // 2
+            lo, hi = (lo, mid) if grows(mid) else (mid + 1, hi)
+        if run is not None and lo > a:
+            best, run = max(best, (a - run, -run)), None
+        if run is None and lo < b:
+            run = lo
+    if run is not None:
+        best = max(best, (changes - run, -run))
+    if best[0]:
+        at = -best[1]
+    most = at + 2 * k + 1
+    limit = max(1, min(slopes, most - k))
+    pieces = edges((0, k), limit)
+    least = min((float((level(i + k) - level(i)) / width(i)), i) for a, b in zip(pieces, pieces[1:], strict=False) for i in (a, b - 1))
+    return int(np.round(least[1] + k + 1 - k / 2)), most
+
+
 def labels(sizes: DataFrame, number: dict[str, int] | None = None, size: str = "n_umis") -> DataFrame:
     """cb, quality: High for the `min` largest cells, Low from the `max`-th on, Unknown between."""
-    number = number or cell_number(sizes, size)
-    quality = F.when(F.col("rank") >= number["max"], "Low").when(F.col("rank") <= number["min"], "High").otherwise("Unknown")
-    return ranked(sizes, size).select("cb", quality.alias("quality"))
+    return ranked(sizes, size).select("cb", quality_of(number or cell_number(sizes, size)).alias("quality"))
+
+
+def quality_of(number: dict[str, int]) -> Column:
+    return F.when(F.col("rank") >= number["max"], "Low").when(F.col("rank") <= number["min"], "High").otherwise("Unknown")
 
 
 def features(counts: DataFrame, reads_per_umi: DataFrame, chromosomes: DataFrame, total_reads: DataFrame | None = None, mitochondrial: str | None = None) -> DataFrame:
@@ -163,44 +191,51 @@ def principal_components(rows: DataFrame, columns: list[str]) -> tuple[np.ndarra
 
 def score_cells(rows: DataFrame, sizes: DataFrame, columns: list[str], number: dict[str, int] | None = None, flags: list[str] | None = None, most: int = 2000) -> DataFrame:
     """cb, score: probability of high quality by Gaussian kernel densities of the High and Low cells in the space of the
-    principal components; cells that are outliers in a flagged feature get the least score.
+    principal components. Cells that are outliers in a flagged feature are Low ones where the components use it, else
+    they get the least score.
 
     Training sets are the `most` largest High cells and at most 1.5 times as many Low ones, the largest; that bounds
     what is collected, and scoring runs on all cells in batches.
     """
+    rows = stored(rows)
     ready = scaled(rows, columns)
-    used = [c for c in columns if c in ready.columns]
-    weights, _ = principal_components(ready, used)
-    judged = labels(sizes, number)
-    ordered = ready.join(judged, "cb").join(ranked(sizes).select("cb", "rank"), "cb")
+    live = [c for c in columns if c in ready.columns]
+    weights, used = principal_components(ready, live)
+    names = [f"pc{i}" for i in range(weights.shape[1])]
+    made = [reduce(lambda a, b: a + b, [F.col(c) * float(w) for c, w in zip(live, weights[:, i], strict=True)]).alias(name) for i, name in enumerate(names)]
+    space = scaled(ready.select("cb", *made), names, drop_constant=False)
+    marked = rows.select("cb")
+    for flag in flags or []:
+        marked = marked.join(high_outliers(rows.select("cb", flag), flag).select("cb", F.col("outlier").alias(f"_{flag}")), "cb")
+    worst = lambda wanted: reduce(lambda a, b: a | b, [F.coalesce(F.col(f"_{f}"), F.lit(False)) for f in flags or [] if (f in used) == wanted], F.lit(False))
+    marked = marked.select("cb", worst(True).alias("low"), worst(False).alias("least"))
+    judged = ranked(sizes).join(marked, "cb").withColumn("quality", F.when(F.col("low"), "Low").otherwise(quality_of(number or cell_number(sizes))))
+    ordered = space.join(judged.select("cb", "rank", "quality", "least"), "cb")
     high = ordered.filter("quality = 'High'").orderBy("rank").limit(most).toPandas()
     low = ordered.filter("quality = 'Low'").orderBy("rank").limit(max(2, round(1.5 * len(high)))).toPandas()
-    project = lambda df: df[used].to_numpy(float) @ weights
-    good, bad = project(high), project(low)
+    good, bad = (df[names].to_numpy(float) for df in (high, low))
     bands = [st.normal_bandwidth(x) + 1e-9 * np.eye(x.shape[1]) for x in (good, bad)]
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for df in batches:
             out = []
             for a in range(0, len(df), 256):
-                at = project(df.iloc[a : a + 256])
+                at = df.iloc[a : a + 256][names].to_numpy(float)
                 d1, d0 = st.density(good, bands[0], at), st.density(bad, bands[1], at)
                 total = (d1 + d0) / 2
                 out.append(np.where(total < 1e-10, 0.5, d1 / 2 / np.maximum(total, 1e-300)))
-            yield pd.DataFrame({"cb": df["cb"], "score": np.concatenate(out) if out else []})
+            yield pd.DataFrame({"cb": df["cb"], "score": np.concatenate(out) if out else [], "least": df["least"]})
 
-    scores = ready.select("cb", *used).mapInPandas(score, "cb string, score double")
-    for flag in flags or []:
-        marked = high_outliers(rows.select("cb", flag), flag)
-        least = F.min("score").over(W.partitionBy(F.lit(0)))
-        scores = scores.join(marked.select("cb", "outlier"), "cb").withColumn("score", F.when(F.col("outlier"), least).otherwise(F.col("score"))).drop("outlier")
-    return scores
+    scores = stored(ordered.select("cb", *names, "least").mapInPandas(score, "cb string, score double, least boolean"))
+    lowest = scores.agg(F.min("score")).first()[0]
+    return scores.select("cb", F.when(F.col("least"), F.lit(lowest)).otherwise(F.col("score")).alias("score"))
 
 
 def saturation(info: DataFrame, sizes: DataFrame, steps: int = 100, most: float = 10.0, top: int = 1000) -> pd.DataFrame:
     """ratio, depth, estimates: distinct molecules expected at multiples of the present reads, for the largest cells."""
     cells = sizes.orderBy(F.desc("n_umis"), "cb").limit(top).select("cb")
-    rows = info.join(F.broadcast(cells), "cb", "left_semi").groupBy("reads").agg(F.count("*").alias("n")).collect()
+    rows = info.join(F.broadcast(cells), "cb", "left_semi")  # at most `top` barcodes
+    rows = rows.groupBy("reads").agg(F.count("*").alias("n")).collect()
     counts = {int(r["reads"]): int(r["n"]) for r in rows}
     reads = sum(k * n for k, n in counts.items())
     ratios = np.linspace(0, most, steps)

@@ -3,23 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .tables import numbered, stored
+
 
 def indexed(names: DataFrame, column: str) -> DataFrame:
-    """Distinct names with their 1-based index in order: counted by ranges, so that no task numbers them all."""
-    dealt = names.select(column).distinct().repartitionByRange(column).withColumn("_part", F.spark_partition_id())
-    dealt = dealt.withColumn("_at", F.row_number().over(W.partitionBy("_part").orderBy(column)))
-    totals = dealt.groupBy("_part").agg(F.count("*").alias("_n"))
-    before = F.coalesce(F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    return dealt.join(totals.select("_part", before.alias("_before")), "_part").select(column, (F.col("_before") + F.col("_at")).alias("index"))
+    """Distinct names with their 1-based index in order."""
+    found = numbered(names.select(column).distinct(), [F.col(column)])
+    return found.withColumn("index", F.col("index") + 1)
 
 
 def write_matrix_market(counts: DataFrame, path: str) -> None:
     """counts(cb, gene, n) as parts of a coordinate matrix (genes by cells) below `matrix`, its header line below
     `header`, and the names in order below `cells` and `genes`."""
-    genes, cells = indexed(counts, "gene").cache(), indexed(counts, "cb").cache()
+    genes, cells = stored(indexed(counts, "gene")), stored(indexed(counts, "cb"))
     rows = counts.join(genes.withColumnRenamed("index", "i"), "gene").join(cells.withColumnRenamed("index", "j"), "cb")
     rows.select(F.concat_ws(" ", "i", "j", "n").alias("value")).write.text(f"{path}/matrix")
     shape = f"{genes.count()} {cells.count()} {counts.count()}"

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallywright.functions import sequences as s
 
 from .layouts import PROTOCOLS, Layout
+from .tables import with_once
 
 
 @dataclass(frozen=True)
@@ -37,9 +38,10 @@ def judged(reads: DataFrame, f: Filters) -> DataFrame:
     """Parsed reads with poly-A and quality trimming applied and `verdict`: kept, or the first filter that drops them."""
     quality = F.concat(F.coalesce("cb_qual", F.lit("")), F.coalesce("umi_qual", F.lit("")))
     cut = s.poly_a_cut(F.col("seq"), F.coalesce("tail", F.lit("")), f.poly_a)
-    rows = reads.withColumn("_n", cut).withColumns({"seq": F.expr("substring(seq, 1, _n)"), "qual": F.expr("substring(qual, 1, _n)")}).drop("_n")
+    rows = with_once(reads, {"_n": cut})
+    rows = with_once(rows, {"seq": F.expr("substring(seq, 1, _n)"), "qual": F.expr("substring(qual, 1, _n)")}).drop("_n")
     window = s.quality_window(F.col("qual"), f.leading_trim, f.trailing_trim, f.trim_quality)
-    rows = rows.withColumn("_w", window).withColumn("_len", F.col("_w.end") - F.col("_w.start"))
+    rows = with_once(rows, {"_w": window}).withColumn("_len", F.col("_w.end") - F.col("_w.start"))
     verdict = (
         F.when(F.col("cb").isNull(), F.col("outcome"))
         .when(F.length("seq") < f.min_align_length, "short_gene")
@@ -48,7 +50,7 @@ def judged(reads: DataFrame, f: Filters) -> DataFrame:
         .otherwise("kept")
     )
     trimmed = {k: F.expr(f"substring({k}, _w.start + 1, greatest(_len, 0))") for k in ("seq", "qual")}
-    rows = rows.withColumn("verdict", verdict).withColumn("pass_quality", s.all_above(quality, f.min_barcode_quality))
+    rows = with_once(rows, {"verdict": verdict}).withColumn("pass_quality", s.all_above(quality, f.min_barcode_quality))
     return rows.withColumns(trimmed).drop("_w", "_len")
 
 
@@ -73,3 +75,8 @@ def reads_per_barcode(tagged: DataFrame) -> DataFrame:
 def params_lines(tagged: DataFrame) -> Column:
     """One line a read of a params file: name cb umi cb_qual umi_qual."""
     return F.concat_ws(" ", "read_id", "cb", "umi", "cb_qual", "umi_qual")
+
+
+def write_params(tagged: DataFrame, path: str) -> None:
+    """params_lines() as compressed text."""
+    tagged.select(params_lines(tagged).alias("value")).write.option("compression", "gzip").text(path)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallywright.functions import sequences as s
 from tallywright.functions import statistics as st
-from tallywright.operators import identifiers, intervals, layouts, merging, pairs, quality, report, tagging
+from tallywright.operators import correction, identifiers, intervals, layouts, merging, pairs, quality, report, tagging
 from tallywright.operators import molecules as mo
 
 from . import derived as d
@@ -113,17 +113,20 @@ def saturation_histogram(spark, sf_dir):
     return mo.value_counts(saturation_info(spark, sf_dir), "reads").withColumn("share", F.round("share", 9))
 
 
-@query(f"""with {d.READS_SQL} select count(*)::bigint as total, count(*) filter (where gene is null)::bigint as intergenic, count(*) filter (where gene is not null and mark & 2 <> 0)::bigint as exon,
-  count(*) filter (where gene is not null and mark & 4 <> 0)::bigint as intron, count(*) filter (where gene is not null and mark & 1 <> 0)::bigint as not_annotated from reads""")
+@query(f"""with {d.READS_SQL}, r as (select *, starts_with(umi, 'AAAA') as broken, ascii(umi_qual) < 38 as low from reads), g as (select *, not broken and not low as good from r)
+select count(*)::bigint as total, count(*) filter (where broken)::bigint as cant_parse, count(*) filter (where not broken and low)::bigint as low_quality,
+  count(*) filter (where good and gene is null)::bigint as intergenic, count(*) filter (where good and gene is not null and mark & 2 <> 0)::bigint as exon,
+  count(*) filter (where good and gene is not null and mark & 4 <> 0)::bigint as intron, count(*) filter (where good and gene is not null and mark & 1 <> 0)::bigint as not_annotated from g""")
 def read_counters(spark, sf_dir):
-    return mo.read_counters(d.reads(spark, sf_dir))
+    reads = d.reads(spark, sf_dir).withColumns({"pass_quality": F.ascii("umi_qual") >= 38, "cb": F.when(~F.startswith("umi", F.lit("AAAA")), F.col("cb"))})
+    return mo.read_counters(reads)
 
 
 @query(f"""with {d.READS_SQL}, q as (
   select cb, gene, umi, i, sum(ascii(substr(umi_qual, i, 1)))::bigint as code, count(*) as n from reads, range(1, 7) t(i) where gene is not null group by all)
 select cb, gene, umi, n::bigint as reads, string_agg(cast((code - 33) // n as varchar), ',' order by i) as qual from q group by cb, gene, umi, n""")
 def mean_umi_quality(spark, sf_dir):
-    found = mo.molecules_with_quality(d.reads(spark, sf_dir))
+    found = mo.molecules_with_quality(d.reads(spark, sf_dir), 6)
     return found.select("cb", "gene", "umi", "reads", F.concat_ws(",", F.col("qual").cast("array<string>")).alias("qual"))
 
 
@@ -150,6 +153,32 @@ def trimmed_umis(spark, sf_dir):
     return mo.trimmed_umis(mols(spark, sf_dir), 4)
 
 
+def graded_mols(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mo.molecules_with_quality(d.graded_events(spark, sf_dir), 3)
+
+
+@query(f"""with {d.GRADED_SQL}, t as (select cb, gene, substr(umi, 1, 2) as umi, i, sum(reads)::bigint as reads, round(sum(((code - 33) // reads) * reads)::double / sum(reads), 6) as q from gq where i < 3 group by all)
+select cb, gene, umi, reads, max(q) filter (where i = 1) as q1, max(q) filter (where i = 2) as q2 from t group by all""")
+def trimmed_qualities(spark, sf_dir):
+    rows = mo.trimmed_umis(graded_mols(spark, sf_dir), 2)
+    return rows.select("cb", "gene", "umi", "reads", *[F.round(F.get("qual", F.lit(i)), 6).alias(f"q{i + 1}") for i in range(2)])
+
+
+@query(f"""with {d.GRADED_SQL}, m as (select *, (code - 33) // reads as q from gq), k as (select cb, gene, umi, any_value(reads) as reads, string_agg(cast(q as varchar), ' ' order by i) as q from m group by all)
+select cb, gene, string_agg(umi || ':' || reads || ':' || q, ',' order by umi) as umis from k group by all""")
+def reads_per_umi_lists(spark, sf_dir):
+    m = graded_mols(spark, sf_dir)
+    found = mo.reads_per_umi_per_cell(m, m.select("cb").distinct())
+    line = lambda u: F.concat_ws(":", u["umi"], u["reads"].cast("string"), F.concat_ws(" ", u["qual"].cast("array<string>")))
+    return found.select("cb", "gene", F.array_join(F.transform("umis", line), ",").alias("umis"))
+
+
+@query(f"with {d.MOLECULES_SQL}, c as (select cb, case when umi like 'A%' then gene || ';x' else gene end as gene, count(*)::bigint as n from mol where {REQUESTED} group by all) select * from c where gene not like '%;%'")
+def single_genes(spark, sf_dir):
+    name = F.when(F.startswith("umi", F.lit("A")), F.concat("gene", F.lit(";x"))).otherwise(F.col("gene"))
+    return mo.without_ambiguous_genes(mo.counts(mols(spark, sf_dir).withColumn("gene", name)))
+
+
 @query(f"with {d.CELLS_SQL} select cb from cells where n_genes >= 10 and req_genes >= 10 order by req_genes desc, req_umis desc, n_umis desc, cb desc limit 20")
 def largest_cells(spark, sf_dir):
     return mo.filtered_cells(mo.cells(mols(spark, sf_dir)), top=20).select("cb")
@@ -217,7 +246,39 @@ def quality_filters(spark, sf_dir):
     return d.fastq(spark, sf_dir).select("ord", gene.alias("gene_ok"), s.all_above(F.substring("qual1", 1, 8), 8).alias("barcode_ok"))
 
 
-@query()
+@query(f"""with {d.FASTQ_SQL}, t as (select ord, substr(seq1, 9, 8) as tag, substr(seq1, 1, 8) || substr(seq2, 1, 8) as cb from fq)
+select ord, case when levenshtein(tag, 'ACGTACGT') <= 5 then cb end as cb, case when levenshtein(tag, 'ACGTACGT') <= 5 then 'ok' else 'other_library' end as outcome from t""")
+def layout_library_tag(spark, sf_dir):
+    reads = d.fastq(spark, sf_dir).withColumn("seq4", F.substring("seq1", 9, 8))
+    layout = layouts.Layout(barcode1=8, barcode2=8, umi=6, tail=8, library_tag="ACGTACGT", max_tag_edits=5)
+    return layouts.PROTOCOLS["indrop3"](reads, layout).select("ord", "cb", "outcome")
+
+
+@query(f"with {d.FASTQ_SQL} select ord, substr(seq1, 1, 3) as a, substr(seq1, 4, 8) as b, substr(seq1, 12, 5) as c from fq")
+def barcode_parts(spark, sf_dir):
+    a, b, c = s.split_barcode(F.col("seq1"), [3, 8, 5])
+    return d.fastq(spark, sf_dir).select("ord", a.alias("a"), b.alias("b"), c.alias("c"))
+
+
+@query("select p_partkey, 'T' || p_partkey as name from part")
+def intron_names(spark, sf_dir):
+    from tallywright.sources.annotation import trimmed_intron_name
+
+    suffix = F.when(F.col("p_partkey") % 2 == 0, "_intron_3_0").otherwise("")
+    rows = d.table(spark, sf_dir, "part").withColumn("name", F.concat(F.lit("T"), F.col("p_partkey").cast("string"), suffix))
+    return rows.select("p_partkey", trimmed_intron_name("name").alias("name"))
+
+
+@query(f"""with {d.FASTQ_SQL}, a as (
+  select ord, substr(seq1, 1, 8) || substr(seq2, 1, 8) as cb, substr(qual1, 1, 8) || substr(qual2, 1, 8) as cb_qual, substr(seq2, 9, 6) as umi, substr(qual2, 9, 6) as umi_qual,
+         translate(reverse(substr(seq2, 7, 8)), 'ACGT', 'TGCA') as rc, seq3, qual3 from fq),
+b as (select *, length(regexp_replace(substr(seq3, 1, case when contains(seq3, rc) then strpos(seq3, rc) - 1 when contains(seq3, 'AAAAAAAA') then strpos(seq3, 'AAAAAAAA') - 1 else length(seq3) end), '[AN]+$', '')) as n from a),
+c as (select *, substr(seq3, 1, n) as s, substr(qual3, 1, n) as q from b where n >= 10),
+e as (select *, list_filter(range(0, n), lambda i: ascii(substr(q, i + 1, 1)) < 38) as low, len(list_filter(range(1, n + 1), lambda i: ascii(substr(q, i, 1)) < 43)) as bad,
+  length(regexp_replace(s, '[^GN]', '', 'g')) as g, len(list_filter(range(1, 23), lambda i: ascii(substr(cb_qual || umi_qual, i, 1)) < 41)) as weak from c),
+f as (select *, coalesce(list_max(list_filter(low, lambda i: i < 3)) + 1, 0) as x, coalesce(list_min(list_filter(low, lambda i: i >= n - 3)), n) as y from e where bad <= n * 0.5 and g / n::double < 0.8)
+select '@r' || ord || '!' || cb || '#' || umi as read_id, cb, umi, cb_qual, umi_qual, weak = 0 as pass_quality, substr(s, cast(x + 1 as int), cast(y - x as int)) as seq, substr(q, cast(x + 1 as int), cast(y - x as int)) as qual
+from f where y - x >= 10""")
 def tagged_reads(spark, sf_dir):
     filters = tagging.Filters(trim_quality=5, leading_trim=3, trailing_trim=3, min_median_quality=10, max_g_fraction=0.8, min_barcode_quality=8)
     return tagging.tag_reads(d.fastq(spark, sf_dir), "10x", LAYOUT, filters)
@@ -355,6 +416,52 @@ def merged_cells(spark, sf_dir):
     return merging.merge_cells(event_mols(spark, sf_dir), merge_closure(spark, sf_dir))
 
 
+@query(f"""{CLOSED_SQL}, m as (select gq.*, root.cb_to, cb_to <> cb as moved from gq join root on cb = cb_from),
+own as (select cb_to, gene, umi, i, arg_min(code, (moved, cb)) as code, sum(reads)::bigint as reads from m group by all)
+select cb_to as cb, gene, umi, any_value(reads) as reads, string_agg(cast((code - 33) // reads as varchar), ' ' order by i) as qual from own group by cb_to, gene, umi""".replace(d.EVENTS_SQL, d.EVENTS_SQL + ", " + d.GRADED_SQL))
+def merged_qualities(spark, sf_dir):
+    merged = merging.merge_cells(graded_mols(spark, sf_dir), merge_closure(spark, sf_dir))
+    return merged.select("cb", "gene", "umi", "reads", F.concat_ws(" ", F.col("qual").cast("array<string>")).alias("qual"))
+
+
+@query(f"""{CLOSED_SQL}, merged as (select cb_to as cb, gene, umi, sum(reads)::bigint as reads from emol join root on cb = cb_from group by all),
+adj as (select a.cb, a.gene, a.umi, b.umi as other, b.reads as more from merged a join merged b on a.cb = b.cb and a.gene = b.gene and hamming(a.umi, b.umi) = 1 where a.reads * 2 <= b.reads),
+one as (select * from adj qualify row_number() over (partition by cb, gene, umi order by more desc, other) = 1),
+chain as (select cb, gene, umi, other as end_ from one union all select c.cb, c.gene, c.umi, o.other from chain c join one o on o.cb = c.cb and o.gene = c.gene and o.umi = c.end_),
+ends as (select chain.cb, chain.gene, chain.umi, chain.end_ from chain anti join one on one.cb = chain.cb and one.gene = chain.gene and one.umi = chain.end_),
+fixed as (select distinct m.cb, m.gene, coalesce(e.end_, m.umi) as umi from merged m left join ends e on m.cb = e.cb and m.gene = e.gene and m.umi = e.umi)
+select cb, gene, count(*)::bigint as n from fixed where cb in (select cb from fixed group by cb having count(distinct gene) >= 3) group by all""".replace("(order by n_genes, n_umis, n_reads, cb)", "(order by n_genes, n_umis, cb)"))
+def estimate_merged(spark, sf_dir):
+    from . import estimate as plan
+
+    settings = plan.Settings(merge="simple", max_cell_distance=3, directional=True, min_genes_before=1, min_genes_after=3)
+    return plan.estimate(d.events(spark, sf_dir).withColumn("chrom", F.lit("chr1")), settings)["count_matrix"]
+
+
+@query(f"""{CLOSED_SQL}, one as (
+  select a.cb, a.gene, a.umi, b.umi as other from emol a join emol b on a.cb = b.cb and a.gene = b.gene and hamming(a.umi, b.umi) = 1 where a.reads * 2 <= b.reads
+  qualify row_number() over (partition by a.cb, a.gene, a.umi order by b.reads desc, b.umi) = 1),
+kept as (select ev.gene, coalesce(cb_to, ev.cb) as cb, ev.umi from ev left join root on ev.cb = cb_from),
+named as (select kept.cb, kept.gene, coalesce(other, kept.umi) as umi from kept left join one on kept.cb = one.cb and kept.gene = one.gene and kept.umi = one.umi)
+select cb, gene, umi, count(*)::bigint as reads from named semi join (select cb, gene, umi from emol where reads > 1) m using (cb, gene, umi) group by all""")
+def filtered_reads(spark, sf_dir):
+    from tallywright.operators import results
+
+    m = event_mols(spark, sf_dir)
+    kept = results.filtered_alignments(d.events(spark, sf_dir), merge_closure(spark, sf_dir), identifiers.directional_pairs(m), m.filter("reads > 1"))
+    return kept.groupBy("cb", "gene", "umi").agg(F.count("*").alias("reads"))
+
+
+@query(f"""with {d.READS_SQL} select cb, umi, gene, mark, map_extract(m, 'RE')[1] as kind from (
+  select *, map {{'RE': case when gene is null then 'INTERGENIC' when mark = 2 then 'EXONIC' when mark = 4 then 'INTRONIC' end}} as m from reads)""")
+def tagged_alignments(spark, sf_dir):
+    from tallywright.operators import results
+
+    tag = lambda t: F.try_element_at("tags", F.lit(t))
+    rows = results.tagged_alignments(d.reads(spark, sf_dir))
+    return rows.select(tag("CR").alias("cb"), tag("UR").alias("umi"), tag("GX").alias("gene"), "mark", tag("RE").alias("kind"))
+
+
 WHITELIST_SQL = f"""wl as (select 0 as part, {d.SPELL.format(key="i * 5", n=3)} as barcode from range(12) t(i) union all select 1, {d.SPELL.format(key="i * 3", n=3)} from range(20) t(i)),
 {SHARED_SQL}, cand as (select cb, w0.barcode || w1.barcode as barcode, (levenshtein(substr(cb, 1, 3), w0.barcode) + levenshtein(substr(cb, 4), w1.barcode))::int as distance
   from ecells, wl w0, wl w1 where w0.part = 0 and w1.part = 1 and levenshtein(substr(cb, 1, 3), w0.barcode) + levenshtein(substr(cb, 4), w1.barcode) <= 5)"""
@@ -394,6 +501,19 @@ def poisson_merge_targets(spark, sf_dir):
     return merging.poisson_simple_targets(m, mo.cells(m), 3, 1e-3)
 
 
+@query()
+def poisson_whitelist_targets(spark, sf_dir):
+    m = event_mols(spark, sf_dir)
+    cells = mo.cells(m)
+    return merging.poisson_whitelist_targets(m, cells, merging.whitelist_candidates(cells, whitelist(spark), [3, None]))
+
+
+@query()
+def merge_validation(spark, sf_dir):
+    m = event_mols(spark, sf_dir)
+    return merging.merge_validation(m, mo.cells(m), 1000, 2, 5)
+
+
 # identifiers
 
 ADJACENT_SQL = f"""{d.EVENTS_SQL}, adj as (select a.cb, a.gene, a.umi, a.reads, b.umi as other, b.reads as other_reads from emol a join emol b on a.cb = b.cb and a.gene = b.gene and hamming(a.umi, b.umi) = 1)"""
@@ -552,10 +672,20 @@ def saturation_curve(spark, sf_dir):
 
 @query()
 def bayesian_correction(spark, sf_dir):
-    from tallywright.operators import correction
+    return correction.correct_identifiers(graded_mols(spark, sf_dir), 3)
 
-    m = mo.molecules(d.events(spark, sf_dir)).withColumn("quality", (F.pmod(F.xxhash64("umi", "cb"), F.lit(30)) + 10).cast("double"))
-    return correction.corrected_counts(m, correction.train(m), 3)
+
+@query()
+def classic_correction(spark, sf_dir):
+    return correction.correct_identifiers(graded_mols(spark, sf_dir), 3, method="classic")
+
+
+@query(f"""with {d.GRADED_SQL}, seen as (select umi, count(*) as n from (select distinct cb, gene, umi from gr) group by umi), t as (select sum(n) + 40.0::double * 64 as t from seen),
+every as (select {d.SPELL.format(key="i", n=3)} as umi from range(64) t(i)), near as (select e.umi, (coalesce(sum(s.n), 0) + 40.0::double * 9) / t as p from every e cross join t left join seen s on hamming(e.umi, s.umi) = 1 group by e.umi, t),
+step as (select max(p) / 50 as step from near) select umi, round(round(p / step) * step, 9) as p, round(p / step)::int as class from near, step semi join seen using (umi)""".replace("from near, step semi join seen using (umi)", "from near, step where umi in (select umi from seen)"))
+def neighbour_classes(spark, sf_dir):
+    rows = correction.neighbour_classes(graded_mols(spark, sf_dir), 3)
+    return rows.select("umi", F.round("p", 9).alias("p"), "class")
 
 
 # pairs and report
@@ -569,6 +699,11 @@ def graded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_mols(spark, sf_dir).withColumn("quality", quality_.cast("double"))
 
 
+@query(f"with {PAIRS_SQL} select cb, gene, base, target, row_number() over (partition by cb, gene order by min_rpu, quality, base, target)::int as place from prs")
+def ranked_predictions(spark, sf_dir):
+    return pairs.ranked_predictions(classifier_pairs(spark, sf_dir), "min_rpu", "quality").select("cb", "gene", "base", "target", "place")
+
+
 @query(f"with {PAIRS_SQL} select * from prs")
 def classifier_pairs(spark, sf_dir):
     return pairs.classifier_pairs(graded(spark, sf_dir))
@@ -651,6 +786,25 @@ def size_histogram(spark, sf_dir):
     return quality.size_histogram(mo.cells(mols(spark, sf_dir))).select("bin", "cells")
 
 
+@query(f"""with {d.MOLECULES_SQL}, every as (select {d.SPELL.format(key="i", n=6)} as umi from range(4096) t(i)), c as (select umi, count(*) as n from mol group by all),
+s as (select coalesce(n, 0) + 4.0::double as n from every left join c on every.umi = c.umi), p as (select n / sum(n) over () as p from s), q as (select quantile_cont(p, 0.99) as q from p),
+k as (select p from p, q where p < q), b as (select min(p) as lo, max(p) as hi from k) select least(floor((p - lo) / ((hi - lo) / 10)), 9)::int as bin, count(*)::bigint as n from k, b group by 1""")
+def umi_probabilities(spark, sf_dir):
+    return report.umi_probabilities(mo.smoothed_umi_distribution(mols(spark, sf_dir), 6, 1.0), bins=10)
+
+
+@query(f"with {d.EVENTS_SQL}, c as (select cb, count(*) as n_umis from emol group by cb) select row_number() over (order by n_umis desc, cb)::bigint as rank, round(1.0::double / n_umis, 9) as score from c")
+def scores_by_rank(spark, sf_dir):
+    cells = mo.cells(event_mols(spark, sf_dir))
+    found = report.scores_by_rank(cells.select("cb", (F.lit(1.0) / F.col("n_umis")).alias("score")), cells)
+    return found.select("rank", F.round("score", 9).alias("score"))
+
+
+@query("select i::double as depth, i < 30 as predicted from range(100) t(i)")
+def saturation_points(spark, sf_dir):
+    return report.saturation_points(spark.range(100).select(F.col("id").cast("double").alias("depth")), 30.0)
+
+
 @query(f"with {d.CELLS_SQL} select cb, gene, count(*)::bigint as n from mol where {REQUESTED} and cb in ({FINAL}) group by all")
 def estimate(spark, sf_dir):
     from . import estimate as plan

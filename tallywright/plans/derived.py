@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallywright.operators.tables import with_once
+
 HEX = "0123456789abcdef"
 NUCLEOTIDES, WITH_N, QUALITIES = "ACGTACGTACGTACGT", "ACGTACGTACGTACGN", "#(-27<ACEFGHHIIJ"
 
@@ -44,11 +46,20 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def graded_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with qualities of identifiers, over more genes."""
+    key = F.col("event_id")
+    return table(spark, sf_dir, "events").select(
+        spelled(F.col("user_id") % 500, 6).alias("cb"), spelled(key * key % 64, 3).alias("umi"), F.concat(F.lit("G"), (key % 37).cast("string")).alias("gene"), F.lit(2).alias("mark"),
+        F.substring(digest(key, QUALITIES), 1, 3).alias("umi_qual"),
+    )
+
+
 def fastq(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reads in lock-step from orders: 32 bases each."""
     key = F.col("o_orderkey")
     made = {f"seq{i}": digest(key + i - 1, NUCLEOTIDES if i < 3 else WITH_N) for i in (1, 2, 3)} | {f"qual{i}": digest(key + 10 * i, QUALITIES) for i in (1, 2, 3)}
-    return table(spark, sf_dir, "orders").select(key.alias("ord"), *[v.alias(k) for k, v in made.items()])
+    return with_once(table(spark, sf_dir, "orders").select("o_orderkey"), made).withColumnRenamed("o_orderkey", "ord")
 
 
 def annotation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,6 +108,10 @@ CELLS_SQL = MOLECULES_SQL + """, cells as (
 EVENTS_SQL = f"""ev as (
   select {SPELL.format(key="user_id % 500", n=6)} as cb, {SPELL.format(key="event_id % 64", n=3)} as umi, 'G' || cast(event_id % 7 as varchar) as gene, 2 as mark from events),
 emol as (select cb, gene, umi, count(*)::bigint as reads, bit_or(mark) as mark from ev group by all)"""
+GRADED_SQL = f"""gr as (
+  select {SPELL.format(key="user_id % 500", n=6)} as cb, {SPELL.format(key="event_id * event_id % 64", n=3)} as umi, 'G' || cast(event_id % 37 as varchar) as gene, 2 as mark,
+         substr({sql_digest("event_id", QUALITIES)}, 1, 3) as umi_qual from events),
+gq as (select cb, gene, umi, i, sum(ascii(substr(umi_qual, i, 1)))::bigint as code, count(*)::bigint as reads, bit_or(mark) as mark from gr, range(1, 4) t(i) group by all)"""
 FASTQ_SQL = "fq as (select o_orderkey as ord, " + ", ".join(
     f"{sql_digest(f'o_orderkey + {i - 1}', NUCLEOTIDES if i < 3 else WITH_N)} as seq{i}, {sql_digest(f'o_orderkey + {10 * i}', QUALITIES)} as qual{i}" for i in (1, 2, 3)
 ) + " from orders)"
