@@ -22,9 +22,11 @@ def words(text: Column) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
+    """The shared folder named by spark.checkpoint.dir; a temporary one only where that is unset and all runs in one process (tests)."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="tallywright-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
@@ -37,11 +39,25 @@ def apart(docs: DataFrame, *names: str) -> tuple[DataFrame, list[str]]:
     return renamed, [renamed.columns[docs.columns.index(n)] for n in names]
 
 
+#: Folders that materialize() has written and discard() has not removed.
+WRITTEN: list[str] = []
+
+
+def discard(spark: SparkSession, since: int, keep: int = 0) -> None:
+    """Remove the folders written after the first `since`, but for the last `keep`: nothing that is still read may be among them."""
+    gone = WRITTEN[since : len(WRITTEN) - keep]
+    for path in gone:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        WRITTEN.remove(path)
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write a table to the shared folder and read it back: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tallywright/{tag}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import apart
+from .common import apart, broadcast_if, materialize
 
 
 @dataclass(frozen=True)
@@ -39,6 +39,8 @@ ADDED_RULES = (
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
     Rule("maps", r"AIza[0-9A-Za-z_-]{35}"),
 )
+#: Candidates (an id and a number) are broadcast up to this number of rows, else texts are joined with them by shuffle.
+MAX_BROADCAST_ROWS = 500_000
 #: A character class of up to this many members is spelled out when literals are derived.
 SPELLED = 8
 
@@ -165,6 +167,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", added:
     index = build_index(docs, rules, id_col, text_col, segments)
     docs = docs.drop("_asked_id", "_asked")
     asked = candidates(index, rules).select(F.col("id").alias("_asked_id"), F.col("asked").alias("_asked"))
+    asked = broadcast_if(materialize(asked, "secret-candidates"), MAX_BROADCAST_ROWS)
     rows = docs.join(asked, F.col(id_col).eqNullSafe(F.col("_asked_id")), "left").drop("_asked_id")
     text, mask = F.coalesce(F.col(text_col), F.lit("")), F.coalesce(F.col("_asked"), F.lit(0))
     none = F.array().cast("array<struct<start:int,ord:int,end:int,kind:string>>")
