@@ -173,6 +173,21 @@ def pairs(fps: np.ndarray, start: int, segments: list[tuple[int, int]], every: n
                     yield order[x[ok]], order[y[ok]]
 
 
+def forest(size: int, found: Iterator[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of places (a, b) as stars: the smallest place of each class, and the others of it."""
+    root = np.arange(size)
+    for a, b in found:
+        x, y = root[a], root[b]
+        while (apart := x != y).any():
+            low, high = np.minimum(x, y)[apart], np.maximum(x, y)[apart]
+            np.minimum.at(root, high, low)
+            while (up := root[root]).tobytes() != root.tobytes():
+                root = up
+            x, y = root[low], root[high]
+    places = np.flatnonzero(root != np.arange(size))
+    return root[places], places
+
+
 def links(nodes: DataFrame, radius: int = 4, count: int = 1, most: int | None = None) -> DataFrame:
     """nodes(fp, fps), distinct -> links(a, b) of fp whose classes are those of all pairs that have one of their `count`
     fingerprints at most `radius` bits apart, and with `most` all of them together at most so many.
@@ -190,8 +205,9 @@ def links(nodes: DataFrame, radius: int = 4, count: int = 1, most: int | None =
             names, every = (np.concatenate([h[k] for h in held]) if held else np.empty((0, count), np.int64) for k in range(2))
             if len(names) > 1:
                 own = every[:, at[0] // len(segments)].view(np.uint64)
-                for a, b in pairs(np.ascontiguousarray(own), at[0] % len(segments), segments, every.view(np.uint64), most):
-                    yield pa.RecordBatch.from_arrays([pa.array(names[a]), pa.array(names[b])], ["a", "b"])
+                # names are sorted: a class has the same smallest one, and so the same star, in all groups that hold it whole
+                a, b = forest(len(names), pairs(np.ascontiguousarray(own), at[0] % len(segments), segments, every.view(np.uint64), most))
+                yield pa.RecordBatch.from_arrays([pa.array(names[a]), pa.array(names[b])], ["a", "b"])
 
         for b in batches:
             seg, val, names = (b.column(i).to_numpy(zero_copy_only=False) for i in range(3))
