@@ -31,7 +31,7 @@ def unescaped(text: Column) -> Column:
 def turns(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """(conv_id, path, turns): of each conversation its turns, formatted, and the ids of their nodes in the tree.
 
-    A node's id is a digest of its parent's id and its turn, so conversations share nodes as far as they begin alike.
+    A node's id is a digest (128 bits) of its parent's id and its turn, so conversations share nodes as far as they begin alike.
     Turns go by turn (null first), then role and text; a null role or text is empty; a repeated row is a turn more.
     A conversation is one record, as a document is.
     """
@@ -51,58 +51,78 @@ def turns(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", ro
 
     def extend(acc: Column, t: Column) -> Column:
         parent = F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(""))
-        return F.concat(acc, F.array(F.sha2(F.concat(parent, t["segment"]), 256)))
+        digest = F.substring(F.unhex(F.sha2(F.concat(parent, t["segment"]), 256)), 1, 16)
+        return F.concat(acc, F.array(F.base64(digest)))
 
     shaped = grouped.select("conv_id", F.transform("turns", made).alias("turns"))
     return shaped.select("conv_id", F.aggregate("turns", F.array().cast("array<string>"), extend).alias("path"), "turns")
 
 
-NODES = "part int, head boolean, tree string, node string, parent string, depth int, segment string, loss_from int, loss_to int, position long, size long, begin long"
-FIELDS = [f.split()[0] for f in NODES.split(", ")]
+SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+#: What first_seen() tells of a node: name and type, in Spark's words and in Arrow's.
+NODES = [
+    ("part", "int", pa.int32()), ("head", "boolean", pa.bool_()), ("tree", "string", pa.string()), ("node", "string", pa.string()), ("parent", "string", pa.string()),
+    ("depth", "int", pa.int32()), ("segment", "string", pa.string()), ("loss_from", "int", pa.int32()), ("loss_to", "int", pa.int32()), ("position", "long", pa.int64()),
+    ("size", "long", pa.int64()), ("begin", "long", pa.int64()), ("root", "long", pa.int64()), ("shared", "int", pa.int32()),
+    ("spans", "array<struct<start: long, end: long>>", SPANS),
+]
+
+
+def joined_spans(spans: list[dict], start: int, end: int) -> list[dict]:
+    """spans with one more after them, joined to the last where they meet."""
+    if spans and spans[-1]["end"] == start:
+        return [*spans[:-1], {"start": spans[-1]["start"], "end": end}]
+    return [*spans, {"start": start, "end": end}]
 
 
 def first_seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of sorted paths (part, path, turns), each node where it first comes, with the tokens of this part before it.
 
-    head marks nodes of a part's first path: those may have come in an earlier part.
+    head marks nodes of a part's first path: those may have come in an earlier part. shared: how many nodes of a node's
+    path are on that first path; spans: the tokens of the others, by their places in this part; root: the place of its
+    root in this part, null where that is on the first path.
     """
     last: list[str] = []
-    begin, first = 0, True
+    begins: list[int] = []  # of the nodes of the present path
+    spans: list[list[dict]] = []
+    begin, on_first = 0, -1
     for b in batches:
         out: list[tuple] = []
         for part, path, turns_ in zip(*(c.to_pylist() for c in b.columns), strict=True):
             same = 0
             while same < min(len(last), len(path)) and last[same] == path[same]:
                 same += 1
+            first = on_first < 0
+            on_first = len(path) if first else min(on_first, same)
+            del begins[same:], spans[same:]
             at = 0
             for i, (node, t) in enumerate(zip(path, turns_, strict=True)):
                 size = len(t["segment"])
                 if i >= same:
-                    out.append((part, first, path[0], node, path[i - 1] if i else None, i, t["segment"], t["loss_from"], t["loss_to"], at, size, begin))
+                    begins.append(begin)
+                    before = spans[-1] if i > on_first else []
+                    spans.append([] if i < on_first else joined_spans(before, begin, begin + size))
+                    root = None if on_first else begins[0]
+                    mine = (part, first, path[0], node, path[i - 1] if i else None, i, t["segment"], t["loss_from"], t["loss_to"])
+                    out.append((*mine, at, size, begin, root, min(on_first, i + 1), spans[-1]))
                     begin += size
                 at += size
-            last, first = path, False
-        columns = list(zip(*out, strict=True)) if out else [[]] * len(FIELDS)
-        kinds = [pa.int32(), pa.bool_(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], FIELDS)
+            last = path
+        columns = list(zip(*out, strict=True)) if out else [[]] * len(NODES)
+        yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, (_, _, kind) in zip(columns, NODES, strict=True)], [name for name, *_ in NODES])
 
 
-def merged_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(leaf, parts of its path in order) -> each node of the path with the spans that it and its ancestors fill."""
-    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+def first_paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(part, offset, nodes of its first path) -> part, offset, the first root's place, and the spans of 1, 2, ... nodes."""
     for b in batches:
-        nodes, spans = [], []
-        for parts in b.column(1).to_pylist():
-            runs: list[dict] = []
-            for p in parts:
-                end = p["start"] + p["size"]
-                if runs and runs[-1]["end"] == p["start"]:
-                    runs[-1] = {"start": runs[-1]["start"], "end": end}
-                else:
-                    runs.append({"start": p["start"], "end": end})
-                nodes.append(p["node"])
-                spans.append(list(runs))
-        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.string()), pa.array(spans, kind)], ["node", "intervals"])
+        roots, lists = [], []
+        for nodes in b.column(2).to_pylist():
+            spans: list[list[dict]] = []
+            for n in nodes:
+                spans.append(joined_spans(spans[-1] if spans else [], n["begin"], n["begin"] + n["size"]))
+            roots.append(nodes[0]["begin"])
+            lists.append(spans)
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(roots, pa.int64()), pa.array(lists, pa.list_(SPANS))], ["part", "offset", "first_root", "first_spans"])
 
 
 def tree(conversations: DataFrame) -> DataFrame:
@@ -112,31 +132,38 @@ def tree(conversations: DataFrame) -> DataFrame:
     position: its position id, the tokens of the ancestors (which an own copy of the conversation would give it too);
     intervals: (start, end) of what the node's tokens may attend to, the ancestors and the node itself, spans that meet
     joined; causal within the node. Conversations are sorted by path over ranges: a node comes first in the first path
-    that has it, after all of its ancestors, so a tree of any size is laid out by many tasks, in one pass.
+    that has it, after all of its ancestors, so a tree of any size is laid out by many tasks, in one pass. What a range
+    needs to know of those before it, its offset and the places of its first path's nodes, is one row a range; texts are
+    not moved again.
     """
     ordered = conversations.select("path", "turns").repartitionByRange("path").sortWithinPartitions("path").select(F.spark_partition_id().alias("part"), "path", "turns")
-    rows = materialize(ordered.mapInArrow(first_seen, NODES), "chat-nodes")
-    heads = rows.filter("head").select(F.col("part").alias("_part"), F.col("node").alias("_node"))  # a path a range
-    again = heads.join(rows.select("part", "node"), (F.col("_node") == F.col("node")) & (F.col("part") < F.col("_part"))).select("_part", "_node").distinct()
-    again = materialize(again, "chat-again")
-    rows = rows.join(broadcast_if(again, MAX_BROADCAST_ROWS), (F.col("part") == F.col("_part")) & (F.col("node") == F.col("_node")), "left")
-    fresh = F.when(F.col("_node").isNull(), F.col("size")).otherwise(0)
-    totals = rows.groupBy("part").agg(F.sum(fresh).alias("total"), F.sum(F.col("size") - fresh).alias("repeated"))  # one row a range
-    before = F.coalesce(F.sum("total").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    totals = totals.select("part", (before - F.col("repeated")).alias("offset"))
-    placed = rows.filter("_node is null").drop("_part", "_node", "head").join(totals, "part").withColumn("begin", F.col("begin") + F.col("offset")).drop("offset", "part")
-    placed = materialize(placed, "chat-placed")
-    roots = placed.filter("depth = 0").select("tree", F.col("begin").alias("root_begin"))
-    placed = placed.join(roots, "tree").withColumn("start", F.col("begin") - F.col("root_begin")).drop("begin", "root_begin")
-    placed = materialize(placed, "chat-trees")
-    leaves = conversations.select(F.element_at("path", -1).alias("leaf"), "path").dropDuplicates(["leaf"])
-    climbed = leaves.select("leaf", F.explode("path").alias("node")).join(placed.select("node", "start", "size"), "node")
-    paths = climbed.groupBy("leaf").agg(F.array_sort(F.collect_list(F.struct("start", "size", "node"))).alias("parts"))
-    spans = paths.mapInArrow(merged_spans, "node string, intervals array<struct<start: bigint, end: bigint>>").groupBy("node").agg(F.min("intervals").alias("intervals"))
-    return placed.join(spans, "node")
-
-
-#: Nodes that come again at the start of a range: the table is broadcast up to this number of rows.
+    rows = materialize(ordered.mapInArrow(first_seen, ", ".join(f"{name} {kind}" for name, kind, _ in NODES)), "chat-nodes")
+    heads = rows.filter("head").select("part", "node", "depth", "size", "begin")  # a path a range
+    earlier = rows.select(F.col("part").alias("first_part"), F.col("node").alias("first_node"), F.col("begin").alias("first_begin"))
+    again = heads.join(earlier, (F.col("node") == F.col("first_node")) & (F.col("first_part") < F.col("part"))).groupBy("part", "node")
+    again = materialize(again.agg(F.min(F.struct("first_part", "first_begin")).alias("first")).select("part", "node", "first.first_part", "first.first_begin"), "chat-again")
+    sizes = rows.groupBy("part").agg(F.sum("size").alias("all"))  # one row a range, as all tables below
+    sizes = sizes.join(heads.join(again, ["part", "node"]).groupBy("part").agg(F.sum("size").alias("repeated")), "part", "left").fillna(0, ["repeated"])
+    before = F.coalesce(F.sum(F.col("all") - F.col("repeated")).over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    offsets = materialize(sizes.select("part", (before - F.col("repeated")).alias("offset")), "chat-offsets")
+    known = heads.join(again, ["part", "node"], "left").join(offsets.select(F.col("part").alias("first_part"), F.col("offset").alias("first_offset")), "first_part", "left")
+    known = known.join(offsets, "part").withColumn("begin", F.coalesce(F.col("first_begin") + F.col("first_offset"), F.col("begin") + F.col("offset")))
+    lists = known.groupBy("part", "offset").agg(F.array_sort(F.collect_list(F.struct("depth", "begin", "size"))).alias("nodes"))
+    firsts = lists.mapInArrow(first_paths, "part int, offset long, first_root long, first_spans array<array<struct<start: long, end: long>>>")
+    firsts = broadcast_if(materialize(firsts, "chat-firsts"), MAX_BROADCAST_ROWS)
+    fresh = rows.join(broadcast_if(again.select("part", "node"), MAX_BROADCAST_ROWS), ["part", "node"], "left_anti").join(firsts, "part")
+    root = F.coalesce(F.col("root") + F.col("offset"), F.col("first_root"))
+    moved = lambda spans, by: F.transform(spans, lambda x: F.struct((x["start"] + by).alias("start"), (x["end"] + by).alias("end")))
+    none = F.array().cast("array<struct<start: long, end: long>>")
+    a, b = moved(F.coalesce(F.get("first_spans", F.col("shared") - 1), none), -root), moved(F.col("spans"), F.col("offset") - root)
+    placed = fresh.withColumns({"start": F.col("begin") + F.col("offset") - root, "_a": a, "_b": b})
+    last, head = F.element_at("_a", F.size("_a")), F.get("_b", F.lit(0))
+    meet = F.concat(F.slice("_a", F.lit(1), F.size("_a") - 1), F.array(F.struct(last["start"].alias("start"), head["end"].alias("end"))), F.slice("_b", F.lit(2), F.size("_b")))
+    both = F.when((F.size("_a") > 0) & (F.size("_b") > 0), F.when(last["end"] == head["start"], meet))
+    return placed.select("tree", "node", "parent", "depth", "segment", "loss_from", "loss_to", "position", "size", "start", F.coalesce(both, F.concat("_a", "_b")).alias("intervals"))
+
+
+#: Nodes that come again at the start of a range, and what a range knows of its first path, are broadcast up to this number of rows.
 MAX_BROADCAST_ROWS = 200_000
 
 

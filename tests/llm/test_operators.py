@@ -434,6 +434,41 @@ def test_chat_round_trip(spark):
     assert chat.digest(*chat.format_chats(empty)).count() == 0
 
 
+@pytest.mark.parametrize("ranges", [1, 3, 40])
+def test_chat_trees_over_many_ranges(spark, ranges):
+    rnd = random.Random(17)
+    rows = []
+    for c in range(120):
+        for t in range(rnd.randint(1, 7)):
+            rows.append((c, t, "user" if t % 2 == 0 else "assistant", "x" * (1 + (c % 3 if t > 3 else rnd.randint(0, 1)) + t)))
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", ranges)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        nodes, paths = chat.format_chats(table)
+        trees, got = nodes.collect(), {r["conv_id"]: r for r in chat.digest(nodes, paths).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    texts = {c: [x for i, _, _, x in rows if i == c] for c in range(120)}
+    assert len(trees) == len({tuple(x[: k + 1]) for x in texts.values() for k in range(len(x))})  # each shared start once
+    by_node = {r["node"]: r for r in trees}
+    for name in {r["tree"] for r in trees}:
+        own = sorted((r for r in trees if r["tree"] == name), key=lambda r: r["start"])
+        assert [r["start"] for r in own] == [sum(x["size"] for x in own[:k]) for k in range(len(own))]
+        for r in own:
+            seen, up = [], r
+            while up:
+                seen.append((up["start"], up["start"] + up["size"]))
+                up = by_node.get(up["parent"])
+            assert {t for s in r["intervals"] for t in range(s["start"], s["end"])} == {t for a, b in seen for t in range(a, b)}
+            assert all(a["end"] < b["start"] for a, b in zip(r["intervals"], r["intervals"][1:])) and r["position"] == sum(b - a for a, b in seen[1:])
+    for c, said in texts.items():
+        learned = "".join(x for k, x in enumerate(said) if k % 2)
+        assert got[c]["n_turns"] == len(said) and got[c]["loss_sha256"] == hashlib.sha256(learned.encode()).hexdigest()
+
+
 PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{}</style></head><body class="has-sidebar"><nav><ul><li><a href=x>menu</a></ul></nav>
 <div class="content-%d"><h1>Head &amp; line</h1><p>First paragraph of the article,<br>with <b>bold</b> text that is long enough.<p>Second&nbsp;one &lt;i&gt; follows here with some more words in it.
 <form>search</form><script>var a = "</p>";</script></div><div class="comments"><p>A reader's comment which is also rather long, longer than some of the paragraphs of the article.</p></div>
