@@ -1,4 +1,7 @@
-"""Removal of byte strings that occur twice or more, by ranks of sampled positions at growing lengths."""
+"""Removal of byte strings that occur twice or more: positions sampled by content, told apart by digests of their contexts.
+
+This is not prefix doubling, whose pairs of ranks of all positions exceed the disk allowed; README gives the figures.
+"""
 
 from __future__ import annotations
 
