@@ -10,8 +10,9 @@ have equal anchors at the same place. So
    The texts of the others are cut out, equal ones as one row with a count, meet in one task and are judged there;
 3. verdicts go back to the occurrences by an equi-join, and those of a document to its text.
 
-Which anchors recur is first asked of a bitmap of fixed size (a prefilter: it has no false negatives, and what passes it
-wrongly is judged unique in step 2), so nothing that grows with the corpus is broadcast or collected.
+Which anchors recur is first asked of a bitmap (a prefilter: it has no false negatives, and what passes it wrongly is
+judged unique in step 2). Its size follows the counted anchors up to a bound; beyond that there is none, all anchors are
+counted by their digests, and the texts to cut are found by joins. So all that is broadcast or collected has a bound.
 """
 
 from __future__ import annotations
@@ -27,8 +28,9 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
-#: Bits of the prefilter: 16 MB whatever the corpus; Spark's bitmaps hold BUCKET bits each.
-FILTER_BITS, BUCKET = 27, 32768
+#: A prefilter has 8 bits or more for each anchor, at least 2 ** LEAST_BITS, at most 2 ** MOST_BITS (64 MB). More anchors than
+#: MOST_FILTERED would fill it by two fifths, and there is none. Spark's bitmaps hold BUCKET bits each.
+LEAST_BITS, MOST_BITS, MOST_FILTERED, BUCKET = 18, 29, 1 << 28, 32768
 #: Units hashed at once; a longer text is cut with an overlap of a window.
 PIECE = 1 << 20
 MULTIPLIER = 0x9E3779B97F4A7C15
@@ -147,11 +149,26 @@ def cut(text: bytes, units: Units) -> Iterator[tuple[int, np.ndarray, np.ndarray
         yield at, starts, ends, *anchors(piece, units)
 
 
-def contexts(text: bytes, units: Units, bits: np.ndarray) -> Iterator[tuple[int, int, int, int, bytes]]:
-    """(hash, anchor's place in the context, first unit, windows, context) of each occurrence of an anchor that the filter lets pass."""
+def passing(h: np.ndarray, bits: bytes | None) -> np.ndarray:
+    """Which anchors the prefilter lets pass: all where there is none."""
+    if bits is None:
+        return np.ones(len(h), bool)
+    key = (h >> np.uint64(64 - (len(bits).bit_length() + 2))).astype(np.int64)
+    return ((np.frombuffer(bits, np.uint8)[key >> 3] >> (key & 7).astype(np.uint8)) & 1).astype(bool)
+
+
+def listed(h: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which anchors are among sorted values."""
+    if not len(values):
+        return np.zeros(len(h), bool)
+    signed_h = h.view(np.int64)
+    return values[np.minimum(np.searchsorted(values, signed_h), len(values) - 1)] == signed_h
+
+
+def contexts(text: bytes, units: Units, wanted: Callable[[np.ndarray], np.ndarray]) -> Iterator[tuple[int, int, int, int, bytes]]:
+    """(hash, anchor's place in the context, first unit, windows, context) of each occurrence of a wanted anchor."""
     for at, starts, ends, h, place, first, last in cut(text, units):
-        key = (h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-        ok = np.flatnonzero((bits[key >> 3] >> (key & 7).astype(np.uint8)) & 1)
+        ok = np.flatnonzero(wanted(h))
         begin, end = first[ok] + at, last[ok] + at + units.window
         a, b = (starts[begin], ends[end - 1]) if units.words else (begin, end)
         off = place[ok] + at - begin
@@ -160,13 +177,14 @@ def contexts(text: bytes, units: Units, bits: np.ndarray) -> Iterator[tuple[int,
             yield hv, o, u, n, text[x:y]
 
 
-#: Contexts of an anchor of more occurrences than this are not judged together but window by window, in Spark.
-HOT = 200_000
+#: An anchor of more occurrences, or of more different contexts, than this is judged window by window, in Spark, and not in one task.
+HOT, WIDE = 200_000, 20_000
+#: At most so many anchors (8 MB) are listed as such: where there are more, the limits double until they fit.
+MOST_LISTED = 1_000_000
 
 
-def recurring_filter(source: DataFrame, units: Units, in_other_documents: bool, hot: int) -> tuple[bytes, frozenset[int]]:
-    """The bitmap of anchors that occur in two documents at least, or just twice; and the anchors of more than `hot`
-    occurrences, of which there are fewer than all occurrences over `hot`."""
+def recurring(source: DataFrame, units: Units, in_other_documents: bool) -> DataFrame:
+    """(h, n): the anchors that occur in two documents at least, or just twice, and how often."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -182,24 +200,33 @@ def recurring_filter(source: DataFrame, units: Units, in_other_documents: bool,
 
     seen = source.select("rank", "raw").mapInArrow(run, "h bigint, who bigint").groupBy("h")
     if in_other_documents:
-        again = seen.agg(F.min("who").alias("a"), F.max("who").alias("b"), F.count("*").alias("n")).filter("a < b")
-    else:
-        again = seen.agg(F.sum("who").alias("n")).filter("n > 1")
-    return bitmap(again, F.when(F.col("n") > hot, F.col("h")))
-
-
-def bitmap(anchors_: DataFrame, listed: Column) -> tuple[bytes, frozenset[int]]:
-    """The prefilter of a table of anchors (h), and the values that `listed` picks."""
-    bit = F.shiftrightunsigned("h", 64 - FILTER_BITS)
-    maps = anchors_.groupBy(F.floor(bit / BUCKET).alias("bucket")).agg(
-        F.bitmap_construct_agg((bit % BUCKET).cast("long")).alias("bits"), F.collect_list(listed).alias("hot")
-    )
-    whole, many = bytearray((1 << FILTER_BITS) // 8), []
-    for row in maps.toLocalIterator():  # at most 4,096 rows of 4 KB
+        return seen.agg(F.min("who").alias("a"), F.max("who").alias("b"), F.count("*").alias("n")).filter("a < b").select("h", "n")
+    return seen.agg(F.sum("who").alias("n")).filter("n > 1")
+
+
+def bitmap(anchors_: DataFrame, most: int) -> bytes | None:
+    """The prefilter of a stored table of anchors (h), or None where there are more than `most`."""
+    n = anchors_.count()
+    if n > most:
+        return None
+    size = min(MOST_BITS, max(LEAST_BITS, (8 * n - 1).bit_length()))
+    bit = F.shiftrightunsigned("h", 64 - size)
+    maps = anchors_.groupBy(F.floor(bit / BUCKET).alias("bucket")).agg(F.bitmap_construct_agg((bit % BUCKET).cast("long")).alias("bits"))
+    whole = bytearray((1 << size) // 8)
+    for row in maps.toLocalIterator():  # at most 16,384 rows of 4 KB
         at = row["bucket"] * BUCKET // 8
         whole[at : at + BUCKET // 8] = row["bits"]
-        many += row["hot"]
-    return bytes(whole), frozenset(many)
+    return bytes(whole)
+
+
+def above(anchors_: DataFrame, count: str, limit: int) -> np.ndarray:
+    """The sorted anchors whose count is over the limit, or over the least doubling of it that MOST_LISTED anchors pass."""
+    over = anchors_.filter(F.col(count) > limit)
+    level = F.floor(F.log2(F.greatest(F.col(count) - 1, F.lit(1)) / max(limit, 1)))
+    sizes = {r["level"]: r["k"] for r in over.groupBy(level.cast("int").alias("level")).agg(F.count("*").alias("k")).collect()}
+    least = next(x for x in range(65) if sum(k for level, k in sizes.items() if level >= x) <= MOST_LISTED)
+    rows = over.filter(level >= least).select("h").collect() if sizes else []
+    return np.sort(np.array([r["h"] for r in rows], np.int64))
 
 
 #: One context of a group: (place of the anchor, bytes, smallest rank that has it, occurrences).
@@ -209,23 +236,21 @@ Context = tuple[int, bytes, int, int]
 Judge = Callable[[list[list[Context]]], list[list[list[int] | None]]]
 
 
-def verdicts(source: DataFrame, units: Units, in_other_documents: bool, judge: Judge, hot: int = HOT) -> DataFrame:
+def verdicts(source: DataFrame, units: Units, in_other_documents: bool, judge: Judge, hot: int = HOT, wide: int = WIDE, filtered: int = MOST_FILTERED) -> DataFrame:
     """(id, th, found): for each text with a repeated window, the list of (first unit, windows, verdict) of its contexts.
 
     source: id, th (hash of the text), rank (of the document in its order), raw (bytes).
     """
-    spark = source.sparkSession
-    once_more, many = recurring_filter(source, units, in_other_documents, hot)
-    bits = spark.sparkContext.broadcast(once_more)
+    share = source.sparkSession.sparkContext.broadcast
+    again = materialize(recurring(source, units, in_other_documents), "recurring-anchors")
+    bits, often = share(bitmap(again, filtered)), share(hot_ones := above(again, "n", hot))
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        have = np.frombuffer(bits.value, np.uint8)
+        wanted = lambda h: passing(h, bits.value) & ~listed(h, often.value)
         for b in batches:
             seen: dict[tuple[int, int], list[int]] = {}
             for rank, raw in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                for h, off, _, _, context in contexts(units.text(raw.as_py()), units, have):
-                    if h in many:
-                        continue
+                for h, off, _, _, context in contexts(units.text(raw.as_py()), units, wanted):
                     key = h, signed(xxhash.xxh3_64_intdigest(context, off))
                     if (x := seen.get(key)) is None:
                         seen[key] = [rank, 1]
@@ -240,16 +265,19 @@ def verdicts(source: DataFrame, units: Units, in_other_documents: bool, judge: J
     each = materialize(each.filter("n > 1"), "anchor-contexts")
     whole = F.array("low") if in_other_documents else F.array(F.lit(0).cast("long"), F.lit(-1).cast("long"))
     alone = each.filter("kinds = 1").select("h", "x", whole.alias("verdict"))
-    several = spark.sparkContext.broadcast(bitmap(each.filter("kinds > 1"), F.lit(None).cast("long"))[0])
+    unclear = each.filter("kinds > 1")
+    several, many = share(bitmap(unclear, filtered)), share(wide_ones := np.union1d(hot_ones, above(each, "kinds", wide)))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        have = np.frombuffer(several.value, np.uint8)
         for b in batches:
             seen: dict[tuple[int, int, bytes], list[int]] = {}
-            for rank, raw in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                for h, off, _, _, context in contexts(units.text(raw.as_py()), units, have):
-                    if h in many:
-                        continue
+            for rank, raw, asked in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
+                if asked.is_valid:
+                    named = np.sort(asked.values.to_numpy(zero_copy_only=False))
+                    wanted = lambda h: listed(h, named) & ~listed(h, many.value)  # noqa: B023, E731
+                else:
+                    wanted = lambda h: passing(h, several.value) & ~listed(h, many.value)
+                for h, off, _, _, context in contexts(units.text(raw.as_py()), units, wanted):
                     if (x := seen.get((h, off, context))) is None:
                         seen[h, off, context] = [rank, 1]
                     else:
@@ -297,50 +325,51 @@ def verdicts(source: DataFrame, units: Units, in_other_documents: bool, judge: J
         yield from close()
 
     def located(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        have = np.frombuffer(bits.value, np.uint8)
+        wanted = lambda h: passing(h, bits.value) & ~listed(h, many.value)
         for b in batches:
             for rows in range(0, b.num_rows, 256):
                 part = b.slice(rows, 256)
                 row, h, x, unit, windows = [], [], [], [], []
                 for i, raw in enumerate(part.column(2)):
-                    for hv, o, u, n, context in contexts(units.text(raw.as_py()), units, have):
-                        if hv not in many:
-                            row.append(i), h.append(hv), x.append(signed(xxhash.xxh3_64_intdigest(context, o))), unit.append(u), windows.append(n)
+                    for hv, o, u, n, context in contexts(units.text(raw.as_py()), units, wanted):
+                        row.append(i), h.append(hv), x.append(signed(xxhash.xxh3_64_intdigest(context, o))), unit.append(u), windows.append(n)
                 take = pa.array(row, pa.int64())
                 numbers = [pa.array(h, pa.int64()), pa.array(x, pa.int64()), pa.array(unit, pa.int64()), pa.array(windows, pa.int32())]
                 yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(1).take(take), *numbers], ["id", "th", "h", "x", "unit", "windows"])
 
-    def windows_of(raw: bytes | None, have: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """First unit and digest of each window of the hot anchors of a text."""
-        for h, _, u, n, context in contexts(units.text(raw), units, have):
-            if h in many:
-                for i, w in enumerate(split(context, n, units)):
-                    d = xxhash.xxh3_128_intdigest(w)
-                    yield u + i, signed(d >> 64), signed(d & ((1 << 64) - 1))
+    def windows_of(raw: bytes | None) -> Iterator[tuple[int, int, int]]:
+        """First unit and digest of each window of the listed anchors of a text."""
+        for _, _, u, n, context in contexts(units.text(raw), units, lambda h: listed(h, many.value)):
+            for i, w in enumerate(split(context, n, units)):
+                d = xxhash.xxh3_128_intdigest(w)
+                yield u + i, signed(d >> 64), signed(d & ((1 << 64) - 1))
 
     def hot_gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        have = np.frombuffer(bits.value, np.uint8)
         for b in batches:
             for rank, raw in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                found = [(x, y, rank) for _, x, y in windows_of(raw.as_py(), have)]
+                found = [(x, y, rank) for _, x, y in windows_of(raw.as_py())]
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["w1", "w2", "low"])
 
     def hot_located(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        have = np.frombuffer(bits.value, np.uint8)
         for b in batches:
             for i, raw in enumerate(b.column(2)):
-                if found := list(windows_of(raw.as_py(), have)):
+                if found := list(windows_of(raw.as_py())):
                     take = pa.array([i] * len(found))
                     numbers = [pa.array(c, pa.int64()) for c in zip(*found, strict=True)]
                     yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), *numbers], ["id", "th", "unit", "w1", "w2"])
 
     id_type = source.schema["id"].dataType.simpleString()
-    gathered = source.select("rank", "raw").mapInArrow(gather, "h bigint, off int, context binary, low bigint, n bigint")
-    said = gathered.repartition("h").sortWithinPartitions("h", "off", "context").mapInArrow(judged, "h bigint, x bigint, verdict array<bigint>")
     occurrences = source.select("id", "th", "raw").mapInArrow(located, f"id {id_type}, th bigint, h bigint, x bigint, unit bigint, windows int")
+    if several.value is not None:
+        asked = source.select("rank", "raw", F.lit(None).cast("array<bigint>").alias("asked"))
+    else:
+        names = occurrences.join(unclear.select("h"), "h", "left_semi").groupBy(F.col("id").alias("aid"), F.col("th").alias("ath")).agg(F.collect_set("h").alias("asked"))
+        asked = source.join(names, F.col("id").eqNullSafe(F.col("aid")) & (F.col("th") == F.col("ath"))).select("rank", "raw", "asked")
+    gathered = asked.mapInArrow(gather, "h bigint, off int, context binary, low bigint, n bigint")
+    said = gathered.repartition("h").sortWithinPartitions("h", "off", "context").mapInArrow(judged, "h bigint, x bigint, verdict array<bigint>")
     met = occurrences.join(said.unionByName(alone), ["h", "x"]).select("id", "th", "unit", "windows", "verdict")
-    if many:
+    if len(wide_ones):
         counted = source.select("rank", "raw").mapInArrow(hot_gather, "w1 bigint, w2 bigint, low bigint").groupBy("w1", "w2").agg(F.min("low").alias("low"), F.count("*").alias("n"))
         verdict = F.array("low") if in_other_documents else F.array(F.lit(0).cast("long"), F.lit(1).cast("long"))
         counted = counted.filter("n > 1").select("w1", "w2", verdict.alias("verdict"))
@@ -362,10 +391,10 @@ def signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def judged_texts(docs: DataFrame, id_col: str, text_col: str, units: Units, in_other_documents: bool, judge: Judge, hot: int = HOT) -> DataFrame:
+def judged_texts(docs: DataFrame, id_col: str, text_col: str, units: Units, in_other_documents: bool, judge: Judge, **limits: int) -> DataFrame:
     """id, rank, raw, found for each row of docs; found is null where no window repeats."""
     rank = F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1))
     raw = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     source = docs.select(F.col(id_col).alias("id"), F.xxhash64(raw).alias("th"), rank.alias("rank"), raw.alias("raw"))
-    said = verdicts(source, units, in_other_documents, judge, hot).select(F.col("id").alias("fid"), F.col("th").alias("fth"), "found")
+    said = verdicts(source, units, in_other_documents, judge, **limits).select(F.col("id").alias("fid"), F.col("th").alias("fth"), "found")
     return source.join(said, F.col("id").eqNullSafe(F.col("fid")) & (F.col("th") == F.col("fth")), "left").select("id", "rank", "raw", "found")

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame
 
-from .passages import HOT, Context, Units, judged_texts
+from .passages import Context, Units, judged_texts
 
 
 def judge_phrases(groups: list[list[Context]]) -> list[list[list[int] | None]]:
@@ -82,7 +82,7 @@ def cover(found: pa.Array, base: np.ndarray, ranks: np.ndarray, size: int) -> np
     return np.cumsum(gone[:-1]) > 0
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits: int) -> DataFrame:
     """(id, n_words, n_removed, kept): each text without the words of windows of 13 words that also start in a document
     of a smaller id, its words joined by one space.
 
@@ -105,6 +105,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 numbers = [pa.array(np.diff(base), pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary())]
                 yield pa.RecordBatch.from_arrays([part.column(0), *numbers], ["id", "n_words", "n_removed", "kept"])
 
-    judged = judged_texts(docs, id_col, text_col, WORDS, True, judge_phrases, hot)
+    judged = judged_texts(docs, id_col, text_col, WORDS, True, judge_phrases, **limits)
     id_type = docs.schema[id_col].dataType.simpleString()
     return judged.mapInArrow(run, f"id {id_type}, n_words bigint, n_removed bigint, kept binary")

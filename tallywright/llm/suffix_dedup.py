@@ -12,7 +12,7 @@ import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame
 
-from .passages import HOT, Context, Units, judged_texts
+from .passages import Context, Units, judged_texts
 
 BYTES = Units(window=200, gram=64, words=False)
 
@@ -52,7 +52,7 @@ def judge_strings(groups: list[list[Context]]) -> list[list[list[int] | None]]:
     return said
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits: int) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept): each text without the bytes of any 200-byte string that also starts
     somewhere else, in the same document too. n_spans: maximal removed runs.
 
@@ -82,6 +82,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             arrays = [b.column(0), *(pa.array(x, pa.int64()) for x in (total, removed, spans)), pa.array(kept, pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, ["id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    judged = judged_texts(docs, id_col, text_col, BYTES, False, judge_strings, hot)
+    judged = judged_texts(docs, id_col, text_col, BYTES, False, judge_strings, **limits)
     id_type = docs.schema[id_col].dataType.simpleString()
     return judged.mapInArrow(run, f"id {id_type}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")

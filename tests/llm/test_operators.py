@@ -41,6 +41,10 @@ def split(t):
     return re.findall(r"[^\x20\x09-\x0D]+", t or "")
 
 
+#: All anchors judged together; by windows from the start; by windows where contexts differ; without prefilters.
+LIMITS = [{}, {"hot": 0}, {"wide": 1}, {"filtered": 0}, {"wide": 2, "filtered": 0}]
+
+
 def expected_phrases(rows):
     first = {}
     order = lambda r: (1 << 62) if r[0] is None else r[0]
@@ -60,9 +64,9 @@ def expected_phrases(rows):
     return Counter(out)
 
 
-@pytest.mark.parametrize("hot", [phrase_dedup.HOT, 0])
-def test_repeated_phrases(docs, none, hot):
-    got = Counter((r["id"], r["n_words"], r["n_removed"], bytes(r["kept"]).decode()) for r in phrase_dedup.remove_repeats(docs, hot=hot).collect())
+@pytest.mark.parametrize("limits", LIMITS)
+def test_repeated_phrases(docs, none, limits):
+    got = Counter((r["id"], r["n_words"], r["n_removed"], bytes(r["kept"]).decode()) for r in phrase_dedup.remove_repeats(docs, **limits).collect())
     assert got == expected_phrases(corpus())
     assert phrase_dedup.remove_repeats(none).count() == 0
 
@@ -83,9 +87,9 @@ def expected_strings(rows):
     return Counter(out)
 
 
-@pytest.mark.parametrize("hot", [suffix_dedup.HOT, 0])
-def test_repeated_strings(docs, none, hot):
-    got = Counter((r["id"], r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in suffix_dedup.remove_repeats(docs, hot=hot).collect())
+@pytest.mark.parametrize("limits", LIMITS)
+def test_repeated_strings(docs, none, limits):
+    got = Counter((r["id"], r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in suffix_dedup.remove_repeats(docs, **limits).collect())
     assert got == expected_strings(corpus())
     assert suffix_dedup.remove_repeats(none).count() == 0
 
