@@ -153,7 +153,7 @@ def passing(h: np.ndarray, bits: bytes | None) -> np.ndarray:
     """Which anchors the prefilter lets pass: all where there is none."""
     if bits is None:
         return np.ones(len(h), bool)
-    key = (h >> np.uint64(64 - (len(bits).bit_length() + 2))).astype(np.int64)
+    key = (h & np.uint64(8 * len(bits) - 1)).astype(np.int64)
     return ((np.frombuffer(bits, np.uint8)[key >> 3] >> (key & 7).astype(np.uint8)) & 1).astype(bool)
 
 
@@ -210,7 +210,7 @@ def bitmap(anchors_: DataFrame, most: int) -> bytes | None:
     if n > most:
         return None
     size = min(MOST_BITS, max(LEAST_BITS, (8 * n - 1).bit_length()))
-    bit = F.shiftrightunsigned("h", 64 - size)
+    bit = F.col("h").bitwiseAND(F.lit((1 << size) - 1).cast("long"))  # the low bits: an anchor is a smallest hash, its high bits are mostly 0
     maps = anchors_.groupBy(F.floor(bit / BUCKET).alias("bucket")).agg(F.bitmap_construct_agg((bit % BUCKET).cast("long")).alias("bits"))
     whole = bytearray((1 << size) // 8)
     for row in maps.toLocalIterator():  # at most 16,384 rows of 4 KB
