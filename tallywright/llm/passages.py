@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
-#: A prefilter has 8 bits or more for each anchor, at least 2 ** LEAST_BITS, at most 2 ** MOST_BITS (64 MB). More anchors than
+#: A prefilter has 32 bits or more for each anchor, at least 2 ** LEAST_BITS, at most 2 ** MOST_BITS (64 MB, where there are fewer). More anchors than
 #: MOST_FILTERED would fill it by two fifths, and there is none. Spark's bitmaps hold BUCKET bits each.
 LEAST_BITS, MOST_BITS, MOST_FILTERED, BUCKET = 18, 29, 1 << 28, 32768
 #: Units hashed at once; a longer text is cut with an overlap of a window.
@@ -209,7 +209,7 @@ def bitmap(anchors_: DataFrame, most: int) -> bytes | None:
     n = anchors_.count()
     if n > most:
         return None
-    size = min(MOST_BITS, max(LEAST_BITS, (8 * n - 1).bit_length()))
+    size = min(MOST_BITS, max(LEAST_BITS, (32 * n - 1).bit_length()))
     bit = F.col("h").bitwiseAND(F.lit((1 << size) - 1).cast("long"))  # the low bits: an anchor is a smallest hash, its high bits are mostly 0
     maps = anchors_.groupBy(F.floor(bit / BUCKET).alias("bucket")).agg(F.bitmap_construct_agg((bit % BUCKET).cast("long")).alias("bits"))
     whole = bytearray((1 << size) // 8)
