@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import chat, decontaminate, fingerprints, html_text, language, mixing, phrase_dedup, secrets, simhash_dedup, suffix_dedup
+from . import bpe, centroids, chat, decontaminate, fingerprints, html_text, language, merkle, mixing, phrase_dedup, secrets, simhash_dedup, suffix_dedup
 from .common import table
 
 
@@ -128,6 +129,96 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(*chat.format_chats(rows.unionByName(extra)))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = merkle.manifest(table(spark, sf_dir, "documents"))
+    digests = [merkle.proof(F.col("path")).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")]
+    return found.select("doc_id", "leaf", "subroot", "root", *digests)
+
+
+#: crc32 is spelled out bit by bit; levels climb in recursive expressions.
+OP11_SQL = """
+with recursive
+d as (
+  select *, case when list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::varchar, ''), lambda x: ascii(x)::bigint)),
+      lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: xor(v >> 1, (v & 1) * 3988292384))) % 2 = 1
+    then replace(text, chr(10), '') else text end as other
+  from (select row_number() over () as row, doc_id, source, lang, n_chars, text from documents)),
+fields as (
+  select row, doc_id, source, coalesce(strlen(doc_id::varchar) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+    || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-') as head,
+    coalesce(strlen(text) || ':' || text, '-') as tail, coalesce(strlen(other) || ':' || other, '-') as other_tail
+  from d),
+hashed as (select row, doc_id, coalesce('1' || source, '0') as grp, sha256(head || tail) as leaf, sha256(head || other_tail) as other from fields),
+leaves as (
+  select *, row_number() over (partition by grp order by doc_id nulls first, leaf) - 1 as pos, count(*) over (partition by grp) as size from hashed),
+low as (
+  select 0 as lv, grp, pos, size, leaf as node from leaves
+  union all
+  (select lv + 1, grp, pos // 3, (size + 2) // 3, sha256(string_agg(node, '' order by pos)) from low where size > 1 group by lv, grp, pos // 3, size)),
+subroots as (select grp, node as subroot, row_number() over (order by grp) - 1 as pos, count(*) over () as size from low where size = 1),
+high as (
+  select 0 as lv, pos, size, subroot as node from subroots
+  union all
+  (select lv + 1, pos // 3, (size + 2) // 3, sha256(string_agg(node, '' order by pos)) from high where size > 1 group by lv, pos // 3, size)),
+nodes as (select grp, lv, pos, node from low where size > 1 union all select null, 1000 + lv, pos, node from high where size > 1),
+steps as (
+  select row, n.lv, n.pos, n.node, sign(n.pos - l.pos // (3 ** n.lv)::bigint) as side
+  from leaves l join nodes n on n.grp = l.grp and n.pos // 3 = l.pos // (3 ** (n.lv + 1))::bigint
+  union all
+  select row, n.lv, n.pos, n.node, sign(n.pos - s.pos // (3 ** (n.lv - 1000))::bigint)
+  from leaves l join subroots s using (grp) join nodes n on n.grp is null and n.pos // 3 = s.pos // (3 ** (n.lv - 999))::bigint),
+path as (
+  select row, row_number() over (partition by row order by lv) as k, coalesce(string_agg(node, '' order by pos) filter (where side < 0), '') as l,
+    coalesce(string_agg(node, '' order by pos) filter (where side > 0), '') as r
+  from steps group by row, lv),
+fold as (
+  select row, 0 as k, other as node from leaves
+  union all
+  select f.row, p.k, sha256(p.l || f.node || p.r) from fold f join path p on p.row = f.row and p.k = f.k + 1),
+folded as (select row, arg_max(node, k) as folded_root from fold group by row),
+proofs as (select row, sha256(coalesce(string_agg(l || r, '' order by k), '')) as proof_sha256 from leaves left join path using (row) group by row)
+select doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root as verified
+from leaves join subroots using (grp) join folded using (row) join proofs using (row) cross join (select node as root from high where size = 1)
+"""
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = bpe.read_vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    found = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), vocabulary), vocabulary)
+    return found.select(F.col("id").alias("doc_id"), "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assigned, found = centroids.cluster(table(spark, sf_dir, "embeddings"))
+    done = centroids.with_inertia(assigned, found)
+    return done.select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def op13_sql(k: int = 8, rounds: int = 10) -> str:
+    """Rounds one after another: distances by components, the nearest centroid, exact floors of means."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+near{r} as materialized (
+  select row, arg_min(k, (d, k)) as k, min(d) as d
+  from (select row, k, sum((x - c) * (x - c))::bigint as d from v join c{r} using (dim) group by row, k) group by row),
+c{r + 1} as materialized (
+  select c{r}.k, dim, coalesce(m, c) as c
+  from c{r} left join (select k, dim, (sum(x) - (sum(x) % count(*) + count(*)) % count(*)) // count(*) as m from near{r} join v using (row) group by k, dim) using (k, dim))""")
+    return f"""
+with kept as materialized (
+  select row_number() over () as row, vec_id, list_transform(embedding, lambda x: floor(x::double * 1024)::bigint) as q
+  from embeddings where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = 64),
+v as materialized (select row, unnest(q) as x, unnest(range(64)) as dim from kept),
+start as (select row, row_number() over (order by sha256('3:' || vec_id), q) - 1 as k from kept),
+c0 as materialized (select k, dim, x as c from start join v using (row) where k < {k}),{",".join(steps)},
+total as (select k, sum(d)::bigint as cluster_inertia from near{rounds} group by k),
+named as (select k, sha256(string_agg(c::varchar, ',' order by dim)) as centroid_sha256 from c{rounds} group by k)
+select vec_id, k::integer as cluster, d as distance, cluster_inertia, (select sum(d)::bigint from near{rounds}) as inertia, centroid_sha256
+from near{rounds} join kept using (row) join total using (k) join named using (k)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_main_text": op1_main_text,
@@ -140,6 +231,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_secret_spans": op8_secret_spans,
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_chat_format": op10_chat_format,
+        "op11_merkle_manifest": op11_merkle_manifest,
+        "op12_byte_bpe": op12_byte_bpe,
+        "op13_centroids": op13_centroids,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -149,4 +243,6 @@ def oracle_sql() -> dict[str, str]:
         "op3_decontaminate": OP3_SQL,
         "op4_mix_sources": OP4_SQL,
         "op8_secret_spans": secrets.digest_sql(),
+        "op11_merkle_manifest": OP11_SQL,
+        "op13_centroids": op13_sql(),
     }
