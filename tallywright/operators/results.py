@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallywright.sources.bam_writer import write_bam
+
 from .tables import numbered, stored
 
 
@@ -31,11 +33,19 @@ def write_results(tables: dict[str, DataFrame], path: str) -> None:
         rows.write.parquet(f"{path}/{name}")
 
 
+def with_tags(rows: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """rows with these tags set where they have a value, beside the other tags that there are."""
+    pairs = F.array(*[F.struct(F.lit(t).alias("key"), v.cast("string").alias("value")) for t, v in values.items()])
+    if "tags" in rows.columns:
+        others = F.filter(F.map_entries(F.coalesce("tags", F.create_map().cast("map<string,string>"))), lambda p: ~p["key"].isin(*values))
+        pairs = F.concat(others, pairs)
+    return rows.withColumn("tags", F.map_from_entries(F.filter(pairs, lambda p: p["value"].isNotNull())))
+
+
 def tagged_alignments(reads: DataFrame) -> DataFrame:
     """Alignments with gene, barcode and read-type tags; a type where the mark is one bit."""
     kind = F.when(F.col("gene").isNull(), "INTERGENIC").when(F.col("mark") == 2, "EXONIC").when(F.col("mark") == 4, "INTRONIC")
-    pairs = F.array(*[F.struct(F.lit(t).alias("k"), v.cast("string").alias("v")) for t, v in (("GX", F.col("gene")), ("CR", F.col("cb")), ("UR", F.col("umi")), ("RE", kind))])
-    return reads.withColumn("tags", F.map_from_entries(F.transform(F.filter(pairs, lambda p: p["v"].isNotNull()), lambda p: F.struct(p["k"], p["v"]))))
+    return with_tags(reads, {"GX": F.col("gene"), "CR": F.col("cb"), "UR": F.col("umi"), "RE": kind})
 
 
 def filtered_alignments(reads: DataFrame, cell_map: DataFrame, umi_map: DataFrame, molecules: DataFrame) -> DataFrame:
@@ -44,3 +54,14 @@ def filtered_alignments(reads: DataFrame, cell_map: DataFrame, umi_map: DataFram
     rows = rows.filter("cb_from is null or cb_to is not null").withColumn("cb", F.coalesce("cb_to", "cb")).drop("cb_from", "cb_to")
     rows = rows.join(umi_map, ["cb", "gene", "umi"], "left").withColumn("umi", F.coalesce("target", "umi")).drop("target")
     return rows.join(molecules.select("cb", "gene", "umi"), ["cb", "gene", "umi"], "left_semi")
+
+
+def write_tagged(alignments: DataFrame, path: str, sort: bool = False) -> None:
+    """tagged_alignments() as BAM files."""
+    write_bam(tagged_alignments(alignments), path, sort=sort)
+
+
+def write_filtered(alignments: DataFrame, cell_map: DataFrame, umi_map: DataFrame, molecules: DataFrame, path: str, sort: bool = False) -> None:
+    """filtered_alignments() as BAM files, with the corrected cell and identifier as tags CB and UB and the gene as GX."""
+    kept = filtered_alignments(alignments, cell_map, umi_map, molecules)
+    write_bam(with_tags(kept, {"CB": F.col("cb"), "UB": F.col("umi"), "GX": F.col("gene")}), path, sort=sort)

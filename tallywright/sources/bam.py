@@ -14,23 +14,30 @@ from pyspark.sql import functions as F
 
 UNMAPPED, SECONDARY = 0x4, 0x100
 BASES = "=ACMGRSVTWYHKDBN"
+OPERATIONS = "MIDNSHP=X"
 #: Two bases a byte, and quality codes as characters.
 PAIRS = [a + b for a in BASES for b in BASES]
 SHIFTED = bytes(min(q + 33, 126) for q in range(256))
 #: What a block of a blocked gzip file starts with.
 MAGIC = b"\x1f\x8b\x08\x04"
-SCHEMA = "file string, ord bigint, name string, chrom string, pos bigint, end_pos bigint, flag int, seq string, qual string, tags map<string,string>"
+SCHEMA = "file string, ord bigint, name string, chrom string, pos bigint, end_pos bigint, flag int, seq string, qual string, tags map<string,string>, cigar string, mapq int, next_chrom string, next_pos bigint, tlen int, kinds map<string,string>"
 ARROW = pa.schema(
     [("file", pa.string()), ("ord", pa.int64()), ("name", pa.string()), ("chrom", pa.string()), ("pos", pa.int64()), ("end_pos", pa.int64()), ("flag", pa.int32())]
     + [("seq", pa.string()), ("qual", pa.string()), ("tags", pa.map_(pa.string(), pa.string()))]
+    + [("cigar", pa.string()), ("mapq", pa.int32()), ("next_chrom", pa.string()), ("next_pos", pa.int64()), ("tlen", pa.int32()), ("kinds", pa.map_(pa.string(), pa.string()))]
 )
 _SIZES = {"c": "b", "C": "B", "s": "h", "S": "H", "i": "i", "I": "I", "f": "f"}
 
 
+def located(uri: str) -> tuple[pa.fs.FileSystem, str]:
+    """Arrow's file system of a path that Spark names, and the path in it."""
+    uri = re.sub(r"^file:/(?!/)", "file:///", uri)
+    return pa.fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", uri))
+
+
 def opened(uri: str) -> pa.NativeFile:
     """A file by the path that Spark lists it under, for reading at any place."""
-    uri = re.sub(r"^file:/(?!/)", "file:///", uri)
-    system, path = pa.fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", uri))
+    system, path = located(uri)
     return system.open_input_file(path)
 
 
@@ -122,8 +129,8 @@ class Stream:
         return b"".join(parts)
 
 
-def tags_of(raw: bytes) -> list[tuple[str, str]]:
-    """Optional fields; a character field is one character, arrays are comma-joined."""
+def tags_of(raw: bytes) -> list[tuple[str, str, str]]:
+    """Optional fields (name, type, value); a character field is one character, arrays are comma-joined and typed as in Bi."""
     found, at = [], 0
     while at < len(raw):
         tag, kind, at = raw[at : at + 2].decode(), chr(raw[at + 2]), at + 3
@@ -133,13 +140,14 @@ def tags_of(raw: bytes) -> list[tuple[str, str]]:
             end = raw.index(0, at)
             value, at = raw[at:end].decode(), end + 1
         elif kind == "B":
-            code, n = _SIZES[chr(raw[at])], struct.unpack_from("<i", raw, at + 1)[0]
+            kind += chr(raw[at])
+            code, n = _SIZES[kind[1]], struct.unpack_from("<i", raw, at + 1)[0]
             value = ",".join(map(str, struct.unpack_from(f"<{n}{code}", raw, at + 5)))
             at += 5 + n * struct.calcsize(code)
         else:
             value = str(struct.unpack_from("<" + _SIZES[kind], raw, at)[0])
             at += struct.calcsize(_SIZES[kind])
-        found.append((tag, value))
+        found.append((tag, kind, value))
     return found
 
 
@@ -224,7 +232,7 @@ def records(file: str, at: int, upto: int) -> Iterator[dict]:
     began = place is not None and place[0] < upto
     while place is not None and (not blocked or place[0] < upto):
         raw = stream.take(struct.unpack("<i", stream.take(4))[0])
-        ref, pos, n_name, _, _, n_cigar, flag, n_seq = struct.unpack_from("<iiBBHHHi", raw)
+        ref, pos, n_name, mapq, _, n_cigar, flag, n_seq, next_ref, next_pos, tlen = struct.unpack_from("<iiBBHHHiiii", raw)
         after = 32 + n_name
         cigar = struct.unpack_from(f"<{n_cigar}I", raw, after)
         span = sum(c >> 4 for c in cigar if c & 15 in (0, 2, 3, 7, 8))
@@ -232,9 +240,12 @@ def records(file: str, at: int, upto: int) -> Iterator[dict]:
         packed = raw[after : after + (n_seq + 1) // 2]
         after += len(packed)
         qual = raw[after : after + n_seq].translate(SHIFTED).decode() if raw[after : after + 1] != b"\xff" else ""
+        tags = tags_of(raw[after + n_seq :])
         yield {
             "file": file, "ord": place[0] << (16 if blocked else 40) | place[1], "name": raw[32 : 31 + n_name].decode(), "chrom": chroms[ref] if 0 <= ref < len(chroms) else None, "pos": pos,
-            "end_pos": pos + (span or 1), "flag": flag, "seq": "".join(map(PAIRS.__getitem__, packed))[:n_seq], "qual": qual, "tags": tags_of(raw[after + n_seq :]),
+            "end_pos": pos + (span or 1), "flag": flag, "seq": "".join(map(PAIRS.__getitem__, packed))[:n_seq], "qual": qual, "tags": [(t, v) for t, _, v in tags],
+            "cigar": "".join(f"{c >> 4}{OPERATIONS[c & 15]}" for c in cigar), "mapq": mapq, "next_chrom": chroms[next_ref] if 0 <= next_ref < len(chroms) else None, "next_pos": next_pos, "tlen": tlen,
+            "kinds": [(t, k) for t, k, _ in tags],
         }
         place = stream.place()
     if blocked and began and place is not None and first_record(f, upto, size, len(chroms)) != place:
