@@ -8,11 +8,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import matching
+
 BASES = "ACGT"
 #: Offset of base qualities in ASCII.
 QUALITY_OFFSET = 33
@@ -51,8 +55,17 @@ def edit_distance_of(a: str, b: str) -> int:
 
 @F.arrow_udf(T.IntegerType())
 def _wild_edit_distance(a: pa.Array, b: pa.Array) -> pa.Array:
-    pairs = zip(a.to_pylist(), b.to_pylist(), strict=True)
-    return pa.array([None if x is None or y is None else edit_distance_of(x, y) for x, y in pairs], pa.int32())
+    asked = pc.and_(pc.is_valid(a), pc.is_valid(b))
+    x, y = a.filter(asked).to_pylist(), b.filter(asked).to_pylist()
+    long = [min(len(i), len(j)) > matching.WORD for i, j in zip(x, y, strict=True)]
+    found = matching.pair_distances([i if not skip else "" for i, skip in zip(x, long)], [j if not skip else "" for j, skip in zip(y, long)])
+    for k, skip in enumerate(long):  # strings of over 64 letters on both sides
+        if skip:
+            found[k] = edit_distance_of(x[k], y[k])
+    out = np.zeros(len(a), np.int32)
+    mask = asked.to_numpy(zero_copy_only=False)
+    out[mask] = found
+    return pa.array(out, pa.int32(), mask=~mask)
 
 
 def edit_distance(a: Column, b: Column, wildcard: bool = True) -> Column:
@@ -156,38 +169,11 @@ def parse_read_id(name: Column) -> tuple[Column, Column]:
     return F.when(both, parts[0]), F.when(both, parts[1])
 
 
-def spacer_place(seq: str, spacer: str, max_edits: int, search: int, shortest: int, longest: int, after: int) -> tuple[int, int, str]:
-    """(start, end, outcome) of a spacer between two barcodes; -1 where there is none.
-
-    An exact spacer counts wherever it stands. Else its last `search` bases are sought from the right, then its first
-    ones from the left, in the places that the first barcode's lengths allow, and the edits may not exceed max_edits.
-    """
-    if len(seq) < shortest + len(spacer) + after:
-        return -1, -1, "short"
-    outcome, at = "ok", seq.find(spacer)
-    if at < 0:
-        outcome = "modified"
-        latest = longest + len(spacer) + max_edits - search
-        earliest = max(0, shortest + len(spacer) - search - max_edits)
-        tail = seq.rfind(spacer[-search:], 0, latest + search)
-        at = tail - len(spacer) + search
-        if tail < earliest or at < 0:
-            at = seq.find(spacer[:search], shortest)
-            if at < 0 or at > longest:
-                return -1, -1, "no_spacer"
-        if edit_distance_of(spacer, seq[at : at + len(spacer)]) > max_edits:
-            return -1, -1, "no_spacer"
-    end = at + len(spacer)
-    return (at, end, outcome) if len(seq) >= end + after else (-1, -1, "short")
-
-
 def find_spacer(seq: Column, spacer: str, max_edits: int, search: int, shortest: int, longest: int, after: int) -> Column:
-    """struct(start, end, outcome) of spacer_place()."""
-    kind = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("outcome", pa.string())])
+    """struct(start, end, outcome) of matching.spacer_places(), a batch of reads at a time."""
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for b in batches:
-            found = [None if s is None else spacer_place(s, spacer, max_edits, search, shortest, longest, after) for s in b.to_pylist()]
-            yield pa.array([None if x is None else dict(zip(("start", "end", "outcome"), x, strict=True)) for x in found], kind)
+            yield matching.spacer_places(b, spacer, max_edits, search, shortest, longest, after)
 
     return F.arrow_udf(run, "struct<start:int, end:int, outcome:string>")(seq)

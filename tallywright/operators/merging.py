@@ -7,15 +7,18 @@ target excludes the cell. Ties go by total orders, so results do not depend on p
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tallywright.functions import matching
 from tallywright.functions import statistics as st
-from tallywright.functions.sequences import BASES, edit_distance
+from tallywright.functions.sequences import edit_distance
 
 from .molecules import merged_molecules
 from .tables import numbered, stored, with_once
@@ -27,54 +30,102 @@ MAX_WHITELIST_DISTANCE = 5
 def shared_molecules(molecules: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     """cb_a, cb_b, shared: (gene, umi) pairs two different cells have in common, where there are any.
 
-    With pairs(cb_a, cb_b), only of those: each cell's molecules are looked up in its partners. Without, all pairs of
+    With pairs(cb_a, cb_b), only of those: the molecules of the smaller cell of a pair are looked up in the larger one by
+    (cell, gene, umi), so neither a molecule of very many cells nor a large cell is a hot key. Without, all pairs of
     cells are asked for, and a (gene, umi) of m cells gives m * (m - 1) of them.
     """
     keys = ["gene", "umi"]
     rows = molecules.select(*keys, "cb").distinct()
-    a, b = rows.withColumnRenamed("cb", "cb_a"), rows.withColumnRenamed("cb", "cb_b")
     if pairs is None:
-        met = a.join(b, keys).filter("cb_a != cb_b")
-    else:
-        met = pairs.select("cb_a", "cb_b").filter("cb_a != cb_b").distinct().join(a, "cb_a").join(b, ["cb_b", *keys])
-    return met.groupBy("cb_a", "cb_b").agg(F.count("*").alias("shared"))
+        a, b = rows.withColumnRenamed("cb", "cb_a"), rows.withColumnRenamed("cb", "cb_b")
+        return a.join(b, keys).filter("cb_a != cb_b").groupBy("cb_a", "cb_b").agg(F.count("*").alias("shared"))
+    sizes = rows.groupBy("cb").agg(F.count("*").alias("_n"))
+    side = lambda x: sizes.select(F.col("cb").alias(f"cb_{x}"), F.struct("_n", "cb").alias(f"_{x}"))
+    asked = pairs.select("cb_a", "cb_b").filter("cb_a != cb_b").distinct().join(side("a"), "cb_a").join(side("b"), "cb_b")
+    asked = asked.select("cb_a", "cb_b", F.least("_a", "_b")["cb"].alias("_low"), F.greatest("_a", "_b")["cb"].alias("_high"))
+    once = asked.select("_low", "_high").distinct()
+    met = once.join(rows.withColumnRenamed("cb", "_low"), "_low").join(rows.withColumnRenamed("cb", "_high"), ["_high", *keys])
+    return asked.join(met.groupBy("_low", "_high").agg(F.count("*").alias("shared")), ["_low", "_high"]).select("cb_a", "cb_b", "shared")
 
 
-def spelled_out(piece: Column) -> Column:
-    """The pieces without N that a piece may stand for."""
-    bases = F.array(*[F.lit(b) for b in BASES])
-    rest = lambda p: F.substring(p, F.instr(p, "N") + 1, F.length(p))
-    fill = lambda p: F.when(F.contains(p, F.lit("N")), F.transform(bases, lambda b: F.concat(F.substring_index(p, "N", 1), b, rest(p)))).otherwise(F.array(p))
-    filled = F.aggregate(F.sequence(F.lit(1), F.length(piece)), F.array(piece), lambda acc, _: F.flatten(F.transform(acc, fill)))
-    return F.when(F.contains(piece, F.lit("N")), filled).otherwise(F.array(piece))
+#: Strings that every task may be handed, to be compared with all others; unknown bases that an indexed string may have.
+LISTED, MOST_UNKNOWN = 2_000, 3
 
 
-def near_strings(left: DataFrame, a: str, right: DataFrame, b: str, k: int) -> DataFrame:
-    """(a, b, distance) for the strings of two tables that are at most k edits apart; N equals anything.
+def scanned(ones: DataFrame, listed: DataFrame, count: int, k: int, most: int) -> DataFrame:
+    """(_a, _b, distance) of ones(_a) with all of listed(_b), compared in Arrow batches; at most about `most` of these are handed to a
+    task, more go in so many turns over the others."""
+    turns, found = -(-count // most), None
+    for turn in range(turns):
+        part = [r["_b"] for r in listed.filter(F.pmod(F.xxhash64("_b"), F.lit(turns)) == turn).collect()]
 
-    Of the k + 1 pieces of a string one stands unchanged in a string within k edits, shifted by at most k places: pieces
-    are the join keys. Strings of at most k bases have no such pieces; there are at most 5 ** k of them.
+        def compare(batches: Iterator[pa.RecordBatch], part: list[str] = part) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for start in range(0, len(batch), 5_000):
+                    texts = batch.column(0).slice(start, 5_000)
+                    i, j, d = matching.near_pairs(texts.to_pylist(), part, k)
+                    yield pa.RecordBatch.from_arrays([texts.take(pa.array(i)), pa.array(part, pa.string()).take(pa.array(j)), pa.array(d, pa.int32())], ["_a", "_b", "distance"])
+
+        near = ones.mapInArrow(compare, "_a string, _b string, distance int")
+        found = near if found is None else found.unionByName(near)
+    return ones.sparkSession.createDataFrame([], "_a string, _b string, distance int") if found is None else found
+
+
+def deletion_keys(strings: DataFrame, column: str, sizes: dict[int, list[int]]) -> DataFrame:
+    """(column, _key, _size): a row for each different subsequence of a string of the lengths that sizes has for its own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, len(batch), 1_000):
+                part = batch.column(0).slice(start, 1_000)
+                owner, key, size = matching.deletion_keys(part.to_pylist(), sizes)
+                yield pa.RecordBatch.from_arrays([part.take(pa.array(owner)), pa.array(key), pa.array(size, pa.int32())], [column, "_key", "_size"])
+
+    return strings.select(column).mapInArrow(run, f"{column} string, _key bigint, _size int")
+
+
+def selective(n: int, m: int, k: int) -> bool:
+    """Whether unrelated strings of n and m bases meet under less than one key of subsequences."""
+    size = max(n, m) - k
+    return size > 0 and comb(n, size) * comb(m, size) <= 4**size
+
+
+def near_strings(left: DataFrame, a: str, right: DataFrame, b: str, k: int, listed: int = LISTED) -> DataFrame:
+    """(a, b, distance) for the strings of two tables that are at most k edits apart; N equals anything. Nulls are near nothing.
+
+    Strings within k edits have a common subsequence of the longer one's length less k. So where neither table is small, the
+    subsequences of that length are the join keys (a symmetric index of deletions): a key belongs to the strings that k
+    insertions make of it, however many strings there are, so none is hot. A table of at most `listed` strings is handed to
+    all tasks instead, which compare bit-parallel; so are, in turns, strings of many unknown bases, and those so short for k
+    that their subsequences tell nothing apart. Comparing takes strings of at most 64 letters on one side.
     """
-    part = lambda s, at, size: F.substring(s, at + 1, size)
-    ones, others = left.select(F.col(a).alias("_a")).distinct(), right.select(F.col(b).alias("_b")).distinct()
-    edge = lambda i: F.floor(i * F.length("_a") / (k + 1)).cast("int")
-    pieces = F.transform(F.sequence(F.lit(0), F.lit(k)), lambda i: F.struct(edge(i).alias("at"), part(F.col("_a"), edge(i), edge(i + 1) - edge(i)).alias("piece")))
-    cut = ones.filter(F.length("_a") > k).select("_a", F.inline(pieces)).select("_a", F.col("at").alias("_at"), F.explode(spelled_out(F.col("piece"))).alias("_piece"))
-    n = F.length("_b")
-    sizes = F.sequence(F.greatest(F.lit(1), F.floor((n - k) / (k + 1)).cast("int")), (F.floor((n + k) / (k + 1)) + 1).cast("int"))
-    starts = others.select("_b", F.explode(sizes).alias("_size")).filter(n >= F.col("_size")).select("_b", "_size", F.explode(F.sequence(F.lit(0), n - F.col("_size"))).alias("_bat"))
-    windows = starts.select("_b", "_bat", F.explode(spelled_out(part(F.col("_b"), F.col("_bat"), F.col("_size")))).alias("_piece"))
-    met = cut.join(windows, "_piece").filter(F.abs(F.col("_at") - F.col("_bat")) <= k).select("_a", "_b").distinct()
-    short = ones.filter(F.length("_a") <= k)
-    met = met.unionByName(others.crossJoin(F.broadcast(short)).select("_a", "_b"))
+    ones = stored(left.select(F.col(a).alias("_a")).filter("_a is not null").distinct())
+    others = stored(right.select(F.col(b).alias("_b")).filter("_b is not null").distinct())
+    shape = lambda rows, c: {(r["n"], r["rich"]): r["count"] for r in rows.groupBy(F.length(c).alias("n"), rich(c).alias("rich")).count().collect()}  # noqa: E731  (a row a length)
+    rich = lambda c: F.length(F.regexp_replace(c, "[^N]", "")) > MOST_UNKNOWN
+    mine, theirs = shape(ones, "_a"), shape(others, "_b")
+    n_ones, n_others = sum(mine.values()), sum(theirs.values())
+    turned = lambda rows, c, to: rows.select(F.col(c).alias(to))
+    flipped = lambda near: near.select(F.col("_b").alias("_a"), F.col("_a").alias("_b"), "distance")
+    lengths = [sorted({n for n, is_rich in side if not is_rich}) for side in (mine, theirs)]
+    meeting = [(n, m) for n in lengths[0] for m in lengths[1] if abs(n - m) <= k]
+    if min(n_ones, n_others) <= listed or not all(selective(n, m, k) for n, m in meeting):
+        if n_others <= n_ones:
+            near = scanned(ones, others, n_others, k, listed)
+        else:
+            near = flipped(scanned(turned(others, "_b", "_a"), turned(ones, "_a", "_b"), n_ones, k, listed))
+        return near.select(F.col("_a").alias(a), F.col("_b").alias(b), "distance")
+    sizes = [{n: sorted({max(n, m) - k for x, m in ((p[side], p[1 - side]) for p in meeting) if x == n}) for n in lengths[side]} for side in (0, 1)]
+    plain = deletion_keys(ones.filter(~rich("_a")), "_a", sizes[0])
+    met = plain.join(deletion_keys(others.filter(~rich("_b")), "_b", sizes[1]), ["_key", "_size"])
+    met = met.filter(F.col("_size") == F.greatest(F.length("_a"), F.length("_b")) - k).select("_a", "_b").distinct()
     near = with_once(met, {"distance": edit_distance(F.col("_a"), F.col("_b"))}).filter(F.col("distance") <= k)
+    unknown = [sum(n for (_, is_rich), n in side.items() if is_rich) for side in (mine, theirs)]
+    near = near.unionByName(scanned(ones, others.filter(rich("_b")), unknown[1], k, listed))
+    near = near.unionByName(flipped(scanned(turned(others.filter(~rich("_b")), "_b", "_a"), turned(ones.filter(rich("_a")), "_a", "_b"), unknown[0], k, listed)))
     return near.select(F.col("_a").alias(a), F.col("_b").alias(b), "distance")
 
 
-#: Up to this distance barcodes are paired by their pieces; beyond it pieces are too short to tell barcodes apart.
-PIECED = 3
-
-
 def neighbouring(molecules: DataFrame, cells: DataFrame, k: int) -> DataFrame:
     """cb_a, cb_b, shared: cells with molecules in common, b of no fewer genes, barcodes at most k edits apart.
 
@@ -82,12 +133,9 @@ def neighbouring(molecules: DataFrame, cells: DataFrame, k: int) -> DataFrame:
     """
     sizes = cells.select("cb", "n_genes")
     side = lambda x: sizes.select(F.col("cb").alias(f"cb_{x}"), F.col("n_genes").alias(f"_{x}"))
-    if k <= PIECED:
-        near = near_strings(sizes.withColumnRenamed("cb", "cb_a"), "cb_a", sizes.withColumnRenamed("cb", "cb_b"), "cb_b", k)
-        near = near.join(side("a"), "cb_a").join(side("b"), "cb_b").filter("_b >= _a")
-        return shared_molecules(molecules.join(sizes, "cb", "left_semi"), near)
-    shared = shared_molecules(molecules.join(sizes, "cb", "left_semi")).join(side("a"), "cb_a").join(side("b"), "cb_b").filter("_b >= _a")
-    return shared.filter(edit_distance(F.col("cb_a"), F.col("cb_b")) <= k).select("cb_a", "cb_b", "shared")
+    near = near_strings(sizes, "cb", sizes.withColumnRenamed("cb", "_cb"), "_cb", k).select(F.col("cb").alias("cb_a"), F.col("_cb").alias("cb_b"))
+    near = near.join(side("a"), "cb_a").join(side("b"), "cb_b").filter("_b >= _a and cb_a != cb_b")
+    return shared_molecules(molecules, near)
 
 
 def with_sizes(pairs: DataFrame, cells: DataFrame) -> DataFrame:

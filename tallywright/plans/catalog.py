@@ -290,6 +290,21 @@ def outcome_counts(spark, sf_dir):
     return tagging.outcome_counts(layout_masked(spark, sf_dir)).withColumn("percent", F.round("percent", 6))
 
 
+SPACER = layouts.Layout(barcode1=6, barcode1_longest=12, barcode2=4, umi=5, tail=4, spacer="ACGT", max_spacer_edits=1, spacer_search=2)
+
+
+@query(f"""with {d.FASTQ_SQL}, a as (
+  select *, strpos(seq1, 'ACGT') - 1 as exact, 16 - strpos(reverse(substr(seq1, 1, 17)), 'TG') as tail, strpos(substr(seq1, 7), 'AC') - 1 as ahead,
+    strpos(reverse(substr(seq1, 1, 17)), 'TG') as back from fq),
+b as (select *, case when exact >= 0 then exact when back = 0 or tail < 7 or tail - 2 < 0 then case when ahead >= 0 and ahead + 6 <= 12 then ahead + 6 end else tail - 2 end as place from a),
+c as (select *, case when place is null or exact < 0 and levenshtein('ACGT', substr(seq1, place::int + 1, 4)) > 1 then 'no_spacer' when length(seq1) < place + 13 then 'short'
+  when exact >= 0 then 'ok' else 'modified' end as outcome, (place + 4)::int as e from b)
+select ord, outcome, case when outcome in ('ok', 'modified') then substr(seq1, 1, place::int) || substr(seq1, e + 1, 4) end as cb,
+  case when outcome in ('ok', 'modified') then substr(seq1, e + 5, 5) end as umi from c""")
+def layout_spacer(spark, sf_dir):
+    return layouts.spacer_reads(d.fastq(spark, sf_dir), SPACER).select("ord", "outcome", "cb", "umi")
+
+
 @query(f"with {d.FASTQ_SQL} select substr(seq1, 1, 3) as cb, count(*)::bigint as reads from fq group by all")
 def reads_per_barcode(spark, sf_dir):
     return tagging.reads_per_barcode(d.fastq(spark, sf_dir).select(F.substring("seq1", 1, 3).alias("cb")))

@@ -94,7 +94,40 @@ def test_near_strings(spark):
     frame = lambda xs, c: spark.createDataFrame([(x,) for x in xs], f"{c} string")
     for k in (1, 2, 4):
         want = {(a, b, edit_distance_of(a, b)) for a in left for b in right if edit_distance_of(a, b) <= k}
-        assert set(map(tuple, merging.near_strings(frame(left, "a"), "a", frame(right, "b"), "b", k).collect())) == want
+        for listed in (2000, 7):  # handed to all tasks at once, or in turns
+            assert sorted(map(tuple, merging.near_strings(frame(left, "a"), "a", frame(right, "b"), "b", k, listed).collect())) == sorted(want)
+
+
+def test_near_strings_by_deletion_keys(spark):
+    rnd = random.Random(22)
+    letters = lambda n: "".join(rnd.choice("ACGT" * 12 + "N") for _ in range(n))
+    left = {letters(rnd.choice([14, 15, 16])) for _ in range(60)} | {"N" * 15, "NNNNN" + letters(10)}
+
+    def edited(x):
+        at = rnd.randrange(len(x))
+        return rnd.choice([x[:at] + x[at + 1 :], x[:at] + rnd.choice("ACGT") + x[at:], x[:at] + rnd.choice("ACGT") + x[at + 1 :]])
+
+    right = {edited(edited(x)) for x in left} | {edited(x) for x in left} | {letters(15) for _ in range(30)}
+    frame = lambda xs, c: spark.createDataFrame([(x,) for x in [*xs, None]], f"{c} string")
+    for k in (0, 1, 2, 3):
+        want = sorted((a, b, edit_distance_of(a, b)) for a in left for b in right if edit_distance_of(a, b) <= k)
+        near = merging.near_strings(frame(left, "a"), "a", frame(right, "b"), "b", k, listed=1)
+        assert sorted(map(tuple, near.collect())) == want
+    assert "CartesianProduct" not in near._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_molecule_of_all_cells_costs_rows_in_proportion(spark):
+    """One molecule in all cells: the pairs looked up are those of near barcodes, not all pairs of cells."""
+    rnd = random.Random(23)
+    names = sorted({"".join(rnd.choice("ACGT") for _ in range(12)) for _ in range(3000)})
+    rows = [(cb, "u", "g", 2) for cb in names] + [(cb, f"u{i % 50}", f"g{i % 7}", 2) for i, cb in enumerate(names)]
+    m = mo.molecules(spark.createDataFrame(rows, "cb string, umi string, gene string, mark int"))
+    cells = mo.cells(m).cache()
+    near = merging.near_strings(cells, "cb", cells.withColumnRenamed("cb", "_cb"), "_cb", 2, listed=10)
+    pairs = near.filter("cb != _cb").count()
+    assert pairs < len(names)
+    found = merging.neighbouring(m, cells, 2)
+    assert found.count() <= pairs and found.agg({"shared": "min"}).first()[0] >= 1
 
 
 def test_near_cells_share_what_all_cells_share(spark):
