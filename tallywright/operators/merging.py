@@ -117,7 +117,8 @@ def near_strings(left: DataFrame, a: str, right: DataFrame, b: str, k: int, list
         return near.select(F.col("_a").alias(a), F.col("_b").alias(b), "distance")
     sizes = [{n: sorted({max(n, m) - k for x, m in ((p[side], p[1 - side]) for p in meeting) if x == n}) for n in lengths[side]} for side in (0, 1)]
     plain = deletion_keys(ones.filter(~rich("_a")), "_a", sizes[0])
-    met = plain.join(deletion_keys(others.filter(~rich("_b")), "_b", sizes[1]), ["_key", "_size"])
+    # the planner takes keys to be as few as strings: no broadcast by that guess
+    met = plain.hint("merge").join(deletion_keys(others.filter(~rich("_b")), "_b", sizes[1]), ["_key", "_size"])
     met = met.filter(F.col("_size") == F.greatest(F.length("_a"), F.length("_b")) - k).select("_a", "_b").distinct()
     near = with_once(met, {"distance": edit_distance(F.col("_a"), F.col("_b"))}).filter(F.col("distance") <= k)
     unknown = [sum(n for (_, is_rich), n in side.items() if is_rich) for side in (mine, theirs)]
