@@ -17,6 +17,7 @@ counted by their digests, and the texts to cut are found by joins. So all that i
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -25,18 +26,22 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from .common import materialize
 
 #: A prefilter has 32 bits or more for each anchor, at least 2 ** LEAST_BITS, at most 2 ** MOST_BITS (64 MB, where there are fewer). More anchors than
 #: MOST_FILTERED would fill it by two fifths, and there is none. Spark's bitmaps hold BUCKET bits each.
 LEAST_BITS, MOST_BITS, MOST_FILTERED, BUCKET = 18, 29, 1 << 28, 32768
-#: Units hashed at once; a longer text is cut with an overlap of a window.
+#: Bytes of text hashed at once; a longer text is cut, between words where these are the units, with an overlap of a window.
 PIECE = 1 << 20
 MULTIPLIER = 0x9E3779B97F4A7C15
 _TABLE = np.array([xxhash.xxh64_intdigest(bytes([b]), 7) for b in range(256)], np.uint64)
 
 
+BETWEEN = re.compile(rb"[ \t-\r]+")
+
+
 @dataclass(frozen=True)
 class Units:
     """What windows are made of: words or bytes."""
@@ -50,7 +55,10 @@ class Units:
         return self.window - self.gram + 1
 
     def text(self, raw: bytes | None) -> bytes:
-        return b" ".join((raw or b"").split()) if self.words else (raw or b"")
+        raw = raw or b""
+        if not self.words:
+            return raw
+        return b" ".join(raw.split()) if len(raw) < PIECE else BETWEEN.sub(b" ", raw).strip(b" ")
 
 
 def scrambled(x: np.ndarray) -> np.ndarray:
@@ -135,18 +143,27 @@ def anchors(values: np.ndarray, units: Units) -> tuple[np.ndarray, np.ndarray, n
 
 
 def cut(text: bytes, units: Units) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Of each piece of a normalised text: its first unit, its units' first bytes and ends, and its anchors."""
+    """Of each piece of a normalised text: its first unit, its units' first bytes and ends in the text, and its anchors."""
     if not text:
         return
-    if units.words:
-        values, starts, ends = word_values(text)
-    else:
-        values, starts, ends = None, None, None
-    total = len(values) if units.words else len(text)
-    for at in range(0, max(1, total - units.window + 1), PIECE):
-        upto = min(total, at + PIECE + units.window - 1)
-        piece = values[at:upto] if units.words else _TABLE[np.frombuffer(text, np.uint8, upto - at, at)]
-        yield at, starts, ends, *anchors(piece, units)
+    if not units.words:
+        for at in range(0, max(1, len(text) - units.window + 1), PIECE):
+            upto = min(len(text), at + PIECE + units.window - 1)
+            yield at, None, None, *anchors(_TABLE[np.frombuffer(text, np.uint8, upto - at, at)], units)
+        return
+    at = unit = 0
+    while at < len(text):
+        end = text.find(b" ", at + PIECE) if at + PIECE < len(text) else -1
+        end = len(text) if end < 0 else end
+        upto = end
+        for _ in range(units.window - 1):  # the words that windows from before `end` reach into
+            if upto < len(text):
+                upto = text.find(b" ", upto + 1)
+                upto = len(text) if upto < 0 else upto
+        values, starts, ends = word_values(text[at:upto])
+        yield unit, starts + at, ends + at, *anchors(values, units)
+        unit += int(np.searchsorted(starts + at, end))
+        at = end + 1
 
 
 def passing(h: np.ndarray, bits: bytes | None) -> np.ndarray:
@@ -169,10 +186,11 @@ def contexts(text: bytes, units: Units, wanted: Callable[[np.ndarray], np.ndarra
     """(hash, anchor's place in the context, first unit, windows, context) of each occurrence of a wanted anchor."""
     for at, starts, ends, h, place, first, last in cut(text, units):
         ok = np.flatnonzero(wanted(h))
-        begin, end = first[ok] + at, last[ok] + at + units.window
-        a, b = (starts[begin], ends[end - 1]) if units.words else (begin, end)
-        off = place[ok] + at - begin
+        begin, end = first[ok], last[ok] + units.window
+        a, b = (starts[begin], ends[end - 1]) if units.words else (begin + at, end + at)
+        off = place[ok] - begin
         count = end - begin - units.window + 1
+        begin = begin + at
         for hv, o, u, n, x, y in zip(h[ok].view(np.int64).tolist(), off.tolist(), begin.tolist(), count.tolist(), a.tolist(), b.tolist(), strict=True):
             yield hv, o, u, n, text[x:y]
 
@@ -245,6 +263,19 @@ def verdicts(source: DataFrame, units: Units, in_other_documents: bool, judge: J
     again = materialize(recurring(source, units, in_other_documents), "recurring-anchors")
     bits, often = share(bitmap(again, filtered)), share(hot_ones := above(again, "n", hot))
 
+    def located(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = lambda h: passing(h, bits.value) & ~listed(h, often.value)
+        for b in batches:
+            for rows in range(0, b.num_rows, 256):
+                part = b.slice(rows, 256)
+                row, h, x, unit, windows = [], [], [], [], []
+                for i, raw in enumerate(part.column(2)):
+                    for hv, o, u, n, context in contexts(units.text(raw.as_py()), units, wanted):
+                        row.append(i), h.append(hv), x.append(signed(xxhash.xxh3_64_intdigest(context, o))), unit.append(u), windows.append(n)
+                take = pa.array(row, pa.int64())
+                numbers = [pa.array(h, pa.int64()), pa.array(x, pa.int64()), pa.array(unit, pa.int64()), pa.array(windows, pa.int32())]
+                yield pa.RecordBatch.from_arrays([*(part.column(c).take(take) for c in (0, 1, 3)), *numbers], ["id", "th", "rank", "h", "x", "unit", "windows"])
+
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = lambda h: passing(h, bits.value) & ~listed(h, often.value)
         for b in batches:
@@ -259,7 +290,13 @@ def verdicts(source: DataFrame, units: Units, in_other_documents: bool, judge: J
             columns = [*zip(*seen, strict=True), *zip(*seen.values(), strict=True)] if seen else [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["h", "x", "low", "n"])
 
-    counted = source.select("rank", "raw").mapInArrow(digests, "h bigint, x bigint, low bigint, n bigint").repartition("h")
+    id_type = source.schema["id"].dataType.simpleString()
+    occurrences = source.select("id", "th", "raw", "rank").mapInArrow(located, f"id {id_type}, th bigint, rank bigint, h bigint, x bigint, unit bigint, windows int")
+    if bits.value is not None:  # few pass: found once, counted and met with their verdicts later
+        occurrences = materialize(occurrences, "anchor-occurrences")
+        counted = occurrences.groupBy("h", "x").agg(F.min("rank").alias("low"), F.count("*").alias("n")).repartition("h")
+    else:
+        counted = source.select("rank", "raw").mapInArrow(digests, "h bigint, x bigint, low bigint, n bigint").repartition("h")
     each = counted.groupBy("h", "x").agg(F.min("low").alias("low"), F.sum("n").alias("n"))
     each = each.groupBy("h").agg(F.count("*").alias("kinds"), F.max("x").alias("x"), F.min("low").alias("low"), F.sum("n").alias("n"))
     each = materialize(each.filter("n > 1"), "anchor-contexts")
@@ -324,19 +361,6 @@ def verdicts(source: DataFrame, units: Units, in_other_documents: bool, judge: J
                     held += 1
         yield from close()
 
-    def located(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = lambda h: passing(h, bits.value) & ~listed(h, many.value)
-        for b in batches:
-            for rows in range(0, b.num_rows, 256):
-                part = b.slice(rows, 256)
-                row, h, x, unit, windows = [], [], [], [], []
-                for i, raw in enumerate(part.column(2)):
-                    for hv, o, u, n, context in contexts(units.text(raw.as_py()), units, wanted):
-                        row.append(i), h.append(hv), x.append(signed(xxhash.xxh3_64_intdigest(context, o))), unit.append(u), windows.append(n)
-                take = pa.array(row, pa.int64())
-                numbers = [pa.array(h, pa.int64()), pa.array(x, pa.int64()), pa.array(unit, pa.int64()), pa.array(windows, pa.int32())]
-                yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(1).take(take), *numbers], ["id", "th", "h", "x", "unit", "windows"])
-
     def windows_of(raw: bytes | None) -> Iterator[tuple[int, int, int]]:
         """First unit and digest of each window of the listed anchors of a text."""
         for _, _, u, n, context in contexts(units.text(raw), units, lambda h: listed(h, many.value)):
@@ -359,8 +383,6 @@ def verdicts(source: DataFrame, units: Units, in_other_documents: bool, judge: J
                     numbers = [pa.array(c, pa.int64()) for c in zip(*found, strict=True)]
                     yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), *numbers], ["id", "th", "unit", "w1", "w2"])
 
-    id_type = source.schema["id"].dataType.simpleString()
-    occurrences = source.select("id", "th", "raw").mapInArrow(located, f"id {id_type}, th bigint, h bigint, x bigint, unit bigint, windows int")
     if several.value is not None:
         asked = source.select("rank", "raw", F.lit(None).cast("array<bigint>").alias("asked"))
     else:
@@ -375,7 +397,8 @@ def verdicts(source: DataFrame, units: Units, in_other_documents: bool, judge: J
         counted = counted.filter("n > 1").select("w1", "w2", verdict.alias("verdict"))
         each = source.select("id", "th", "raw").mapInArrow(hot_located, f"id {id_type}, th bigint, unit bigint, w1 bigint, w2 bigint")
         met = met.unionByName(each.join(counted, ["w1", "w2"]).select("id", "th", "unit", F.lit(1).alias("windows"), "verdict"))
-    return met.groupBy("id", "th").agg(F.collect_list(F.struct("unit", "windows", "verdict")).alias("found"))
+    # a set: rows that repeat id and text find the same, and it is said once for all of them
+    return met.groupBy("id", "th").agg(F.collect_set(F.struct("unit", "windows", "verdict")).alias("found"))
 
 
 def split(context: bytes, windows: int, units: Units) -> list[bytes]:
@@ -392,8 +415,11 @@ def signed(x: int) -> int:
 
 
 def judged_texts(docs: DataFrame, id_col: str, text_col: str, units: Units, in_other_documents: bool, judge: Judge, **limits: int) -> DataFrame:
-    """id, rank, raw, found for each row of docs; found is null where no window repeats."""
-    rank = F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1))
+    """id, rank, raw, found for each row of docs; found is null where no window repeats. Where documents are compared by their ids,
+    these are whole numbers; else ids may be of any type that compares equal."""
+    if in_other_documents and not isinstance(docs.schema[id_col].dataType, IntegralType):
+        raise TypeError(f"{id_col} must be of a whole-number type, as the smaller id keeps a passage")
+    rank = F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)) if in_other_documents else F.lit(0).cast("long")
     raw = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     source = docs.select(F.col(id_col).alias("id"), F.xxhash64(raw).alias("th"), rank.alias("rank"), raw.alias("raw"))
     said = verdicts(source, units, in_other_documents, judge, **limits).select(F.col("id").alias("fid"), F.col("th").alias("fth"), "found")
