@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .tables import broadcast_if, stored
+
 EXON, INTRON, NOT_ANNOTATED = 2, 4, 1
 #: Positions a bin holds: an interval has a row for each bin it meets, a point looks in one.
 BIN = 1 << 14
@@ -20,15 +25,59 @@ def coalesce(intervals: DataFrame, keys: list[str]) -> DataFrame:
     return numbered.groupBy(*keys, "_group").agg(F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos")).drop("_group")
 
 
-def segments(intervals: DataFrame, label: str, group: str = "chrom") -> DataFrame:
+def segments(intervals: DataFrame, label: str, group: str = "chrom", ranges: int | None = None) -> DataFrame:
     """Disjoint segments of a group with the set of labels that cover each: group, start_pos, end_pos, labels.
 
-    The breakpoints of a group, in order, bound its segments; which intervals cover a segment is a binned join.
+    A sweep over ranges of positions: breakpoints are dealt by ranges of (group, position), each of which starts at a
+    breakpoint; an interval goes to every range it meets, opening there where it starts or, carried on, where the range does.
+    A task sweeps its ranges in order and holds only the labels that are open, so a group of any size is spread over tasks.
+    Intervals that end where they start or before cover nothing; null bounds, labels and groups too.
     """
-    edges = intervals.select(group, F.explode(F.array("start_pos", "end_pos")).alias("start_pos")).distinct()
-    bounds = edges.withColumn("end_pos", F.lead("start_pos").over(W.partitionBy(group).orderBy("start_pos"))).filter("end_pos is not null")
-    held = lookup(bounds.withColumn("at", F.col("start_pos")), intervals.select(group, F.col("start_pos").alias("a"), F.col("end_pos").alias("b"), label), "at", "a", "b", group)
-    return held.groupBy(group, "start_pos", "end_pos").agg(F.sort_array(F.collect_set(label)).alias("labels"))
+    spark = intervals.sparkSession
+    rows = intervals.select(F.col(group).alias("_g"), F.col("start_pos").cast("long").alias("a"), F.col("end_pos").cast("long").alias("b"), F.col(label).alias("_l"))
+    rows = stored(rows.filter("a < b and _l is not null and _g is not null"))
+    n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    met = rows.join(broadcast_if(stored(range_starts(rows, n)), 100_000), "_g")
+    number = lambda x: F.size(F.filter("starts", lambda s: s <= x)) - 1
+    met = met.select("_g", "a", "b", "_l", "starts", F.explode(F.sequence(number(F.col("a")), number(F.col("b") - 1))).alias("range"))
+    bound = lambda k: F.get("starts", k)
+    opened = F.greatest("a", bound(F.col("range"))).alias("a")
+    closed = F.least("b", F.coalesce(bound(F.col("range") + 1), F.col("b"))).alias("b")
+    label_type, group_type = (intervals.schema[c].dataType.simpleString() for c in (label, group))
+    parts = met.select("_g", "range", opened, closed, "_l")
+    ends = F.array(F.struct(F.col("a").alias("at"), F.lit(1).alias("step")), F.struct(F.col("b").alias("at"), F.lit(-1).alias("step")))
+    events = parts.select("_g", "range", F.explode(ends).alias("e"), "_l").groupBy("_g", "range", "e.at", "_l").agg(F.sum("e.step").alias("step"))
+    events = events.select("_g", "range", "at", "_l", "step").repartition("_g", "range").sortWithinPartitions("_g", "range", "at")
+    return events.mapInArrow(swept, f"_g {group_type}, start_pos bigint, end_pos bigint, labels array<{label_type}>").withColumnRenamed("_g", group)
+
+
+def range_starts(rows: DataFrame, ranges: int) -> DataFrame:
+    """_g, starts: where the ranges of each group start, in order; all groups together have at most `ranges` and one more each."""
+    dealt = rows.select("_g", F.col("a").alias("at")).repartitionByRange(ranges, "_g", "at")
+    firsts = dealt.groupBy(F.spark_partition_id().alias("part"), "_g").agg(F.min("at").alias("first"))
+    return firsts.groupBy("_g").agg(F.sort_array(F.collect_list("first")).alias("starts"))
+
+
+def swept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Events (group, range, position, label, step), in order -> (group, start, end, labels) of the covered segments; all
+    intervals of a range open and close in it. Steps that cancel out still are breakpoints."""
+    open_labels: dict = {}
+    last = None
+    for batch in batches:
+        group, start, end, labels = [], [], [], []
+        for g, r, at, label, step in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if last is not None and last[:2] == (g, r) and last[2] < at and open_labels:
+                group.append(g), start.append(last[2]), end.append(at), labels.append(sorted(open_labels))
+            last = g, r, at
+            held = open_labels.get(label, 0) + step
+            if held:
+                open_labels[label] = held
+            else:
+                open_labels.pop(label, None)
+        kind = batch.schema
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(group, kind.field(0).type), pa.array(start, pa.int64()), pa.array(end, pa.int64()), pa.array(labels, pa.list_(kind.field(3).type))], ["_g", "start_pos", "end_pos", "labels"]
+        )
 
 
 def binned(intervals: DataFrame, start: str, end: str, width: int = BIN) -> DataFrame:

@@ -163,14 +163,31 @@ def umi_distribution(molecules_: DataFrame, chosen: DataFrame | None = None) ->
     return rows.groupBy("umi").agg(F.count("*").alias("n"))
 
 
+def implicit_umi_distribution(molecules_: DataFrame, length: int, smooth: float, compat: bool = True) -> DataFrame:
+    """umi, p, times: probabilities over all 4 ** length identifiers, a row for each that occurs (times 1) and one without a name
+    for all others together, which have one probability; compat adds the smoothing four times, as is known.
+
+    times is a decimal: 4 ** 32 and more is no long.
+    """
+    seen = umi_distribution(molecules_).filter(F.col("umi").rlike(f"^[ACGT]{{{length}}}$"))
+    added, every = smooth * (4 if compat else 1), 4**length
+    sums = seen.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("kinds")).first()
+    total = sums["n"] + added * every
+    times = F.lit(1).cast("decimal(38,0)")
+    rows = seen.select("umi", ((F.col("n") + added) / F.lit(float(total))).alias("p"), times.alias("times"))
+    rest = molecules_.sparkSession.createDataFrame([(None, added / total, str(every - sums["kinds"]))], "umi string, p double, times string")
+    return rows.unionByName(rest.withColumn("times", F.col("times").cast("decimal(38,0)")).filter("times > 0"))
+
+
 def smoothed_umi_distribution(molecules_: DataFrame, length: int, smooth: float, compat: bool = True) -> DataFrame:
-    """umi, p over all identifiers of a length; compat adds the smoothing four times, as the reference does."""
+    """implicit_umi_distribution() with a row for each of the 4 ** length identifiers: for short ones."""
     spark = molecules_.sparkSession
+    found = implicit_umi_distribution(molecules_, length, smooth, compat)
     code = F.lpad(F.conv(F.col("id").cast("string"), 10, 4), length, "0")
     every = spark.range(4**length).select(F.translate(code, "0123", "ACGT").alias("umi"))
-    seen = every.join(umi_distribution(molecules_), "umi", "left").withColumn("n", F.coalesce("n", F.lit(0)) + smooth * (4 if compat else 1))
-    total = seen.agg(F.sum("n").alias("_total"))
-    return seen.crossJoin(F.broadcast(total)).select("umi", (F.col("n") / F.col("_total")).alias("p"))
+    others = found.filter("umi is null").select(F.col("p").alias("_rest"))  # one row
+    rest = (others.first() or {"_rest": None})["_rest"]
+    return every.join(found.filter("umi is not null"), "umi", "left").select("umi", F.coalesce("p", F.lit(rest)).alias("p"))
 
 
 def gene_totals(counts_: DataFrame) -> DataFrame:

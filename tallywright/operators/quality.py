@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tallywright.functions import statistics as st
 
+from . import selection
 from .tables import numbered, stored
 
 
@@ -117,18 +118,10 @@ def scaled(rows: DataFrame, columns: list[str], drop_constant: bool = True) -> D
 def high_outliers(rows: DataFrame, column: str, threshold: float | None = None, trim: float = 0.2) -> DataFrame:
     """rows with `outlier`: above the mean without the outer fifths plus 4 median absolute deviations (times 1.4826)."""
     if threshold is None:
-        found = rows.select(F.col(column).cast("double").alias("x")).filter("x is not null")
-        n = found.count()
-        if n == 0:
+        mean, middle = selection.trimmed_mean(rows, column, trim), selection.median(rows, column)
+        if mean is None:
             return rows.withColumn("outlier", F.lit(False))
-        cut = int(n * trim)
-        steps = found.groupBy("x").agg(F.count("*").alias("n"))
-        before = F.coalesce(F.sum("n").over(W.orderBy("x").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-        inner = steps.withColumn("b", before).withColumn("k", F.greatest(F.lit(0), F.least(F.col("b") + F.col("n"), F.lit(n - cut)) - F.greatest("b", F.lit(cut))))
-        mean = inner.agg(F.sum(F.col("x") * F.col("k")) / F.sum("k")).first()[0]
-        median = found.agg(F.percentile("x", F.lit(0.5))).first()[0]
-        mad = 1.4826 * found.agg(F.percentile(F.abs(F.col("x") - median), F.lit(0.5))).first()[0]
-        threshold = mean + 4 * mad
+        threshold = mean + 4 * selection.median_deviation(rows, column, middle)
     return rows.withColumn("outlier", F.col(column) > threshold)
 
 

@@ -5,18 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import selection
 from .quality import ranked, size_histogram
 
 
-def histogram(rows: DataFrame, column: str, bins: int = 50, log: bool = False) -> DataFrame:
-    """bin, n: counts of equal bins between the least and the largest value (of its log10)."""
+def histogram(rows: DataFrame, column: str, bins: int = 50, log: bool = False, weight: str | None = None) -> DataFrame:
+    """bin, n: counts (sums of weight) of equal bins between the least and the largest value (of its log10)."""
     value = F.log10(column) if log else F.col(column).cast("double")
     bounds = rows.agg(F.min(value).alias("lo"), F.max(value).alias("hi")).first()
     if bounds["lo"] is None:
         return rows.select(F.lit(0).alias("bin"), F.lit(0).cast("long").alias("n")).limit(0)
     width = (bounds["hi"] - bounds["lo"]) / bins or 1.0
     at = F.least(F.floor((value - bounds["lo"]) / width), F.lit(bins - 1)).cast("int")
-    return rows.groupBy(at.alias("bin")).agg(F.count("*").alias("n"))
+    return rows.groupBy(at.alias("bin")).agg((F.sum(weight).cast("long") if weight else F.count("*")).alias("n"))
 
 
 def genes_per_cell(counts: DataFrame, bins: int = 50) -> DataFrame:
@@ -25,9 +26,21 @@ def genes_per_cell(counts: DataFrame, bins: int = 50) -> DataFrame:
 
 
 def umi_probabilities(distribution: DataFrame, trim: float = 0.99, bins: int = 50) -> DataFrame:
-    """Histogram of identifier probabilities (umi, p) below their `trim` quantile."""
-    limit = distribution.agg(F.percentile("p", F.lit(trim))).first()[0]
-    return histogram(distribution.filter(F.col("p") < limit), "p", bins)
+    """Histogram of identifier probabilities (umi, p and, where a row stands for several identifiers, times) below their `trim` quantile."""
+    if "times" not in distribution.columns:
+        distribution = distribution.withColumn("times", F.lit(1).cast("long"))
+    # few distinct probabilities: one for each number of occurrences
+    steps = distribution.groupBy("p").agg(F.sum("times").alias("times")).orderBy("p").collect()
+    place, at, limit = trim * (sum(int(r["times"]) for r in steps) - 1), 0, None
+    low = int(place)
+    for r in steps:
+        at += int(r["times"])
+        if limit is None and at > low:
+            limit = r["p"]
+        if at > low + 1 or at > low and place == low:
+            limit += (r["p"] - limit) * (place - low)
+            break
+    return histogram(distribution.filter(F.col("p") < limit), "p", bins, weight="times")
 
 
 def reads_per_umi_by_size(cells: DataFrame) -> DataFrame:
@@ -37,9 +50,9 @@ def reads_per_umi_by_size(cells: DataFrame) -> DataFrame:
 
 def fraction_threshold(rows: DataFrame, column: str) -> DataFrame:
     """One row: the median plus 4 median absolute deviations (times 1.4826)."""
-    median = rows.agg(F.percentile(column, F.lit(0.5)).alias("m"))
-    apart = rows.crossJoin(F.broadcast(median)).withColumn("d", F.abs(F.col(column) - F.col("m")))
-    return apart.agg((F.max("m") + 4 * 1.4826 * F.percentile("d", F.lit(0.5))).alias("threshold"))
+    middle = selection.median(rows, column)
+    found = None if middle is None else middle + 4 * selection.median_deviation(rows, column, middle)
+    return rows.sparkSession.createDataFrame([(found,)], "threshold double")
 
 
 def rank_curve(cells: DataFrame, quality: DataFrame | None = None) -> DataFrame:

@@ -805,7 +805,27 @@ def size_histogram(spark, sf_dir):
 s as (select coalesce(n, 0) + 4.0::double as n from every left join c on every.umi = c.umi), p as (select n / sum(n) over () as p from s), q as (select quantile_cont(p, 0.99) as q from p),
 k as (select p from p, q where p < q), b as (select min(p) as lo, max(p) as hi from k) select least(floor((p - lo) / ((hi - lo) / 10)), 9)::int as bin, count(*)::bigint as n from k, b group by 1""")
 def umi_probabilities(spark, sf_dir):
-    return report.umi_probabilities(mo.smoothed_umi_distribution(mols(spark, sf_dir), 6, 1.0), bins=10)
+    return report.umi_probabilities(mo.implicit_umi_distribution(mols(spark, sf_dir), 6, 1.0), bins=10)
+
+
+@query(f"""with {d.MOLECULES_SQL}, c as (select umi, count(*) as n from mol group by all), t as (select sum(n) + 4.0::double * 4096 as total, count(*) as kinds from c)
+select umi, round((n + 4.0::double) / total, 12) as p, 1::bigint as times from c, t union all select null, round(4.0::double / total, 12), (4096 - kinds)::bigint from t where kinds < 4096""")
+def implicit_umi_distribution(spark, sf_dir):
+    found = mo.implicit_umi_distribution(mols(spark, sf_dir), 6, 1.0)
+    return found.select("umi", F.round("p", 12).alias("p"), F.col("times").cast("long").alias("times"))
+
+
+@query(f"""with {d.CELLS_SQL}, n as (select count(*) as n from cells), o as (select n_reads, row_number() over (order by n_reads) as r from cells)
+select (select quantile_cont(n_reads, 0.5)::double from cells) as median, (select round(quantile_cont(n_reads::double, 0.9), 9) from cells) as upper,
+  (select round(avg(n_reads::double), 6) from o, n where r > floor(n * 0.2) and r <= n - floor(n * 0.2)) as trimmed,
+  (select round(1.4826::double * median(abs(n_reads - (select median(n_reads) from cells))), 9) from cells) as deviation""")
+def order_statistics(spark, sf_dir):
+    from tallywright.operators import selection as sel
+
+    cells = mo.cells(mols(spark, sf_dir))
+    middle = sel.median(cells, "n_reads")
+    found = (middle, round(sel.quantile(cells, "n_reads", 0.9), 9), round(sel.trimmed_mean(cells, "n_reads", 0.2), 6), round(sel.median_deviation(cells, "n_reads", middle), 9))
+    return spark.createDataFrame([found], "median double, upper double, trimmed double, deviation double")
 
 
 @query(f"with {d.EVENTS_SQL}, c as (select cb, count(*) as n_umis from emol group by cb) select row_number() over (order by n_umis desc, cb)::bigint as rank, round(1.0::double / n_umis, 9) as score from c")

@@ -135,6 +135,13 @@ def test_segments_and_coalesce(spark):
     df = spark.createDataFrame([("chr1", *r) for r in rows], "chrom string, start_pos long, end_pos long, label string")
     got = {(r["start_pos"], r["end_pos"], tuple(r["labels"])) for r in intervals.segments(df, "label").collect()}
     assert got == brute_segments(rows)
+    for ranges in (1, 3, 50):  # one chromosome over many tasks, intervals carried over several ranges
+        again = {(r["start_pos"], r["end_pos"], tuple(r["labels"])) for r in intervals.segments(df.repartition(3), "label", ranges=ranges).collect()}
+        assert again == got
+    named = df.select(F.col("chrom").alias("_g"), F.col("start_pos").alias("a"))
+    assert len(intervals.range_starts(named, 20).first()["starts"]) > 10
+    odd = spark.createDataFrame([("c", 5, 5, "a"), ("c", 9, 2, "a"), ("c", None, 3, "b"), (None, 1, 2, "a"), ("c", 1, 4, None), ("d", 0, 3, "x"), ("d", 1, 2, "x"), ("d", 3, 4, "x")], "chrom string, start_pos long, end_pos long, label string")
+    assert sorted(map(tuple, intervals.segments(odd, "label").collect())) == [("d", 0, 1, ["x"]), ("d", 1, 2, ["x"]), ("d", 2, 3, ["x"]), ("d", 3, 4, ["x"])]
     points = {x for a, b, name in rows if name == "a" for x in (a, b - 1)}
     merged = [(r["start_pos"], r["end_pos"]) for r in intervals.coalesce(df.filter("label = 'a'"), ["chrom"]).collect()]
     assert all(any(a <= x < b for a, b in merged) for x in points)
@@ -252,3 +259,30 @@ def test_stream(spark, reads, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.table("mols").count() == mo.molecules(reads).count()
+
+
+def test_order_statistics(spark):
+    import numpy as np
+
+    from tallywright.operators import molecules as mo_
+    from tallywright.operators import selection as sel
+
+    rnd = np.random.default_rng(3)
+    tables = [[5.0], [1.0, 2.0], [3.0] * 50 + [4.0], rnd.normal(size=3001).tolist(), np.exp(rnd.normal(scale=30, size=2000)).tolist() + [0.0] * 300, (1e6 + rnd.integers(0, 5, 900) * 1e-9).tolist(), [-1e308, 1e308, 0.0, 1e-300, 2e-300, 3e-300, -5.0]]
+    for x in tables:
+        rows = spark.createDataFrame([(v,) for v in [*x, None, float("nan")]], "v double").repartition(3).cache()
+        for share in (0.0, 0.1, 0.5, 0.99, 1.0):
+            assert sel.quantile(rows, "v", share) == pytest.approx(float(np.quantile(np.array(x), share)), rel=1e-12) or max(map(abs, x)) > 1e300
+        cut = int(len(x) * 0.2)
+        want = np.sort(x)[cut : len(x) - cut].mean()
+        assert sel.trimmed_mean(rows, "v", 0.2) == pytest.approx(want, rel=1e-9, abs=1e-9)
+        assert sel.median(rows, "v") == pytest.approx(float(np.median(x)), rel=1e-12, abs=1e-300)
+    none = spark.createDataFrame([(None,)], "v double")
+    assert sel.median(none, "v") is None and sel.trimmed_mean(none, "v", 0.2) is None
+    many = spark.range(20000).select((F.col("id") % 9973 * 1.5).alias("v"))  # more distinct values than a round looks at
+    assert sel.median(many, "v") == pytest.approx(float(np.median(np.arange(20000) % 9973 * 1.5)))
+
+    long_ = spark.createDataFrame([("c", "g", u) for u in ("ACGTACGTACGTACGT", "TCGTACGTACGTACGT", "TCGTACGTACGTACGA", "NNGTACGTACGTACGA")] + [("d", "g", "ACGTACGTACGTACGT")], "cb string, gene string, umi string")
+    found = {r["umi"]: (r["p"], int(r["times"])) for r in mo_.implicit_umi_distribution(long_, 16, 1.0).collect()}
+    assert len(found) == 4 and found[None][1] == 4**16 - 3 and found["ACGTACGTACGTACGT"][0] == pytest.approx(6 / (4 + 4.0 * 4**16))
+    assert sum(p * n for p, n in found.values()) == pytest.approx(1)
