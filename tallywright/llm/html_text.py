@@ -28,7 +28,7 @@ CLOSES = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "t
 ANYWHERE = frozenset(
     "ad ads adv advert advertisement advertising adslot banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disqus "
     "footer gdpr login menu menubar modal nav navbar navigation newsletter notice overlay pager pagination popup promo promoted recommended related "
-    "replies respond search share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar widget widgets complementary contentinfo dialog alert".split()
+    "replies respond responses disclaimer search share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar widget widgets complementary contentinfo dialog alert".split()
 )
 #: Those of them that an article element may be marked by: teasers, comments and adverts come as articles too.
 IN_ARTICLES = frozenset("ad ads advert advertisement comment comments promo promoted recommended related replies sponsored".split())
@@ -36,9 +36,18 @@ IN_ARTICLES = frozenset("ad ads advert advertisement comment comments promo prom
 HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 #: What a page has once, or around its article: an unwanted element that is or holds one may be a wrapper of the page.
 MAIN = frozenset("h1 main article".split())
-OUTSIDE_ARTICLE = frozenset("header masthead topbar".split())
-#: Words that, at the start of a class, say what a page has or is about rather than what an element is.
-QUALIFIERS = frozenset("has with without no is tag tagged category cat topic type format status term post page entry".split())
+OUTSIDE_ARTICLE = frozenset("header masthead topbar discussion".split())
+#: Elements that are part of a sentence or hold one: only the words that name an advert, alone in a class, mark those of the second list.
+SENTENCES = INLINE | frozenset("p h1 h2 h3 h4 h5 h6 li td th dt dd blockquote pre figure figcaption caption summary".split())
+ADVERTS = frozenset("ad ads advert advertisement advertising adslot promoted sponsored".split())
+#: Words that, at the start of a class, say what a page has (always), what it is about (unless a part of a page ends the class) or
+#: whose part an element is (unless any marking word ends the class: post-comments, entry-footer, tag-cloud).
+HAS = frozenset("has with without no is".split())
+ABOUT = frozenset("tag tagged category cat topic type format status term".split())
+PARTS = frozenset("menu menubar nav navbar navigation sidebar widget widgets footer breadcrumb breadcrumbs cloud pagination pager".split())
+WHOSE = frozenset("post page entry".split())
+#: A class with one of these in it is a phrase, a slug of a title, and not a name.
+PHRASES = frozenset("a an and about at by for from in of on or the to".split())
 #: What a section of reader comments is headed by.
 COMMENTS = re.compile(
     r"(?:(?:\d[\d.,]*|no|all|reader|recent|user)\s+)?(?:comments?|replies|responses)(?:\s*\(\d+\))?\s*:?|\d+\s+(?:comments?|replies|responses|thoughts)\s+(?:on|to)\b.{0,100}"
@@ -87,13 +96,22 @@ def unwanted(tag: str, attrs: dict[str, str], in_article: bool) -> int:
         return KEPT
     if "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in attrs.get("style", "").replace(" ", "").lower():
         return GONE
+    if tag in INLINE:
+        return KEPT
     for name in f"{attrs.get('class', '')} {attrs.get('id', '')} {attrs.get('role', '')}".split():
         words = [w.lower() for w in WORD.findall(name)]
-        if not words or words[0] in QUALIFIERS:
+        if not words or not PHRASES.isdisjoint(words):
             continue
-        if tag == "article":
+        if tag in SENTENCES:
+            if len(words) == 1 and words[0] in ADVERTS:
+                return MARKED
+        elif tag == "article":
             if words[0] in IN_ARTICLES:
                 return MARKED
+        elif words[0] in HAS | ABOUT | WHOSE:
+            ends = words[-1] if len(words) > 1 and words[0] not in HAS else ""
+            if ends in PARTS or words[0] in WHOSE and ends in ANYWHERE:
+                return MARKED
         elif not ANYWHERE.isdisjoint(words) or not in_article and not OUTSIDE_ARTICLE.isdisjoint(words):
             return MARKED
     return MARKED if tag == "form" else KEPT

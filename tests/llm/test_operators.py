@@ -512,6 +512,26 @@ def test_main_text_of_wrapped_pages():
     assert read(f"<body><div class=post><div class=intro><p>{start} {start}</div><div class=more><p>{rest}</div></div></body>") == f"{start} {start} {rest}"
 
 
+def test_words_of_sentences_stay_and_clutter_goes():
+    start = "The first part of the article has enough words to be read as prose, and some more of them."
+    rest = "The other part goes on with the story for a while, so that neither of the two is short."
+    read = lambda page: html_text.extract(html_text.parse(page), None)
+    for element in ("span class='social'", "em class='alert'", "abbr class='ad'", "a class='related'", "b id=share", "mark class='notice'", "time class='menu'", "code class=widget"):
+        tag = element.split()[0]
+        assert read(f"<article><h1>T</h1><p>{start} He <{element}>met</{tag}> her.<p>{rest}</article>") == f"T {start} He met her. {rest}"
+    for element in ("p class='search-party'", "h2 class='notice-of-death'", "li class='alert'", "td class=search", "section class='comment-on-policy'", "blockquote class='comment'", "dd id=menu", "div class='sharing-the-load'"):
+        tag = element.split()[0]
+        assert read(f"<article><h1>T</h1><p>{start}</p><{element}>some words of it</{tag}><p>{rest}</p></article>") == f"T {start} some words of it {rest}"
+    ours = "post-comments entry-comments page-footer page-sidebar post-navigation post-share post-related entry-footer tag-cloud category-menu reader-responses disclaimer".split()
+    for name in [*ours, *"comments comment-list sidebar widget-area cookie-banner related-posts newsletter-signup social-share share-buttons ad-slot nav-bar page-nav tag-widget".split()]:
+        for tag in ("div", "section", "ul"):
+            inner = f"<p>{start}</p>" if tag != "ul" else f"<li>{start}</li>"
+            assert read(f"<article><h1>T</h1><p>{start}<p>{rest} {rest}</p><{tag} class='{name}'>{inner}</{tag}></article>") == f"T {start} {rest} {rest}", (tag, name)
+    assert read(f"<article><h1>T</h1><p>{start}<p class=ad>Buy it now<p>{rest}</article>") == f"T {start} {rest}"
+    assert read(f"<article><h1>T</h1><p>{start}<p>{rest} {rest}</article><section class=discussion><p>{start}</section>") == f"T {start} {rest} {rest}"
+    assert read(f"<article><h1>T</h1><p>{start}<section id=discussion><p>{rest}</section></article>") == f"T {start} {rest}"
+
+
 def test_main_text_of_broken_markup():
     start = "The first part of the article has enough words to be read as prose, and some more of them."
     rest = "The other part goes on with the story for a while, so that neither of the two is short."

@@ -79,7 +79,7 @@ def test_empty_tables(spark, sf_dir, tmp_path):
 
 def test_every_numbered_query_is_registered():
     names = list(queries.queries())
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)] + ["pipeline"]
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)] + ["pipeline"]
     assert set(queries.oracle_sql()) <= set(names)
 
 
