@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import apart, materialize
+from .common import apart, broadcast_if, materialize
 from .graph import components
 
 BITS = 64
@@ -81,14 +81,24 @@ def ring(radius: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
 
 
-def most_bits(least: float, count: int) -> int:
-    """How many of the bits of `count` fingerprints two texts of Jaccard similarity `least` differ in on average."""
-    return int(BITS * count * math.acos(2 * least / (1 + least)) / math.pi)
+#: Standard deviations from the mean distance of texts as similar as asked for, within which the shingles decide.
+DEVIATIONS = 1.65, 2.5
 
 
-def pairs(fps: np.ndarray, start: int, segments: list[tuple[int, int]], every: np.ndarray | None = None, most: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Links among fingerprints that agree in segment `start`, as places (a, b): all of them, but a spanning star in place
-    of a class found to be dense, whose pairs would be too many.
+def bit_bounds(least: float, count: int) -> tuple[int, int]:
+    """(most, sure): texts of Jaccard similarity `least` seldom differ in more than `most` of the bits of `count` fingerprints,
+    and in `sure` or fewer hardly ever."""
+    share = math.acos(2 * least / (1 + least)) / math.pi
+    mean, spread = BITS * count * share, math.sqrt(BITS * count * share * (1 - share))
+    return int(mean + DEVIATIONS[0] * spread), int(mean - DEVIATIONS[1] * spread)
+
+
+def pairs(
+    fps: np.ndarray, start: int, segments: list[tuple[int, int]], every: np.ndarray | None = None, most: int | None = None, sure: int | None = None
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Links among fingerprints that agree in segment `start`, as places (a, b) and their distance: all of them, but a spanning star
+    in place of a class found to be dense, whose pairs would be too many; with `sure`, a tree in which links of more bits only
+    join what those of at most so many leave apart.
 
     A pair is compared in full only if the chain of segments that starts there stays within its proportional budget at
     each length: l segments may differ in at most floor(l * radius / (radius + 1)) = l - 1 bits. With `most`, the rows of
@@ -106,17 +116,18 @@ def pairs(fps: np.ndarray, start: int, segments: list[tuple[int, int]], every: n
     fps, key = fps[order], key[order]
     every = every[order] if every is not None else None
 
-    def linked(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Which of the pairs (a, b) link; a may be one place."""
+    def linked(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the pairs (a, b) link, and in how many bits of all (without `most`: 0) they differ; a may be one place."""
         diff = fps[a] ^ fps[b]
         ok = np.flatnonzero(np.bitwise_count(diff & masks[1]) <= 1)
         for l in range(2, count):
             if not ok.size:
                 break
             ok = ok[np.bitwise_count(diff[ok] & masks[l]) <= l]
-        if most is not None and ok.size:
-            ok = ok[np.bitwise_count(every[a if a.size == 1 else a[ok]] ^ every[b[ok]]).sum(axis=1) <= most]
-        return ok
+        if most is None or not ok.size:
+            return ok, np.zeros(len(ok), np.int64)
+        bits = np.bitwise_count(every[a if a.size == 1 else a[ok]] ^ every[b[ok]]).sum(axis=1)
+        return ok[bits <= most], bits[bits <= most]
 
     def reach(i: int) -> np.ndarray:
         """Places that have the second segment of place i, or one bit of it changed."""
@@ -125,6 +136,38 @@ def pairs(fps: np.ndarray, start: int, segments: list[tuple[int, int]], every: n
         return np.concatenate([np.arange(lo, hi) for lo, hi in spans])
 
     alive = np.ones(len(fps), bool)
+
+    def around(j: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places not taken yet that link with j, and in how many bits they differ."""
+        near = reach(j)
+        near = near[alive[near]]
+        ok, bits = linked(np.array([j]), near)
+        return near[ok], bits
+
+    def walk(i: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Takes the class of place i."""
+        todo, members = [i], [i]
+        while todo or members and sure is not None:
+            if todo:  # all that is linked, or surely linked
+                j = todo.pop()
+                near, bits = around(j)
+                if sure is not None:
+                    near, bits = near[bits <= sure], bits[bits <= sure]
+                hub = i if sure is None else j
+            else:  # the nearest of what else is linked with a member, one at a time
+                j = hub = members[-1]
+                near, bits = around(j)
+                if not near.size:
+                    members.pop()
+                    continue
+                nearest = bits.argmin()
+                near, bits = near[nearest : nearest + 1], bits[nearest : nearest + 1]
+            if near.size:
+                alive[near] = False
+                todo.extend(near.tolist())
+                members.extend(near.tolist())
+                yield np.full(len(near), order[hub]), order[near], bits
+
     dense = len(fps) > DENSE
     while dense:  # stars of classes that many places belong to, until a sample meets none
         left = np.flatnonzero(alive)
@@ -133,18 +176,10 @@ def pairs(fps: np.ndarray, start: int, segments: list[tuple[int, int]], every: n
             if not alive[i]:
                 continue
             near = reach(i)
-            if len(linked(np.array([i]), near[alive[near]])) <= DENSE:
+            if len(linked(np.array([i]), near[alive[near]])[0]) <= DENSE:
                 continue
-            dense, alive[i], todo = True, False, [i]
-            while todo:
-                j = todo.pop()
-                near = reach(j)
-                near = near[alive[near]]
-                near = near[linked(np.array([j]), near)]
-                if near.size:
-                    alive[near] = False
-                    todo.extend(near.tolist())
-                    yield np.full(len(near), order[i]), order[near]
+            dense, alive[i] = True, False
+            yield from walk(i)
     left = np.flatnonzero(alive)
     fps, key, order, every = fps[left], key[left], order[left], every[left] if every is not None else None
 
@@ -168,15 +203,14 @@ def pairs(fps: np.ndarray, start: int, segments: list[tuple[int, int]], every: n
             x, y = x + a, y + c
             x, y = x[x < y], y[x < y]
             if x.size:
-                ok = linked(x, y)
+                ok, bits = linked(x, y)
                 if ok.size:
-                    yield order[x[ok]], order[y[ok]]
+                    yield order[x[ok]], order[y[ok]], bits
 
 
-def forest(size: int, found: Iterator[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of places (a, b) as stars: the smallest place of each class, and the others of it."""
-    root = np.arange(size)
-    for a, b in found:
+def smallest(root: np.ndarray, found: Iterator[tuple[np.ndarray, ...]]) -> np.ndarray:
+    """The smallest place of each place's class, where root has those so far and pairs (a, b, ...) join classes."""
+    for a, b, *_ in found:
         x, y = root[a], root[b]
         while (apart := x != y).any():
             low, high = np.minimum(x, y)[apart], np.maximum(x, y)[apart]
@@ -184,14 +218,39 @@ def forest(size: int, found: Iterator[tuple[np.ndarray, np.ndarray]]) -> tuple[n
             while (up := root[root]).tobytes() != root.tobytes():
                 root = up
             x, y = root[low], root[high]
-    places = np.flatnonzero(root != np.arange(size))
+    return root
+
+
+def stars(root: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest place of each class, and the others of it."""
+    places = np.flatnonzero(root != np.arange(len(root)))
     return root[places], places
 
 
-def links(nodes: DataFrame, radius: int = 4, count: int = 1, most: int | None = None) -> DataFrame:
-    """nodes(fp, fps), distinct -> links(a, b) of fp whose classes are those of all pairs that have one of their `count`
+def spanning(root: np.ndarray, a: np.ndarray, b: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Which pairs make a forest of least distances over the classes of root: each class takes its nearest link, until none is left."""
+    order = np.lexsort((b, a, bits))
+    a, b, taken = a[order], b[order], []
+    index = np.arange(len(a))
+    while True:
+        x, y = root[a[index]], root[b[index]]
+        index, x, y = index[x != y], x[x != y], y[x != y]
+        if not index.size:
+            return order[np.concatenate(taken)] if taken else order[:0]
+        best = np.full(len(root), len(a))
+        np.minimum.at(best, x, index)
+        np.minimum.at(best, y, index)
+        taken.append(np.unique(best[best < len(a)]))
+        root = smallest(root.copy(), iter([(a[taken[-1]], b[taken[-1]])]))
+
+
+def links(nodes: DataFrame, radius: int = 4, count: int = 1, most: int | None = None, sure: int | None = None) -> DataFrame:
+    """nodes(fp, fps), distinct -> links(a, b, bits) of fp whose classes are those of all pairs that have one of their `count`
     fingerprints at most `radius` bits apart, and with `most` all of them together at most so many.
 
+    With `sure`, bits is 0 for links that stand for ones of at most so many bits; of the others those of least bits that
+    join the classes of a group are given.
+
     A pair within the radius agrees in some segment from which its chain keeps the budgets, so the group of that
     segment's value holds it. A group is a sorted run of numbers in one partition.
     """
@@ -206,8 +265,20 @@ def links(nodes: DataFrame, radius: int = 4, count: int = 1, most: int | None =
             if len(names) > 1:
                 own = every[:, at[0] // len(segments)].view(np.uint64)
                 # names are sorted: a class has the same smallest one, and so the same star, in all groups that hold it whole
-                a, b = forest(len(names), pairs(np.ascontiguousarray(own), at[0] % len(segments), segments, every.view(np.uint64), most))
-                yield pa.RecordBatch.from_arrays([pa.array(names[a]), pa.array(names[b])], ["a", "b"])
+                found = pairs(np.ascontiguousarray(own), at[0] % len(segments), segments, every.view(np.uint64), most, sure)
+                root, rest = np.arange(len(names)), []
+                for a, b, bits in found:
+                    few = bits <= (0 if sure is None else sure)
+                    root = smallest(root, iter([(a[few], b[few])]))
+                    if not few.all():
+                        rest.append((a[~few], b[~few], bits[~few]))
+                a, b = stars(root)
+                bits = np.zeros(len(a), np.int64)
+                if rest:
+                    x, y, apart_ = (np.concatenate(c) for c in zip(*rest, strict=True))
+                    kept = spanning(root, x, y, apart_)
+                    a, b, bits = np.append(a, x[kept]), np.append(b, y[kept]), np.append(bits, apart_[kept])
+                yield pa.RecordBatch.from_arrays([pa.array(names[a]), pa.array(names[b]), pa.array(bits.astype(np.int32))], ["a", "b", "bits"])
 
         for b in batches:
             seg, val, names = (b.column(i).to_numpy(zero_copy_only=False) for i in range(3))
@@ -229,7 +300,7 @@ def links(nodes: DataFrame, radius: int = 4, count: int = 1, most: int | None =
     value = lambda k, s, w: F.shiftrightunsigned(F.get("fps", F.lit(k)), s).bitwiseAND(F.lit((1 << w) - 1))
     each = [F.struct(F.lit(k * len(segments) + i).alias("seg"), value(k, s, w).alias("val")) for k in range(count) for i, (s, w) in enumerate(segments)]
     keyed = nodes.select("fp", "fps", F.explode(F.array(*each)).alias("e")).select("e.seg", "e.val", "fp", "fps")
-    return keyed.repartition("seg", "val").sortWithinPartitions("seg", "val", "fp").mapInArrow(run, "a bigint, b bigint")
+    return keyed.repartition("seg", "val").sortWithinPartitions("seg", "val", "fp").mapInArrow(run, "a bigint, b bigint, bits int")
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4, shingle: int = 4) -> DataFrame:
@@ -243,32 +314,83 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return prints.join(classes(prints, radius), "fp").select("id", "fp", "component_id")
 
 
-def classes(prints: DataFrame, radius: int, count: int = 1, most: int | None = None) -> DataFrame:
+def classes(prints: DataFrame, radius: int, count: int = 1) -> DataFrame:
     """prints(id, fp, fps) -> (fp, component_id, root), one row for each distinct fingerprint."""
     nodes = prints.groupBy("fp").agg(F.min("id").alias("least"), F.first("fps").alias("fps"))
-    roots = components(links(nodes.select("fp", "fps"), radius, count, most))
+    roots = components(links(nodes.select("fp", "fps"), radius, count))
     rooted = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     rooted = materialize(rooted, "simhash-roots")
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     return materialize(rooted.join(least, "root").select("fp", "component_id", "root"), "simhash-named")
 
 
-def keep_one(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 7, shingle: int = 5, count: int = 4, least: float | None = 0.8
-) -> DataFrame:
+def shingles(text: str | None, size: int) -> set[int]:
+    """Hashes of the different shingles of a text; fewer words: the whole sequence is one."""
+    found = (text or "").encode().lower().split()
+    digest = xxhash.xxh64_intdigest
+    return {digest(b" ".join(found[i : i + size]), 42) for i in range(max(1, len(found) - size + 1))} if found else set()
+
+
+def alike(asked: DataFrame, texts: DataFrame, shingle: int, least: float) -> DataFrame:
+    """asked(a, b, ...) whose texts(fp, text) have a Jaccard similarity of their sets of shingles of at least `least`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ok = []
+            for x, y in zip(b.column(2), b.column(3), strict=True):
+                one, other = shingles(x.as_py(), shingle), shingles(y.as_py(), shingle)
+                both = len(one & other)
+                ok.append(both >= least * (len(one) + len(other) - both) and both > 0)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    side = lambda c: texts.select(F.col("fp").alias(c), F.col("text").alias(f"text_{c}"))
+    return asked.select("a", "b").join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint")
+
+
+#: Texts to be compared are found by broadcast where so few are asked for, else by a join that deals out all texts.
+MOST_ASKED = 500_000
+
+
+def verified_classes(prints: DataFrame, rows: DataFrame, id_: str, text: str, radius: int, shingle: int, count: int, least: float) -> DataFrame:
+    """prints(id, fp, fps, th) of rows -> (fp, root): classes by links of fingerprints that leave no doubt, joined where the shingles
+    of the nearest texts of two of them are as similar as asked for."""
+    most, sure = bit_bounds(least, count)
+    nodes = prints.groupBy("fp").agg(F.first("fps").alias("fps"))
+    edges = materialize(links(nodes, radius, count, most, sure).groupBy("a", "b").agg(F.min("bits").alias("bits")), "simhash-links")
+    roots = components(edges.filter("bits = 0").select("a", "b"))
+    named = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
+    doubt = edges.filter("bits > 0").join(named("a"), "a", "left").join(named("b"), "b", "left")
+    doubt = doubt.withColumns({"root_a": F.coalesce("root_a", "a"), "root_b": F.coalesce("root_b", "b")}).filter("root_a != root_b")
+    doubt = doubt.groupBy(F.least("root_a", "root_b").alias("x"), F.greatest("root_a", "root_b").alias("y")).agg(F.min(F.struct("bits", "a", "b")).alias("e"))
+    doubt = materialize(doubt.select("x", "y", "e.a", "e.b"), "simhash-doubt")
+    asked = doubt.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
+    place = F.struct(F.col("id").isNull(), "id", "th")
+    asked = materialize(prints.join(asked, "fp").groupBy("fp").agg(F.min(place).alias("k")).select("fp", F.col("k.id").alias("asked_id"), F.col("k.th").alias("asked_th")), "simhash-asked")
+    same = F.col(id_).eqNullSafe(F.col("asked_id")) & (F.xxhash64(text) == F.col("asked_th"))
+    texts = materialize(rows.join(broadcast_if(asked, MOST_ASKED), same).select("fp", F.col(text).alias("text")).dropDuplicates(["fp"]), "simhash-texts")
+    near = doubt.join(alike(doubt, texts, shingle, least), ["a", "b"])
+    joined = components(near.select(F.col("x").alias("a"), F.col("y").alias("b")))
+    own = nodes.select("fp").join(roots, nodes.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("part"))
+    done = own.join(joined, own.part == joined.node, "left").select("fp", F.coalesce("root", "part").alias("root"))
+    return materialize(done, "simhash-classes")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 8, shingle: int = 5, count: int = 5, least: float | None = 0.8) -> DataFrame:
     """The rows of docs with one of each near-duplicate class left, columns unchanged, whatever their names: the row of
     the smallest id.
 
-    Texts have `count` fingerprints of their shingles. Two link if some fingerprint is at most `radius` bits apart and all
-    together differ in at most as many bits as texts of similarity `least` do on average (None: in any number). Null ids come last; rows of one id go by the text's hash; of rows that repeat id and text the one whose columns
-    come first as JSON stays.
+    Texts have `count` fingerprints of their shingles. Two are candidates if some fingerprint is at most `radius` bits apart and
+    all together differ in at most as many bits as texts of similarity `least` seldom exceed. They link if those are so
+    few that the similarity is beyond doubt, or if the sets of shingles are as similar as `least`; between two classes the pair of
+    fewest bits is compared. With least = None fingerprints alone decide. Null ids come last; rows of one id go by the text's hash; of rows that repeat id and text the one
+    whose columns come first as JSON stays. Null texts and texts without a word are of one class.
     """
     rows, (id_, text) = apart(docs, id_col, text_col)
     hashes = F.xxhash64(text)
     prints = materialize(with_fingerprints(rows.withColumn("th", hashes), id_, text, shingle, ["th"], count), "simhash")
     order = F.struct(F.col("id").isNull(), "id", "th")
-    most = None if least is None else most_bits(least, count)
-    first = prints.join(classes(prints, radius, count, most), "fp").groupBy("root").agg(F.min(order).alias("k"))
+    found = classes(prints, radius, count) if least is None else verified_classes(prints, rows, id_, text, radius, shingle, count, least)
+    first = prints.join(found.select("fp", "root"), "fp").groupBy("root").agg(F.min(order).alias("k"))
     first = materialize(first.select(F.col("k.id").alias("kept_id"), F.col("k.th").alias("kept_th")), "simhash-kept")
     kept = rows.join(first, F.col(id_).eqNullSafe(F.col("kept_id")) & (hashes == F.col("kept_th")), "left_semi")
     repeated = prints.groupBy("id", "th").count().filter("count > 1").select(F.col("id").alias("again_id"), F.col("th").alias("again_th"))

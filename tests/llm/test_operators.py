@@ -125,7 +125,7 @@ def test_near_classes(docs, none):
     assert simhash_dedup.keep_one(none).count() == 0
 
 
-def expected_fingerprints(text, shingle=5, count=4):
+def expected_fingerprints(text, shingle=5, count=5):
     """As the first one, but of hashes that are scrambled after a step for each."""
     mask = (1 << 64) - 1
 
@@ -145,13 +145,15 @@ def expected_fingerprints(text, shingle=5, count=4):
 
 
 def near_texts(texts):
-    """Class of each text by brute force: a fingerprint of both within 7 bits, all four within 38."""
+    """Class of each text by brute force: a fingerprint of both within 8 bits, all five within 59, and within 32 or shingles alike."""
     fps = [expected_fingerprints(t) for t in texts]
+    sets = [simhash_dedup.shingles(t, 5) for t in texts]
+    assert simhash_dedup.bit_bounds(0.8, 5) == (59, 32)
     root = list(range(len(texts)))
     for i in range(len(texts)):
         for j in range(i):
             apart = [(a ^ b).bit_count() for a, b in zip(fps[i], fps[j])]
-            if min(apart) <= 7 and sum(apart) <= 38:
+            if min(apart) <= 8 and sum(apart) <= 59 and (sum(apart) <= 32 or len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) > 0):
                 old, new = root[i], root[j]
                 root = [new if x == old else x for x in root]
     return root
@@ -172,6 +174,27 @@ def test_keep_one_of_near_texts(spark):
     assert len(first) <= len(texts) - 1 - 3 * 3  # the unedited copies at least
 
 
+def test_recall_and_precision_by_similarity(spark):
+    """Pairs of texts in bands of similarity: at least nine of ten found from 0.8 on, nothing far below."""
+    rnd = random.Random(18)
+    rows, bands = [], {}
+    for pair in range(900):
+        n = rnd.choice([80, 200, 500])
+        base = [rnd.choice(WORDS) + rnd.choice(WORDS) + str(pair) for _ in range(n)]
+        other = list(base)
+        for _ in range(rnd.randint(0, max(1, n // 25))):
+            other[rnd.randrange(n)] = "edited" + str(rnd.random())
+        texts = [" ".join(base), " ".join(other)]
+        one, two = (simhash_dedup.shingles(t, 5) for t in texts)
+        bands.setdefault(int(20 * len(one & two) / len(one | two)), []).append(pair)
+        rows += [(2 * pair + i, t) for i, t in enumerate(texts)]
+    kept = {r["doc_id"] for r in simhash_dedup.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert all(2 * pair in kept for pairs in bands.values() for pair in pairs)
+    found = {band / 20: sum(2 * p + 1 not in kept for p in ps) / len(ps) for band, ps in bands.items() if len(ps) >= 20}
+    assert {0.8, 0.85, 0.9, 0.95} <= set(found)
+    assert all(share >= 0.9 if band >= 0.8 else share <= 0.1 for band, share in found.items()), found
+
+
 @pytest.mark.parametrize("large,dense", [(1 << 14, 256), (1, 256), (1 << 14, 3), (1, 1)])
 def test_pairs_keep_the_classes_of_all_pairs(large, dense, monkeypatch):
     import numpy as np
@@ -194,7 +217,7 @@ def test_pairs_keep_the_classes_of_all_pairs(large, dense, monkeypatch):
         keys = (fps >> np.uint64(at)) & np.uint64((1 << width) - 1)
         for k in np.unique(keys):
             group = fps[keys == k]
-            for a, b in simhash_dedup.pairs(group, s, segments):
+            for a, b, _ in simhash_dedup.pairs(group, s, segments):
                 pairs |= set(zip(group[a].tolist(), group[b].tolist()))
 
     def classes(links):
@@ -208,6 +231,41 @@ def test_pairs_keep_the_classes_of_all_pairs(large, dense, monkeypatch):
     assert classes(pairs) == classes(every)
 
 
+@pytest.mark.parametrize("dense", [3, 1])
+def test_doubtful_links_join_what_sure_ones_leave_apart(dense, monkeypatch):
+    """A dense group's tree of links has the classes of all its pairs, by sure links alone and by all; so has a forest of the doubtful ones."""
+    import numpy as np
+
+    rnd = random.Random(4)
+    fps = set()
+    for x in [rnd.getrandbits(64) for _ in range(12)]:
+        for _ in range(8):
+            y = x
+            for _ in range(rnd.randint(0, 7)):
+                y ^= 1 << rnd.randrange(8, 64)
+            fps.add(y & ~0xFF)  # one value in the first segment
+    fps = np.array(sorted(fps), np.uint64)
+    size, most, sure = len(fps), 6, 3
+
+    def links(limit):
+        monkeypatch.setattr(simhash_dedup, "DENSE", limit)
+        return [np.concatenate(x) for x in zip(*simhash_dedup.pairs(fps, 0, simhash_dedup.ring(7), fps[:, None], most, sure))]
+
+    def classes(a, b):
+        root = simhash_dedup.smallest(np.arange(size), iter([(a, b)]))
+        return root, {tuple(np.flatnonzero(root == r).tolist()) for r in root}
+
+    (a, b, bits), (x, y, all_bits) = links(dense), links(1 << 30)
+    assert len(a) < len(x) and all((int(fps[i]) ^ int(fps[j])).bit_count() == d for i, j, d in zip(a, b, bits))
+    for limit in (sure, most):
+        assert classes(a[bits <= limit], b[bits <= limit])[1] == classes(x[all_bits <= limit], y[all_bits <= limit])[1]
+    root, parts = classes(x[all_bits <= sure], y[all_bits <= sure])
+    rest = all_bits > sure
+    kept = simhash_dedup.spanning(root, x[rest], y[rest], all_bits[rest])
+    assert len(kept) == len(parts) - len(classes(x, y)[1]) > 0
+    assert classes(np.append(x[~rest], x[rest][kept]), np.append(y[~rest], y[rest][kept]))[1] == classes(x, y)[1]
+
+
 def test_mix(docs, none):
     rows = corpus()
     found = mixing.mix(docs).collect()
