@@ -120,6 +120,12 @@ def error_numbers(neighbours: int, reads: int, error: float) -> np.ndarray:
     return m
 
 
+def error_column(neighbours: int, reads: int, error: float) -> np.ndarray:
+    """The column of error_numbers() for so many reads: each errs and meets an identifier not met before, or changes nothing."""
+    p = min(max(error, 1e-300), 1 - 1e-16)
+    return np.array(neighbours_hit(p, neighbours + 1, reads)[: neighbours + 1])
+
+
 def adjusted_error_prior(prior: np.ndarray, larger: int, most: int) -> np.ndarray:
     """Probability of seeing 0, 1, ... erroneous identifiers where some fall on identifiers that are there already.
 

@@ -26,7 +26,8 @@ from .identifiers import GROUP, KEY, adjacent, classic_filter, neighbour_counts
 class Model:
     """What a gene is judged by; its size follows the identifiers' length and the bounds of train(), not the data.
 
-    errors[e, r]: probability of e erroneous identifiers from r reads; quality_error and quality_all: log probabilities
+    errors[e, r]: probability of e erroneous identifiers from r reads, for as many reads as are worked out beforehand; those of
+    more follow from `error`, the share of reads that are errors (None: they count as the last); quality_error and quality_all: log probabilities
     of the quality classes below `borders`; collisions: molecules behind so many distinct identifiers.
     """
 
@@ -36,6 +37,15 @@ class Model:
     quality_error: np.ndarray
     quality_all: np.ndarray
     collisions: tuple[int, ...]
+    error: float | None = None
+
+    def error_columns(self, upto: int, reads: np.ndarray) -> np.ndarray:
+        """errors[:upto, r] for each number of reads."""
+        known = self.errors.shape[1] - 1
+        if self.error is None or reads.max(initial=0) <= known:
+            return self.errors[:upto, np.minimum(reads, known)]
+        column = lambda r: self.errors[:, r] if r <= known else st.error_column(self.most, r, self.error)
+        return np.stack([column(r)[:upto] for r in reads.tolist()], axis=1)
 
     @property
     def most(self) -> int:
@@ -77,17 +87,19 @@ def collisions(molecules: DataFrame, length: int, largest: int, smooth: float =
 def error_share(molecules: DataFrame, most: int = 4) -> float:
     """Share of reads that are errors, from genes of up to `most` identifiers one of which is next to all others and has
     the most reads; a gene of one identifier has none."""
+    small = molecules.groupBy(*GROUP).agg(F.count("*").alias("n")).filter(F.col("n") <= most).select(*GROUP)
+    molecules = molecules.join(small, GROUP, "left_semi")
     rows = neighbour_counts(molecules).select(*KEY, "total").join(molecules.select(*KEY, "reads"), KEY)
     genes = rows.groupBy(*GROUP).agg(F.count("*").alias("n"), F.max("reads").alias("large"), F.sum("reads").alias("all"), F.collect_list(F.struct("reads", "total")).alias("each"))
-    genes = genes.filter(F.col("n") <= most)
     centre = F.exists("each", lambda x: (x["reads"] == F.col("large")) & (x["total"] == F.col("n") - 1))
     sums = genes.filter(centre).agg(F.sum("large").alias("large"), F.sum("all").alias("all")).first()
     return 1 - sums["large"] / sums["all"] if sums["all"] else 0.0
 
 
-def train(molecules: DataFrame, length: int, classes: int = 10, smooth: float = 10.0, quality_smooth: float = 0.01, most_reads: int = 2000) -> Model:
+def train(molecules: DataFrame, length: int, classes: int = 10, smooth: float = 10.0, quality_smooth: float = 0.01, worked_out: int = 2000) -> Model:
     """A model from sums in Spark. Genes of two adjacent identifiers give the qualities of errors, those of at most two the
-    qualities of all; read numbers above `most_reads` count as that. No such gene raises."""
+    qualities of all. Error numbers of up to `worked_out` reads are a table, those of more are worked out where they occur. No such
+    gene raises."""
     sizes = molecules.groupBy(*GROUP).agg(F.count("*").alias("n"))
     few = molecules.join(sizes.filter("n <= 2").select(*GROUP), GROUP, "left_semi")
     bad = smaller_pairs(few).select(F.col("quality").cast("int").alias("value"))
@@ -105,8 +117,9 @@ def train(molecules: DataFrame, length: int, classes: int = 10, smooth: float =
 
     top = molecules.agg(F.max("reads")).first()[0]
     largest = sizes.agg(F.max("n")).first()[0]
-    errors = st.error_numbers(3 * length, min(most_reads, max(1, round(top * 1.5))), error_share(molecules))
-    return Model(length, errors, borders, classed(bad), classed(every), collisions(molecules, length, largest + 1, smooth))
+    error = error_share(molecules)
+    errors = st.error_numbers(3 * length, min(worked_out, max(1, round(top * 1.5))), error)
+    return Model(length, errors, borders, classed(bad), classed(every), collisions(molecules, length, largest + 1, smooth), error)
 
 
 def smaller_pairs(molecules: DataFrame) -> DataFrame:
@@ -125,8 +138,7 @@ def likely_errors(model: Model, small: list[int], large: int, log_error: np.ndar
     neighbours that are molecules beyond these.
     """
     m = len(small)
-    sums = np.minimum(large + np.concatenate(([0], np.cumsum(small))), model.errors.shape[1] - 1)
-    columns = model.errors[: m + 1, sums]
+    columns = model.error_columns(m + 1, large + np.concatenate(([0], np.cumsum(small))).astype(np.int64))
     prior_error = st.adjusted_error_prior(np.diagonal(columns) / np.maximum(columns.sum(axis=0), 1e-300), larger, model.most)
     prior_true = drawn[: m + 1] / max(drawn[: m + 1].sum(), 1e-300)
     with np.errstate(divide="ignore"):

@@ -585,9 +585,12 @@ def nearest_known(wild: DataFrame) -> DataFrame:
     return bad.join(good, ["cb", "gene"]).filter(s.hamming_distance(F.col("umi"), F.col("g")) <= 1).select("cb", "gene", "umi").distinct()
 
 
-@query("select n::bigint as n, (case when n >= 4096 then round(-ln(1 - 4095 / 4096.0::double) * 4096 + (-ln(1 - 4095 / 4096.0::double) * 4096 + ln(1 - 4094 / 4096.0::double) * 4096)) else round(-ln(1 - n / 4096.0::double) * 4096) end)::bigint as adjusted from range(1, 4097) t(n)")
+@query(f"""with {d.EVENTS_SQL}, g as (select cb, gene, count(*) as n from emol group by all)
+select cb, gene, n::bigint as n, (case when n >= 64 then round(-ln(1 - 63 / 64.0::double) * 64 + (-ln(1 - 63 / 64.0::double) * 64 + ln(1 - 62 / 64.0::double) * 64)) else round(-ln(1 - n / 64.0::double) * 64) end)::bigint as adjusted from g""")
 def uniform_collisions(spark, sf_dir):
-    return spark.range(1, 4097).select(F.col("id").alias("n"), st.uniform_adjusted(F.col("id"), 4096).alias("adjusted"))
+    """Molecules behind the identifiers of each gene, of 4 ** 3 equally likely ones."""
+    genes = event_mols(spark, sf_dir).groupBy("cb", "gene").agg(F.count("*").alias("n"))
+    return genes.select("cb", "gene", "n", st.uniform_adjusted(F.col("n"), 64).alias("adjusted"))
 
 
 @query(f"with {d.CELLS_SQL} select cb, (case when x < 1.01 then 0 when x < 1.02 then 1 when x < 1.05 then 2 else 3 end)::int as k from (select cb, n_reads::double / n_umis - 1e-7 as x from cells)")
@@ -835,9 +838,11 @@ def scores_by_rank(spark, sf_dir):
     return found.select("rank", F.round("score", 9).alias("score"))
 
 
-@query("select i::double as depth, i < 30 as predicted from range(100) t(i)")
+@query(f"with {d.CELLS_SQL} select cb, n_reads::double as depth, n_reads < (select avg(n_reads) from cells) as predicted from cells")
 def saturation_points(spark, sf_dir):
-    return report.saturation_points(spark.range(100).select(F.col("id").cast("double").alias("depth")), 30.0)
+    cells = mo.cells(mols(spark, sf_dir))
+    present = cells.agg(F.avg("n_reads")).first()[0]
+    return report.saturation_points(cells.select("cb", F.col("n_reads").cast("double").alias("depth")), present)
 
 
 @query(f"with {d.CELLS_SQL} select cb, gene, count(*)::bigint as n from mol where {REQUESTED} and cb in ({FINAL}) group by all")

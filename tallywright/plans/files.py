@@ -7,9 +7,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywright.operators import identifiers, results
+from tallywright.operators import identifiers, results, tagging
 from tallywright.operators.tables import shared_folder, stored
-from tallywright.sources import bam, fastq, lock_step
+from tallywright.sources import annotation, bam, fastq, lock_step
 
 from . import derived as d
 from .catalog import CLOSED_SQL, event_mols, merge_closure, query
@@ -70,3 +70,33 @@ def filtered_bam(spark, sf_dir):
     results.write_filtered(reads, merge_closure(spark, sf_dir), identifiers.directional_pairs(m), m.filter("reads > 1"), path)
     kept = bam.barcode_tags(bam.read_bam(spark, path))
     return kept.groupBy("cb", F.try_element_at("tags", F.lit("GX")).alias("gene"), "umi").agg(F.count("*").alias("reads"))
+
+
+@query(f"with {d.ANNOTATION_SQL} select chrom, gene_name as gene_id, gene_name, transcript_id, start_pos, end_pos, kind from ann")
+def annotation_as_gtf(spark, sf_dir):
+    """The derived annotation as a GTF file: 1-based, closed."""
+    path, quoted = fresh(spark), lambda name, c: F.concat(F.lit(f'{name} "'), F.col(c), F.lit('";'))
+    line = F.concat_ws("\t", "chrom", F.lit("x"), "kind", F.col("start_pos") + 1, "end_pos", F.lit("."), F.lit("+"), F.lit("."), F.concat_ws(" ", quoted("gene_name", "gene_name"), quoted("transcript_id", "transcript_id")))
+    d.annotation(spark, sf_dir).select(line.alias("value")).write.option("compression", "gzip").text(path)
+    return annotation.read_gtf(spark, path)
+
+
+@query(f"with {d.ANNOTATION_SQL} select chrom, transcript_id || '_intron' as name, transcript_id as whole, start_pos, end_pos, 'exon' as kind from ann where kind = 'intron'")
+def introns_as_bed(spark, sf_dir):
+    """The derived introns as a BED file, and the names that introns are trimmed to."""
+    path = fresh(spark)
+    rows = d.annotation(spark, sf_dir).filter("kind = 'intron'")
+    rows.select(F.concat_ws("\t", "chrom", "start_pos", "end_pos", F.concat("transcript_id", F.lit("_intron"))).alias("value")).write.text(path)
+    found = annotation.read_bed(spark, path)
+    return found.select("chrom", F.col("gene_name").alias("name"), annotation.trimmed_intron_name("gene_name").alias("whole"), "start_pos", "end_pos", "kind")
+
+
+@query(f"""with {d.FASTQ_SQL}, p as (select '@r' || ord || '!' || substr(seq1, 1, 4) || '#' || substr(seq2, 1, 4) as read_id, seq1, seq2, qual1, qual2 from fq)
+select substr(read_id, 2) as name, substr(seq1, 1, 4) as cb, substr(seq2, 1, 4) as umi, substr(qual1, 1, 4) as cb_qual, substr(qual2, 1, 4) as umi_qual from p""")
+def params_written(spark, sf_dir):
+    """Parameters of the derived reads as lines, written and read back."""
+    path, part = fresh(spark), lambda c: F.substring(c, 1, 4)
+    reads = d.fastq(spark, sf_dir).select(part("seq1").alias("cb"), part("seq2").alias("umi"), part("qual1").alias("cb_qual"), part("qual2").alias("umi_qual"), "ord")
+    name = F.concat(F.lit("@r"), F.col("ord").cast("string"), F.lit("!"), F.col("cb"), F.lit("#"), F.col("umi"))
+    tagging.write_params(reads.withColumn("read_id", name), path)
+    return annotation.read_params(spark, path)

@@ -168,6 +168,22 @@ def test_directional_by_join_and_by_group(spark):
     assert joined and joined == {tuple(r) for r in identifiers.directional_targets(wild).filter("umi != 'NGGGGGGG'").collect()}
 
 
+def test_error_numbers_of_very_many_reads():
+    import dataclasses
+
+    for error in (1e-4, 0.02, 0.3):
+        table = st.error_numbers(9, 300, error)
+        for r in (1, 7, 299):
+            assert st.error_column(9, r, error) == pytest.approx(table[:, r], abs=1e-12)
+    m = correction.Model(3, st.error_numbers(9, 50, 1e-3), (20.0, 40.0), np.log([0.9, 0.1]), np.log([0.2, 0.8]), tuple(range(1, 70)), 1e-3)
+    whole = dataclasses.replace(m, errors=st.error_numbers(9, 13_000, 1e-3))
+    drawn = st.neighbours_beyond(0.01, m.most, 10, 0)
+    zeros = np.zeros(2)
+    for large, small in ((10_000, [3, 2_000]), (10_000, [1, 1]), (40, [5, 5]), (45, [1, 10_000])):
+        assert correction.likely_errors(m, small, large, zeros, zeros, 0, drawn) == correction.likely_errors(whole, small, large, zeros, zeros, 0, drawn)
+    assert m.error_columns(3, np.array([10_000])) != pytest.approx(m.errors[:3, 50:51], abs=1e-3)  # they are not taken for the last of the table
+
+
 def test_error_numbers():
     m = st.error_numbers(3, 6, 0.3)
     for r in range(7):  # each read is wrong with 0.3 and then goes to one of the neighbours, with one to spare
