@@ -210,3 +210,133 @@ def good_toulmin(counts: dict[int, int], ratio: float, terms: int = 20) -> float
             if gain >= 0:
                 return seen + gain
     return seen
+
+
+def continued_fraction(series: np.ndarray) -> np.ndarray:
+    """c with series[0] + series[1] t + ... = c[0] / (1 + c[1] t / (1 + c[2] t / ...)), by the quotient-difference table; it ends
+    before the first coefficient that is not finite or 0."""
+    n = len(series)
+    if n == 0 or series[0] == 0:
+        return np.zeros(0)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        q, e = series[1:] / series[:-1], np.zeros(n)
+        found = [series[0]]
+        for k in range(1, n):
+            found.append(-(q[0] if k % 2 else e[0]))
+            if k % 2:
+                e = q[1:] - q[:-1] + e[1 : len(q)]
+            else:
+                q = q[1 : len(e)] * e[1:] / e[:-1]
+            if (k % 2 and not len(e)) or (not k % 2 and not len(q)):
+                break
+    c = np.array(found)
+    bad = np.flatnonzero(~np.isfinite(c) | (c == 0))
+    return c[: bad[0]] if bad.size else c
+
+
+def fraction_at(c: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """The continued fraction at t; infinite where it has a pole."""
+    below = np.ones_like(t)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        for x in c[:0:-1]:
+            below = 1 + x * t / below
+        return c[0] / below
+
+
+#: Largest order of a fraction, the multiple of the reads up to which it must behave, and places looked at.
+MOST_TERMS, REACH, PLACES = 100, 20.0, 400
+
+
+def stable_fraction(counts: dict[int, int], reach: float = REACH) -> np.ndarray:
+    """The fraction of the highest even order whose curve of gained molecules never falls and never turns upwards up to `reach` times
+    the reads; empty where not even the lowest does."""
+    longest = 0
+    while longest < MOST_TERMS and counts.get(longest + 1, 0) > 0:
+        longest += 1
+    series = np.array([(-1) ** k * counts[k + 1] for k in range(longest)], float)
+    c, t = continued_fraction(series), np.linspace(0, max(reach - 1, 1e-6), PLACES)
+    for order in range(len(c) - len(c) % 2, 1, -2):
+        gained = t * fraction_at(c[:order], t)
+        steps = np.diff(gained)
+        if np.isfinite(gained).all() and (steps >= 0).all() and (np.diff(steps) <= 1e-9 * max(gained[-1], 1)).all():
+            return c[:order]
+    return np.zeros(0)
+
+
+def expected_distinct(counts: dict[int, int], ratios: np.ndarray) -> np.ndarray:
+    """Distinct molecules expected at multiples of the reads, from how many have 1, 2, ... reads.
+
+    Below the present reads by thinning, exactly; beyond, the alternating series is taken as a continued fraction of the
+    highest order that is stable over all that is asked for; without one nothing is gained.
+    """
+    ratios = np.asarray(ratios, float)
+    seen = float(sum(counts.values()))
+    k, n = np.array(list(counts), float), np.array(list(counts.values()), float)
+    fewer = (n * (1 - (1 - np.minimum(ratios, 1.0))[:, None] ** k)).sum(axis=1) if len(k) else np.zeros(len(ratios))
+    c = stable_fraction(counts, max(REACH, float(ratios.max(initial=1.0))))
+    t = np.maximum(ratios - 1, 0)
+    return np.where(ratios <= 1, fewer, seen + (t * fraction_at(c, t) if c.size else 0.0))
+
+
+def distinct_range(counts: dict[int, int], ratios: np.ndarray, level: float = 0.95, draws: int = 100, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """Lower and upper ends of the share `level` of estimates from resampled molecules; a draw without a stable fraction is drawn anew
+    (up to ten times as many)."""
+    rnd = np.random.default_rng(seed)
+    k, n = list(counts), np.array(list(counts.values()), float)
+    found = []
+    for _ in range(10 * draws):
+        if len(found) == draws or not len(k):
+            break
+        again = {x: int(m) for x, m in zip(k, rnd.multinomial(int(n.sum()), n / n.sum()), strict=True) if m}
+        if stable_fraction(again, max(REACH, float(np.max(ratios, initial=1.0)))).size:
+            found.append(expected_distinct(again, ratios))
+    if not found:
+        alone = expected_distinct(counts, ratios)
+        return alone, alone
+    return tuple(np.quantile(np.array(found), x, axis=0) for x in ((1 - level) / 2, (1 + level) / 2))
+
+
+def spread(x: np.ndarray) -> np.ndarray:
+    """Median absolute deviation of the columns, times 1.4826."""
+    return 1.4826 * np.median(np.abs(x - np.median(x, axis=0)), axis=0)
+
+
+#: Rounds of the search for a direction, angles tried in each, and loadings that are taken for 0.
+CYCLES, ANGLES, NOTHING = 10, 24, 0.02
+
+
+def sparse_components(data: np.ndarray, penalty: float = 0.3) -> tuple[np.ndarray, np.ndarray]:
+    """(directions as columns, their spreads), by projection pursuit: each direction maximises the robust spread of the data along
+    it, less a penalty on the sum of its loadings, among those orthogonal to what earlier ones explain.
+
+    A direction starts as the feature of the largest spread and is turned towards one feature at a time, by angles on a
+    grid that halves each round. Less than half of the rows, however far out, hardly move the spread.
+    """
+    x = data - np.median(data, axis=0)
+    whole = float(spread(x).max(initial=0.0))
+    found, sizes = [], []
+
+    def worth(a: np.ndarray) -> np.ndarray:
+        """Of each column of directions."""
+        return spread(x @ a) - penalty * whole * (np.abs(a).sum(axis=0) - 1) / max(1.0, math.sqrt(len(a)) - 1)
+
+    for _ in range(data.shape[1]):
+        order = np.argsort(-spread(x), kind="stable")
+        a = np.zeros(data.shape[1])
+        a[order[0]] = 1.0
+        best = worth(a[:, None])[0]
+        for cycle in range(CYCLES):
+            for j in order.tolist():
+                angles = np.linspace(-np.pi / 2, np.pi / 2, ANGLES + 1) / 2**cycle
+                turned = a[:, None] * np.cos(angles)
+                turned[j] += np.sin(angles)
+                size = np.linalg.norm(turned, axis=0)
+                turned = turned[:, size > 1e-9] / size[size > 1e-9]
+                values = worth(turned)
+                if values.max() > best + 1e-12:
+                    best, a = values.max(), turned[:, values.argmax()]
+        a = np.where(np.abs(a) < NOTHING, 0.0, a)
+        a /= np.linalg.norm(a)
+        found.append(a), sizes.append(float(spread(x @ a[:, None])[0]))
+        x = x - np.outer(x @ a, a)
+    return np.array(found).T, np.array(sizes)

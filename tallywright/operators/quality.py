@@ -165,26 +165,37 @@ def tail_shares(counts: DataFrame, least: float = 5e-4) -> DataFrame:
 EXPLAINED, MOST_PCS, LOADING = 0.98, 3, 0.075
 
 
-def principal_components(rows: DataFrame, columns: list[str]) -> tuple[np.ndarray, list[str]]:
-    """(weights by column and component, used features), from moments that Spark sums."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    found = rows.agg(*[F.covar_samp(a, b).alias(f"{a}__{b}") for a, b in pairs]).first()
-    cov = np.zeros((len(columns), len(columns)))
-    for a, b in pairs:
-        i, j = columns.index(a), columns.index(b)
-        cov[i, j] = cov[j, i] = found[f"{a}__{b}"] or 0.0
-    values, vectors = np.linalg.eigh(cov)
-    order = np.argsort(values)[::-1]
-    values, vectors = np.maximum(values[order], 0), vectors[:, order]
+#: Cells that components are fitted to at most: those of the least hashes of their barcodes.
+FITTED = 5_000
+
+
+def principal_components(rows: DataFrame, columns: list[str], robust: bool = False) -> tuple[np.ndarray, list[str]]:
+    """(weights by column and component, used features). robust: sparse components of the greatest robust spread, fitted to at
+    most FITTED cells; else the classical ones, from moments that Spark sums over all cells."""
+    if robust:
+        sample = rows.select(*columns, "cb").orderBy(F.xxhash64("cb"), "cb").limit(FITTED).select(*columns).toPandas()
+        vectors, sizes = st.sparse_components(sample.to_numpy(float))
+        order = np.argsort(-sizes, kind="stable")
+        vectors, values = vectors[:, order], sizes[order] ** 2
+    else:
+        pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
+        found = rows.agg(*[F.covar_samp(a, b).alias(f"{a}__{b}") for a, b in pairs]).first()
+        cov = np.zeros((len(columns), len(columns)))
+        for a, b in pairs:
+            i, j = columns.index(a), columns.index(b)
+            cov[i, j] = cov[j, i] = found[f"{a}__{b}"] or 0.0
+        values, vectors = np.linalg.eigh(cov)
+        order = np.argsort(values)[::-1]
+        values, vectors = np.maximum(values[order], 0), vectors[:, order]
     share = np.cumsum(values) / max(values.sum(), 1e-300)
     n = min(int(np.searchsorted(share, EXPLAINED) + 1), MOST_PCS, len(columns))
     loads = np.abs(vectors) / np.maximum(np.abs(vectors).sum(axis=0), 1e-300)
     return vectors[:, :n], [c for c, row in zip(columns, loads[:, :n], strict=True) if (row > LOADING).any()]
 
 
-def score_cells(rows: DataFrame, sizes: DataFrame, columns: list[str], number: dict[str, int] | None = None, flags: list[str] | None = None, most: int = 2000) -> DataFrame:
+def score_cells(rows: DataFrame, sizes: DataFrame, columns: list[str], number: dict[str, int] | None = None, flags: list[str] | None = None, most: int = 2000, robust: bool = False) -> DataFrame:
     """cb, score: probability of high quality by Gaussian kernel densities of the High and Low cells in the space of the
-    principal components. Cells that are outliers in a flagged feature are Low ones where the components use it, else
+    principal components (robust: sparse ones that outliers do not turn). Cells that are outliers in a flagged feature are Low ones where the components use it, else
     they get the least score.
 
     Training sets are the `most` largest High cells and at most 1.5 times as many Low ones, the largest; that bounds
@@ -193,7 +204,7 @@ def score_cells(rows: DataFrame, sizes: DataFrame, columns: list[str], number: d
     rows = stored(rows)
     ready = scaled(rows, columns)
     live = [c for c in columns if c in ready.columns]
-    weights, used = principal_components(ready, live)
+    weights, used = principal_components(ready, live, robust)
     names = [f"pc{i}" for i in range(weights.shape[1])]
     made = [reduce(lambda a, b: a + b, [F.col(c) * float(w) for c, w in zip(live, weights[:, i], strict=True)]).alias(name) for i, name in enumerate(names)]
     space = scaled(ready.select("cb", *made), names, drop_constant=False)
@@ -225,11 +236,13 @@ def score_cells(rows: DataFrame, sizes: DataFrame, columns: list[str], number: d
 
 
 def saturation(info: DataFrame, sizes: DataFrame, steps: int = 100, most: float = 10.0, top: int = 1000) -> pd.DataFrame:
-    """ratio, depth, estimates: distinct molecules expected at multiples of the present reads, for the largest cells."""
+    """ratio, depth, estimates, lower, upper: distinct molecules expected at multiples of the present reads, for the largest cells,
+    and the range of 95 % of estimates from resampled molecules."""
     cells = sizes.orderBy(F.desc("n_umis"), "cb").limit(top).select("cb")
     rows = info.join(F.broadcast(cells), "cb", "left_semi")  # at most `top` barcodes
     rows = rows.groupBy("reads").agg(F.count("*").alias("n")).collect()
     counts = {int(r["reads"]): int(r["n"]) for r in rows}
     reads = sum(k * n for k, n in counts.items())
     ratios = np.linspace(0, most, steps)
-    return pd.DataFrame({"ratio": ratios, "depth": ratios * reads, "estimates": [st.good_toulmin(counts, r) for r in ratios]})
+    lower, upper = st.distinct_range(counts, ratios)
+    return pd.DataFrame({"ratio": ratios, "depth": ratios * reads, "estimates": st.expected_distinct(counts, ratios), "lower": lower, "upper": upper})
