@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -30,10 +32,37 @@ def shared_folder(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+#: The scopes that are open in this process, innermost last: the folders written in each.
+SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Removes, at its end, the folders that operators have written to the shared one within it. Results that are still to be read
+    must have been written elsewhere by then."""
+    written: list[str] = []
+    SCOPES.append(written)
+    try:
+        yield
+    finally:
+        SCOPES[:] = [s for s in SCOPES if s is not written]
+        for path in written:
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def fresh(spark: SparkSession) -> str:
+    """A new folder's path in the shared one; the innermost scope removes it."""
+    path = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
+    if SCOPES:
+        SCOPES[-1].append(path)
+    return path
+
+
 def stored(rows: DataFrame) -> DataFrame:
     """A table written to the shared folder and read back, so that later steps neither repeat nor recompute it."""
     spark = rows.sparkSession
-    path = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
+    path = fresh(spark)
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 

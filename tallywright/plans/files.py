@@ -2,23 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywright.operators import identifiers, results, tagging
-from tallywright.operators.tables import shared_folder, stored
+from tallywright.operators.tables import fresh, stored
 from tallywright.sources import annotation, bam, fastq, lock_step
 
 from . import derived as d
 from .catalog import CLOSED_SQL, event_mols, merge_closure, query
 
 
-def fresh(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
-
-
 def files(spark: SparkSession, path: str) -> list[str]:
     """Data files of a folder, in order of their names (which number the parts)."""
     return sorted(r["path"] for r in spark.read.format("binaryFile").load(path).select("path").collect())

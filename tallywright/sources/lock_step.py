@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import uuid
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -17,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from tallywright.operators.tables import shared_folder
+from tallywright.operators.tables import fresh
 
 from .bam import block_size, blocks, first_block, located, opened
 from .bam_writer import qualified
@@ -224,7 +223,7 @@ def read_lock_step(spark: SparkSession, paths: list[str] | list[list[str]], spli
     if len({len(run) for run in runs}) > 1:
         raise ValueError("runs differ in their numbers of files")
     named = [[qualified(spark, p) for p in run] for run in runs]
-    folder = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
+    folder = fresh(spark)
     write_index(spark, [p for run in named for p in run], split, folder)
     spark.dataSource.register(LockStep)
     return spark.read.format(LockStep.name()).option("files", json.dumps(named)).option("index", folder).load()

@@ -286,3 +286,22 @@ def test_order_statistics(spark):
     found = {r["umi"]: (r["p"], int(r["times"])) for r in mo_.implicit_umi_distribution(long_, 16, 1.0).collect()}
     assert len(found) == 4 and found[None][1] == 4**16 - 3 and found["ACGTACGTACGTACGT"][0] == pytest.approx(6 / (4 + 4.0 * 4**16))
     assert sum(p * n for p, n in found.values()) == pytest.approx(1)
+
+
+def test_a_scope_removes_what_was_written_in_it(spark, tmp_path):
+    import os
+
+    from tallywright.operators import tables
+
+    paths = lambda df: {os.path.dirname(f.removeprefix("file:").replace("//", "/")) for f in df.inputFiles()}
+    outside = paths(tables.stored(spark.range(3)))
+    with tables.scope(spark):
+        inner = paths(tables.stored(spark.range(4)))
+        with tables.scope(spark):
+            innermost = paths(tables.stored(spark.range(5)))
+        assert not any(map(os.path.exists, innermost)) and all(map(os.path.exists, inner))
+    assert not any(map(os.path.exists, inner)) and all(map(os.path.exists, outside))
+    with pytest.raises(ZeroDivisionError), tables.scope(spark):
+        inner = paths(tables.stored(spark.range(4)))
+        1 / 0
+    assert not any(map(os.path.exists, inner)) and tables.SCOPES == []

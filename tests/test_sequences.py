@@ -8,6 +8,7 @@ from tallywright.functions import sequences as s
 from tallywright.functions import statistics as st
 from tallywright.operators import layouts, tagging
 
+# The sequences, read ids and barcodes below and what is expected of them are known cases, stated as they are.
 SPACER = "GAGTGATTGCTTGTGACGCCTT"
 V1 = layouts.Layout(barcode1=8, barcode1_longest=11, barcode2=8, umi=6, tail=8, spacer=SPACER, max_spacer_edits=3, spacer_search=5)
 
