@@ -363,9 +363,10 @@ def verified_classes(prints: DataFrame, rows: DataFrame, id_: str, text: str, ra
     doubt = doubt.withColumns({"root_a": F.coalesce("root_a", "a"), "root_b": F.coalesce("root_b", "b")}).filter("root_a != root_b")
     doubt = doubt.groupBy(F.least("root_a", "root_b").alias("x"), F.greatest("root_a", "root_b").alias("y")).agg(F.min(F.struct("bits", "a", "b")).alias("e"))
     doubt = materialize(doubt.select("x", "y", "e.a", "e.b"), "simhash-doubt")
-    asked = doubt.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
+    asked = materialize(doubt.select(F.explode(F.array("a", "b")).alias("fp")).distinct(), "simhash-asked")
     place = F.struct(F.col("id").isNull(), "id", "th")
-    asked = materialize(prints.join(asked, "fp").groupBy("fp").agg(F.min(place).alias("k")).select("fp", F.col("k.id").alias("asked_id"), F.col("k.th").alias("asked_th")), "simhash-asked")
+    # of a fingerprint that many rows have, partial aggregates are dealt out where few are asked for
+    asked = materialize(prints.join(broadcast_if(asked, MOST_ASKED), "fp").groupBy("fp").agg(F.min(place).alias("k")).select("fp", F.col("k.id").alias("asked_id"), F.col("k.th").alias("asked_th")), "simhash-named")
     same = F.col(id_).eqNullSafe(F.col("asked_id")) & (F.xxhash64(text) == F.col("asked_th"))
     texts = materialize(rows.join(broadcast_if(asked, MOST_ASKED), same).select("fp", F.col(text).alias("text")).dropDuplicates(["fp"]), "simhash-texts")
     near = doubt.join(alike(doubt, texts, shingle, least), ["a", "b"])
