@@ -13,12 +13,12 @@ SHINGLE = 5
 MAX_BROADCAST_ROWS = 1_000_000
 
 
-def shingle_hashes(text: Column) -> Column:
-    """Hash of the five lower-cased words that start at each word; none for texts of fewer words."""
+def shingle_hashes(text: Column, size: int = SHINGLE) -> Column:
+    """Hash of the `size` lower-cased words that start at each word; none for texts of fewer words."""
 
     def starts(found: Column) -> Column:
-        full = F.slice(found, F.lit(1), F.greatest(F.size(found) - (SHINGLE - 1), F.lit(0)))
-        return F.transform(full, lambda x, i: F.xxhash64(x, *[F.get(found, i + k) for k in range(1, SHINGLE)]))
+        full = F.slice(found, F.lit(1), F.greatest(F.size(found) - (size - 1), F.lit(0)))
+        return F.transform(full, lambda x, i: F.xxhash64(x, *[F.get(found, i + k) for k in range(1, size)]))
 
     return F.element_at(F.transform(F.array(words(F.lower(text))), starts), 1)
 
@@ -49,6 +49,34 @@ def promising(least: float) -> Column:
     return F.when(F.size("at") >= need, F.filter(runs, lambda r: r["first"] <= r["last"]))
 
 
+def short_leaks(source: DataFrame, items: DataFrame) -> DataFrame:
+    """leaks() for items(item_id, text) of fewer than five words in source(id, text).
+
+    Such an item is one shingle, its whole sequence, and so is each window of its size. The fingerprint of one shingle is
+    its hash and the similarity of two is 1 or 0, so only equal fingerprints can pass: an equi-join. Only the sizes that
+    occur, four at most, are looked for; without such items no text is read.
+    """
+    counted = items.select("item_id", "text", F.size(words(F.col("text"))).alias("len"))
+    counted = counted.filter(F.col("len").between(1, SHINGLE - 1))
+    sizes = sorted(r["len"] for r in counted.select("len").distinct().collect())  # at most SHINGLE - 1 of them
+    whole = [F.when(F.col("len") == k, F.get(shingle_hashes(F.col("text"), k), 0)) for k in sizes]
+    named = counted.select("item_id", "len", F.coalesce(F.lit(None).cast("long"), *whole).alias("h")).distinct()
+    named = materialize(named, "short-items")
+
+    def grams(size: int) -> Column:
+        return F.transform(shingle_hashes(F.col("text"), size), lambda h, i: F.struct(F.lit(size).alias("len"), h.alias("h"), i.alias("start")))
+
+    none = F.array().cast("array<struct<len:int,h:bigint,start:int>>")
+    seen = source.limit(0) if not sizes else source
+    seen = seen.select("id", F.xxhash64("text").alias("th"), F.explode(F.concat(none, *map(grams, sizes))).alias("g")).select("id", "th", "g.*")
+    # a frequent item is one row a text before it is named by all items that are equal
+    first = seen.join(broadcast_if(named.select("len", "h").distinct(), MAX_BROADCAST_ROWS), ["len", "h"], "left_semi").groupBy("id", "th", "len", "h").agg(F.min("start").alias("start"))
+    met = first.join(named, ["len", "h"])
+    return met.select(
+        F.col("id").alias("doc_id"), "th", "item_id", F.col("start").cast("long").alias("start"), F.col("len").cast("long").alias("n_words"), F.lit(1.0).alias("similarity")
+    )
+
+
 def leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -69,8 +97,8 @@ def leaks(
     distance is 9.7 bits and 20 is 3.6 standard deviations above it. Of equal windows the earliest is taken.
 
     th is the text's hash: rows that repeat an id with other texts are judged apart, equal rows give one result. Null
-    and empty texts, and items of fewer than five words (or null), have no shingle and leak nothing. Windows at a
-    document's ends are moved inside it. Empty tables give no rows.
+    and empty texts and items leak nothing. An item of fewer than five words is one shingle, its whole sequence: it leaks
+    where these words stand in a row. Windows at a document's ends are moved inside it. Empty tables give no rows.
     """
     # null ids are kept: groups hold them together, joins compare null-safe
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(F.col("text").isNotNull())
@@ -111,7 +139,7 @@ def leaks(
     judged = shared.join(lengths, on).withColumn("similarity", F.col("both") / (F.col("own") + F.col("len") - F.col("both")))
     best = judged.filter(F.col("similarity") >= least).groupBy("id", "th", "item").agg(F.max(F.struct("similarity", -F.col("start"), "len")).alias("best"))
     named = best.join(items.select("item", F.explode("item_ids").alias("item_id")), "item")
-    return named.select(
+    of_five = named.select(
         F.col("id").alias("doc_id"),
         "th",
         "item_id",
@@ -119,6 +147,7 @@ def leaks(
         (F.col("best.len") + (SHINGLE - 1)).cast("long").alias("n_words"),
         F.col("best.similarity").alias("similarity"),
     )
+    return of_five.unionByName(short_leaks(source, benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text"))))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **more) -> DataFrame:

@@ -50,10 +50,18 @@ held as (
   select doc_id, item_id, start, h, any_value(n) as n, any_value(least(n, total)) as own, least(count(*), any_value(times)) as both_
   from win join met using (doc_id, item_id) where pos >= start and pos < start + n group by doc_id, item_id, start, h),
 sim as (
-  select doc_id, item_id, start, n, sum(both_)::double / (own + n - sum(both_))::double as similarity from held group by doc_id, item_id, start, n, own)
-select doc_id, item_id, start::bigint as start, (n + 4)::bigint as n_words, round(similarity, 9) as similarity
-from sim where similarity >= 0.8
-qualify row_number() over (partition by doc_id, item_id order by similarity desc, start) = 1
+  select doc_id, item_id, start, n, sum(both_)::double / (own + n - sum(both_))::double as similarity from held group by doc_id, item_id, start, n, own),
+best as (
+  select doc_id, item_id, start::bigint as start, (n + 4)::bigint as n_words, round(similarity, 9) as similarity
+  from sim where similarity >= 0.8
+  qualify row_number() over (partition by doc_id, item_id order by similarity desc, start) = 1),
+short as (select distinct item_id, len(w) as n, array_to_string(w, ' ') as h from iw where len(w) between 1 and 4),
+sized as (select doc_id, k, w, unnest(range(1, len(w) - k + 2)) as pos from dw join (select distinct n as k from short) on len(w) >= k),
+grams as (select doc_id, k as n, pos - 1 as start, array_to_string(w[pos:pos+k-1], ' ') as h from sized)
+select * from best
+union all
+select doc_id, item_id, min(start)::bigint as start, n::bigint as n_words, 1.0::double as similarity
+from grams join short using (n, h) group by doc_id, item_id, n
 """
 
 

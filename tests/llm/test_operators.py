@@ -313,6 +313,23 @@ def edited(rows):
     return out
 
 
+def prints_of(rows):
+    """Brute force: text -> SimHash of its three-word terms (fewer at the end), by Spark's chained XXH64 with seed 42."""
+
+    def hashed(term):
+        h = 42
+        for w in term:
+            h = xxhash.xxh64_intdigest(w.encode(), h)
+        return h
+
+    found = {}
+    for text in {r[1] or "" for r in rows} | set(edited(rows).values()):
+        w = split(text.lower())
+        hs = [hashed(w[i : i + 3]) for i in range(len(w))]
+        found[text] = sum(1 << b for b in range(64) if 2 * sum((h >> b) & 1 for h in hs) > len(hs))
+    return found
+
+
 def test_fingerprints(docs, none):
     rows, texts = corpus(), edited(corpus())
     found = fingerprints.edited_prints(docs).collect()
@@ -324,6 +341,11 @@ def test_fingerprints(docs, none):
         assert by_text.setdefault(text, r["fp"]) == r["fp"]
         assert 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
     assert by_text[""] == 0
+    own, keyed = prints_of(rows), sorted({(r[0] is not None, r[0] or 0, r[1] or "") for r in rows}, key=lambda k: k[:2])
+    like = lambda a, b: 1 - (a ^ b).bit_count() / 64
+    likes = {k: (own[k[2]], like(own[k[2]], own[texts[k]]), like(own[k[2]], own[keyed[(i + 1) % len(keyed)][2]])) for i, k in enumerate(keyed)}
+    want = Counter((r[0], *likes[r[0] is not None, r[0] or 0, r[1] or ""]) for r in rows)
+    assert Counter((r["doc_id"], r["fp"] & (2**64 - 1), r["near_edited"], r["near_next"]) for r in found) == want
     docs_of = Counter({(r["doc_id"], by_text[next(x[1] or "" for x in rows if x[0] == r["doc_id"])]) for r in found})
     for r in fingerprints.edited_prints(docs, every=6).collect():
         asked = r["doc_id"] is not None and r["doc_id"] % 6 == 0
@@ -357,7 +379,7 @@ def test_block_tables_find_all_within_the_radius(spark):
 def test_leaks(spark, docs, none):
     rows = corpus()
     item = " ".join(rows[8][1].split()[35:55])  # inside the shared passage
-    items = spark.createDataFrame([(1, item, 9), (2, item, 9), (3, None, 9), (4, "too few words", 9), (5, " ".join(f"w{i}" for i in range(20)), 9)], "item_id long, text string, doc_id int")
+    items = spark.createDataFrame([(1, item, 9), (2, item, 9), (3, None, 9), (4, "no such words", 9), (5, " ".join(f"w{i}" for i in range(20)), 9)], "item_id long, text string, doc_id int")
     found = decontaminate.leaks(docs, items).collect()
     holders = {r[0] for r in rows if r[1] and item in " ".join(r[1].split())}
     assert {(r["doc_id"], r["item_id"]) for r in found} == {(d, i) for d in holders for i in (1, 2)}
@@ -401,6 +423,44 @@ def test_leaks_wherever_the_parts_of_an_item_stand(spark):
     assert all(r["start"] in want[r["doc_id"], r["item_id"]][1] for r in found)
 
 
+SHORT_TEXTS = [(0, "How do I x"), (1, "x how\tDO  i how do i"), (2, "how do"), (3, None), (4, ""), (5, "i how"), (6, "a b c d e f"), (7, "b c"), (7, "c b"), (None, "how do i"), (8, "c " * 5000 + "b c")]
+SHORT_ITEMS = [(1, "how do I"), (2, "HOW do i"), (2, "how do i"), (3, "b c"), (4, "c"), (5, None), (6, " "), (7, "a b c d"), (8, "a b c d e"), (None, "d e f")]
+
+
+def test_leaks_of_short_items(spark, none):
+    docs = spark.createDataFrame(SHORT_TEXTS + SHORT_TEXTS[:2], "doc_id long, text string").repartition(3)
+    items = spark.createDataFrame(SHORT_ITEMS, "item_id long, text string")
+    want = set()
+    for d, text in SHORT_TEXTS:
+        w = split((text or "").lower())
+        for i, item in SHORT_ITEMS:
+            k = split((item or "").lower())
+            at = [a for a in range(len(w) - len(k) + 1) if k and w[a : a + len(k)] == k]
+            want |= {(d, text, i, at[0], len(k), 1.0)} if at else set()
+    hashes = {r["th"]: r["text"] for r in docs.selectExpr("xxhash64(text) as th", "text").collect()}
+    found = decontaminate.leaks(docs, items).collect()
+    assert len(found) == len(want)
+    assert {(r["doc_id"], hashes[r["th"]], r["item_id"], r["start"], r["n_words"], r["similarity"]) for r in found} == want
+    assert decontaminate.clean(docs, items.filter("item_id = 1")).count() == docs.filter("doc_id not in (0, 1)").count()
+    assert decontaminate.leaks(none, items).count() == 0
+
+
+def test_sql_of_leaks_holds_for_short_items(spark, tmp_path):
+    import duckdb
+
+    from tallywright.llm import queries
+
+    rows = [r for r in SHORT_TEXTS if r[0] != 7]  # the query keeps texts of one id apart, SQL does not name them
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(SHORT_ITEMS, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = queries.op3_decontaminate(spark, str(tmp_path))
+    duck = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        duck.execute(f"create view {name} as select * from '{tmp_path}/{name}.parquet/*.parquet'")
+    want = duck.execute(queries.OP3_SQL)
+    assert Counter(map(tuple, got.select(*[c[0] for c in want.description]).collect())) == Counter(want.fetchall())
+
+
 def base_spans(text):
     found = []
     for k, (kind, pattern, group, least) in enumerate(
