@@ -9,7 +9,7 @@ from collections import Counter
 import pytest
 import xxhash
 
-from tallywright.llm import chat, decontaminate, fingerprints, html_text, language, mixing, phrase_dedup, secrets, simhash_dedup, suffix_dedup
+from tallywright.llm import chat, decontaminate, doubling, fingerprints, html_text, language, mixing, phrase_dedup, secrets, simhash_dedup, suffix_dedup
 
 WORDS = [a + b for a in ("ba", "ce", "di", "fo", "gu", "ha", "je", "ki") for b in ("lt", "mn", "pr", "qs", "tv", "wx", "yz", "rs")]
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, hash string, h long, fp long, rank int, th long, id long, target string"
@@ -94,6 +94,14 @@ def test_repeated_strings(docs, none, limits):
     assert suffix_dedup.remove_repeats(none).count() == 0
 
 
+@pytest.mark.parametrize("first, piece", [(64, 1 << 20), (64, 100), (8, 1 << 20), (200, 1 << 20)])
+def test_repeated_strings_by_prefix_doubling(docs, none, first, piece, monkeypatch):
+    monkeypatch.setattr(doubling, "PIECE", piece)
+    got = Counter((r["id"], r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in doubling.remove_repeats(docs, first=first).collect())
+    assert got == expected_strings(corpus())
+    assert doubling.remove_repeats(none).count() == 0
+
+
 def expected_fingerprint(text):
     w = split("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
     shingles = [" ".join(w[i : i + 4]) for i in range(len(w) - 3)] or ([" ".join(w)] if w else [])
