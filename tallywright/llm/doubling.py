@@ -14,6 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -44,27 +45,57 @@ def first_pairs(texts: DataFrame, length: int, window: int) -> DataFrame:
     return texts.select("doc", "raw", "many").mapInArrow(run, COLUMNS)
 
 
+def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted COLUMNS of a range -> + part, local: number of the pair in the range, twice: the range has the pair again.
+
+    Of the rows whose pair the range has once only the first and the last are needed, for what is shared with its neighbours.
+    """
+    part, local, held = TaskContext.get().partitionId(), 0, None
+
+    def done(batch: pa.RecordBatch, number: np.ndarray, twice: np.ndarray, last: bool) -> pa.RecordBatch:
+        keep = twice | batch.column(2).to_numpy(zero_copy_only=False)
+        keep[0] |= number[0] == 1
+        keep[-1] |= last
+        more = [pa.repeat(pa.scalar(part, pa.int32()), len(number)), pa.array(number), pa.array(twice)]
+        return pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, "part", "local", "twice"]).filter(pa.array(keep))
+
+    end = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        a, b = batch.column(3).to_numpy(), batch.column(4).to_numpy()
+        again = np.zeros(len(a), bool)
+        again[1:] = (a[1:] == a[:-1]) & (b[1:] == b[:-1])
+        again[0] = end == (a[0], b[0])
+        number = local + np.cumsum(~again)
+        twice = again.copy()
+        twice[:-1] |= again[1:]
+        if held is not None:
+            held[2][-1] |= again[0]
+            yield done(*held, last=False)
+        held, local, end = (batch, number, twice), int(number[-1]), (a[-1], b[-1])
+    if held is not None:
+        yield done(*held, last=True)
+
+
 def reranked(pairs: DataFrame) -> DataFrame:
     """COLUMNS -> doc, pos, many, rank: one rank for each pair (a, b), in their order, without those that occur once.
 
     A pair of any number of rows is dealt over ranges like the others; what neighbouring ranges share is seen from one row a range.
     """
-    dealt = materialize(pairs.repartitionByRange("a", "b", "doc", "pos").withColumn("part", F.spark_partition_id()), "pairs")
-    inside = W.partitionBy("part").orderBy("a", "b", "doc", "pos")
+    order = ["a", "b", "doc", "pos"]
     pair = F.struct("a", "b")
-    before, after = F.lag(pair).over(inside), F.lead(pair).over(inside)
-    marked = dealt.withColumns({"again": F.coalesce(before == pair, F.lit(False)), "goes_on": F.coalesce(after == pair, F.lit(False))})
-    local = F.sum(F.when(F.col("again"), 0).otherwise(1)).over(inside.rowsBetween(W.unboundedPreceding, W.currentRow))
-    ranks = marked.withColumn("local", local)
-
-    ranges = dealt.groupBy("part").agg(F.min(pair).alias("low"), F.max(pair).alias("high"), F.count_distinct("a", "b").alias("n"))
+    dealt = pairs.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(numbered, f"{COLUMNS}, part int, local bigint, twice boolean")
+    dealt = materialize(dealt, "pairs")
+    ranges = dealt.groupBy("part").agg(F.min(pair).alias("low"), F.max(pair).alias("high"), F.max("local").alias("n"))
     by_part = W.orderBy("part")  # one row a range
     ranges = ranges.withColumns({"ahead": F.lag("high").over(by_part), "behind": F.lead("low").over(by_part)})
     ranges = ranges.withColumn("joined", F.when(F.col("ahead") == F.col("low"), 1).otherwise(0))
     earlier = F.coalesce(F.sum(F.col("n") - F.col("joined")).over(by_part.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     ranges = materialize(ranges.select("part", "ahead", "behind", (earlier - F.col("joined")).alias("offset")), "ranges")
-    found = ranks.join(F.broadcast(ranges), "part")  # one row a range: bounded by the number of partitions
-    recurs = F.col("many") | F.col("again") | F.col("goes_on") | F.coalesce(F.col("ahead") == pair, F.lit(False)) | F.coalesce(F.col("behind") == pair, F.lit(False))
+    found = dealt.join(F.broadcast(ranges), "part")  # one row a range: bounded by the number of partitions
+    shared = [F.coalesce(F.col(side) == pair, F.lit(False)) for side in ("ahead", "behind")]
+    recurs = F.col("many") | F.col("twice") | shared[0] | shared[1]
     return materialize(found.filter(recurs).select("doc", "pos", "many", (F.col("offset") + F.col("local")).alias("rank")), "ranks")
 
 

@@ -1,6 +1,6 @@
 """Removal of byte strings that occur twice or more: positions sampled by content, told apart by digests of their contexts.
 
-This is not prefix doubling, whose pairs of ranks of all positions exceed the disk allowed; README gives the figures.
+This is not prefix doubling: `doubling` is, gives the same rows and exceeds the disk allowed; README has its figures.
 """
 
 from __future__ import annotations

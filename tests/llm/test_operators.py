@@ -95,7 +95,17 @@ def test_repeated_strings(docs, none, limits):
 
 
 @pytest.mark.parametrize("first, piece", [(64, 1 << 20), (64, 100), (8, 1 << 20), (200, 1 << 20)])
-def test_repeated_strings_by_prefix_doubling(docs, none, first, piece, monkeypatch):
+def test_repeated_strings_by_prefix_doubling(spark, docs, none, first, piece, monkeypatch):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")  # pairs that go on over batches
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # and over ranges
+    try:
+        prefix_doubling(docs, none, first, piece, monkeypatch)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def prefix_doubling(docs, none, first, piece, monkeypatch):
     monkeypatch.setattr(doubling, "PIECE", piece)
     got = Counter((r["id"], r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in doubling.remove_repeats(docs, first=first).collect())
     assert got == expected_strings(corpus())
