@@ -20,6 +20,7 @@ from tallywright.functions.sequences import BASES, neighbours
 
 from . import pairs as pr
 from .identifiers import GROUP, KEY, adjacent, classic_filter, neighbour_counts
+from .tables import stored
 
 
 @dataclass(frozen=True)
@@ -86,27 +87,38 @@ def collisions(molecules: DataFrame, length: int, largest: int, smooth: float =
 
 def error_share(molecules: DataFrame, most: int = 4) -> float:
     """Share of reads that are errors, from genes of up to `most` identifiers one of which is next to all others and has
-    the most reads; a gene of one identifier has none."""
+    the most reads; a gene of one identifier has none. Where no gene is such a star, identifiers next to one of more reads are the errors."""
     small = molecules.groupBy(*GROUP).agg(F.count("*").alias("n")).filter(F.col("n") <= most).select(*GROUP)
     molecules = molecules.join(small, GROUP, "left_semi")
     rows = neighbour_counts(molecules).select(*KEY, "total").join(molecules.select(*KEY, "reads"), KEY)
     genes = rows.groupBy(*GROUP).agg(F.count("*").alias("n"), F.max("reads").alias("large"), F.sum("reads").alias("all"), F.collect_list(F.struct("reads", "total")).alias("each"))
     centre = F.exists("each", lambda x: (x["reads"] == F.col("large")) & (x["total"] == F.col("n") - 1))
     sums = genes.filter(centre).agg(F.sum("large").alias("large"), F.sum("all").alias("all")).first()
-    return 1 - sums["large"] / sums["all"] if sums["all"] else 0.0
+    if sums["all"]:
+        return 1 - sums["large"] / sums["all"]
+    sums = rows.join(smaller_pairs(molecules).select(*GROUP, F.col("base").alias("umi"), F.lit(1).alias("_base")).distinct(), KEY, "left").agg(F.sum(F.col("reads") * F.col("_base")).alias("bad"), F.sum("reads").alias("all")).first()
+    return (sums["bad"] or 0) / sums["all"] if sums["all"] else 0.0
+
+
+def least_crowded(molecules: DataFrame) -> int | None:
+    """Identifiers of the smallest gene that holds adjacent ones, 2 at least; null where no gene does."""
+    sizes = molecules.groupBy(*GROUP).agg(F.count("*").alias("n"))
+    return sizes.join(adjacent(molecules).select(*GROUP).distinct(), GROUP, "left_semi").agg(F.min("n")).first()[0]
 
 
 def train(molecules: DataFrame, length: int, classes: int = 10, smooth: float = 10.0, quality_smooth: float = 0.01, worked_out: int = 2000) -> Model:
     """A model from sums in Spark. Genes of two adjacent identifiers give the qualities of errors, those of at most two the
-    qualities of all. Error numbers of up to `worked_out` reads are a table, those of more are worked out where they occur. No such
-    gene raises."""
+    qualities of all; where reads are so many that no gene has just two, the smallest ones with adjacent identifiers take their place.
+    Error numbers of up to `worked_out` reads are a table, those of more are worked out where they occur. No adjacent identifiers
+    at all raise."""
+    small = least_crowded(molecules)
+    if small is None:
+        raise ValueError("no adjacent identifiers to learn errors from")
     sizes = molecules.groupBy(*GROUP).agg(F.count("*").alias("n"))
-    few = molecules.join(sizes.filter("n <= 2").select(*GROUP), GROUP, "left_semi")
-    bad = smaller_pairs(few).select(F.col("quality").cast("int").alias("value"))
+    few = stored(molecules.join(sizes.filter(F.col("n") <= small).select(*GROUP), GROUP, "left_semi"))
+    bad = stored(smaller_pairs(few).select(F.col("quality").cast("int").alias("value")))
     every = few.select(F.explode(F.col("qual").cast("array<int>")).alias("value"))
     borders = tuple(sorted(float(r["border"]) for r in pr.quantile_borders(pr.mixed_distribution(bad, every, "value"), classes).collect()))
-    if not bad.head(1):
-        raise ValueError("no genes of two adjacent identifiers to learn errors from")
 
     def classed(rows: DataFrame) -> np.ndarray:
         counts = np.zeros(len(borders))
@@ -117,7 +129,7 @@ def train(molecules: DataFrame, length: int, classes: int = 10, smooth: float =
 
     top = molecules.agg(F.max("reads")).first()[0]
     largest = sizes.agg(F.max("n")).first()[0]
-    error = error_share(molecules)
+    error = error_share(molecules, max(4, small))
     errors = st.error_numbers(3 * length, min(worked_out, max(1, round(top * 1.5))), error)
     return Model(length, errors, borders, classed(bad), classed(every), collisions(molecules, length, largest + 1, smooth), error)
 
@@ -203,7 +215,7 @@ def kept_identifiers(model: Model, reads: dict[str, int], quality: dict[str, lis
 def bayesian_filter(molecules: DataFrame, model: Model, smooth: float = 10.0, classes: int = 50) -> DataFrame:
     """The molecules that are kept. Genes without adjacent identifiers need no Python; the others are small groups, as the
     identifiers of a gene in a cell are."""
-    crowded = smaller_pairs(molecules).select(*GROUP).distinct()
+    crowded = stored(smaller_pairs(molecules).select(*GROUP).distinct())
     probability = neighbour_classes(molecules, model.length, smooth, classes)
     rows = molecules.join(crowded, GROUP, "left_semi").select(*KEY, "reads", "qual").join(probability.select("umi", "p"), "umi")
 
@@ -220,13 +232,16 @@ def correct_identifiers(molecules: DataFrame, length: int, method: str = "bayesi
     """Corrected identifiers by the `bayesian` or the `classic` method.
 
     returns: `reads` the molecules that are kept; `umis` or `matrix` (cb, gene, n), their number for each gene of a cell,
-    by default adjusted for identifiers that collided.
+    by default adjusted for identifiers that collided. Without adjacent identifiers there is nothing to correct.
     """
     if method not in ("bayesian", "classic"):
         raise ValueError(f"unknown method: {method}")
     if returns not in ("matrix", "reads", "umis"):
         raise ValueError(f"unknown kind of result: {returns}")
-    if method == "bayesian":
+    molecules = stored(molecules)
+    if method == "bayesian" and least_crowded(molecules) is None:
+        kept, table = molecules, None
+    elif method == "bayesian":
         model = train(molecules, length, classes, smooth)
         kept, table = bayesian_filter(molecules, model, smooth), model.collisions
     else:
