@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import selection
 from .quality import ranked, size_histogram
+from .tables import stored
 
 
 def histogram(rows: DataFrame, column: str, bins: int = 50, log: bool = False, weight: str | None = None) -> DataFrame:
@@ -50,6 +51,7 @@ def reads_per_umi_by_size(cells: DataFrame) -> DataFrame:
 
 def fraction_threshold(rows: DataFrame, column: str) -> DataFrame:
     """One row: the median plus 4 median absolute deviations (times 1.4826)."""
+    rows = stored(rows.select(column))
     middle = selection.median(rows, column)
     found = None if middle is None else middle + 4 * selection.median_deviation(rows, column, middle)
     return rows.sparkSession.createDataFrame([(found,)], "threshold double")

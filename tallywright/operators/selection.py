@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .tables import stored
+
 #: Bins of a histogram, distinct values of a bin that are looked at one by one, and rounds before giving up.
 BINS, FEW, ROUNDS = 4096, 4096, 64
 
@@ -20,12 +22,18 @@ def at_rank(rows: DataFrame, x: str, rank: int) -> float:
     """The value of x (doubles, none null) at a rank from 0 in ascending order.
 
     A round counts values by equal bins between the least and the greatest that are left; as bins are ranges of values, only
-    those between the ends of the bin that holds the rank go on. The driver sees one row a bin.
+    those between the ends of the bin that holds the rank go on. The driver sees one row a bin. Each round reads the rows again,
+    so they should be stored ones.
     """
     for _ in range(ROUNDS):
-        ends = rows.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.min(scale(F.col(x))).alias("a"), F.max(scale(F.col(x))).alias("b")).first()
+        ends = rows.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.min(scale(F.col(x))).alias("a"), F.max(scale(F.col(x))).alias("b"), F.count("*").alias("n")).first()
         if ends["lo"] == ends["hi"]:
             return ends["lo"]
+        if ends["n"] <= FEW:
+            for step in rows.groupBy(x).agg(F.count("*").alias("n")).orderBy(x).collect():
+                if rank < step["n"]:
+                    return step[x]
+                rank -= step["n"]
         width = (ends["b"] - ends["a"]) / BINS
         if not width > 0 or math.isinf(width):  # too close for the scale to tell apart: bins of the values themselves
             coordinate, a, width = F.col(x) / 2, ends["lo"] / 2, (ends["hi"] / 2 - ends["lo"] / 2) / BINS
@@ -59,7 +67,7 @@ def values(rows: DataFrame, column: str | Column) -> DataFrame:
 
 def quantile(rows: DataFrame, column: str | Column, share: float) -> float | None:
     """The value at this share of the way from the least to the greatest, between neighbours in proportion; null where there are none."""
-    found = values(rows, column)
+    found = stored(values(rows, column))
     n = found.count()
     if n == 0:
         return None
@@ -81,7 +89,7 @@ def median_deviation(rows: DataFrame, column: str, middle: float) -> float | Non
 def trimmed_mean(rows: DataFrame, column: str, trim: float) -> float | None:
     """Mean of the values without the int(trim * n) least and as many greatest; values tied with the last that goes count for
     those that stay."""
-    found = values(rows, column)
+    found = stored(values(rows, column))
     n = found.count()
     if n == 0:
         return None
