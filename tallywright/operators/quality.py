@@ -118,6 +118,7 @@ def scaled(rows: DataFrame, columns: list[str], drop_constant: bool = True) -> D
 def high_outliers(rows: DataFrame, column: str, threshold: float | None = None, trim: float = 0.2) -> DataFrame:
     """rows with `outlier`: above the mean without the outer fifths plus 4 median absolute deviations (times 1.4826)."""
     if threshold is None:
+        rows = stored(rows)  # read five times and more
         mean, middle = selection.trimmed_mean(rows, column, trim), selection.median(rows, column)
         if mean is None:
             return rows.withColumn("outlier", F.lit(False))
