@@ -108,7 +108,8 @@ def features(counts: DataFrame, reads_per_umi: DataFrame, chromosomes: DataFrame
 
 
 def scaled(rows: DataFrame, columns: list[str], drop_constant: bool = True) -> DataFrame:
-    """Columns as (x - min) / (max - min); constant ones go, or become 0."""
+    """Columns as (x - min) / (max - min); constant ones go, or become 0. The rows are read twice, so they are stored."""
+    rows = stored(rows)
     spread = rows.agg(*[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("lo", F.min), ("hi", F.max))]).first()
     live = [c for c in columns if spread[f"hi_{c}"] is not None and spread[f"hi_{c}"] > spread[f"lo_{c}"]]
     made = {c: (F.col(c) - spread[f"lo_{c}"]) / (spread[f"hi_{c}"] - spread[f"lo_{c}"]) if c in live else F.lit(0.0) for c in (live if drop_constant else columns)}

@@ -11,6 +11,7 @@ from tallywright.functions import sequences as s
 from tallywright.functions import statistics as st
 from tallywright.operators import correction, identifiers, intervals, layouts, merging, pairs, quality, report, tagging
 from tallywright.operators import molecules as mo
+from tallywright.operators.tables import stored
 
 from . import derived as d
 
@@ -631,8 +632,8 @@ FEATURES = ["reads_per_umi", "umi_per_gene", "low_expressed_frac", "intergenic_f
 
 def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = d.reads(spark, sf_dir)
-    m = mo.molecules(r)
-    cells = mo.cells(m)
+    m = stored(mo.molecules(r))
+    cells = stored(mo.cells(m))
     real = mo.real_cells(cells)
     return quality.features(mo.count_matrix(m, real, level=None), mo.mean_reads_per_umi(cells), mo.reads_per_chromosome(r, real), mitochondrial="chr2")
 
