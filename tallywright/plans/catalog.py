@@ -676,8 +676,8 @@ def umis_per_gene_tail(spark, sf_dir):
 
 @query()
 def cell_scores(spark, sf_dir):
-    rows = feature_rows(spark, sf_dir)
-    sizes = mo.cells(mols(spark, sf_dir)).select("cb", "n_umis").join(rows.select("cb"), "cb", "left_semi")
+    rows = stored(feature_rows(spark, sf_dir))
+    sizes = stored(mo.cells(mols(spark, sf_dir)).select("cb", "n_umis").join(rows.select("cb"), "cb", "left_semi"))
     n = sizes.count()
     return quality.score_cells(rows, sizes, FEATURES, {"min": max(3, n // 3), "expected": n // 2, "max": max(4, 2 * n // 3)}, flags=["mito_frac"], robust=True)
 
