@@ -826,7 +826,7 @@ select (select quantile_cont(n_reads, 0.5)::double from cells) as median, (selec
 def order_statistics(spark, sf_dir):
     from tallywright.operators import selection as sel
 
-    cells = mo.cells(mols(spark, sf_dir))
+    cells = stored(mo.cells(mols(spark, sf_dir)))
     middle = sel.median(cells, "n_reads")
     found = (middle, round(sel.quantile(cells, "n_reads", 0.9), 9), round(sel.trimmed_mean(cells, "n_reads", 0.2), 6), round(sel.median_deviation(cells, "n_reads", middle), 9))
     return spark.createDataFrame([found], "median double, upper double, trimmed double, deviation double")
