@@ -513,14 +513,14 @@ def merge_all_targets(spark, sf_dir):
 
 @query()
 def poisson_merge_targets(spark, sf_dir):
-    m = event_mols(spark, sf_dir)
-    return merging.poisson_simple_targets(m, mo.cells(m), 3, 1e-3)
+    m = stored(event_mols(spark, sf_dir))
+    return merging.poisson_simple_targets(m, stored(mo.cells(m)), 3, 1e-3)
 
 
 @query()
 def poisson_whitelist_targets(spark, sf_dir):
-    m = event_mols(spark, sf_dir)
-    cells = mo.cells(m)
+    m = stored(event_mols(spark, sf_dir))
+    cells = stored(mo.cells(m))
     return merging.poisson_whitelist_targets(m, cells, merging.whitelist_candidates(cells, whitelist(spark), [3, None]))
 
 
