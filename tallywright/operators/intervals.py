@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -14,6 +15,8 @@ from .tables import broadcast_if, stored
 EXON, INTRON, NOT_ANNOTATED = 2, 4, 1
 #: Positions a bin holds: an interval has a row for each bin it meets, a point looks in one.
 BIN = 1 << 14
+#: Points that a task looks up: of more than the set number of tasks can take, there are more tasks.
+POINTS_A_TASK = 250_000
 
 
 def coalesce(intervals: DataFrame, keys: list[str]) -> DataFrame:
@@ -111,18 +114,52 @@ def extents_with_introns(annotation: DataFrame) -> DataFrame:
     return extents.withColumn("gene_name", F.when(F.col("_n") > 1, wrong).otherwise(F.col("gene_name"))).drop("_n")
 
 
+def bin_width(intervals: DataFrame, start: str, end: str) -> int:
+    """A bin as wide as intervals are on average: so these have at most three rows each on average, whatever their lengths, and a bin
+    holds few that a point in it misses."""
+    mean = intervals.filter(F.col(end) > F.col(start)).agg(F.avg(F.col(end) - F.col(start))).first()[0]
+    return max(1, math.ceil(mean or 1))
+
+
+def dealt(rows: DataFrame, points: int, *keys: str) -> DataFrame:
+    """rows by their keys over as many tasks as so many points ask for, where those are more than is set."""
+    tasks = math.ceil(points / POINTS_A_TASK)
+    return rows.repartition(tasks, *keys) if tasks > int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) else rows
+
+
+def hits(points: DataFrame, annotation: DataFrame, at: str = "at") -> tuple[DataFrame, int]:
+    """genes_at(), where several transcripts of a gene may give the same row, and the number of points.
+
+    Transcripts carry their parts to the bins that they meet, so points are joined, and so dealt out, once.
+    """
+    listed = F.when(F.col("transcript_id").isNotNull() & (F.col("end_pos") > F.col("start_pos")), F.struct(F.col("start_pos").alias("a"), F.col("end_pos").alias("b"), "kind"))
+    parts = annotation.groupBy("chrom", "transcript_id").agg(F.collect_list(listed).alias("parts"))
+    extents = extents_with_introns(annotation).select("chrom", "transcript_id", "gene_name", "introns", F.col("start_pos").alias("ta"), F.col("end_pos").alias("tb"))
+    whole = stored(extents.join(parts.withColumnsRenamed({"chrom": "_c", "transcript_id": "_t"}), F.col("chrom").eqNullSafe(F.col("_c")) & F.col("transcript_id").eqNullSafe(F.col("_t"))).select(*extents.columns, "parts"))
+    width = bin_width(whole, "ta", "tb")
+    low = F.col("_bin") * width
+    near = binned(whole, "ta", "tb", width).withColumn("parts", F.filter("parts", lambda x: (x["b"] > low) & (x["a"] < low + width)))
+    near = near.select(F.col("chrom").alias("_group"), "_bin", "gene_name", "introns", "ta", "tb", "parts")
+    left = stored(points.select("id", "chrom", F.col(at).alias("at"), F.floor(F.col(at) / width).alias("_point_bin")))
+    n = left.count()
+    left = dealt(left, n, "chrom", "_point_bin")
+    inside = (F.col("at") >= F.col("ta")) & (F.col("at") < F.col("tb"))
+    # transcripts may be many: the planner's guess of their number is no reason to broadcast them
+    held = left.hint("merge").join(near, (F.col("chrom") == F.col("_group")) & (F.col("_point_bin") == F.col("_bin")) & inside)
+    code = lambda kind: F.when(kind == "intron", INTRON).when(kind.isNotNull(), EXON).when(~F.col("introns"), INTRON)
+    met = F.transform(F.filter("parts", lambda x: (x["a"] <= F.col("at")) & (F.col("at") < x["b"])), lambda x: x["kind"])
+    kinds = F.array_compact(F.array_distinct(F.transform(F.when(F.size(met) > 0, met).otherwise(F.array(F.lit(None).cast("string"))), code)))
+    return held.select("id", F.col("gene_name").alias("gene"), F.explode(kinds).alias("kind")), n
+
+
 def genes_at(points: DataFrame, annotation: DataFrame, at: str = "at") -> DataFrame:
     """id, gene, kind for each point (id, chrom, at): the genes of the transcripts that hold it, EXON or INTRON.
 
     A transcript that holds a point with neither an exon nor a listed intron there counts as INTRON where no introns are
     listed for it.
     """
-    extents = extents_with_introns(annotation).select("chrom", "transcript_id", "gene_name", "introns", F.col("start_pos").alias("ta"), F.col("end_pos").alias("tb"))
-    held = lookup(points.select("id", "chrom", F.col(at).alias("at")), extents, "at", "ta", "tb").select("id", "chrom", "at", "transcript_id", "gene_name", "introns")
-    parts = annotation.select("chrom", F.col("transcript_id").alias("_t"), F.col("start_pos").alias("a"), F.col("end_pos").alias("b"), "kind")
-    met = lookup(held, parts, "at", "a", "b", how="left", also=F.col("transcript_id") == F.col("_t"))
-    code = F.when(F.col("kind") == "intron", INTRON).when(F.col("kind").isNotNull(), EXON).when(~F.col("introns"), INTRON)
-    return met.select("id", F.col("gene_name").alias("gene"), code.alias("kind")).filter("kind is not null").distinct()
+    found, n = hits(points, annotation, at)
+    return dealt(found, n, "id").distinct()
 
 
 def resolve(first: Column, last: Column) -> Column:
@@ -155,9 +192,10 @@ def annotate(alignments: DataFrame, annotation: DataFrame) -> DataFrame:
     rows = alignments.join(known, "chrom", "left_semi")
     ends = rows.select("id", "chrom", F.explode(F.array(F.struct(F.lit(1).alias("side"), F.col("pos").alias("at")), F.struct(F.lit(2).alias("side"), (F.col("end_pos") - 1).alias("at")))).alias("e"))
     points = ends.select(F.struct("id", "e.side").alias("id"), "chrom", F.col("e.at").alias("at"))
-    hits = genes_at(points, annotation)
     side = lambda k: F.collect_set(F.when(F.col("id.side") == k, F.struct("gene", "kind")))
-    sets = hits.groupBy(F.col("id.id").alias("_id")).agg(side(1).alias("s1"), side(2).alias("s2"))
+    found, n = hits(points, annotation)
+    found = dealt(found.withColumn("_id", F.col("id.id")), n, "_id")
+    sets = found.groupBy("_id").agg(side(1).alias("s1"), side(2).alias("s2"))
     empty = F.array().cast("array<struct<gene:string,kind:int>>")
     joined = rows.join(sets, rows["id"] == sets["_id"], "left")
     found = joined.withColumn("_r", resolve(F.coalesce("s1", empty), F.coalesce("s2", empty)))

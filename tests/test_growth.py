@@ -25,8 +25,10 @@ def test_correction_learns_where_no_gene_is_small(spark):
     assert correction.correct_identifiers(alone, 5, "bayesian", "reads").count() == 60
 
 
-def test_genes_at_points_against_brute_force(spark):
+@pytest.mark.parametrize("a_task", [intervals.POINTS_A_TASK, 50])
+def test_genes_at_points_against_brute_force(spark, monkeypatch, a_task):
     """Long and short transcripts, with and without introns, one of empty parts and one without a name."""
+    monkeypatch.setattr(intervals, "POINTS_A_TASK", a_task)
     rnd, parts = random.Random(5), []
     for t in range(60):
         at, chrom = rnd.randrange(3000), f"chr{t % 2}"
