@@ -373,7 +373,115 @@ def verified_classes(prints: DataFrame, rows: DataFrame, id_: str, text: str, ra
     joined = components(near.select(F.col("x").alias("a"), F.col("y").alias("b")))
     own = nodes.select("fp").join(roots, nodes.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("part"))
     done = own.join(joined, own.part == joined.node, "left").select("fp", F.coalesce("root", "part").alias("root"))
-    return materialize(done, "simhash-classes")
+    done = materialize(done, "simhash-classes")
+    missed = components(left_apart(prints, rows, text, done, shingle, least))
+    whole = done.withColumnRenamed("root", "part").join(missed, F.col("part") == missed.node, "left")
+    return materialize(whole.select("fp", F.coalesce("root", "part").alias("root")), "simhash-classes")
+
+
+#: Of the shingles one in so many, by hash, tells first which texts have too many of their own to be near another.
+ONE_IN = 3
+#: Parities of a set that bound its difference from another, and texts of one shingle that are compared with each other in a task.
+PARITIES, BLOCK = 1024, 4096
+
+
+def shingle_sets(texts: DataFrame, shingle: int, one_in: int = 1) -> DataFrame:
+    """texts(th, root, text) -> (th, root, n, sd, odd, hs): hashes of the different shingles (of `one_in`, one), how many there are of
+    all, a digest of them, and which of PARITIES remainders an odd number of them has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 512):
+                part = b.slice(at, 512)
+                found = [np.sort(np.fromiter(shingles(t.as_py(), shingle), np.uint64)) for t in part.column(2)]
+                digests = np.array([xxhash.xxh3_64_intdigest(x.tobytes()) for x in found], np.uint64).view(np.int64)
+                odd = [np.packbits(np.bincount((x % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES) & 1).tobytes() for x in found]
+                sampled = [x[x % np.uint64(one_in) == 0] for x in found]
+                ends = np.cumsum([0, *map(len, sampled)])
+                hashes = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sampled).view(np.int64)))
+                columns = [pa.array([len(x) for x in found], pa.int64()), pa.array(digests), pa.array(odd, pa.binary()), hashes]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns], ["th", "root", "n", "sd", "odd", "hs"])
+
+    return texts.select("th", "root", "text").mapInArrow(run, "th bigint, root bigint, n bigint, sd bigint, odd binary, hs array<bigint>")
+
+
+def near_sized(members: DataFrame, least: float) -> DataFrame:
+    """members(h, low, high, own, th, n, root, odd), of blocks of the texts that share shingle h -> (a, b): pairs of texts of block `low`
+    with ones of `high` in different classes, without those whose sizes or parities leave no similarity of `least`."""
+
+    def near(one: tuple[np.ndarray, ...], other: tuple[np.ndarray, ...], same: bool) -> Iterator[pa.RecordBatch]:
+        (th, n, root, odd), (th2, n2, root2, odd2) = one, other
+        step = max(1, CELLS // max(1, len(th2)))
+        for at in range(0, len(th), step):
+            rows = slice(at, at + step)
+            ok = (root[rows, None] != root2[None]) & (np.minimum(n[rows, None], n2[None]) >= least * np.maximum(n[rows, None], n2[None]) - 1e-9)
+            x, y = np.nonzero(ok & (th[rows, None] < th2[None]) if same else ok)
+            for k in range(0, len(x), CELLS // 16):
+                i, j = x[k : k + CELLS // 16] + at, y[k : k + CELLS // 16]
+                # each shingle that one of the two lacks changes one parity
+                few = np.bitwise_count(odd[i] ^ odd2[j]).sum(axis=1) <= (1 - least) / (1 + least) * (n[i] + n2[j]) + 1e-9
+                a, b = th[i[few]], th2[j[few]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at: tuple[int, ...] | None = None
+        held: list[tuple[np.ndarray, ...]] = []
+
+        def close() -> Iterator[pa.RecordBatch]:
+            if not held:
+                return
+            own, *rest = (np.concatenate(c) for c in zip(*held, strict=True))
+            if at[1] == at[2]:
+                yield from near(tuple(rest), tuple(rest), True)
+            else:
+                yield from near(tuple(c[own == at[1]] for c in rest), tuple(c[own == at[2]] for c in rest), False)
+
+        for b in batches:
+            h, low, high, own, th, n, root = (b.column(i).to_numpy(zero_copy_only=False) for i in range(7))
+            odd = np.frombuffer(b"".join(b.column(7).to_pylist()), np.uint64).reshape(-1, PARITIES // 64)
+            cuts = np.flatnonzero((np.diff(h) != 0) | (np.diff(low) != 0) | (np.diff(high) != 0)) + 1
+            for i, j in zip([0, *cuts], [*cuts, b.num_rows], strict=True):
+                if i == j:
+                    continue
+                if at != (h[i], low[i], high[i]):
+                    yield from close()
+                    held, at = [], (h[i], low[i], high[i])
+                held.append(tuple(c[i:j] for c in (own, th, n, root, odd)))
+        yield from close()
+
+    dealt = members.select("h", "low", "high", "own", "th", "n", "root", "odd").repartition("h", "low", "high").sortWithinPartitions("h", "low", "high")
+    return dealt.mapInArrow(run, "a bigint, b bigint")
+
+
+def left_apart(prints: DataFrame, rows: DataFrame, text: str, found: DataFrame, shingle: int, least: float) -> DataFrame:
+    """(a, b): roots of found(fp, root) between which some texts have a similarity of at least `least`; all such links, by prefixes.
+
+    Two sets of at least so much in common share one of the rarest `spare` shingles of each, in any order common to all. So a text with as
+    many of its own is near none: of most texts a sample of the shingles shows that, as a shingle is in it for all texts or for none. The others
+    meet by the rarest shingles that they share; pairs whose sizes and parities allow it are compared in full.
+    """
+    spare = lambda n: F.col(n) - F.ceil(F.lit(least) * F.col(n) - F.lit(1e-9)) + 1
+    named = rows.select(F.xxhash64(text).alias("th"), F.col(text).alias("text"))
+    seen = shingle_sets(named.withColumn("root", F.lit(0).cast("long")), shingle, ONE_IN).select("th", "n", F.explode("hs").alias("h")).repartition("h")
+    alone = seen.groupBy("h").agg(F.min("th").alias("th"), F.max("th").alias("other"), F.min("n").alias("n")).filter("th = other")
+    lone = alone.groupBy("th").agg(F.count("*").alias("own"), F.min("n").alias("n")).filter(F.col("own") >= spare("n")).select("th")
+    of = prints.join(found.select("fp", "root"), "fp").groupBy("th").agg(F.min("root").alias("root"))
+    left = materialize(of.join(lone, "th", "left_anti"), "simhash-left")
+    sets = shingle_sets(named.join(broadcast_if(left, MOST_ASKED), "th"), shingle).filter("n > 0")
+    sets = materialize(sets.dropDuplicates(["sd", "root"]), "simhash-sets")
+    every = sets.select("th", F.explode("hs").alias("h"))
+    often = every.groupBy("h").agg(F.count("*").alias("f")).filter("f > 1")
+    shared = every.join(often, "h").groupBy("th").agg(F.sort_array(F.collect_list(F.struct("f", "h"))).alias("shared"))
+    first = sets.select("th", "n", "root", "odd").join(shared, "th").withColumn("take", (spare("n") - F.col("n") + F.size("shared")).cast("int"))
+    first = first.filter("take > 0").select("th", "n", "root", "odd", F.explode(F.slice("shared", F.lit(1), F.col("take"))).alias("s")).select("*", "s.*")
+    parts = F.ceil(F.col("f") / BLOCK)
+    first = first.withColumn("own", F.pmod(F.xxhash64("th"), parts)).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    pairs_ = near_sized(first.withColumns({"low": F.least("own", "with"), "high": F.greatest("own", "with")}), least)
+    asked = materialize(pairs_.distinct(), "simhash-asked")
+    side = lambda c: sets.select(F.col("th").alias(c), F.col("n").alias(f"n_{c}"), F.col("root").alias(f"root_{c}"), F.col("hs").alias(f"hs_{c}"))
+    both = F.size(F.array_intersect("hs_a", "hs_b"))
+    met = asked.join(side("a"), "a").join(side("b"), "b").withColumn("both", both)
+    return met.filter(F.col("both") >= F.lit(least) * (F.col("n_a") + F.col("n_b") - F.col("both"))).select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 8, shingle: int = 5, count: int = 5, least: float | None = 0.8) -> DataFrame:
@@ -383,7 +491,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ra
     Texts have `count` fingerprints of their shingles. Two are candidates if some fingerprint is at most `radius` bits apart and
     all together differ in at most as many bits as texts of similarity `least` seldom exceed. They link if those are so
     few that the similarity is beyond doubt, or if the sets of shingles are as similar as `least`; between two classes the pair of
-    fewest bits is compared. With least = None fingerprints alone decide. Null ids come last; rows of one id go by the text's hash; of rows that repeat id and text the one
+    fewest bits is compared first. Then classes link wherever any texts of theirs are as similar as `least`, whatever their fingerprints, so
+    that no such pair is left out. With least = None fingerprints alone decide. Null ids come last; rows of one id go by the text's hash; of rows that repeat id and text the one
     whose columns come first as JSON stays. Null texts and texts without a word are of one class.
     """
     rows, (id_, text) = apart(docs, id_col, text_col)

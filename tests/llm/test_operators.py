@@ -213,6 +213,35 @@ def test_recall_and_precision_by_similarity(spark):
     assert all(share >= 0.9 if band >= 0.8 else share <= 0.1 for band, share in found.items()), found
 
 
+@pytest.mark.parametrize("block", [simhash_dedup.BLOCK, 3])
+def test_no_similar_pair_is_left_apart(spark, monkeypatch, block):
+    """Pairs just above and below the similarity asked for, chains of edits and a group around one frequent passage: classes are those of all pairs."""
+    monkeypatch.setattr(simhash_dedup, "BLOCK", block)
+    rnd, texts = random.Random(31), [None, "", "one"]
+    word = lambda: rnd.choice(WORDS) + rnd.choice(WORDS) + rnd.choice(WORDS)
+    for n in [12, 24, 30, 60, 120, 240] * 20:
+        base = [word() for _ in range(n)]
+        for _ in range(3):  # a chain
+            texts.append(" ".join(base))
+            for _ in range(max(1, round(n * 0.02))):
+                base[rnd.randrange(n)] = "edited" + str(rnd.random())
+    passage = " ".join(word() for _ in range(60))
+    texts += [passage + " " + " ".join(word() for _ in range(k)) for k in (2, 4, 5, 6, 7, 8, 9, 12, 20) for _ in range(2)]
+    texts += [texts[-1].upper(), texts[-2].replace(" ", "  ")]
+    sets, fps = [simhash_dedup.shingles(t, 5) for t in texts], [expected_fingerprints(t) for t in texts]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            bits = [(a ^ b).bit_count() for a, b in zip(fps[i], fps[j])]
+            similar = len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) > 0
+            if similar or min(bits) <= 8 and sum(bits) <= 32:
+                old, new = root[i], root[j]
+                root = [new if x == old else x for x in root]
+    assert len(set(near_texts(texts))) > len(set(root))  # fingerprints alone leave some apart
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    assert sorted(r["doc_id"] for r in simhash_dedup.keep_one(docs).collect()) == sorted({r: i for i, r in reversed([*enumerate(root)])}.values())
+
+
 @pytest.mark.parametrize("large,dense", [(1 << 14, 256), (1, 256), (1 << 14, 3), (1, 1)])
 def test_pairs_keep_the_classes_of_all_pairs(large, dense, monkeypatch):
     import numpy as np
