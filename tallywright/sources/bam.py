@@ -6,17 +6,20 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .ragged import places, strings
+
 UNMAPPED, SECONDARY = 0x4, 0x100
 BASES = "=ACMGRSVTWYHKDBN"
 OPERATIONS = "MIDNSHP=X"
-#: Two bases a byte, and quality codes as characters.
-PAIRS = [a + b for a in BASES for b in BASES]
+#: Quality codes as characters.
 SHIFTED = bytes(min(q + 33, 126) for q in range(256))
 #: What a block of a blocked gzip file starts with.
 MAGIC = b"\x1f\x8b\x08\x04"
@@ -129,26 +132,48 @@ class Stream:
         return b"".join(parts)
 
 
-def tags_of(raw: bytes) -> list[tuple[str, str, str]]:
-    """Optional fields (name, type, value); a character field is one character, arrays are comma-joined and typed as in Bi."""
-    found, at = [], 0
-    while at < len(raw):
-        tag, kind, at = raw[at : at + 2].decode(), chr(raw[at + 2]), at + 3
-        if kind == "A":
-            value, at = chr(raw[at]), at + 1
-        elif kind in "ZH":
-            end = raw.index(0, at)
-            value, at = raw[at:end].decode(), end + 1
-        elif kind == "B":
-            kind += chr(raw[at])
-            code, n = _SIZES[kind[1]], struct.unpack_from("<i", raw, at + 1)[0]
-            value = ",".join(map(str, struct.unpack_from(f"<{n}{code}", raw, at + 5)))
-            at += 5 + n * struct.calcsize(code)
-        else:
-            value = str(struct.unpack_from("<" + _SIZES[kind], raw, at)[0])
-            at += struct.calcsize(_SIZES[kind])
-        found.append((tag, kind, value))
-    return found
+def tags_of(raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, pa.Array, pa.Array, pa.Array]:
+    """How many optional fields each record has, and of all of them name, type and value; a character field is one character, arrays are
+    comma-joined and typed as in Bi. The first fields of all records are read at once, then the second ones, and so on."""
+    zeros = np.flatnonzero(raw == 0)
+    row, at, step = np.flatnonzero(begin < end), begin[begin < end].astype(np.int64), 0
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array, pa.Array]] = []
+    while len(row):
+        after, codes = at.copy(), raw[at + 2]
+        for code in np.unique(codes).tolist():
+            some = np.flatnonzero(codes == code)
+            kind, p = chr(code), at[some] + 3
+            kinds = pa.array([kind]).take(pa.array(np.zeros(len(some), np.int64)))
+            if kind in "ZH":
+                upto = zeros[np.searchsorted(zeros, p)]
+                values, after[some] = strings(raw[places(p, upto - p)], upto - p), upto + 1
+            elif kind == "A":
+                values, after[some] = pa.array([chr(c) for c in raw[p].tolist()]), p + 1
+            elif kind == "B":
+                kinds, values = [], []
+                for i, a in zip(some.tolist(), p.tolist(), strict=True):
+                    number = "<" + _SIZES[chr(raw[a])]
+                    n = struct.unpack_from("<i", raw, a + 1)[0]
+                    kinds.append(f"B{chr(raw[a])}")
+                    values.append(",".join(map(str, struct.unpack_from(f"<{n}{number[1]}", raw, a + 5))))
+                    after[i] = a + 5 + n * struct.calcsize(number)
+                kinds, values = pa.array(kinds), pa.array(values)
+            else:
+                number = np.dtype("<" + _SIZES[kind])
+                x = raw[p[:, None] + np.arange(number.itemsize)].view(number)[:, 0]
+                values = pa.array(list(map(str, x.astype(float).tolist()))) if kind == "f" else pa.array(x).cast(pa.string())
+                after[some] = p + number.itemsize
+            found.append((row[some], np.full(len(some), step), at[some], kinds, values))
+        left = after < end[row]
+        row, at, step = row[left], after[left], step + 1
+    if not found:
+        return np.zeros(len(begin), np.int64), *[pa.array([], pa.string())] * 3
+    rows, steps, ats = (np.concatenate(x) for x in list(zip(*found, strict=True))[:3])
+    order = np.lexsort((steps, rows))
+    ats = ats[order]
+    kinds, values = (pa.concat_arrays([f[k] for f in found]).take(pa.array(order)) for k in (3, 4))
+    two = np.full(len(ats), 2)
+    return np.bincount(rows, minlength=len(begin)), strings(raw[places(ats, two)], two), kinds, values
 
 
 def header(stream: Stream, file: str) -> list[str]:
@@ -213,7 +238,60 @@ def first_record(f: pa.NativeFile, at: int, size: int, chroms: int) -> tuple[int
     return None
 
 
-def records(file: str, at: int, upto: int) -> Iterator[dict]:
+#: The fixed fields of a record, with its size before them.
+FIELDS = np.dtype(
+    [("size", "<i4"), ("ref", "<i4"), ("pos", "<i4"), ("n_name", "u1"), ("mapq", "u1"), ("bin", "<u2"), ("n_cigar", "<u2"), ("flag", "<u2")]
+    + [("n_seq", "<i4"), ("next_ref", "<i4"), ("next_pos", "<i4"), ("tlen", "<i4")]
+)
+
+
+def operations_of(raw: bytes) -> tuple[str, int]:
+    """A cigar, and how many bases of the reference it spans."""
+    found = struct.unpack(f"<{len(raw) // 4}I", raw)
+    return "".join(f"{c >> 4}{OPERATIONS[c & 15]}" for c in found), sum(c >> 4 for c in found if c & 15 in (0, 2, 3, 7, 8))
+
+
+def decoded(file: str, raw: np.ndarray, at: np.ndarray, ords: np.ndarray, chroms: list[str]) -> pa.RecordBatch:
+    """The records that start at these places, all read at once."""
+    n = len(at)
+    heads = raw[at[:, None] + np.arange(FIELDS.itemsize)].view(FIELDS)[:, 0]
+    field = {name: heads[name].astype(np.int64) for name in FIELDS.names}
+    n_seq, upto = field["n_seq"], at + 4 + field["size"]
+    ops_at = at + FIELDS.itemsize + field["n_name"]
+    seq_at = ops_at + 4 * field["n_cigar"]
+    qual_at = seq_at + (n_seq + 1) // 2
+    if (n_seq < 0).any() or (qual_at + n_seq > upto).any():
+        raise ValueError(f"{file} has a record that is shorter than its fields")
+    n_name = np.maximum(field["n_name"] - 1, 0)
+    whole = raw.tobytes()
+    cigars = [whole[a:b] for a, b in zip(ops_at.tolist(), seq_at.tolist(), strict=True)]
+    known = {c: operations_of(c) for c in set(cigars)}
+    span = np.array([known[c][1] for c in cigars])
+    base = places(2 * seq_at, n_seq)
+    seq = np.frombuffer(BASES.encode(), np.uint8)[raw[base >> 1] >> np.where(base & 1, 0, 4).astype(np.uint8) & 15]
+    n_qual = np.where(raw[np.minimum(qual_at, len(raw) - 1)] == 255, 0, n_seq)
+    qual = np.frombuffer(SHIFTED, np.uint8)[raw[places(qual_at, n_qual)]]
+    counts, tag, kind, value = tags_of(raw, qual_at + n_seq, upto)
+    offsets = pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32())
+
+    def reference(name: str) -> pa.Array:
+        known = (field[name] >= 0) & (field[name] < len(chroms))
+        return pa.array([*chroms], pa.string()).take(pa.array(field[name], mask=~known))
+
+    columns = {
+        "file": pa.array([file]).take(pa.array(np.zeros(n, np.int64))), "ord": ords, "name": strings(raw[places(at + FIELDS.itemsize, n_name)], n_name), "chrom": reference("ref"), "pos": field["pos"],
+        "end_pos": field["pos"] + np.maximum(span, 1), "flag": field["flag"], "seq": strings(seq, n_seq), "qual": strings(qual, n_qual), "tags": pa.MapArray.from_arrays(offsets, tag, value),
+        "cigar": pa.array([known[c][0] for c in cigars]), "mapq": field["mapq"], "next_chrom": reference("next_ref"), "next_pos": field["next_pos"], "tlen": field["tlen"],
+        "kinds": pa.MapArray.from_arrays(offsets, tag, kind),
+    }
+    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, ARROW.field(name).type) for name, c in columns.items()], schema=ARROW)
+
+
+#: Records of a batch at most, and inflated bytes that are read before records are looked for.
+RECORDS, CHUNK = 10_000, 1 << 20
+
+
+def records(file: str, at: int, upto: int) -> Iterator[pa.RecordBatch]:
     """The records that start in the blocks from `at` up to before `upto`."""
     f = opened(file)
     size = f.size()
@@ -223,33 +301,65 @@ def records(file: str, at: int, upto: int) -> Iterator[dict]:
     stream = Stream(blocks(f, 0, size) if blocked else members(f))
     chroms = header(stream, file)
     place = stream.place()
+    source = chain([(stream.block, stream.data)], stream.source)
     if blocked and place is not None and at > place[0]:
         place = first_record(f, at, size, len(chroms))
-        if place is not None:
-            stream = Stream(blocks(f, place[0], size))
-            stream.place()
-            stream.at = place[1]
-    began = place is not None and place[0] < upto
-    while place is not None and (not blocked or place[0] < upto):
-        raw = stream.take(struct.unpack("<i", stream.take(4))[0])
-        ref, pos, n_name, mapq, _, n_cigar, flag, n_seq, next_ref, next_pos, tlen = struct.unpack_from("<iiBBHHHiiii", raw)
-        after = 32 + n_name
-        cigar = struct.unpack_from(f"<{n_cigar}I", raw, after)
-        span = sum(c >> 4 for c in cigar if c & 15 in (0, 2, 3, 7, 8))
-        after += 4 * n_cigar
-        packed = raw[after : after + (n_seq + 1) // 2]
-        after += len(packed)
-        qual = raw[after : after + n_seq].translate(SHIFTED).decode() if raw[after : after + 1] != b"\xff" else ""
-        tags = tags_of(raw[after + n_seq :])
-        yield {
-            "file": file, "ord": place[0] << (16 if blocked else 40) | place[1], "name": raw[32 : 31 + n_name].decode(), "chrom": chroms[ref] if 0 <= ref < len(chroms) else None, "pos": pos,
-            "end_pos": pos + (span or 1), "flag": flag, "seq": "".join(map(PAIRS.__getitem__, packed))[:n_seq], "qual": qual, "tags": [(t, v) for t, _, v in tags],
-            "cigar": "".join(f"{c >> 4}{OPERATIONS[c & 15]}" for c in cigar), "mapq": mapq, "next_chrom": chroms[next_ref] if 0 <= next_ref < len(chroms) else None, "next_pos": next_pos, "tlen": tlen,
-            "kinds": [(t, k) for t, k, _ in tags],
-        }
-        place = stream.place()
-    if blocked and began and place is not None and first_record(f, upto, size, len(chroms)) != place:
-        raise ValueError(f"records of {file} cannot be told apart at {upto}: read it with another split size")
+        source = blocks(f, place[0], size) if place is not None else None
+    if place is None or blocked and place[0] >= upto:
+        return
+    # inflated bytes, the place in them of the next record and of the first block from `upto` on; block and first byte of each block
+    held, pos, limit, starts = bytearray(), place[1], None, []
+    size_at = struct.Struct("<i").unpack_from
+
+    def more() -> bool:
+        nonlocal limit
+        found = next(source, None)
+        if found is None:
+            return False
+        if blocked and limit is None and found[0] >= upto:
+            limit = len(held)
+        starts.append((found[0], len(held)))
+        held.extend(found[1])
+        return True
+
+    def places_of(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        names, first = np.array(starts, np.int64).T
+        k = np.searchsorted(first, at, "right") - 1
+        return names[k], at - first[k]
+
+    while True:
+        while limit is None and len(held) - pos < CHUNK and more():
+            pass
+        begun = []
+        while len(begun) < RECORDS and (limit is None or pos < limit) and pos + 4 <= len(held):
+            n = size_at(held, pos)[0]
+            if n < FIELDS.itemsize - 4:
+                raise ValueError(f"{file} has a record of {n} bytes")
+            if pos + 4 + n > len(held):
+                break
+            begun.append(pos)
+            pos += 4 + n
+        if begun:
+            first = np.array(begun, np.int64)
+            block, offset = places_of(first)
+            yield decoded(file, np.frombuffer(bytes(memoryview(held)[begun[0] : pos]), np.uint8), first - begun[0], block << (16 if blocked else 40) | offset, chroms)
+            if pos > CHUNK and pos > len(held) // 2:
+                del held[:pos]
+                starts = [(b, s - pos) for b, s in starts]
+                starts = starts[max(i for i, (_, s) in enumerate(starts) if s <= 0 or i == 0) :]
+                limit, pos = None if limit is None else limit - pos, 0
+        elif limit is not None and pos >= limit:
+            break
+        elif not more():
+            if pos < len(held):
+                raise ValueError(f"{file} ends within a record")
+            break
+    while pos >= len(held) and more():
+        pass
+    if blocked and pos < len(held):
+        block, offset = places_of(np.array([pos]))
+        if first_record(f, upto, size, len(chroms)) != (int(block[0]), int(offset[0])):
+            raise ValueError(f"records of {file} cannot be told apart at {upto}: read it with another split size")
 
 
 def primary(flag: Column) -> Column:
@@ -269,13 +379,7 @@ def read_bam(spark: SparkSession, path: str | list[str], all_records: bool = Fal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for file, at in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                rows = []
-                for r in records(file, at, at + split):
-                    rows.append(r)
-                    if len(rows) == 5000:
-                        yield pa.RecordBatch.from_pylist(rows, ARROW)
-                        rows = []
-                yield pa.RecordBatch.from_pylist(rows, ARROW)
+                yield from records(file, at, at + split)
 
     files = spark.read.format("binaryFile").load(path).select("path", "length")
     ranges = files.select("path", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(split).cast("long"))).alias("at"))
