@@ -63,5 +63,5 @@ def write_tagged(alignments: DataFrame, path: str, sort: bool = False) -> None:
 
 def write_filtered(alignments: DataFrame, cell_map: DataFrame, umi_map: DataFrame, molecules: DataFrame, path: str, sort: bool = False) -> None:
     """filtered_alignments() as BAM files, with the corrected cell and identifier as tags CB and UB and the gene as GX."""
-    kept = filtered_alignments(alignments, cell_map, umi_map, molecules)
+    kept = stored(filtered_alignments(alignments, cell_map, umi_map, molecules))  # read for the references and for the records
     write_bam(with_tags(kept, {"CB": F.col("cb"), "UB": F.col("umi"), "GX": F.col("gene")}), path, sort=sort)
