@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -28,7 +29,7 @@ def judge_phrases(groups: list[list[Context]]) -> list[list[list[int] | None]]:
             continue
         for c, (_, context, low, _) in enumerate(group):
             line = context.decode("latin-1")  # one character a byte
-            ends = np.append(np.flatnonzero(np.frombuffer(context, np.uint8) == 32), len(context)).tolist()
+            ends = [e - 1 for e in accumulate(len(w) + 1 for w in line.split(" "))]
             starts = [0, *(e + 1 for e in ends[:-1])]
             line = f" {line} "
             phrases = [line[starts[i] : ends[i + size - 1] + 2] for i in range(len(ends) - size + 1)]  # with the spaces around
