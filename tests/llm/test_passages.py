@@ -60,3 +60,23 @@ def test_memory_of_a_long_text():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert n > 100_000 and peak < 160e6 < 25 * len(text)
+
+
+def test_texts_without_a_wide_anchor_are_not_cut_again(spark, monkeypatch):
+    """An anchor of very many contexts is judged by its windows: one pass, over the texts that hold it, in place of two over all texts."""
+    rnd = random.Random(7)
+    # five words of a small hash, which so are the anchor of most windows that hold them
+    common = min((prose(rnd, 5) for _ in range(300)), key=lambda t: int(passages.run_hashes(passages.word_values(t.encode())[0], 5)[0]))
+    rows = [(i, f"{prose(rnd, 12)} {common} {prose(rnd, 12)}") for i in range(200)]
+    rows += [(1000 + i, text) for i, (_, text) in enumerate(rows[:20])] + [(2000 + i, prose(rnd, 30)) for i in range(300)] + [(3000, rows[-1][1])]
+    docs, kept = spark.createDataFrame(rows, "doc_id long, text string").repartition(4), {}
+    write = passages.materialize
+    monkeypatch.setattr(passages, "materialize", lambda df, tag: kept.setdefault(tag, write(df, tag)))
+    plain = {tuple(r) for r in phrase_dedup.remove_repeats(docs, wide=10**6).collect()}
+    assert "anchor-windows" not in kept and sum(r[2] > 0 for r in plain) == 21
+    kept.clear()
+    assert {tuple(r) for r in phrase_dedup.remove_repeats(docs, wide=10).collect()} == plain
+    assert kept["anchor-windows"].count() > 0 and kept["wide-texts"].count() <= 200
+    kept.clear()
+    monkeypatch.setattr(passages, "MOST_TEXTS", 0)
+    assert {tuple(r) for r in phrase_dedup.remove_repeats(docs, wide=10).collect()} == plain
