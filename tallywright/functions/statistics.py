@@ -7,6 +7,7 @@ probabilities is small whatever the number of reads.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -174,12 +175,19 @@ def normal_bandwidth(data: np.ndarray) -> np.ndarray:
     return (4 / (d + 2)) ** (2 / (d + 4)) * n ** (-2 / (d + 4)) * np.cov(data, rowvar=False).reshape(d, d)
 
 
+#: Points that a density sums over at once, so that memory does not grow with their number.
+SUMMED = 4096
+
+
 def density(data: np.ndarray, bandwidth: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Gaussian kernel density of data at points."""
-    inverse = np.linalg.pinv(bandwidth)
+    values, vectors = np.linalg.eigh(np.linalg.pinv(bandwidth, hermitian=True))
     norm = 1 / math.sqrt(max(np.linalg.det(2 * math.pi * bandwidth), 1e-300))
-    diff = at[:, None, :] - data[None, :, :]
-    return norm * np.exp(-0.5 * np.einsum("ijk,kl,ijl->ij", diff, inverse, diff)).mean(axis=1)
+    root = vectors * np.sqrt(np.maximum(values, 0))
+    centers, places, total = data @ root, at @ root, np.zeros(len(at))
+    for a in range(0, len(centers), SUMMED):
+        total += np.exp(-0.5 * sum((p[:, None] - c) ** 2 for p, c in zip(places.T, centers[a : a + SUMMED].T, strict=True))).sum(axis=1)
+    return norm * total / len(data)
 
 
 def good_toulmin(counts: dict[int, int], ratio: float, terms: int = 20) -> float:
@@ -298,31 +306,44 @@ def distinct_range(counts: dict[int, int], ratios: np.ndarray, level: float = 0.
 
 def spread(x: np.ndarray) -> np.ndarray:
     """Median absolute deviation of the columns, times 1.4826."""
-    return 1.4826 * np.median(np.abs(x - np.median(x, axis=0)), axis=0)
+    x = np.ascontiguousarray(x.T)  # medians of what lies together are found faster
+    return 1.4826 * np.median(np.abs(x - np.median(x, axis=1, keepdims=True)), axis=1)
 
 
 #: Rounds of the search for a direction, angles tried in each, and loadings that are taken for 0.
 CYCLES, ANGLES, NOTHING = 10, 24, 0.02
 
 
+def projected(data: np.ndarray, directions: np.ndarray) -> np.ndarray:
+    """The rows along each column of directions, as one row each; summed feature by feature, so that a value does not depend on the
+    rows beside its own."""
+    return sum((x * d[:, None] for x, d in zip(data.T, directions, strict=True)), np.zeros((directions.shape[1], len(data))))
+
+
 def sparse_components(data: np.ndarray, penalty: float = 0.3) -> tuple[np.ndarray, np.ndarray]:
+    """sparse_directions() of the rows of data."""
+    return sparse_directions(data.shape[1], lambda a: spread(projected(data, a).T), penalty)
+
+
+def sparse_directions(width: int, spreads: Callable[[np.ndarray], np.ndarray], penalty: float = 0.3) -> tuple[np.ndarray, np.ndarray]:
     """(directions as columns, their spreads), by projection pursuit: each direction maximises the robust spread of the data along
     it, less a penalty on the sum of its loadings, among those orthogonal to what earlier ones explain.
 
-    A direction starts as the feature of the largest spread and is turned towards one feature at a time, by angles on a
-    grid that halves each round. Less than half of the rows, however far out, hardly move the spread.
+    The data are asked only for their spreads along directions: columns of `width` loadings. A direction starts as the feature of
+    the largest spread and is turned towards one feature at a time, by angles on a grid that halves each round. Less than half of
+    the rows, however far out, hardly move the spread.
     """
-    x = data - np.median(data, axis=0)
-    whole = float(spread(x).max(initial=0.0))
+    left = np.eye(width)  # takes the directions that are found out of others
+    whole = float(spreads(left).max(initial=0.0))
     found, sizes = [], []
 
     def worth(a: np.ndarray) -> np.ndarray:
         """Of each column of directions."""
-        return spread(x @ a) - penalty * whole * (np.abs(a).sum(axis=0) - 1) / max(1.0, math.sqrt(len(a)) - 1)
+        return spreads(left @ a) - penalty * whole * (np.abs(a).sum(axis=0) - 1) / max(1.0, math.sqrt(len(a)) - 1)
 
-    for _ in range(data.shape[1]):
-        order = np.argsort(-spread(x), kind="stable")
-        a = np.zeros(data.shape[1])
+    for _ in range(width):
+        order = np.argsort(-spreads(left), kind="stable")
+        a = np.zeros(width)
         a[order[0]] = 1.0
         best = worth(a[:, None])[0]
         for cycle in range(CYCLES):
@@ -337,6 +358,6 @@ def sparse_components(data: np.ndarray, penalty: float = 0.3) -> tuple[np.ndarra
                     best, a = values.max(), turned[:, values.argmax()]
         a = np.where(np.abs(a) < NOTHING, 0.0, a)
         a /= np.linalg.norm(a)
-        found.append(a), sizes.append(float(spread(x @ a[:, None])[0]))
-        x = x - np.outer(x @ a, a)
+        found.append(a), sizes.append(float(spreads(left @ a[:, None])[0]))
+        left = left - np.outer(left @ a, a)
     return np.array(found).T, np.array(sizes)

@@ -167,16 +167,18 @@ def tail_shares(counts: DataFrame, least: float = 5e-4) -> DataFrame:
 EXPLAINED, MOST_PCS, LOADING = 0.98, 3, 0.075
 
 
-#: Cells that components are fitted to at most: those of the least hashes of their barcodes.
-FITTED = 5_000
+#: Cells up to which robust spreads are worked out on the driver; those of more cells are counted by tasks.
+AT_ONCE = 100_000
 
 
 def principal_components(rows: DataFrame, columns: list[str], robust: bool = False) -> tuple[np.ndarray, list[str]]:
-    """(weights by column and component, used features). robust: sparse components of the greatest robust spread, fitted to at
-    most FITTED cells; else the classical ones, from moments that Spark sums over all cells."""
+    """(weights by column and component, used features), from all cells. robust: sparse components of the greatest robust spread;
+    else the classical ones, from moments that Spark sums."""
     if robust:
-        sample = rows.select(*columns, "cb").orderBy(F.xxhash64("cb"), "cb").limit(FITTED).select(*columns).toPandas()
-        vectors, sizes = st.sparse_components(sample.to_numpy(float))
+        if rows.count() <= AT_ONCE:
+            vectors, sizes = st.sparse_components(rows.select(*columns).toPandas().to_numpy(float))
+        else:
+            vectors, sizes = st.sparse_directions(len(columns), selection.spreads(rows, columns))
         order = np.argsort(-sizes, kind="stable")
         vectors, values = vectors[:, order], sizes[order] ** 2
     else:
@@ -195,13 +197,13 @@ def principal_components(rows: DataFrame, columns: list[str], robust: bool = Fal
     return vectors[:, :n], [c for c, row in zip(columns, loads[:, :n], strict=True) if (row > LOADING).any()]
 
 
-def score_cells(rows: DataFrame, sizes: DataFrame, columns: list[str], number: dict[str, int] | None = None, flags: list[str] | None = None, most: int = 2000, robust: bool = False) -> DataFrame:
+def score_cells(rows: DataFrame, sizes: DataFrame, columns: list[str], number: dict[str, int] | None = None, flags: list[str] | None = None, robust: bool = False) -> DataFrame:
     """cb, score: probability of high quality by Gaussian kernel densities of the High and Low cells in the space of the
     principal components (robust: sparse ones that outliers do not turn). Cells that are outliers in a flagged feature are Low ones where the components use it, else
     they get the least score.
 
-    Training sets are the `most` largest High cells and at most 1.5 times as many Low ones, the largest; that bounds
-    what is collected, and scoring runs on all cells in batches.
+    Training sets are all High cells and, as in the reference, 1.5 times as many Low ones, the largest (all where there are fewer).
+    Their coordinates are collected and go to all tasks; scoring runs on all cells in batches, and each meets all of the training sets.
     """
     rows = stored(rows)
     ready = scaled(rows, columns)
@@ -217,9 +219,9 @@ def score_cells(rows: DataFrame, sizes: DataFrame, columns: list[str], number: d
     marked = marked.select("cb", worst(True).alias("low"), worst(False).alias("least"))
     judged = ranked(sizes).join(marked, "cb").withColumn("quality", F.when(F.col("low"), "Low").otherwise(quality_of(number or cell_number(sizes))))
     ordered = space.join(judged.select("cb", "rank", "quality", "least"), "cb")
-    high = ordered.filter("quality = 'High'").orderBy("rank").limit(most).toPandas()
-    low = ordered.filter("quality = 'Low'").orderBy("rank").limit(max(2, round(1.5 * len(high)))).toPandas()
-    good, bad = (df[names].to_numpy(float) for df in (high, low))
+    high = ordered.filter("quality = 'High'").orderBy("rank").select(*names).toPandas()
+    low = ordered.filter("quality = 'Low'").orderBy("rank").limit(max(2, round(1.5 * len(high)))).select(*names).toPandas()
+    good, bad = (df.to_numpy(float) for df in (high, low))
     bands = [st.normal_bandwidth(x) + 1e-9 * np.eye(x.shape[1]) for x in (good, bad)]
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
